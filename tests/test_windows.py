@@ -18,7 +18,7 @@ def _li(spark):
 
 def test_row_number_cumsum_ntile(spark):
     df = _li(spark)
-    got = W.global_prefix(df, ["l_quantity", "id"], ("l_extendedprice",), rn_col="rn", n_buckets=8)[0]
+    got = W.global_prefix(df, ["l_quantity", "id"], ("l_extendedprice",), rn_col="rn", n_buckets=8)
     got = W.global_ntile(got, ["l_quantity", "id"], 4, "tile", n_buckets=8)
     w = Window.orderBy("l_quantity", "id")
     ref = df.select(

@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+BYTES_PER_BUCKET = 256 * 1024 * 1024
+# The bucket is a CASE binary search over the edges; 128 buckets keeps that
+# expression well inside one generated class.
+MAX_BUCKETS = 128
 SAMPLE_PER_BUCKET = 64
-BROADCAST_HIST_ROWS = 2_000_000
 
 
 def _order_exprs(order_cols, descending=()):
@@ -58,18 +60,39 @@ def _bucket_expr(key: Column, edges: list, types: list) -> Column:
     return build(0, len(edges))
 
 
+def estimate_buckets(df: DataFrame) -> int:
+    """Bucket count from Catalyst's size estimates (no job is run).
+
+    Join estimates without CBO multiply child sizes, so the plan estimate is
+    capped by the total size of the scanned leaves.
+    """
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        leaf_size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        size = min(size, leaf_size)
+    except Exception:  # noqa: BLE001 - estimate unavailable: assume small
+        size = 0
+    return max(1, min(MAX_BUCKETS, math.ceil(size / BYTES_PER_BUCKET)))
+
+
 def range_bucket(df: DataFrame, order_cols, descending=(), n_buckets: int | None = None, seed: int = 7):
-    """Add ``_bkt`` (range bucket of the composite key); returns (df, n_buckets, n_rows)."""
+    """Add ``_bkt`` (range bucket of the composite key); returns (df, n_buckets).
+
+    Small inputs (one bucket by the size estimate) run no extra job; larger
+    ones sample about SAMPLE_PER_BUCKET keys per bucket (a bounded collect,
+    like Spark's own range partitioner).
+    """
     keys = _order_exprs(order_cols, descending)
-    n_rows = df.count()
     if n_buckets is None:
-        n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
-    if n_buckets <= 1 or n_rows == 0:
-        return df.withColumn("_bkt", F.lit(0)), 1, n_rows
-    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n_rows)
-    # Bounded sample (about SAMPLE_PER_BUCKET rows per bucket) of the key only.
+        n_buckets = estimate_buckets(df)
+    if n_buckets <= 1:
+        return df.withColumn("_bkt", F.lit(0)), 1
     keyed = df.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
     types = [f.dataType for f in keyed.schema.fields]
+    n_rows = max(1, keyed.count())
+    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n_rows)
     sample = keyed.sample(False, frac, seed).collect()
     pts = sorted(tuple(r) for r in sample if all(v is not None for v in r))
     edges = []
@@ -80,7 +103,7 @@ def range_bucket(df: DataFrame, order_cols, descending=(), n_buckets: int | None
         if not edges or e > edges[-1]:
             edges.append(e)
     key = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    return df.withColumn("_bkt", _bucket_expr(key, edges, types)), len(edges) + 1, n_rows
+    return df.withColumn("_bkt", _bucket_expr(key, edges, types)), len(edges) + 1
 
 
 def global_prefix(
@@ -91,15 +114,17 @@ def global_prefix(
     descending=(),
     rn_col: str = "_rn",
     n_buckets: int | None = None,
-):
+    with_total: bool = False,
+) -> DataFrame:
     """Global (per ``partition_cols``) row number and running sums.
 
     ``order_cols`` must form a unique key within a partition (add an id as the
-    last column). Adds ``rn_col`` (1-based) and ``cum_<m>`` for each measure
-    (ROWS UNBOUNDED PRECEDING). Returns (df, n_rows).
+    last column). Adds ``rn_col`` (1-based), ``cum_<m>`` for each measure
+    (ROWS UNBOUNDED PRECEDING) and, with ``with_total``, ``_total`` (rows in
+    the partition).
     """
     part = list(partition_cols)
-    b, _, n_rows = range_bucket(df, part + list(order_cols), descending, n_buckets)
+    b, _ = range_bucket(df, part + list(order_cols), descending, n_buckets)
     stats = b.groupBy("_bkt", *part).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(f"_s_{m}") for m in measures]
     )
@@ -109,6 +134,7 @@ def global_prefix(
         *part,
         F.coalesce(F.sum("_n").over(prev), F.lit(0)).alias("_off"),
         *[F.coalesce(F.sum(f"_s_{m}").over(prev), F.lit(0)).alias(f"_off_{m}") for m in measures],
+        *([F.sum("_n").over(Window.partitionBy(*part)).alias("_total")] if with_total else []),
     )
     # One row per (bucket, partition value): bounded by the bucket count when
     # there is no partition column, else sized at run time by AQE.
@@ -116,37 +142,34 @@ def global_prefix(
     keys = _order_exprs(order_cols, descending)
     w = Window.partitionBy("_bkt", *part).orderBy(*keys)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select(
+    return joined.select(
         *[c for c in df.columns],
         (F.col("_off") + F.row_number().over(w)).alias(rn_col),
         *[(F.col(f"_off_{m}") + F.sum(m).over(run)).alias(f"cum_{m}") for m in measures],
+        *(["_total"] if with_total else []),
     )
-    return out, n_rows
 
 
 def global_row_number(df, order_cols, out: str, descending=(), partition_cols=(), n_buckets=None):
-    res, _ = global_prefix(df, order_cols, (), partition_cols, descending, out, n_buckets)
-    return res
+    return global_prefix(df, order_cols, (), partition_cols, descending, out, n_buckets)
 
 
 def global_cumsum(df, order_cols, measure: str, out: str, descending=(), n_buckets=None):
-    res, _ = global_prefix(df, order_cols, (measure,), (), descending, "_rn", n_buckets)
+    res = global_prefix(df, order_cols, (measure,), (), descending, "_rn", n_buckets)
     return res.withColumnRenamed(f"cum_{measure}", out).drop("_rn")
 
 
 def global_ntile(df, order_cols, k: int, out: str, descending=(), n_buckets=None):
     """NTILE(k) with Spark's rule: sizes differ by at most one, larger tiles first."""
-    res, n = global_prefix(df, order_cols, (), (), descending, "_rn", n_buckets)
-    q, r = divmod(n, k)
-    rn = F.col("_rn")
-    big = F.lit(r * (q + 1))
-    if q == 0:
-        tile = rn
-    else:
-        tile = F.when(rn <= big, F.floor((rn - 1) / F.lit(q + 1)) + 1).otherwise(
-            F.floor((rn - 1 - big) / F.lit(q)) + F.lit(r + 1)
-        )
-    return res.withColumn(out, tile.cast("int")).drop("_rn")
+    res = global_prefix(df, order_cols, (), (), descending, "_rn", n_buckets, with_total=True)
+    n, rn = F.col("_total"), F.col("_rn")
+    q = F.floor(n / k)
+    r = n - q * k
+    big = r * (q + 1)
+    tile = F.when(q == 0, rn).when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(
+        F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + r + 1
+    )
+    return res.withColumn(out, tile.cast("int")).drop("_rn", "_total")
 
 
 def value_ranks(df: DataFrame, value_col: str, partition_cols=(), n_buckets=None):
@@ -157,7 +180,7 @@ def value_ranks(df: DataFrame, value_col: str, partition_cols=(), n_buckets=None
     """
     part = list(partition_cols)
     hist = df.groupBy(*part, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    pref, _ = global_prefix(hist, [value_col], ("_cnt",), part, (), "_hrn", n_buckets)
+    pref = global_prefix(hist, [value_col], ("_cnt",), part, (), "_hrn", n_buckets)
     pref = pref.select(*part, value_col, "_cnt", (F.col("cum__cnt") - F.col("_cnt")).alias("_below"))
     if part:
         totals = hist.groupBy(*part).agg(F.sum("_cnt").alias("_total"))
@@ -192,8 +215,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, names, n_buckets=None)
 
 
 def _join_hist(df, hist, keys):
-    n = hist.count()
-    return df.join(F.broadcast(hist) if n <= BROADCAST_HIST_ROWS else hist, keys)
+    # No hint: AQE broadcasts the histogram when its measured size is small,
+    # otherwise keeps a sort-merge join whose hot key the skew-join splits.
+    return df.join(hist, keys)
 
 
 def global_rank(df: DataFrame, value_col: str, out: str, partition_cols=(), pct: bool = False, n_buckets=None):
@@ -218,17 +242,18 @@ def average_rank(df: DataFrame, value_col: str, out: str, n_buckets=None):
     return j.withColumn(out, F.col("_below") + (F.col("_cnt") + 1) / 2.0).drop("_cnt", "_below", "_total")
 
 
-def moving_average_rows(df: DataFrame, order_cols, measure: str, rows: int, out: str, block: int | None = None):
+def moving_average_rows(
+    df: DataFrame, order_cols, measure: str, rows: int, out: str, block: int | None = None, exact: bool = False
+):
     """AVG(measure) OVER (ORDER BY order_cols ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW).
 
     Rows are numbered globally, cut into blocks of ``block`` rows, and the last
     ``rows - 1`` rows of each block are copied into the next block as a halo,
-    so every frame is computed inside one block.
+    so every frame is computed inside one block. ``exact`` sums the frame as
+    DECIMAL (money) so the result does not depend on summation order.
     """
-    numbered, n = global_prefix(df, order_cols, (), (), (), "_rn")
-    if block is None:
-        block = max(rows, min(ROWS_PER_BUCKET, max(1, n)))
-    block = max(block, rows)
+    numbered = global_prefix(df, order_cols, (), (), (), "_rn")
+    block = max(block or ROWS_PER_BUCKET, rows)
     blk = F.floor((F.col("_rn") - 1) / F.lit(block))
     base = numbered.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
     tail = (
@@ -239,7 +264,12 @@ def moving_average_rows(df: DataFrame, order_cols, measure: str, rows: int, out:
     both = base.unionByName(tail) if rows > 1 else base
     w = Window.partitionBy("_blk").orderBy("_rn").rowsBetween(-(rows - 1), 0)
     return (
-        both.withColumn(out, F.avg(measure).over(w))
+        both.withColumn(
+            out,
+            (F.sum(F.col(measure).cast("decimal(18,6)")).over(w).cast("double") / F.count(measure).over(w))
+            if exact
+            else F.avg(measure).over(w),
+        )
         .filter(~F.col("_halo"))
         .drop("_blk", "_halo")
     )

@@ -86,3 +86,27 @@ def q_cohort_summary(spark, sf_dir):
     from tidemark.operators.cohorts import cohort_summary
 
     return cohort_summary(clean(spark, sf_dir))
+
+
+# --- features --------------------------------------------------------------
+
+
+@register("value_scoring", O.value_scoring_sql)
+def q_value_scoring(spark, sf_dir):
+    from tidemark.operators.features import value_scoring
+
+    return value_scoring(clean(spark, sf_dir))
+
+
+@register("customer_trends", O.customer_trends_sql)
+def q_customer_trends(spark, sf_dir):
+    from tidemark.operators.features import customer_trends
+
+    return customer_trends(clean(spark, sf_dir))
+
+
+@register("business_rollup", O.business_rollup_sql)
+def q_business_rollup(spark, sf_dir):
+    from tidemark.operators.features import business_rollup
+
+    return business_rollup(clean(spark, sf_dir))

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
@@ -38,15 +39,28 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh scratch folder) when nothing is configured, as in tests.
+    A cluster names it in ``spark.checkpoint.dir``; only a local session
+    (tests, bench) with nothing configured gets a fresh scratch folder.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used before plans that read their input more than once (bucketed windows,
+    iterative algorithms), so the upstream is computed once and a lost
+    executor re-reads the checkpoint instead of recomputing the lineage.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
