@@ -110,3 +110,45 @@ def q_business_rollup(spark, sf_dir):
     from tidemark.operators.features import business_rollup
 
     return business_rollup(clean(spark, sf_dir))
+
+
+# --- quality / profiling ----------------------------------------------------
+from tidemark.plans import oracle_quality as OQ  # noqa: E402
+
+
+def _raw_op(fn_name):
+    def run(spark, sf_dir):
+        from tidemark.operators import quality
+
+        return getattr(quality, fn_name)(customer_profile(spark, sf_dir))
+
+    return run
+
+
+def _clean_op(fn_name):
+    def run(spark, sf_dir):
+        from tidemark.operators import quality
+
+        return getattr(quality, fn_name)(clean(spark, sf_dir))
+
+    return run
+
+
+for _name, _fn, _src, _oracle in [
+    ("quality_report", "quality_report", "raw", OQ.quality_report_sql),
+    ("outlier_report", "outlier_report", "raw", OQ.outlier_report_sql),
+    ("cleaning_summary", "cleaning_summary", "clean", OQ.cleaning_summary_sql),
+    ("lifecycle_distribution", "lifecycle_distribution", "clean", OQ.lifecycle_distribution_sql),
+    ("cardinality_report", "cardinality_report", "raw", OQ.cardinality_report_sql),
+    ("missing_report", "missing_report", "raw", OQ.missing_report_sql),
+    ("missing_summary", "missing_summary", "raw", OQ.missing_summary_sql),
+    ("iqr_outliers", "iqr_outliers", "raw", OQ.iqr_outliers_sql),
+    ("describe_exact", "describe_exact", "raw", OQ.describe_sql),
+    ("univariate_stats", "univariate_stats", "raw", OQ.univariate_sql),
+    ("categorical_report", "categorical_report", "raw", OQ.categorical_report_sql),
+    ("duplicate_count", "duplicate_count", "raw", OQ.duplicate_count_sql),
+    ("value_counts", "value_counts", "raw", OQ.value_counts_sql),
+    ("crosstab", "crosstab", "raw", OQ.crosstab_sql),
+    ("overview", "overview", "raw", OQ.overview_sql),
+]:
+    register(_name, _oracle)(_raw_op(_fn) if _src == "raw" else _clean_op(_fn))
