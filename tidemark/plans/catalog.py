@@ -152,3 +152,34 @@ for _name, _fn, _src, _oracle in [
     ("overview", "overview", "raw", OQ.overview_sql),
 ]:
     register(_name, _oracle)(_raw_op(_fn) if _src == "raw" else _clean_op(_fn))
+
+
+# --- transactions ----------------------------------------------------------
+from tidemark.plans import oracle_tx as OT  # noqa: E402
+
+
+@register("transactions", OT.transactions_sql)
+def q_transactions(spark, sf_dir):
+    return tx(spark, sf_dir)
+
+
+@register("transaction_metrics", OT.transaction_metrics_sql)
+def q_transaction_metrics(spark, sf_dir):
+    from tidemark.operators.transactions import transaction_metrics
+
+    return transaction_metrics(tx(spark, sf_dir))
+
+
+@register("transaction_behaviour", OT.transaction_behaviour_sql)
+def q_transaction_behaviour(spark, sf_dir):
+    from tidemark.operators.transactions import transaction_behaviour
+
+    return transaction_behaviour(tx(spark, sf_dir))
+
+
+@register("rfm", OT.rfm_sql)
+def q_rfm(spark, sf_dir):
+    from tidemark.operators.transactions import rfm
+    from tidemark.sources.tables import read_table
+
+    return rfm(tx(spark, sf_dir), read_table(spark, sf_dir, "lineitem"))

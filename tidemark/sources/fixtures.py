@@ -79,7 +79,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").alias("transaction_amount"),
-        F.col("o_orderdate").cast("timestamp").alias("transaction_date"),
+        F.col("o_orderdate").alias("transaction_date"),  # timestamp without time zone
         F.col("o_orderkey").alias("transaction_id"),
     )
 
@@ -87,5 +87,5 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions_sql_for_duckdb() -> str:
     return (
         "SELECT o_custkey AS customer_id, o_totalprice AS transaction_amount, "
-        "CAST(o_orderdate AS TIMESTAMP) AS transaction_date, o_orderkey AS transaction_id FROM orders"
+        "o_orderdate AS transaction_date, o_orderkey AS transaction_id FROM orders"
     )
