@@ -183,3 +183,117 @@ def q_rfm(spark, sf_dir):
     from tidemark.sources.tables import read_table
 
     return rfm(tx(spark, sf_dir), read_table(spark, sf_dir, "lineitem"))
+
+
+# --- statistics --------------------------------------------------------------
+from tidemark.plans import oracle_stats as OS  # noqa: E402
+
+TIER = "standardized_subscription_tier"
+CORR_VARS = [
+    "monthly_revenue", "transaction_volume", "feature_usage_score", "churn_risk_score",
+    "total_sessions", "avg_session_duration", "api_calls_per_month", "customer_satisfaction_score",
+]
+CORR_VARS_11 = CORR_VARS + ["age", "company_size", "annual_contract_value"]
+
+
+def _stats(fn_name, *args, **kwargs):
+    def run(spark, sf_dir):
+        from tidemark.operators import stats
+
+        return getattr(stats, fn_name)(clean(spark, sf_dir), *args, **kwargs)
+
+    return run
+
+
+register("ttest_premium_basic", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic"))(
+    _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic")
+)
+register("ttest_premium_basic_report")(_stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", with_p=True))
+register("welch_premium_basic", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic", False))(
+    _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", equal_var=False)
+)
+register("welch_premium_basic_report")(
+    _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", equal_var=False, with_p=True)
+)
+register("anova_churn_by_industry", lambda: OS.anova_sql("churn_risk_score", "industry"))(
+    _stats("anova", "churn_risk_score", "industry")
+)
+register("anova_churn_by_industry_report")(_stats("anova", "churn_risk_score", "industry", with_p=True))
+register(
+    "anova_revenue_by_tier", lambda: OS.anova_sql("monthly_revenue", TIER, ["Basic", "Premium", "Enterprise"])
+)(_stats("anova", "monthly_revenue", TIER, ["Basic", "Premium", "Enterprise"]))
+def _raw_stats(fn_name, *args, **kwargs):
+    def run(spark, sf_dir):
+        from tidemark.operators import stats
+
+        return getattr(stats, fn_name)(customer_profile(spark, sf_dir), *args, **kwargs)
+
+    return run
+
+
+register("chi2_referral_activation", lambda: OS.chi2_sql("referral_source", "activation_completed"))(
+    _raw_stats("chi2_independence", "referral_source", "activation_completed")
+)
+register("chi2_referral_activation_report")(
+    _raw_stats("chi2_independence", "referral_source", "activation_completed", with_p=True)
+)
+
+
+def _ztest(with_p):
+    def run(spark, sf_dir):
+        from pyspark.sql import functions as F
+
+        from tidemark.operators.stats import proportion_ztest
+
+        return proportion_ztest(clean(spark, sf_dir), F.col("activation_completed") == 1, TIER, "Premium", "Basic", with_p)
+
+    return run
+
+
+register("ztest_activation_premium_basic", lambda: OS.ztest_sql(TIER, "Premium", "Basic"))(_ztest(False))
+register("ztest_activation_premium_basic_report")(_ztest(True))
+register(
+    "cohens_d_satisfaction", lambda: OS.cohens_d_sql("customer_satisfaction_score", TIER, "Enterprise", "Basic")
+)(_stats("cohens_d", "customer_satisfaction_score", TIER, "Enterprise", "Basic"))
+register(
+    "cohens_d_revenue_avgvar", lambda: OS.cohens_d_sql("monthly_revenue", TIER, "Premium", "Basic", True)
+)(_stats("cohens_d", "monthly_revenue", TIER, "Premium", "Basic", average_variance=True))
+register("mean_ci_key_metrics")(
+    _stats("mean_ci", ["monthly_revenue", "churn_risk_score", "customer_satisfaction_score"])
+)
+register("pearson_pairs", lambda: OS.pearson_sql(CORR_VARS))(_stats("pearson_pairs", CORR_VARS))
+register("pearson_pairs_report")(_stats("pearson_pairs", CORR_VARS, with_p=True))
+
+
+def _top(kind, cols, k):
+    def run(spark, sf_dir):
+        from tidemark.operators import stats
+
+        if kind == "pearson":
+            return stats.top_pairs(stats.pearson_pairs(clean(spark, sf_dir), cols), k)
+        return stats.top_pairs(stats.spearman_pairs(clean(spark, sf_dir), cols), k, "spearman_rho")
+
+    return run
+
+
+register("pearson_top10", lambda: OS.pearson_sql(CORR_VARS_11, 10))(_top("pearson", CORR_VARS_11, 10))
+register("spearman_top5", lambda: OS.spearman_sql(CORR_VARS, 5))(_top("spearman", CORR_VARS, 5))
+
+
+def _seg(fn_name, *args):
+    def run(spark, sf_dir):
+        from tidemark.operators import stats
+
+        seg = stats.value_segments(customer_profile(spark, sf_dir))
+        if fn_name == "value_segments":
+            return seg.select("customer_id", "customer_value_score", "value_segment")
+        return getattr(stats, fn_name)(seg, *args)
+
+    return run
+
+
+register("value_segments", OS.value_segments_sql)(_seg("value_segments"))
+register("segment_report", OS.segment_report_sql)(_seg("segment_report"))
+register("segment_ttest", OS.segment_ttest_sql)(_seg("ttest", "monthly_revenue", "value_segment", "High Value", "At Risk"))
+register("revenue_concentration", OS.revenue_concentration_sql)(_seg("revenue_concentration"))
+register("prob_premium_greater")(_stats("prob_greater", "monthly_revenue", TIER, "Premium", "Basic"))
