@@ -297,3 +297,45 @@ register("segment_report", OS.segment_report_sql)(_seg("segment_report"))
 register("segment_ttest", OS.segment_ttest_sql)(_seg("ttest", "monthly_revenue", "value_segment", "High Value", "At Risk"))
 register("revenue_concentration", OS.revenue_concentration_sql)(_seg("revenue_concentration"))
 register("prob_premium_greater")(_stats("prob_greater", "monthly_revenue", TIER, "Premium", "Basic"))
+
+
+# --- chart data --------------------------------------------------------------
+HIST_COLS = ["monthly_revenue", "churn_risk_score", "total_sessions", "annual_contract_value"]
+
+
+@register("histogram", lambda: OQ.histogram_sql(HIST_COLS))
+def q_histogram(spark, sf_dir):
+    from tidemark.operators.chartdata import histogram
+
+    return histogram(customer_profile(spark, sf_dir), HIST_COLS)
+
+
+@register("box_stats_revenue_by_tier", lambda: OQ.box_stats_sql("monthly_revenue", "standardized_subscription_tier"))
+def q_box_stats(spark, sf_dir):
+    from tidemark.operators.chartdata import box_stats
+
+    return box_stats(clean(spark, sf_dir), "monthly_revenue", "standardized_subscription_tier")
+
+
+@register("sample_points")
+def q_sample_points(spark, sf_dir):
+    from tidemark.operators.chartdata import sample_points
+
+    return sample_points(clean(spark, sf_dir), 0.2, strata="standardized_subscription_tier").select(
+        "customer_id", "monthly_revenue", "feature_usage_score", "customer_satisfaction_score",
+        "standardized_subscription_tier", "company_size",
+    )
+
+
+@register("journey_funnel", OQ.journey_funnel_sql)
+def q_journey_funnel(spark, sf_dir):
+    from tidemark.operators.chartdata import journey_funnel
+
+    return journey_funnel(customer_profile(spark, sf_dir))
+
+
+@register("revenue_hierarchy", OQ.revenue_hierarchy_sql)
+def q_revenue_hierarchy(spark, sf_dir):
+    from tidemark.operators.chartdata import revenue_hierarchy
+
+    return revenue_hierarchy(customer_profile(spark, sf_dir))

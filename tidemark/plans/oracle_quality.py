@@ -184,3 +184,49 @@ def overview_sql() -> str:
         f"{r(mavg('monthly_revenue'), 2)} AS avg_monthly_revenue, {r('AVG(activation_completed)', 6)} AS activation_rate, "
         f"{r(mavg('churn_risk_score'), 6)} AS avg_churn_risk, {r(mavg('customer_satisfaction_score'), 6)} AS avg_satisfaction FROM cust"
     )
+
+
+def histogram_sql(cols, bins=20) -> str:
+    parts = []
+    for c in cols:
+        b = (f"CASE WHEN mx = mn THEN 1 ELSE LEAST({bins}, CAST(FLOOR((CAST({c} AS DOUBLE) - mn) / (mx - mn) * {bins}) AS INTEGER) + 1) END")
+        w = f"((mx - mn) / {bins})"
+        parts.append(
+            f"SELECT '{c}' AS column_name, bin, {r(f'mn + (bin - 1) * {w}', 6)} AS bin_lower, {r(f'mn + bin * {w}', 6)} AS bin_upper, "
+            f"CAST(COUNT(*) AS BIGINT) AS count FROM (SELECT {b} AS bin, mn, mx FROM cust, "
+            f"(SELECT CAST(MIN({c}) AS DOUBLE) AS mn, CAST(MAX({c}) AS DOUBLE) AS mx FROM cust) WHERE {c} IS NOT NULL) GROUP BY bin, mn, mx"
+        )
+    return with_base(" UNION ALL ".join(parts))
+
+
+def box_stats_sql(value, group) -> str:
+    ctes = f"""q AS (SELECT {group}, CAST(COUNT(*) AS BIGINT) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
+   quantile_cont({value}, 0.75) AS q3 FROM clean WHERE {value} IS NOT NULL GROUP BY {group}),
+qb AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
+w AS (SELECT c.{group}, CAST(MIN(CASE WHEN c.{value} >= qb.lo THEN c.{value} END) AS DOUBLE) AS wl,
+   CAST(MAX(CASE WHEN c.{value} <= qb.hi THEN c.{value} END) AS DOUBLE) AS wh,
+   CAST(COUNT(CASE WHEN c.{value} < qb.lo OR c.{value} > qb.hi THEN 1 END) AS BIGINT) AS outliers
+   FROM clean c JOIN qb ON c.{group} = qb.{group} WHERE c.{value} IS NOT NULL GROUP BY c.{group})"""
+    body = f"""SELECT qb.{group}, qb.n, {r('q1', 6)} AS q1, {r('median', 6)} AS median, {r('q3', 6)} AS q3,
+  {r('wl', 6)} AS whisker_low, {r('wh', 6)} AS whisker_high, outliers FROM qb JOIN w ON qb.{group} = w.{group}"""
+    return with_base(body, ctes)
+
+
+def journey_funnel_sql() -> str:
+    ctes = f"""a AS (SELECT subscription_tier, AVG(activation_completed) AS act, {mavg('feature_adoption_score')} AS adopt,
+   {mavg('customer_satisfaction_score')} / 5 AS sat FROM cust GROUP BY subscription_tier)"""
+    body = (
+        f"SELECT subscription_tier, 'Activation' AS stage, {r('act', 6)} AS score FROM a UNION ALL "
+        f"SELECT subscription_tier, 'Feature Adoption', {r('adopt', 6)} FROM a UNION ALL "
+        f"SELECT subscription_tier, 'Satisfaction', {r('sat', 6)} FROM a"
+    )
+    return with_base(body, ctes)
+
+
+def revenue_hierarchy_sql() -> str:
+    return with_base(
+        "SELECT industry, subscription_tier, referral_source, "
+        "CAST(GROUPING(industry, subscription_tier, referral_source) AS BIGINT) AS level_id, "
+        "CAST(ROUND(SUM(CAST(monthly_revenue AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue "
+        "FROM cust GROUP BY ROLLUP (industry, subscription_tier, referral_source)"
+    )
