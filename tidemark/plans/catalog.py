@@ -339,3 +339,193 @@ def q_revenue_hierarchy(spark, sf_dir):
     from tidemark.operators.chartdata import revenue_hierarchy
 
     return revenue_hierarchy(customer_profile(spark, sf_dir))
+
+
+# --- segmentation (ML) -------------------------------------------------------
+
+
+def _seg_scaled(spark, sf_dir):
+    from tidemark.operators import segmentation as S
+    from tidemark.session import materialize
+
+    feat = materialize(S.segmentation_features(customer_profile(spark, sf_dir)))
+    return feat, materialize(S.standardize(feat))
+
+
+@register("segmentation_features")
+def q_segmentation_features(spark, sf_dir):
+    from tidemark.operators.segmentation import segmentation_features
+
+    return segmentation_features(customer_profile(spark, sf_dir))
+
+
+@register("target_correlation")
+def q_target_correlation(spark, sf_dir):
+    from tidemark.operators.segmentation import segmentation_features, target_correlation
+
+    return target_correlation(segmentation_features(customer_profile(spark, sf_dir)))
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    from tidemark.operators.segmentation import sweep_k
+
+    return sweep_k(_seg_scaled(spark, sf_dir)[1], range(2, 11), 42, n_init=2)
+
+
+def _labeled(spark, sf_dir, k=5):
+    from tidemark.operators.segmentation import fit_cluster
+
+    return fit_cluster(_seg_scaled(spark, sf_dir)[1], "kmeans", k)
+
+
+@register("clustering_comparison")
+def q_clustering_comparison(spark, sf_dir):
+    from tidemark.operators.segmentation import compare_clusterings
+
+    return compare_clusterings(_seg_scaled(spark, sf_dir)[1], 5)
+
+
+@register("cluster_profiles")
+def q_cluster_profiles(spark, sf_dir):
+    from tidemark.operators.segmentation import profile_clusters
+
+    return profile_clusters(_labeled(spark, sf_dir))
+
+
+@register("cluster_names")
+def q_cluster_names(spark, sf_dir):
+    from tidemark.operators.segmentation import name_clusters
+
+    return name_clusters(_labeled(spark, sf_dir))
+
+
+@register("cluster_radar")
+def q_cluster_radar(spark, sf_dir):
+    from tidemark.operators.chartdata import radar_metrics
+    from tidemark.operators.segmentation import name_clusters
+
+    return radar_metrics(name_clusters(_labeled(spark, sf_dir)))
+
+
+@register("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    from tidemark.operators.segmentation import pca_project
+
+    return pca_project(_seg_scaled(spark, sf_dir)[1])[0]
+
+
+@register("pca_kmeans")
+def q_pca_kmeans(spark, sf_dir):
+    from tidemark.operators.segmentation import pca_kmeans
+
+    return pca_kmeans(_seg_scaled(spark, sf_dir)[1])
+
+
+# --- churn (ML) ----------------------------------------------------------------
+
+
+def _churn_split(spark, sf_dir):
+    from tidemark.operators.churn import churn_features, stratified_split
+    from tidemark.session import materialize
+
+    feat = materialize(churn_features(customer_profile(spark, sf_dir)))
+    return feat, materialize(stratified_split(feat))
+
+
+@register("churn_features")
+def q_churn_features(spark, sf_dir):
+    from tidemark.operators.churn import CHURN_FEATURES, churn_features
+
+    return churn_features(customer_profile(spark, sf_dir)).select("customer_id", "churn_target", *CHURN_FEATURES)
+
+
+@register("churn_split")
+def q_churn_split(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    split = _churn_split(spark, sf_dir)[1]
+    return split.groupBy("churn_target", "is_test", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("churn_feature_selection")
+def q_churn_feature_selection(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.churn import select_features
+
+    split = _churn_split(spark, sf_dir)[1]
+    return select_features(split.filter(~F.col("is_test")))
+
+
+@register("churn_model_comparison")
+def q_churn_model_comparison(spark, sf_dir):
+    from tidemark.operators.churn import CHURN_FEATURES, train_models
+
+    return train_models(_churn_split(spark, sf_dir)[1], CHURN_FEATURES)[0]
+
+
+def _rf_model(spark, sf_dir):
+    from tidemark.operators.churn import CHURN_FEATURES, train_models
+
+    feat, split = _churn_split(spark, sf_dir)
+    return feat, split, train_models(split, CHURN_FEATURES, models=["Random Forest"])[1]["Random Forest"]
+
+
+@register("churn_scores")
+def q_churn_scores(spark, sf_dir):
+    from tidemark.operators.churn import score_customers
+
+    feat, _, model = _rf_model(spark, sf_dir)
+    return score_customers(model, feat)
+
+
+@register("churn_business_impact")
+def q_churn_business_impact(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.churn import business_impact
+
+    feat, split, model = _rf_model(spark, sf_dir)
+    return business_impact(feat, model.transform(split.filter(F.col("is_test"))))
+
+
+# Metric operators on a rule-based scorer over the data (SQL-checkable):
+# label = churn target, score = days since last login / 60, prediction = score > 0.5.
+def _rule_pred(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    c = customer_profile(spark, sf_dir)
+    return c.select(
+        F.coalesce(F.col("churn_risk_score") > 0.5, F.lit(False)).cast("int").alias("label"),
+        (F.col("days_since_last_login") / 60.0).alias("score"),
+        ((F.col("days_since_last_login") / 60.0) > 0.5).cast("int").alias("prediction"),
+    )
+
+
+@register("confusion_rule", OQ.confusion_rule_sql)
+def q_confusion_rule(spark, sf_dir):
+    from tidemark.operators.metrics import confusion
+
+    return confusion(_rule_pred(spark, sf_dir))
+
+
+@register("classification_report_rule", OQ.classification_report_rule_sql)
+def q_classification_report_rule(spark, sf_dir):
+    from tidemark.operators.metrics import classification_report
+
+    return classification_report(_rule_pred(spark, sf_dir))
+
+
+@register("roc_points_rule", OQ.roc_points_rule_sql)
+def q_roc_points_rule(spark, sf_dir):
+    from tidemark.operators.metrics import roc_points
+
+    return roc_points(_rule_pred(spark, sf_dir))
+
+
+@register("roc_auc_rule", OQ.roc_auc_rule_sql)
+def q_roc_auc_rule(spark, sf_dir):
+    from tidemark.operators.metrics import roc_auc
+
+    return roc_auc(_rule_pred(spark, sf_dir))

@@ -230,3 +230,51 @@ def revenue_hierarchy_sql() -> str:
         "CAST(ROUND(SUM(CAST(monthly_revenue AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue "
         "FROM cust GROUP BY ROLLUP (industry, subscription_tier, referral_source)"
     )
+
+
+RULE_PRED = """rp AS (SELECT CAST(COALESCE(churn_risk_score > 0.5, FALSE) AS INTEGER) AS label,
+  days_since_last_login / 60.0 AS score, CAST(days_since_last_login / 60.0 > 0.5 AS INTEGER) AS prediction FROM cust)"""
+
+
+def confusion_rule_sql() -> str:
+    return with_base("SELECT label, prediction, CAST(COUNT(*) AS BIGINT) AS count FROM rp GROUP BY label, prediction", RULE_PRED)
+
+
+def classification_report_rule_sql() -> str:
+    parts = []
+    for cls in (0, 1):
+        o = 1 - cls
+        tp = f"CAST(COUNT(CASE WHEN label = {cls} AND prediction = {cls} THEN 1 END) AS DOUBLE)"
+        fp = f"CAST(COUNT(CASE WHEN label = {o} AND prediction = {cls} THEN 1 END) AS DOUBLE)"
+        fn = f"CAST(COUNT(CASE WHEN label = {cls} AND prediction = {o} THEN 1 END) AS DOUBLE)"
+        prec = f"(CASE WHEN {tp} + {fp} > 0 THEN {tp} / ({tp} + {fp}) ELSE 0.0 END)"
+        rec = f"(CASE WHEN {tp} + {fn} > 0 THEN {tp} / ({tp} + {fn}) ELSE 0.0 END)"
+        f1 = f"(CASE WHEN {prec} + {rec} > 0 THEN 2 * {prec} * {rec} / ({prec} + {rec}) ELSE 0.0 END)"
+        parts.append(
+            f"SELECT {cls} AS class, {r(prec, 6)} AS precision, {r(rec, 6)} AS recall, {r(f1, 6)} AS f1, "
+            f"CAST({tp} + {fn} AS BIGINT) AS support FROM rp"
+        )
+    return with_base(" UNION ALL ".join(parts), RULE_PRED)
+
+
+def roc_points_rule_sql() -> str:
+    ctes = RULE_PRED + """,
+h AS (SELECT CAST(score AS DOUBLE) AS score, COUNT(CASE WHEN label = 1 THEN 1 END) AS pos, COUNT(CASE WHEN label = 0 THEN 1 END) AS neg
+  FROM rp GROUP BY score),
+c AS (SELECT score, pos, neg, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cp,
+  SUM(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cn, SUM(pos) OVER () AS P, SUM(neg) OVER () AS N FROM h)"""
+    body = (
+        f"SELECT {r('score', 6)} AS threshold, CAST(cp AS BIGINT) AS tp, CAST(cn AS BIGINT) AS fp, "
+        f"{r('CAST(cp AS DOUBLE) / P', 6)} AS tpr, {r('CAST(cn AS DOUBLE) / N', 6)} AS fpr, "
+        f"{r('CAST(cp AS DOUBLE) / (CAST(cp AS DOUBLE) + CAST(cn AS DOUBLE))', 6)} AS precision FROM c"
+    )
+    return with_base(body, ctes)
+
+
+def roc_auc_rule_sql() -> str:
+    ctes = RULE_PRED + """,
+h AS (SELECT CAST(score AS DOUBLE) AS score, COUNT(CASE WHEN label = 1 THEN 1 END) AS pos, COUNT(CASE WHEN label = 0 THEN 1 END) AS neg
+  FROM rp GROUP BY score),
+c AS (SELECT pos, neg, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cp,
+  CAST(SUM(pos) OVER () AS DOUBLE) AS P, CAST(SUM(neg) OVER () AS DOUBLE) AS N FROM h)"""
+    return with_base(f"SELECT {r('SUM(neg / N * (2 * cp - pos) / (2 * P))', 6)} AS roc_auc FROM c", ctes)
