@@ -529,3 +529,29 @@ def q_roc_auc_rule(spark, sf_dir):
     from tidemark.operators.metrics import roc_auc
 
     return roc_auc(_rule_pred(spark, sf_dir))
+
+
+# --- streaming -----------------------------------------------------------------
+
+
+@register("event_features", OQ.event_features_sql)
+def q_event_features(spark, sf_dir):
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming.features import event_features
+
+    return event_features(read_table(spark, sf_dir, "events"))
+
+
+@register("event_features_stream")  # append mode: only windows closed by the watermark are emitted
+def q_event_features_stream(spark, sf_dir):
+    from tidemark.streaming.features import run_event_features_stream
+
+    return run_event_features_stream(spark, sf_dir)
+
+
+@register("session_features")
+def q_session_features(spark, sf_dir):
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming.features import session_features
+
+    return session_features(read_table(spark, sf_dir, "events"))

@@ -278,3 +278,13 @@ h AS (SELECT CAST(score AS DOUBLE) AS score, COUNT(CASE WHEN label = 1 THEN 1 EN
 c AS (SELECT pos, neg, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cp,
   CAST(SUM(pos) OVER () AS DOUBLE) AS P, CAST(SUM(neg) OVER () AS DOUBLE) AS N FROM h)"""
     return with_base(f"SELECT {r('SUM(neg / N * (2 * cp - pos) / (2 * P))', 6)} AS roc_auc FROM c", ctes)
+
+
+def event_features_sql() -> str:
+    return with_base(
+        "SELECT DATE_TRUNC('day', ts) AS window_start, DATE_TRUNC('day', ts) + INTERVAL 1 DAY AS window_end, user_id, "
+        "CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(CASE WHEN event_type = 'login' THEN 1 END) AS BIGINT) AS logins, "
+        "CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value_sum, "
+        f"{r('CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value)', 6)} AS value_avg "
+        "FROM events GROUP BY DATE_TRUNC('day', ts), user_id"
+    )
