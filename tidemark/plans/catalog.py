@@ -555,3 +555,25 @@ def q_session_features(spark, sf_dir):
     from tidemark.streaming.features import session_features
 
     return session_features(read_table(spark, sf_dir, "events"))
+
+
+# --- monitoring ------------------------------------------------------------------
+PSI_COLS = ["monthly_revenue", "total_sessions", "feature_usage_score", "annual_contract_value"]
+
+
+@register("psi_signup_cohorts", lambda: OQ.psi_sql(PSI_COLS))
+def q_psi(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.monitoring import psi
+
+    c = customer_profile(spark, sf_dir)
+    cut = F.col("signup_date") < F.lit("2023-01-01").cast("date")
+    return psi(c.filter(cut), c.filter(~cut), PSI_COLS)
+
+
+@register("revenue_trend", OT.revenue_trend_sql)
+def q_revenue_trend(spark, sf_dir):
+    from tidemark.operators.monitoring import revenue_trend
+
+    return revenue_trend(tx(spark, sf_dir))

@@ -288,3 +288,23 @@ def event_features_sql() -> str:
         f"{r('CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value)', 6)} AS value_avg "
         "FROM events GROUP BY DATE_TRUNC('day', ts), user_id"
     )
+
+
+def psi_sql(cols, bins=10) -> str:
+    probs = [i / bins for i in range(1, bins)]
+    parts = []
+    for c in cols:
+        qs = ", ".join(f"quantile_cont({c}, {p}) AS e{k}" for k, p in enumerate(probs))
+        b = " + ".join(f"CAST({c} > e{k} AS INTEGER)" for k in range(len(probs)))
+        parts.append(f"""
+SELECT '{c}' AS column_name, bin, COUNT(CASE WHEN grp = 'p' THEN 1 END) AS n_p, COUNT(CASE WHEN grp = 'q' THEN 1 END) AS n_q
+FROM (SELECT CASE WHEN signup_date < DATE '2023-01-01' THEN 'p' ELSE 'q' END AS grp, {b} AS bin
+      FROM cust, (SELECT {qs} FROM cust WHERE signup_date < DATE '2023-01-01') ee WHERE {c} IS NOT NULL) t
+GROUP BY bin""")
+    ctes = "cnt AS (" + " UNION ALL ".join(parts) + "),\ntot AS (SELECT column_name, SUM(n_p) AS tp, SUM(n_q) AS tq FROM cnt GROUP BY column_name)"
+    term = "((CAST(n_q AS DOUBLE) / tq - CAST(n_p AS DOUBLE) / tp) * LN((CAST(n_q AS DOUBLE) / tq + 1e-6) / (CAST(n_p AS DOUBLE) / tp + 1e-6)))"
+    body = f"""
+SELECT c.column_name, {r(f'SUM({term})', 6)} AS psi,
+  CASE WHEN {r(f'SUM({term})', 6)} < 0.1 THEN 'stable' WHEN {r(f'SUM({term})', 6)} < 0.25 THEN 'moderate' ELSE 'significant' END AS drift
+FROM cnt c JOIN tot t ON c.column_name = t.column_name GROUP BY c.column_name"""
+    return with_base(body, ctes)

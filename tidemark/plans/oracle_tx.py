@@ -64,3 +64,23 @@ SELECT base.*, CAST(COALESCE(pd.product_diversity, 0) AS BIGINT) AS product_dive
   CAST(NTILE(5) OVER (ORDER BY monetary, base.customer_id) AS INTEGER) AS m_score
 FROM base LEFT JOIN pd ON base.customer_id = pd.customer_id"""
     return with_tx(body, ctes)
+
+
+def revenue_trend_sql(horizon: int = 12) -> str:
+    ctes = f"""
+mo AS (SELECT DATE_TRUNC('month', transaction_date)::DATE AS month, SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS revenue
+  FROM tx GROUP BY 1),
+m AS (SELECT month, CAST(DATE_DIFF('month', (SELECT MIN(month) FROM mo), month) AS DOUBLE) AS x, CAST(revenue AS DOUBLE) AS y FROM mo),
+s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(x) AS sx, CAST(SUM(CAST(y AS DECIMAL(24,2))) AS DOUBLE) AS sy, SUM(x * x) AS sxx,
+  CAST(SUM(CAST(x AS DECIMAL(38,0)) * CAST(y AS DECIMAL(24,2))) AS DOUBLE) AS sxy,
+  CAST(SUM(CAST(y AS DECIMAL(38,2)) * CAST(y AS DECIMAL(24,2))) AS DOUBLE) AS syy, MAX(x) AS xmax, MAX(month) AS last_month FROM m),
+f AS (SELECT xmax, last_month, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, sy, sx, sxy, syy, n FROM s),
+g AS (SELECT xmax, last_month, slope, (sy - slope * sx) / n AS intercept, syy, sy, sxy, n FROM f),
+h AS (SELECT xmax, last_month, slope, intercept, SQRT(GREATEST(0.0, syy - intercept * sy - slope * sxy) / (n - 2)) AS se FROM g),
+st AS (SELECT range AS step FROM range(1, {horizon + 1}))"""
+    yhat = "(intercept + slope * (xmax + step))"
+    body = f"""
+SELECT CAST(last_month + TO_MONTHS(CAST(step AS INTEGER)) AS DATE) AS month, CAST(step AS INTEGER) AS step,
+  {r(yhat, 2)} AS projected_revenue, {r(f'{yhat} - 1.96 * se', 2)} AS ci_lower, {r(f'{yhat} + 1.96 * se', 2)} AS ci_upper,
+  {r('slope', 4)} AS monthly_trend FROM h CROSS JOIN st"""
+    return with_tx(body, ctes)
