@@ -156,24 +156,31 @@ def customer_trends(clean: DataFrame, rows: int = 30, n_buckets: int | None = No
         "standardized_subscription_tier",
         "cleaned_churn_risk_score",
     )
-    df = W.global_row_number(
-        materialize(cm),
-        ["cleaned_monthly_revenue", "customer_id"],
-        "revenue_rank_in_tier",
-        descending=("cleaned_monthly_revenue",),
-        partition_cols=("standardized_subscription_tier",),
-        n_buckets=n_buckets,
-    )
-    # Each step reads its input twice (bucket stats + rows): cut lineage between steps.
-    df = materialize(W.global_rank(df, "cleaned_monthly_revenue", "revenue_percentile", pct=True, n_buckets=n_buckets))
-    df = materialize(W.global_rank(df, "customer_health_score", "health_percentile", pct=True, n_buckets=n_buckets))
-    df = materialize(
-        W.moving_average_rows(
-            df, ["signup_date", "customer_id"], "cleaned_monthly_revenue", rows, "revenue_30day_avg", exact=True
-        )
-    )
-    df = df.withColumn("_rev_dec", F.col("cleaned_monthly_revenue").cast(MONEY))
-    df = W.global_cumsum(df, ["signup_date", "customer_id"], "_rev_dec", "cumulative_revenue", n_buckets=n_buckets)
+    base = materialize(cm)
+    key = "customer_id"
+    # Independent window features over one checkpointed base, joined on the key.
+    feats = [
+        W.global_row_number(
+            base.select(key, "cleaned_monthly_revenue", "standardized_subscription_tier"),
+            ["cleaned_monthly_revenue", key],
+            "revenue_rank_in_tier",
+            descending=("cleaned_monthly_revenue",),
+            partition_cols=("standardized_subscription_tier",),
+            n_buckets=n_buckets,
+        ).select(key, "revenue_rank_in_tier"),
+        W.global_rank(base.select(key, "cleaned_monthly_revenue"), "cleaned_monthly_revenue", "revenue_percentile",
+                      pct=True, n_buckets=n_buckets).select(key, "revenue_percentile"),
+        W.global_rank(base.select(key, "customer_health_score"), "customer_health_score", "health_percentile",
+                      pct=True, n_buckets=n_buckets).select(key, "health_percentile"),
+        W.moving_average_rows(base.select(key, "signup_date", "cleaned_monthly_revenue"), ["signup_date", key],
+                              "cleaned_monthly_revenue", rows, "revenue_30day_avg", exact=True).select(key, "revenue_30day_avg"),
+        W.global_cumsum(base.select(key, "signup_date", F.col("cleaned_monthly_revenue").cast(MONEY).alias("_rev_dec")),
+                        ["signup_date", key], "_rev_dec", "cumulative_revenue", n_buckets=n_buckets).select(
+            key, "cumulative_revenue"),
+    ]
+    df = base
+    for f in feats:
+        df = df.join(f, key)
     rev = F.col("cleaned_monthly_revenue")
     risk = F.col("cleaned_churn_risk_score")
     ltv = None

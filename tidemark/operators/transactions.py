@@ -94,12 +94,10 @@ def transaction_behaviour(tx: DataFrame, high: float = HIGH_VALUE, n_buckets: in
 
 def product_diversity(tx: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Distinct products bought per customer (lineitem -> order -> customer)."""
-    lines = lineitem.select(F.col("l_orderkey").alias("transaction_id"), "l_partkey").distinct()
-    return (
-        lines.join(tx.select("transaction_id", "customer_id"), "transaction_id")
-        .groupBy("customer_id")
-        .agg(F.count_distinct("l_partkey").alias("product_diversity"))
-    )
+    lines = lineitem.select(F.col("l_orderkey").alias("transaction_id"), "l_partkey")
+    pairs = lines.join(tx.select("transaction_id", "customer_id"), "transaction_id").select("customer_id", "l_partkey")
+    # distinct (customer, part) pairs, then a plain count: two map-side-combined aggregates
+    return pairs.distinct().groupBy("customer_id").agg(F.count(F.lit(1)).alias("product_diversity"))
 
 
 def rfm(tx: DataFrame, lineitem: DataFrame, as_of: str = TRANSACTION_AS_OF, n_buckets: int | None = None) -> DataFrame:
@@ -128,7 +126,17 @@ def rfm(tx: DataFrame, lineitem: DataFrame, as_of: str = TRANSACTION_AS_OF, n_bu
     from tidemark.session import materialize
 
     base = materialize(base)
-    s = W.global_ntile(base, ["_neg_recency", "customer_id"], 5, "r_score", n_buckets=n_buckets)
-    s = W.global_ntile(s, ["frequency", "customer_id"], 5, "f_score", n_buckets=n_buckets)
-    s = W.global_ntile(s, ["monetary", "customer_id"], 5, "m_score", n_buckets=n_buckets)
-    return s.drop("_neg_recency")
+    # Each score is an independent bucketed NTILE over the checkpointed base,
+    # joined back on the key (no chain of windows re-reading each other).
+    scores = [
+        W.global_ntile(base.select("customer_id", "_neg_recency"), ["_neg_recency", "customer_id"], 5, "r_score",
+                       n_buckets=n_buckets).select("customer_id", "r_score"),
+        W.global_ntile(base.select("customer_id", "frequency"), ["frequency", "customer_id"], 5, "f_score",
+                       n_buckets=n_buckets).select("customer_id", "f_score"),
+        W.global_ntile(base.select("customer_id", "monetary"), ["monetary", "customer_id"], 5, "m_score",
+                       n_buckets=n_buckets).select("customer_id", "m_score"),
+    ]
+    out = base.drop("_neg_recency")
+    for sc in scores:
+        out = out.join(sc, "customer_id")
+    return out

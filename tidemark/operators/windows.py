@@ -74,6 +74,9 @@ def estimate_buckets(df: DataFrame) -> int:
         size = min(size, leaf_size)
     except Exception:  # noqa: BLE001 - estimate unavailable: assume small
         size = 0
+    if size >= 1 << 60:
+        # Unknown size (e.g. a checkpointed input): count it — cheap on a checkpoint.
+        return max(1, min(MAX_BUCKETS, math.ceil(df.count() / ROWS_PER_BUCKET)))
     return max(1, min(MAX_BUCKETS, math.ceil(size / BYTES_PER_BUCKET)))
 
 

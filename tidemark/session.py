@@ -56,11 +56,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+    """Cut lineage: write ``df`` once as a Parquet table in the shared
+    checkpoint folder and read it back.
 
     Used before plans that read their input more than once (bucketed windows,
-    iterative algorithms), so the upstream is computed once and a lost
-    executor re-reads the checkpoint instead of recomputing the lineage.
+    iterative algorithms): the upstream is computed exactly once (an eager
+    ``checkpoint()`` computes it twice unless cached), later reads prune
+    columns and carry real size statistics, and a lost executor re-reads the
+    files instead of recomputing the lineage.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
