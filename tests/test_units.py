@@ -64,3 +64,19 @@ def test_retention_draw_partition_independent(spark):
     mean = a.agg(F.avg("u")).first()[0]
     assert 0.45 < mean < 0.55
     assert not math.isnan(mean)
+
+
+def test_bootstrap_partition_independent_and_near_welch(spark):
+    from tests.conftest import SF001
+    from tidemark.operators.stats import bootstrap_mean_diff, ttest
+    from tidemark.plans.catalog import clean
+
+    c = clean(spark, SF001)
+    args = ("monthly_revenue", "standardized_subscription_tier", "Premium", "Basic")
+    r1 = bootstrap_mean_diff(c.repartition(2), *args, resamples=400).first()
+    r2 = bootstrap_mean_diff(c.repartition(7), *args, resamples=400).first()
+    assert (r1["ci_lower"], r1["ci_upper"]) == (r2["ci_lower"], r2["ci_upper"])
+    w = ttest(c, *args, equal_var=False).first()
+    width_b = r1["ci_upper"] - r1["ci_lower"]
+    width_w = w["ci_upper"] - w["ci_lower"]
+    assert 0.5 < width_b / width_w < 1.5

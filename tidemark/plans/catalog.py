@@ -577,3 +577,4 @@ def q_revenue_trend(spark, sf_dir):
     from tidemark.operators.monitoring import revenue_trend
 
     return revenue_trend(tx(spark, sf_dir))
+register("bootstrap_premium_basic")(_stats("bootstrap_mean_diff", "monthly_revenue", TIER, "Premium", "Basic"))
