@@ -33,14 +33,20 @@ def exact_stddev_samp(c: str, scale: int = 6):
     return F.when(F.count(c) > 1, F.sqrt(F.greatest(F.lit(0.0), exact_var_samp(c, scale))))
 
 
+def ntz_micros(c) -> "F.Column":
+    """Microseconds since 1970-01-01 of a wall-clock timestamp (time-zone independent)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz"))
+
+
 def transaction_metrics(tx: DataFrame) -> DataFrame:
     """Count, mean, volatility, tenure days and active months per customer."""
-    ts = F.col("transaction_date").cast("timestamp")
+    ts = F.col("transaction_date").cast("timestamp_ntz")
     return tx.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         rnd(money_avg("transaction_amount"), 6).alias("avg_transaction"),
         rnd(exact_stddev_samp("transaction_amount", 2), 6).alias("transaction_volatility"),
-        F.floor((F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / F.lit(86_400_000_000)).cast("long").alias(
+        F.floor((ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(86_400_000_000)).cast("long").alias(
             "customer_tenure"
         ),
         F.count_distinct(F.trunc(ts.cast("date"), "month")).alias("active_months"),
@@ -59,7 +65,7 @@ def transaction_behaviour(tx: DataFrame, high: float = HIGH_VALUE, n_buckets: in
         "transaction_id",
         "transaction_date",
         "transaction_amount",
-        (-F.unix_micros(F.col("transaction_date").cast("timestamp"))).alias("_neg_ts"),
+        (-ntz_micros("transaction_date")).alias("_neg_ts"),
         (-F.col("transaction_id")).alias("_neg_id"),
     )
     ranked = W.global_row_number(

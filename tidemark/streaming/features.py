@@ -26,9 +26,10 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
-def _with_event_time(events: DataFrame) -> DataFrame:
-    # Watermarks need TIMESTAMP (with time zone); the session runs in UTC.
-    return events.withColumn("event_time", F.col("ts").cast("timestamp"))
+def _with_event_time(events: DataFrame, for_watermark: bool = False) -> DataFrame:
+    # Batch windows run on the wall-clock TIMESTAMP_NTZ (time-zone independent);
+    # watermarks need TIMESTAMP, so streams cast (sessions run in UTC).
+    return events.withColumn("event_time", F.col("ts").cast("timestamp") if for_watermark else F.col("ts"))
 
 
 def event_features(events: DataFrame, window: str = "1 day", watermark: str | None = None) -> DataFrame:
@@ -37,7 +38,7 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
     Works on a batch or a streaming DataFrame; with ``watermark`` the state of
     closed windows is dropped and results are emitted once (append mode).
     """
-    e = _with_event_time(events)
+    e = _with_event_time(events, bool(watermark))
     if watermark:
         e = e.withWatermark("event_time", watermark)
     agg = e.groupBy(F.window("event_time", window).alias("w"), "user_id").agg(
@@ -59,7 +60,7 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
 
 def session_features(events: DataFrame, gap: str = "30 minutes", watermark: str | None = None) -> DataFrame:
     """Session windows per user (activity bursts separated by ``gap``)."""
-    e = _with_event_time(events)
+    e = _with_event_time(events, bool(watermark))
     if watermark:
         e = e.withWatermark("event_time", watermark)
     agg = e.groupBy(F.session_window("event_time", gap).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("events"))
