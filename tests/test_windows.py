@@ -70,3 +70,16 @@ def test_exact_quantiles(spark):
     ref = df.agg(F.percentile("l_extendedprice", [0.25, 0.5, 0.9]).alias("p")).first()["p"]
     for got, want in zip((q["a"], q["b"], q["c"]), ref):
         assert abs(got - want) <= 1e-9 * abs(want)
+
+
+def test_many_buckets_searchsorted_path(spark):
+    df = _li(spark)
+    got = W.global_prefix(df, ["l_quantity", "id"], ("l_extendedprice",), rn_col="rn", n_buckets=300)
+    w = Window.orderBy("l_quantity", "id")
+    ref = df.select("id", F.row_number().over(w).alias("rn_ref"))
+    j = got.join(ref, "id")
+    assert j.count() == df.count()
+    assert j.filter(F.col("rn") != F.col("rn_ref")).count() == 0
+    pr = W.global_rank(df, "l_extendedprice", "pr", pct=True, n_buckets=300)
+    ref2 = df.select("id", F.percent_rank().over(Window.orderBy("l_extendedprice")).alias("pr_ref"))
+    assert pr.join(ref2, "id").filter(F.abs(F.col("pr") - F.col("pr_ref")) > 1e-12).count() == 0

@@ -23,14 +23,16 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
 BYTES_PER_BUCKET = 256 * 1024 * 1024
-# The bucket is a CASE binary search over the edges; 128 buckets keeps that
-# expression well inside one generated class.
-MAX_BUCKETS = 128
+# Up to CASE_MAX_EDGES edges the bucket is a CASE binary search (pure JVM,
+# codegen); beyond that a vectorised searchsorted over Arrow batches.
+MAX_BUCKETS = 4096
+CASE_MAX_EDGES = 127
 SAMPLE_PER_BUCKET = 64
 
 
@@ -45,10 +47,61 @@ def _order_exprs(order_cols, descending=()):
     return keys
 
 
-def _bucket_expr(key: Column, edges: list, types: list) -> Column:
+def _edge_array(vals):
+    import numpy as np
+
+    if all(isinstance(v, int) and not isinstance(v, bool) for v in vals):
+        return np.array(vals, dtype=np.int64)
+    if all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in vals):
+        return np.array(vals, dtype=np.float64)
+    return np.array(vals, dtype=object)
+
+
+def _searchsorted_bucket(keys: list, edges: list) -> Column:
+    """Number of edges <= key (lexicographic), vectorised per Arrow batch.
+
+    Level by level: ``searchsorted`` on the first key component; rows whose
+    component equals some edges' component are refined on the next component
+    within that tied edge range (one vectorised call per distinct range).
+    """
+    import numpy as np
+
+    levels = [_edge_array(list(v)) for v in zip(*edges)]
+    m = len(levels)
+
+    @F.pandas_udf("int")
+    def bucket(kdf: pd.DataFrame) -> pd.Series:
+        ks = [kdf[f"_k{j}"].to_numpy(dtype=levels[j].dtype) for j in range(m)]
+        n = len(ks[0])
+        out = np.zeros(n, dtype=np.int64)
+        work = [(np.arange(n), 0, len(levels[0]), 0)]
+        while work:
+            idx, lo, hi, j = work.pop()
+            seg, k = levels[j][lo:hi], ks[j][idx]
+            right = lo + np.searchsorted(seg, k, side="right")
+            if j == m - 1:
+                out[idx] = right
+                continue
+            left = lo + np.searchsorted(seg, k, side="left")
+            tied = right > left
+            out[idx[~tied]] = left[~tied]
+            if tied.any():
+                pairs = np.stack([left[tied], right[tied]], axis=1)
+                uniq, inv = np.unique(pairs, axis=0, return_inverse=True)
+                sub = idx[tied]
+                for g, (a, b) in enumerate(uniq):
+                    work.append((sub[inv.reshape(-1) == g], int(a), int(b), j + 1))
+        return pd.Series(out.astype(np.int32))
+
+    return bucket(F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]))
+
+
+def _bucket_expr(key: Column, edges: list, types: list, keys: list | None = None) -> Column:
     """Index of the first edge greater than ``key`` (binary search as CASE)."""
     if not edges:
         return F.lit(0)
+    if len(edges) > CASE_MAX_EDGES and keys is not None:
+        return _searchsorted_bucket(keys, edges)
 
     def build(lo, hi):  # edges[lo:hi], result in [lo, hi]
         if lo >= hi:
@@ -106,7 +159,7 @@ def range_bucket(df: DataFrame, order_cols, descending=(), n_buckets: int | None
         if not edges or e > edges[-1]:
             edges.append(e)
     key = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    return df.withColumn("_bkt", _bucket_expr(key, edges, types)), len(edges) + 1
+    return df.withColumn("_bkt", _bucket_expr(key, edges, types, keys)), len(edges) + 1
 
 
 def global_prefix(
