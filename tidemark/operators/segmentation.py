@@ -68,7 +68,7 @@ def target_correlation(feat: DataFrame, target: str = "monthly_revenue", cols=SE
     from tidemark.operators.stats import pearson_pairs
 
     others = [c for c in cols if c != target]
-    pairs = pearson_pairs(feat.select(target, *others), [target] + others)
+    pairs = pearson_pairs(feat.select(target, *others), [target] + others, pairs=[(0, j) for j in range(1, len(others) + 1)])
     p = pairs.filter(F.col("var1") == target).select(F.col("var2").alias("feature"), F.abs("pearson_r").alias("abs_corr"))
     return p.orderBy(F.col("abs_corr").desc(), "feature").limit(top)
 

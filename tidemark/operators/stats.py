@@ -238,10 +238,10 @@ def _corr_from_sums(n, sx, sy, sxx, syy, sxy):
     return (n * sxy - sx * sy) / F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
 
 
-def pearson_pairs(df: DataFrame, cols, with_p: bool = False) -> DataFrame:
-    """Pearson r for every pair on pairwise-complete rows (S9, SURVEY D15), one scan."""
+def pearson_pairs(df: DataFrame, cols, with_p: bool = False, pairs=None) -> DataFrame:
+    """Pearson r for every pair (or the given index pairs) on pairwise-complete rows (S9, SURVEY D15), one scan."""
     aggs = []
-    pairs = list(combinations(range(len(cols)), 2))
+    pairs = list(pairs) if pairs is not None else list(combinations(range(len(cols)), 2))
     for i, j in pairs:
         x, y = F.col(cols[i]), F.col(cols[j])
         both = x.isNotNull() & y.isNotNull()

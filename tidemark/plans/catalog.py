@@ -359,7 +359,7 @@ def q_segmentation_features(spark, sf_dir):
     return segmentation_features(customer_profile(spark, sf_dir))
 
 
-@register("target_correlation")
+@register("target_correlation", OS.target_correlation_sql)
 def q_target_correlation(spark, sf_dir):
     from tidemark.operators.segmentation import segmentation_features, target_correlation
 

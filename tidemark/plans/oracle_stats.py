@@ -179,3 +179,30 @@ SELECT 'High Value' AS segment,
   {r("100.0 * CAST(SUM(CASE WHEN value_segment = 'High Value' THEN CAST(monthly_revenue AS DECIMAL(18,6)) END) AS DOUBLE) / CAST(SUM(CAST(monthly_revenue AS DECIMAL(18,6))) AS DOUBLE)", 6)} AS revenue_share_pct
 FROM seg"""
     return with_base(body, SEG_CTES)
+
+
+SEG_FEATURES_SQL = [
+    "monthly_revenue", "transaction_volume", "feature_usage_score", "total_sessions", "avg_session_duration",
+    "api_calls_per_month", "customer_satisfaction_score", "company_size", "annual_contract_value",
+    "revenue_per_session", "api_efficiency", "engagement_score", "days_since_signup",
+]
+
+
+def target_correlation_sql(target: str = "monthly_revenue", top: int = 5) -> str:
+    cols = SEG_FEATURES_SQL
+    meds = ", ".join(f"MEDIAN({c}) AS m_{c}" for c in cols)
+    imp = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in cols)
+    others = [c for c in cols if c != target]
+    cte, _ = _pairs_sql([target] + others, "imp")
+    ctes = f"""f AS (SELECT *, monthly_revenue / (total_sessions + 1) AS revenue_per_session,
+    api_calls_per_month / (total_sessions + 1) AS api_efficiency,
+    feature_usage_score * 0.3 + avg_session_duration / 30 * 0.3 + (1 - churn_risk_score) * 0.4 AS engagement_score,
+    CAST(DATE '2024-01-01' - signup_date AS INTEGER) AS days_since_signup FROM cust),
+med AS (SELECT {meds} FROM f),
+imp AS (SELECT {imp} FROM f CROSS JOIN med),
+{cte}"""
+    body = (
+        f"SELECT var2 AS feature, ABS({r('_r', 6)}) AS abs_corr FROM pr WHERE var1 = '{target}' "
+        f"ORDER BY abs_corr DESC, feature LIMIT {top}"
+    )
+    return with_base(body, ctes)
