@@ -437,3 +437,14 @@ def bootstrap_mean_diff(df: DataFrame, value: str, group: str, a: str, b: str, k
         rnd(F.percentile("d", lo), 6).alias("ci_lower"),
         rnd(F.percentile("d", hi), 6).alias("ci_upper"),
     )
+
+
+def ab_evaluation(df: DataFrame, variant: str, a: str, b: str, success: Column, value: str) -> DataFrame:
+    """A/B evaluation (X7): pooled z-test on the success rate and Welch t-test on
+    ``value`` between variants; two one-row aggregates side by side."""
+    z = proportion_ztest(df, success, variant, a, b)
+    t = ttest(df, value, variant, a, b, equal_var=False).select(
+        F.col("mean_a").alias("value_mean_a"), F.col("mean_b").alias("value_mean_b"),
+        F.col("t_stat"), F.col("df").alias("t_df"),
+    )
+    return z.crossJoin(t)  # 1 row x 1 row

@@ -578,3 +578,24 @@ def q_revenue_trend(spark, sf_dir):
 
     return revenue_trend(tx(spark, sf_dir))
 register("bootstrap_premium_basic")(_stats("bootstrap_mean_diff", "monthly_revenue", TIER, "Premium", "Basic"))
+
+
+def _ab_frame(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.exprs import uniform_draw
+    from tidemark.operators.cohorts import monthly_cohorts, simulate_retention
+
+    sim = simulate_retention(monthly_cohorts(clean(spark, sf_dir), "1900-01-01"))
+    arm = F.when(uniform_draw("customer_id", 99, 7) < 0.5, F.lit("treatment")).otherwise(F.lit("control"))
+    return sim.withColumn("variant", arm)
+
+
+@register("ab_retention_offer", lambda: OS.ab_sql())
+def q_ab_retention_offer(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.stats import ab_evaluation
+
+    return ab_evaluation(_ab_frame(spark, sf_dir), "variant", "treatment", "control",
+                         F.col("retained_month_1") == 1, "cleaned_monthly_revenue")

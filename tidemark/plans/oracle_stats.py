@@ -206,3 +206,34 @@ imp AS (SELECT {imp} FROM f CROSS JOIN med),
         f"ORDER BY abs_corr DESC, feature LIMIT {top}"
     )
     return with_base(body, ctes)
+
+
+def ab_sql() -> str:
+    from tidemark.functions.exprs import uniform_draw_sql
+    from tidemark.operators import cohorts as co
+    from tidemark.plans.oracle import _band
+
+    risk = "cleaned_churn_risk_score"
+    u1 = uniform_draw_sql("customer_id", 1, 42)
+    m1 = f"CASE WHEN {risk} <= 0.2 THEN 1 ELSE {_band(risk, u1, co.RETENTION_M1, co.RETENTION_M1_ELSE)} END"
+    arm = f"CASE WHEN {uniform_draw_sql('customer_id', 99, 7)} < 0.5 THEN 'treatment' ELSE 'control' END"
+    ctes = f"""ab AS (SELECT customer_id, cleaned_monthly_revenue, {m1} AS retained_month_1, {arm} AS variant FROM clean),
+z AS (SELECT CAST(COUNT(CASE WHEN variant = 'treatment' AND retained_month_1 = 1 THEN 1 END) AS DOUBLE) AS zx_a,
+  CAST(COUNT(CASE WHEN variant = 'treatment' THEN 1 END) AS DOUBLE) AS zn_a,
+  CAST(COUNT(CASE WHEN variant = 'control' AND retained_month_1 = 1 THEN 1 END) AS DOUBLE) AS zx_b,
+  CAST(COUNT(CASE WHEN variant = 'control' THEN 1 END) AS DOUBLE) AS zn_b FROM ab),
+agg AS (SELECT {_mom("CASE WHEN variant = 'treatment' THEN cleaned_monthly_revenue END", 'a')},
+  {_mom("CASE WHEN variant = 'control' THEN cleaned_monthly_revenue END", 'b')} FROM ab)"""
+    p = "((zx_a + zx_b) / (zn_a + zn_b))"
+    zs = f"((zx_a / zn_a - zx_b / zn_b) / SQRT({p} * (1 - {p}) * (1.0 / zn_a + 1.0 / zn_b)))"
+    ma, mb, va, vb = _mean("a"), _mean("b"), _var("a"), _var("b")
+    t = f"(({ma} - {mb}) / SQRT({va} / n_a + {vb} / n_b))"
+    dof = (f"(({va} / n_a + {vb} / n_b) * ({va} / n_a + {vb} / n_b) / "
+           f"(({va} / n_a) * ({va} / n_a) / (n_a - 1) + ({vb} / n_b) * ({vb} / n_b) / (n_b - 1)))")
+    body = f"""
+SELECT 'treatment' AS group_a, 'control' AS group_b, CAST(zx_a AS BIGINT) AS successes_a, CAST(zn_a AS BIGINT) AS n_a,
+  CAST(zx_b AS BIGINT) AS successes_b, CAST(zn_b AS BIGINT) AS n_b, {r('zx_a / zn_a', 6)} AS rate_a, {r('zx_b / zn_b', 6)} AS rate_b,
+  {r(zs, 6)} AS z_stat, {r(ma, 6)} AS value_mean_a, {r(mb, 6)} AS value_mean_b,
+  {r(t, 6)} AS t_stat, {r(dof, 6)} AS t_df
+FROM z CROSS JOIN agg"""
+    return with_base(body, ctes)
