@@ -599,3 +599,10 @@ def q_ab_retention_offer(spark, sf_dir):
 
     return ab_evaluation(_ab_frame(spark, sf_dir), "variant", "treatment", "control",
                          F.col("retained_month_1") == 1, "cleaned_monthly_revenue")
+
+
+@register("density_revenue")
+def q_density_revenue(spark, sf_dir):
+    from tidemark.operators.chartdata import density
+
+    return density(customer_profile(spark, sf_dir), "monthly_revenue")
