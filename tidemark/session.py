@@ -71,3 +71,33 @@ def materialize(df):
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    On a local master the package is zipped into a scratch folder and added
+    with ``addPyFile``; on a cluster it is expected to be shipped with
+    ``--py-files`` (or installed on the executors).
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    if sc.master.startswith("local"):
+        import zipfile
+
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        out = os.path.join(tempfile.mkdtemp(prefix="tidemark-pkg-"), "tidemark.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+    _SHIPPED.add(key)
