@@ -29,6 +29,9 @@ from tidemark.llm.common import ascii_lower, text_or_empty
 from tidemark.session import checkpoint_dir, materialize
 
 HOT_GROUPS = 1000
+#: digests per bucket of a new index, about 50 MB; a persistent index keeps the number it was made with
+BUCKET_ROWS = 500_000
+MIN_BUCKETS = 6
 _DIGEST, _ID = "__dedup_digest", "__dedup_id"
 
 
@@ -43,9 +46,9 @@ class DigestIndex:
     """Bucketed, sorted digest table. ``path`` names a shared folder that outlives the session;
     without one the index lives in the session's shared checkpoint folder."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, expected_rows: int = 0):
         self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = max(MIN_BUCKETS, -(-expected_rows // BUCKET_ROWS))
         self.name = f"tidemark_digests_{uuid.uuid4().hex}"
         self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{self.name}"
         spark.sql(
@@ -91,8 +94,9 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     spark = docs.sparkSession
     rows = materialize(digest_rows(docs))
-    verdict = (index or DigestIndex(spark)).admit(rows)
-    floor = max(1000, rows.count() // HOT_GROUPS)
+    total = rows.count()
+    verdict = (index or DigestIndex(spark, expected_rows=total)).admit(rows)
+    floor = max(1000, total // HOT_GROUPS)
     hot = F.col("group_size") > floor  # fewer than HOT_GROUPS digests can pass it
     hot_verdict = F.broadcast(verdict.where(hot).withColumnRenamed("digest", _DIGEST))
     cold_verdict = verdict.where(~hot).withColumnRenamed("digest", _DIGEST)
@@ -111,7 +115,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: of equal texts the one with the largest doc_id."""
     spark = docs.sparkSession
-    verdict = (index or DigestIndex(spark)).admit(digest_rows(docs)).where("admitted")
+    index = index or DigestIndex(spark, expected_rows=docs.count())
+    verdict = index.admit(digest_rows(docs)).where("admitted")
     keep = verdict.select(
         F.col("digest").alias(_DIGEST), F.col("keep_id").alias(_ID), F.col("copies").alias("__dedup_copies")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontamination, exact_dedup
+from tidemark.llm import decontamination, exact_dedup, sentencepieces, token_counts
 from tidemark.llm.common import read_table
 
 
@@ -10,15 +10,25 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark, sf_dir):
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark, sf_dir):
     return decontamination.contamination_report(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     )
 
 
+def op6_sentencepiece(spark, sf_dir):
+    return sentencepieces.encoding_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
 }
 
 ORACLES = {

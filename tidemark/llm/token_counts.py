@@ -5,7 +5,7 @@ score (the best unigram score of the prefix it stands for) is computed when the
 node is made, so pre-tokens that share a prefix share its work; the node where
 a pre-token ends holds its token count. A document's count is the sum over its
 pre-tokens. Nothing is shuffled: tries are local to a task and emptied at
-``MAX_NODES``, so memory does not depend on the input.
+``MAX_NODES`` (counts at ``MAX_WORDS``), so memory does not depend on the input.
 
 Defined results: a null or empty text has 0 tokens; repeated rows are counted
 each; a pre-token longer than ``LONG`` code points is scored without the trie
@@ -22,11 +22,13 @@ from tidemark.llm.common import slices
 from tidemark.llm.pieces import MODEL_PATH, WEIGHT, PieceModel, load_pieces, pretokens
 
 MAX_NODES = 400_000
+MAX_WORDS = 400_000
 LONG = 200
 
 
 class ForwardTrie:
-    """Trie of pre-tokens with forward scores; ``count`` is the number of tokens of a pre-token."""
+    """Trie of pre-tokens with forward scores; ``count`` inserts a pre-token and gives its number of tokens,
+    ``counts`` is where the caller keeps them."""
 
     def __init__(self, model: PieceModel, max_nodes: int = MAX_NODES):
         self.model, self.max_nodes = model, max_nodes
@@ -35,10 +37,10 @@ class ForwardTrie:
         for p in self.value:
             sizes.setdefault(p[-2:], set()).add(len(p))
         self.sizes = {k: tuple(sorted(v)) for k, v in sizes.items()}
-        self._clear()
+        self.clear()
 
-    def _clear(self):
-        self.child: dict[tuple[int, str], int] = {}
+    def clear(self):
+        self.child: dict[int, int] = {}  # node << 21 | code point -> node
         self.best = [0]
         self.counts: dict[str, int] = {}
 
@@ -57,23 +59,19 @@ class ForwardTrie:
         return top
 
     def count(self, pretoken: str) -> int:
-        known = self.counts.get(pretoken)
-        if known is not None:
-            return known
         if len(pretoken) > LONG:
             return self._sliding(pretoken)
-        if len(self.best) > self.max_nodes:
-            self._clear()
+        if len(self.best) > self.max_nodes:  # what is counted stays counted
+            self.child, self.best = {}, [0]
         child, best, node, path = self.child, self.best, 0, [0]
         for end, letter in enumerate(pretoken, 1):
-            key = (node, letter)
+            key = node << 21 | ord(letter)
             node = child.get(key)
             if node is None:
                 best.append(self._forward(pretoken, end, path))
                 node = child[key] = len(best) - 1
             path.append(node)
-        out = self.counts[pretoken] = -best[node] % WEIGHT
-        return out
+        return -best[node] % WEIGHT
 
     def _sliding(self, pretoken: str) -> int:
         reach = self.model.longest
@@ -103,16 +101,16 @@ def token_counts(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
         trie = ForwardTrie(shared.value)
         for batch in batches:
             for part in slices(batch):
-                tokens, pieces = [], []
-                for text in part.column(1).to_pylist():
-                    cut = pretokens(text)
-                    known = trie.counts
-                    try:
-                        total = sum(map(known.__getitem__, cut))
-                    except KeyError:
-                        total = sum(map(trie.count, cut))
-                    tokens.append(total)
-                    pieces.append(len(cut))
+                cuts = [pretokens(text) for text in part.column(1).to_pylist()]
+                if len(trie.counts) > MAX_WORDS:
+                    trie.clear()
+                known = trie.counts
+                for cut in cuts:
+                    for pretoken in set(cut).difference(known):
+                        known[pretoken] = trie.count(pretoken)
+                get = known.__getitem__
+                tokens = [sum(map(get, cut)) for cut in cuts]
+                pieces = [len(cut) for cut in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(tokens, pa.int64()), pa.array(pieces, pa.int64())],
                     names=["doc_id", "n_tokens", "n_pretokens"],
