@@ -54,3 +54,20 @@ def bounded_sample(df: DataFrame, key: Column, total: int, limit: int) -> DataFr
         return df
     draw = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1_000_000))
     return df.where(draw < int(1_000_000 * limit / total)).limit(limit + limit // 5)
+
+
+HOT_GROUPS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with one row per ``key`` of ``groups``, whatever share of the rows one key holds.
+
+    ``size`` is a group's number of rows of ``total``: fewer than ``HOT_GROUPS`` groups can hold more
+    than ``total / HOT_GROUPS`` rows, so those go out by a broadcast of bounded size; the others meet
+    their rows in a sort-merge join. Rows without a group are left out.
+    """
+    hot = F.col(size) > max(1000, total // HOT_GROUPS)
+    few = F.broadcast(groups.where(hot))
+    return rows.join(few, key).unionByName(
+        rows.join(few.select(key), key, "left_anti").join(groups.where(~hot).hint("merge"), key)
+    )

@@ -7,9 +7,9 @@ bucket (sort-merge; the index side is neither shuffled nor re-sorted as a
 whole) and the unseen digests are appended.
 
 Only ids and digests are shuffled. A digest may hold a third of all rows: the
-at most ``HOT_GROUPS`` digests above ``rows / HOT_GROUPS`` rows reach the rows
-by a broadcast whose size that bound proves, every other digest by the
-sort-merge join.
+fewer than 1,000 digests that can exceed a thousandth of the rows reach the
+rows by a broadcast whose size that bound proves, every other digest by the
+sort-merge join (``common.join_groups``).
 
 Defined results: null text counts as empty; a null doc_id is smaller than any
 other; rows that repeat both doc_id and text are one document (all carry
@@ -25,10 +25,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, text_or_empty
+from tidemark.llm.common import ascii_lower, join_groups, text_or_empty
 from tidemark.session import checkpoint_dir, materialize
 
-HOT_GROUPS = 1000
 #: digests per bucket of a new index, about 50 MB; a persistent index keeps the number it was made with
 BUCKET_ROWS = 500_000
 MIN_BUCKETS = 6
@@ -96,13 +95,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     rows = materialize(digest_rows(docs))
     total = rows.count()
     verdict = (index or DigestIndex(spark, expected_rows=total)).admit(rows)
-    floor = max(1000, total // HOT_GROUPS)
-    hot = F.col("group_size") > floor  # fewer than HOT_GROUPS digests can pass it
-    hot_verdict = F.broadcast(verdict.where(hot).withColumnRenamed("digest", _DIGEST))
-    cold_verdict = verdict.where(~hot).withColumnRenamed("digest", _DIGEST)
-    out = rows.join(hot_verdict, _DIGEST).unionByName(
-        rows.join(hot_verdict.select(_DIGEST), _DIGEST, "left_anti").join(cold_verdict.hint("merge"), _DIGEST)
-    )
+    out = join_groups(rows, verdict.withColumnRenamed("digest", _DIGEST), _DIGEST, "group_size", total)
     return out.select(
         F.col(_ID).alias("doc_id"),
         "keep_id",

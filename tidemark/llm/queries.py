@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontamination, exact_dedup, sentencepieces, token_counts
+from tidemark.llm import decontamination, exact_dedup, near_dedup, sentencepieces, token_counts
 from tidemark.llm.common import read_table
 
 
@@ -24,11 +24,16 @@ def op6_sentencepiece(spark, sf_dir):
     return sentencepieces.encoding_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, similarity=0.85)
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_near_dedup": op7_near_dedup,
 }
 
 ORACLES = {
