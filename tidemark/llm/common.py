@@ -35,6 +35,14 @@ def fold_col(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session handing Python at most 32 MB at once unless the user set a bound: long texts stay bounded too."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key, None) is None:
+        df.sparkSession.conf.set(key, str(32 << 20))
+    return df
+
+
 def slices(batch, max_bytes: int = 4 << 20):
     """Cut an Arrow batch into row ranges of about ``max_bytes`` (one row at least).
 

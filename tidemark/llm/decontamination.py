@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import bounded_batches, slices
 
 WINDOW = 13
 SHARD_WORDS = 100_000
@@ -203,7 +203,7 @@ def _pass(docs: DataFrame, automaton) -> DataFrame:
                     names=["doc_id", "n_words", "spans", "items", "longest"],
                 )
 
-    return docs.mapInArrow(run, _SCHEMA)
+    return bounded_batches(docs).mapInArrow(run, _SCHEMA)
 
 
 def contamination_spans(
@@ -333,7 +333,7 @@ def decontaminate(
         return run
 
     for one in shards:
-        docs = docs.mapInArrow(run_with(one), schema)
+        docs = bounded_batches(docs).mapInArrow(run_with(one), schema)
     return docs
 
 

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_groups, slices
+from tidemark.llm.common import bounded_batches, join_groups, slices
 from tidemark.session import materialize
 
 WORDS, SIMILARITY = 5, 0.8
@@ -144,7 +144,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                     names=["doc_id", "n_shingles", "key", "sig"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, sig binary")
+    return bounded_batches(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, sig binary")
 
 
 def _sig_matrix(column) -> np.ndarray:
@@ -172,7 +172,7 @@ def _regions(classes: DataFrame) -> DataFrame:
                     [pa.array(ids.ravel()), part.column(0).take(at)], names=["region", "key"]
                 )
 
-    return classes.select("key", "sig").mapInArrow(run, "region bigint, key binary")
+    return bounded_batches(classes.select("key", "sig")).mapInArrow(run, "region bigint, key binary")
 
 
 def _labels(classes: DataFrame, shared: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def _labels(classes: DataFrame, shared: DataFrame) -> DataFrame:
 
     held = shared.groupBy("key").agg(F.collect_list(F.struct("region", "members")).alias("held"))  # TREES at most
     rows = classes.join(held, "key").select("key", "n", "sig", "held")
-    return rows.mapInArrow(run, "region bigint, members bigint, key binary, n bigint, label binary, mini binary")
+    return bounded_batches(rows).mapInArrow(run, "region bigint, members bigint, key binary, n bigint, label binary, mini binary")
 
 
 def _agreement(pairs: DataFrame, floor: float) -> DataFrame:
@@ -230,7 +230,7 @@ def _agreement(pairs: DataFrame, floor: float) -> DataFrame:
             )
             yield out.filter(pa.array(est >= floor))
 
-    return pairs.mapInArrow(run, "a binary, b binary, est double")
+    return bounded_batches(pairs).mapInArrow(run, "a binary, b binary, est double")
 
 
 def _may_link(n_a, n_b, similarity: float):
@@ -377,7 +377,7 @@ def _rest_pairs(labels: DataFrame, comps: DataFrame, similarity: float, floor: f
                                 [q["key"].take(pa.array(i)), x["key"].take(pa.array(j))], names=["a", "b"]
                             )
 
-    return _unordered(dealt.mapInArrow(run, "a binary, b binary"))
+    return _unordered(bounded_batches(dealt).mapInArrow(run, "a binary, b binary"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -398,7 +398,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     named = wanted.select("rep", "key")
     texts = docs.join(named, F.col("doc_id").eqNullSafe(F.col("rep")))
-    found = texts.select("key", "text").mapInArrow(run, "key binary, set binary")
+    found = bounded_batches(texts.select("key", "text")).mapInArrow(run, "key binary, set binary")
     return found.groupBy("key").agg(F.first("set").alias("set"))
 
 
@@ -417,7 +417,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     with_a = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
     both = with_a.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
+    return bounded_batches(both.select("a", "b", "set_a", "set_b")).mapInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -529,7 +529,7 @@ def _keyed(docs: DataFrame, words: int, name: str) -> DataFrame:
                 keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, keys], names=[*part.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
+    return bounded_batches(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontamination, exact_dedup, near_dedup, sentencepieces, token_counts
+from tidemark.llm import (
+    chat_format,
+    decontamination,
+    exact_dedup,
+    html_text,
+    language_id,
+    near_dedup,
+    pii,
+    sentencepieces,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.common import read_table
 
 
+def op1_chat_format(spark, sf_dir):
+    return chat_format.formatting_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +35,10 @@ def op4_decontamination(spark, sf_dir):
     )
 
 
+def op5_language_id(spark, sf_dir):
+    return language_id.language_report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark, sf_dir):
     return sentencepieces.encoding_report(read_table(spark, sf_dir, "documents"))
 
@@ -28,14 +47,32 @@ def op7_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, similarity=0.85)
 
 
+def op8_pii(spark, sf_dir):
+    return pii.find_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark, sf_dir):
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_near_dedup": op7_near_dedup,
+    "op8_pii": op8_pii,
+    "op9_html_text": op9_html_text,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
+    "op1_chat_format": lambda: chat_format.ORACLE_SQL,
     "op2_exact_dedup": lambda: exact_dedup.ORACLE_SQL,
 }

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import bounded_batches, slices
 from tidemark.llm.pieces import MODEL_PATH, PieceModel, load_pieces, pretokens
 
 MAX_WORDS = 400_000
@@ -255,7 +255,7 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, out_col: str = "token_
                 out = _list_array(*encoder.encode(texts), texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
 
-    return docs.mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "token_ids", out_col: str = "text") -> DataFrame:
@@ -278,7 +278,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "tok
                     [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out_col]
                 )
 
-    return encoded.mapInArrow(run, schema)
+    return bounded_batches(encoded).mapInArrow(run, schema)
 
 
 def encoding_report(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
@@ -308,4 +308,4 @@ def encoding_report(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "restored"],
                 )
 
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, restored boolean")
+    return bounded_batches(slim).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, restored boolean")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import bounded_batches, slices
 from tidemark.llm.pieces import MODEL_PATH, WEIGHT, PieceModel, load_pieces, pretokens
 
 MAX_NODES = 400_000
@@ -117,4 +117,4 @@ def token_counts(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
                 )
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_pretokens bigint")
+    return bounded_batches(slim).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_pretokens bigint")
