@@ -9,20 +9,22 @@
    the longest) and the region's hub, the member that carries the region's
    commonest label in most trees. A crowded region is cut at deeper prefixes
    until a cut is small enough to be ordered by one task.
-   Each class keeps its best neighbour and its best hub by signature.
+   Each class keeps its best neighbour and its best hub by signature (pairs
+   whose signatures lie ``SLACK`` standard deviations below the similarity go).
 4. Candidates are confirmed on full sets; confirmed links give components.
-5. What is left is compared without a limit: in every region that still holds
-   several components, the members outside the largest one are compared, in
-   blocks, with all members; pairs of different components whose signatures do
-   not rule a link out are confirmed on full sets, and components are final.
+5. What is left is compared without a limit: in every group of regions of one
+   hub that still holds several components, the members outside the largest one
+   are compared, in blocks, with all members, exactly: both sets are given by
+   their differences from the hub's set, which are small and whose exclusive or
+   is the difference of the two sets. Only links that connect components leave
+   a task; with them the components are final.
 
 So a link between two classes can be missed only if no tree puts them in one
-region ((1 - s**STEP)**TREES: 2e-8 at s = 0.85, 4e-6 at 0.8) or the signature
-underestimates it by ``SLACK`` standard deviations.
+region: (1 - s**STEP)**TREES, 2e-8 at s = 0.85 and 4e-6 at 0.8.
 
 Scale: texts are shuffled once, and only against the ids of classes in shared
-regions; pairs are limited to two per class in step 3 and to pairs of different
-components in step 5. Hot keys (a set of copies, a hub, a region) meet
+regions; step 3 moves two pairs per class at most, step 5 one row per class, hub
+and block. Hot keys (a set of copies, a hub, a region) meet
 combinable aggregates, joins that adaptive execution splits, or a broadcast of
 proven size (``common.join_groups``). Intermediate results are tables in the
 shared folder, so a lost executor costs a re-read.
@@ -51,7 +53,7 @@ TREES, STEP, DEPTH = 24, 4, 16
 HASHES = TREES * STEP
 SLACK = 4.5
 CROWD = 10_000  # members of a region that one task orders
-BLOCK = 2_048  # left-over members that one task compares with a region
+BLOCK = 512  # left-over members that one task compares with a group
 _U = np.uint64
 
 
@@ -238,64 +240,55 @@ def _may_link(n_a, n_b, similarity: float):
     return F.least(n_a, n_b) >= F.lit(similarity - 1e-9) * F.greatest(n_a, n_b)
 
 
-def _first_pairs(labels: DataFrame, similarity: float, floor: float) -> DataFrame:
+def _hubs(labels: DataFrame) -> DataFrame:
+    """(region, hub): the member that carries its regions' commonest label in most trees stands in the middle."""
+    common = (
+        labels.groupBy("region", "label")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("region")
+        .agg(F.max(F.struct("c", "label")).getField("label").alias("label"))
+    )
+    central = labels.join(common, ["region", "label"], "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("trees"))
+    return labels.join(central, "key").groupBy("region").agg(F.max(F.struct("trees", "key", "mini", "n")).alias("hub"))
+
+
+def _first_pairs(labels: DataFrame, hubs: DataFrame, similarity: float, floor: float) -> DataFrame:
     """Two candidates per class at most: the best neighbour in any order and the best hub."""
     from pyspark.sql import Window
 
-    cut = (
-        F.when(F.col("members") <= CROWD, F.lit(0).cast("long"))
-        .otherwise(F.xxhash64(F.substring("label", 1, 4 * 8)))
-    )
-    ordered = labels.withColumn("cut8", cut)
     crowded = F.col("members") > CROWD
+    cut = F.when(crowded, F.xxhash64(F.substring("label", 1, 4 * 2 * STEP))).otherwise(F.lit(0).cast("long"))
+    ordered = labels.withColumn("cut", cut)
     deep = (
         ordered.where(crowded)
-        .groupBy("region", "cut8")
-        .agg(F.count(F.lit(1)).alias("at8"))
-        .where(F.col("at8") > CROWD)
+        .groupBy("region", "cut")
+        .agg(F.count(F.lit(1)).alias("deep"))
+        .where(F.col("deep") > CROWD)
     )
-    # beyond depth 8 the whole label cuts, and equal labels are dealt by key: they are joined by their hub
-    ordered = ordered.join(deep, ["region", "cut8"], "left").withColumn(
-        "cut",
-        F.when(F.col("at8").isNull(), F.col("cut8")).otherwise(
-            F.xxhash64("label", F.pmod(F.xxhash64("key"), F.ceil(F.col("at8") / CROWD)))
-        ),
+    # beyond that depth the whole label cuts, and equal labels are dealt by key: their hub joins them
+    whole = F.xxhash64("label", F.pmod(F.xxhash64("key"), F.ceil(F.col("deep") / CROWD)))
+    ordered = ordered.join(deep, ["region", "cut"], "left").withColumn(
+        "cut", F.when(F.col("deep").isNull(), F.col("cut")).otherwise(whole)
     )
     w = Window.partitionBy("region", "cut").orderBy("label", "key")
-    neighbours = (
-        ordered.select(
-            F.col("key").alias("a"),
-            F.col("mini").alias("mini_a"),
-            F.col("n").alias("n_a"),
-            F.lag("key").over(w).alias("b"),
-            F.lag("mini").over(w).alias("mini_b"),
-            F.lag("n").over(w).alias("n_b"),
-        )
-        .where("b IS NOT NULL")
-        .where(_may_link(F.col("n_a"), F.col("n_b"), similarity))
-        .select("a", "mini_a", "b", "mini_b")
-    )
-    common = (
-        labels.groupBy("region", "label")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .groupBy("region")
-        .agg(F.max(F.struct("c", "label")).getField("label").alias("label"))
-    )
-    # a class that carries its region's commonest label in most trees stands in the middle of the region
-    central = labels.join(common, ["region", "label"], "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("trees"))
-    scored = materialize(
-        labels.join(central, "key").groupBy("region").agg(F.max(F.struct("trees", "key", "mini", "n")).alias("hub"))
-    )
-    hubs = (
-        labels.join(
-            scored.select("region", F.col("hub.key").alias("b"), F.col("hub.mini").alias("mini_b"), F.col("hub.n").alias("n_b")),
-            "region",
+    neighbours = ordered.select(
+        F.col("key").alias("a"),
+        F.col("mini").alias("mini_a"),
+        F.col("n").alias("n_a"),
+        F.lag("key").over(w).alias("b"),
+        F.lag("mini").over(w).alias("mini_b"),
+        F.lag("n").over(w).alias("n_b"),
+    ).where("b IS NOT NULL")
+    centre = hubs.select("region", *[F.col(f"hub.{c}").alias(d) for c, d in (("key", "b"), ("mini", "mini_b"), ("n", "n_b"))])
+    star = labels.select("region", F.col("key").alias("a"), F.col("mini").alias("mini_a"), F.col("n").alias("n_a")).join(
+        centre, "region"
+    ).where("a <> b")
+    near, star = (
+        _agreement(
+            d.where(_may_link(F.col("n_a"), F.col("n_b"), similarity)).select("a", "mini_a", "b", "mini_b"), floor
         )
-        .where(F.col("key") != F.col("b"))
-        .where(_may_link(F.col("n"), F.col("n_b"), similarity))
-        .select(F.col("key").alias("a"), F.col("mini").alias("mini_a"), "b", "mini_b")
+        for d in (neighbours, star)
     )
-    near, star = _agreement(neighbours, floor), _agreement(hubs, floor)
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "est"))
     best = [d.groupBy("a").agg(F.max(F.struct("est", "b")).getField("b").alias("b")) for d in (both, star)]
     return _unordered(best[0].unionByName(best[1]))
@@ -305,77 +298,142 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _rest_pairs(labels: DataFrame, comps: DataFrame, similarity: float, floor: float) -> DataFrame:
-    """Pairs of different components in one region whose signatures allow a link: left-over members against all."""
-    placed = labels.select("region", "key", "n", "mini").join(comps, "key")
-    per = placed.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("c"))
-    open_regions = (
-        per.groupBy("region")
-        .agg(
-            F.count(F.lit(1)).alias("k"),
-            F.sum("c").alias("m"),
-            F.max(F.struct("c", "comp")).alias("top"),
-        )
+def _differences(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` (hub, key, ...) with ``n``, the size of the class's set, and ``delta``, its symmetric difference with
+    the hub's set."""
+    keep = [c for c in rows.columns if c not in ("hub", "key")]
+    own = rows.join(sets.withColumnRenamed("set", "own"), "key")
+    both = own.join(sets.select(F.col("key").alias("hub"), F.col("set").alias("centre")), "hub")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                n, delta = [], []
+                for x, h in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
+                    n.append(len(x))
+                    delta.append(np.setxor1d(x, h, assume_unique=True).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(delta, pa.binary()), *part.columns[4:]],
+                    names=["hub", "key", "n", "delta", *keep],
+                )
+
+    kinds = dict(rows.dtypes)
+    schema = "hub binary, key binary, n bigint, delta binary" + "".join(f", {c} {kinds[c]}" for c in keep)
+    return bounded_batches(both.select("hub", "key", "own", "centre", *keep)).mapInArrow(run, schema)
+
+
+class _Queries:
+    """A block of left-over members, to be compared with rows of their hub's group."""
+
+    def __init__(self):
+        self.keys: list[bytes] = []
+        self.comp: list[int] = []
+        self.n: list[int] = []
+        self.deltas: list[np.ndarray] = []
+        self.root: dict[int, int] = {}
+        self.index = None
+
+    def add(self, keys, comp, n, deltas):
+        self.keys += keys
+        self.comp += comp
+        self.n += n
+        self.deltas += deltas
+
+    def _find(self, c: int) -> int:
+        while self.root.get(c, c) != c:
+            c = self.root[c]
+        return c
+
+    def links(self, keys, comp, n, deltas, percent: int) -> list[tuple[bytes, bytes]]:
+        """Links with the rows that connect components not yet connected here: with D the difference from the hub,
+        two sets differ in D(x) xor D(y), so their intersection is exact without the sets themselves."""
+        if self.index is None:
+            sizes = np.array([len(d) for d in self.deltas], np.int64)
+            flat = np.concatenate(self.deltas)
+            by = np.argsort(flat, kind="stable")
+            self.index = (sizes, flat[by], np.repeat(np.arange(len(sizes)), sizes)[by], np.array(self.n), np.array(self.comp))
+        sizes, elements, owner, q_n, q_comp = self.index
+        x_sizes = np.array([len(d) for d in deltas], np.int64)
+        flat = np.concatenate(deltas)
+        x_of = np.repeat(np.arange(len(deltas)), x_sizes)
+        lo, hi = np.searchsorted(elements, flat, "left"), np.searchsorted(elements, flat, "right")
+        hits = hi - lo
+        at = np.repeat(lo - (np.cumsum(hits) - hits), hits) + np.arange(int(hits.sum()))
+        cell = owner[at] * len(deltas) + np.repeat(x_of, hits)
+        common = np.bincount(cell, minlength=len(sizes) * len(deltas)).reshape(len(sizes), len(deltas))
+        x_n, x_comp = np.array(n), np.array(comp)
+        differ = sizes[:, None] + x_sizes[None, :] - 2 * common
+        total = q_n[:, None] + x_n[None, :]
+        ok = 100 * (total - differ) >= percent * (total + differ)
+        ok &= q_comp[:, None] != x_comp[None, :]
+        out = []
+        for i, j in zip(*(v.tolist() for v in np.nonzero(ok)), strict=True):
+            a, b = self._find(self.comp[i]), self._find(comp[j])
+            if a != b:
+                self.root[a] = b
+                out.append((self.keys[i], keys[j]))
+        return out
+
+
+def _rest_links(labels: DataFrame, hubs: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that share a region: left-over members against all, group by group.
+
+    The regions of one hub are one group, so a pair is compared once whatever number of trees holds it. Only links
+    that connect components leave a task, never the compared pairs.
+    """
+    members = (
+        labels.select("region", "key")
+        .join(hubs.select("region", F.col("hub.key").alias("hub")), "region")
+        .select("hub", "key")
+        .distinct()
+        .join(comps, "key")
+        .withColumn("comp", F.xxhash64("comp"))
+    )
+    members = materialize(members)
+    open_groups = (
+        members.groupBy("hub", "comp")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("hub")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
         .where("k > 1")
         .select(
-            "region",
+            "hub",
             F.col("top.comp").alias("major"),
             F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("blocks"),
         )
     )
-    rows = placed.join(open_regions, "region").withColumn("left_over", F.col("comp") != F.col("major"))
-    queries = rows.where("left_over").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = materialize(_differences(members.join(open_groups, "hub"), sets))
+    cols = ["hub", "block", "key", "n", "delta", "comp"]
+    queries = rows.where("comp <> major").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     against = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cols = ["region", "block", "key", "n", "mini", F.xxhash64("comp").alias("comp")]
     dealt = (
         queries.select(*cols, F.lit(0).alias("side"))
         .unionByName(against.select(*cols, F.lit(1).alias("side")))
-        .repartition("region", "block")
-        .sortWithinPartitions("region", "block", "side")
+        .repartition("hub", "block")
+        .sortWithinPartitions("hub", "block", "side")
     )
 
-    def compare(q, x):
-        """Index pairs of queries and rows that may be linked and are not yet connected."""
-        q_n, x_n = q["n"][:, None], x["n"][None, :]
-        ok = np.minimum(q_n, x_n) >= (similarity - 1e-9) * np.maximum(q_n, x_n)
-        ok &= q["comp"][:, None] != x["comp"][None, :]
-        i, j = np.nonzero(ok)
-        keep = [np.empty(0, bool)]
-        for at in range(0, len(i), 100_000):
-            s = slice(at, at + 100_000)
-            keep.append((q["mini"][i[s]] == x["mini"][j[s]]).mean(1) >= floor)
-        keep = np.concatenate(keep)
-        return i[keep], j[keep]
-
     def run(batches):
-        group, held = None, []
+        group, held = None, _Queries()
         for batch in batches:
-            region, block, side = (batch.column(c).to_numpy() for c in (0, 1, 6))
-            change = np.flatnonzero((np.diff(region) != 0) | (np.diff(block) != 0) | (np.diff(side) != 0)) + 1
-            for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows], strict=True):
-                if a == b:
-                    continue
-                rows = batch.slice(a, b - a)
-                now = (int(region[a]), int(block[a]))
-                if now != group:
-                    group, held = now, []
-                for at in range(0, rows.num_rows, 1024):
-                    part = rows.slice(at, 1024)
-                    x = {
-                        "key": part.column(2),
-                        "n": part.column(3).to_numpy(),
-                        "mini": np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint8).reshape(-1, HASHES),
-                        "comp": part.column(5).to_numpy(),
-                    }
-                    if side[a] == 0:
-                        held.append(x)
-                        continue
-                    for q in held:
-                        i, j = compare(q, x)
-                        if len(i):
-                            yield pa.RecordBatch.from_arrays(
-                                [q["key"].take(pa.array(i)), x["key"].take(pa.array(j))], names=["a", "b"]
-                            )
+            for part in slices(batch, 1 << 20):
+                hub, block, side = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(6).to_pylist()
+                names = list(zip(hub, block, side, strict=True))
+                cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    if names[a][:2] != group:
+                        group, held = names[a][:2], _Queries()
+                    piece = part.slice(a, b - a)
+                    keys, n, deltas, comp = (piece.column(c).to_pylist() for c in (2, 3, 4, 5))
+                    x = (keys, comp, n, [np.frombuffer(d, np.uint64) for d in deltas])
+                    if names[a][2] == 0:
+                        held.add(*x)
+                    elif held.keys and (found := held.links(*x, percent)):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())],
+                            names=["a", "b"],
+                        )
 
     return _unordered(bounded_batches(dealt).mapInArrow(run, "a binary, b binary"))
 
@@ -474,12 +532,13 @@ def _judged(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     labels = materialize(_labels(classes.select("key", "n", "sig"), shared))
     sets = materialize(_sets(slim, wanted, words))
 
-    links = materialize(_confirm(materialize(_first_pairs(labels, similarity, floor)), sets, percent))
+    hubs = materialize(_hubs(labels))
+    links = materialize(_confirm(materialize(_first_pairs(labels, hubs, similarity, floor)), sets, percent))
     comps = components(links)
     every = materialize(
         sets.select("key").join(comps, "key", "left").select("key", F.coalesce("comp", "key").alias("comp"))
     )
-    rest = materialize(_confirm(_rest_pairs(labels, every, similarity, floor), sets, percent))
+    rest = materialize(_rest_links(labels, hubs, every, sets, percent))
     if not rest.isEmpty():
         comps = components(links.unionByName(rest))
 
