@@ -1,5 +1,6 @@
-"""Bucketed global windows equal Spark's single-partition windows."""
+"""Range-partitioned global windows equal Spark's single-partition windows, NULLs included."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,58 @@ def _li(spark):
     )
 
 
+def _odd(spark):
+    """NULL keys of several types, NULL partitions and ids that repeat in pairs."""
+    return spark.range(600).select(
+        F.col("id").alias("row"),
+        (F.col("id") % 300).alias("id"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("k_long"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 37 % 101).cast("double")).alias("k_double"),
+        F.when(F.col("id") % 6 > 0, F.concat(F.lit("s"), F.col("id") % 23)).alias("k_string"),
+        F.when(F.col("id") % 4 > 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int"))).alias("k_date"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("part"),
+        (F.col("id") * 0.5).alias("v"),
+    )
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 300])
+@pytest.mark.parametrize("key", ["k_long", "k_double", "k_string", "k_date"])
+def test_prefix_with_null_keys_and_partitions(spark, key, buckets):
+    df = _odd(spark)
+    down = ("k_long",) if key == "k_long" else ()
+    got = W.global_prefix(df, [key, "row"], ("v",), ("part",), down, "rn", buckets, with_total=True, lags=("v",))
+    w = Window.partitionBy("part").orderBy(F.col(key).desc() if down else F.col(key), "row")
+    want = df.select(
+        "row",
+        F.row_number().over(w).alias("rn"),
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_v"),
+        F.count(F.lit(1)).over(Window.partitionBy("part")).alias("_total"),
+        F.lead("v").over(w).alias("next_v"),
+    )
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+@pytest.mark.parametrize("buckets", [1, 8])
+@pytest.mark.parametrize("key", ["k_long", "k_double", "k_string", "k_date"])
+def test_ranks_with_null_values(spark, key, buckets):
+    df = _odd(spark)
+    w = Window.partitionBy("part").orderBy(key)
+    want = df.select("row", F.rank().over(w).alias("r"), F.percent_rank().over(w).alias("p"))
+    got = W.global_rank(df, key, "r", ("part",), n_buckets=buckets).select("row", "r")
+    pct = W.global_rank(df, key, "p", ("part",), True, buckets).select("row", "p")
+    assert sorted(map(tuple, got.join(pct, "row").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_ntile_and_moving_average_with_nulls(spark):
+    df = _odd(spark)
+    w = Window.orderBy("k_double", "row")
+    want = df.select("row", F.ntile(7).over(w).alias("t"), F.avg("v").over(w.rowsBetween(-4, 0)).alias("m"))
+    tile = W.global_ntile(df, ["k_double", "row"], 7, "t", n_buckets=5).select("row", "t")
+    avg = W.moving_average_rows(df, ["k_double", "row"], "v", 5, "m", block=50, n_buckets=5).select("row", "m")
+    got = {r["row"]: (r["t"], pytest.approx(r["m"])) for r in tile.join(avg, "row").collect()}
+    assert {r["row"]: (r["t"], r["m"]) for r in want.collect()} == got
+
+
 def test_row_number_cumsum_ntile(spark):
     df = _li(spark)
     got = W.global_prefix(df, ["l_quantity", "id"], ("l_extendedprice",), rn_col="rn", n_buckets=8)
@@ -64,6 +117,18 @@ def test_moving_average_halo(spark):
     assert j.filter(F.abs(F.col("ma") - F.col("ma_ref")) > 1e-9).count() == 0
 
 
+def test_quantiles_of_columns_and_groups(spark):
+    df = _odd(spark).withColumn("k_double", F.when(F.col("row") == 1, float("nan")).otherwise(F.col("k_double")))
+    cols = ["k_long", "k_double", "v"]
+    got = {r["_column"]: (r["a"], r["b"]) for r in W.column_quantiles(df, cols, [0.25, 0.9], ["a", "b"]).collect()}
+    clean = df.withColumn("k_double", F.nanvl("k_double", F.lit(None)))
+    want = clean.agg(*[F.percentile(c, [0.25, 0.9]).alias(c) for c in cols]).first()
+    assert got == {c: pytest.approx(tuple(want[c])) for c in cols}
+    per = W.group_quantiles(clean.select("part", "v"), ["part"], "v", [0.5], ["m"]).collect()
+    ref = {r["part"]: r["m"] for r in clean.groupBy("part").agg(F.median("v").alias("m")).collect()}
+    assert {r["part"]: r["m"] for r in per} == ref and len(ref) == 3
+
+
 def test_exact_quantiles(spark):
     df = _li(spark)
     q = W.exact_quantiles(df, "l_extendedprice", [0.25, 0.5, 0.9], ["a", "b", "c"], n_buckets=8).first()
@@ -72,7 +137,7 @@ def test_exact_quantiles(spark):
         assert abs(got - want) <= 1e-9 * abs(want)
 
 
-def test_many_buckets_searchsorted_path(spark):
+def test_many_buckets(spark):
     df = _li(spark)
     got = W.global_prefix(df, ["l_quantity", "id"], ("l_extendedprice",), rn_col="rn", n_buckets=300)
     w = Window.orderBy("l_quantity", "id")

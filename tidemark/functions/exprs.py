@@ -46,28 +46,15 @@ def count_when(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1))).cast("long")
 
 
-# Linear hash constants for the deterministic uniform draw.
-_P = 1000003
-_A = 48271
-_B = 7919
-_C = 40503
-
-
 def uniform_draw(key, period: int, seed: int = 42) -> Column:
-    """Deterministic U[0,1) from (key, period, seed).
+    """Deterministic U[0,1) from (key, period, seed): the first 52 bits of an md5.
 
     A pure function of the row, so re-executed tasks (lost executors) and any
-    partitioning produce the same draw, unlike ``rand()``. BIGINT keys only;
-    hash string keys with ``xxhash64`` first.
+    partitioning produce the same draw, unlike ``rand()``; draws of different
+    periods or seeds are independent, and no key repeats another's draw.
     """
-    k = F.pmod(col(key).cast("long"), F.lit(_P))
-    mixed = k * F.lit(_A + _B * period) + F.lit(period * _C + seed)
-    return F.pmod(mixed, F.lit(_P)).cast("double") / F.lit(float(_P))
-
-
-def uniform_draw_sql(key: str, period: int, seed: int = 42) -> str:
-    """Same draw as SQL text (non-negative keys), for DuckDB oracles."""
-    return f"(((({key}) % {_P}) * {_A + _B * period} + {period * _C + seed}) % {_P}) / CAST({_P} AS DOUBLE)"
+    text = F.concat(col(key).cast("string"), F.lit(f"|{period}|{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def rnd_sql(x: str, n: int) -> str:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import money_avg, rnd
+from tidemark.functions.exprs import money_avg, rnd, uniform_draw
 
 
 def histogram(df: DataFrame, cols, bins: int = 20) -> DataFrame:
@@ -39,23 +39,23 @@ def histogram(df: DataFrame, cols, bins: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers and outlier count per group (V3): box / violin data."""
+    from tidemark.operators import windows as W
+
     d = df.filter(F.col(value).isNotNull())
-    q = d.groupBy(group).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("_q"), F.count(F.lit(1)).alias("n"))
-    q = q.select(
-        group, "n",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
-    ).withColumn("lo", F.col("q1") - k * (F.col("q3") - F.col("q1"))).withColumn(
+    q = W.group_quantiles(d.select(group, value), [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    q = q.withColumn("lo", F.col("q1") - k * (F.col("q3") - F.col("q1"))).withColumn(
         "hi", F.col("q3") + k * (F.col("q3") - F.col("q1"))
     )
     # one row per group on the right side; AQE broadcasts it from its measured size
-    j = d.join(q.select(group, "lo", "hi"), group)
+    j = W.null_safe_join(d, q.select(group, "lo", "hi"), [group])
     x = F.col(value)
     w = j.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"),
         F.min(F.when(x >= F.col("lo"), x)).cast("double").alias("whisker_low"),
         F.max(F.when(x <= F.col("hi"), x)).cast("double").alias("whisker_high"),
         F.count_if((x < F.col("lo")) | (x > F.col("hi"))).alias("outliers"),
     )
-    return q.join(w, group).select(
+    return W.null_safe_join(q, w, [group]).select(
         group, "n", rnd("q1", 6).alias("q1"), rnd("median", 6).alias("median"), rnd("q3", 6).alias("q3"),
         rnd("whisker_low", 6).alias("whisker_low"), rnd("whisker_high", 6).alias("whisker_high"),
         F.col("outliers").cast("long").alias("outliers"),
@@ -64,10 +64,10 @@ def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFram
 
 def sample_points(df: DataFrame, fraction: float, key: str = "customer_id", strata: str | None = None,
                   seed: int = 42) -> DataFrame:
-    """Deterministic scatter sample (V4): keep a row when a hash of (key, seed) falls
-    below ``fraction`` — the same rows on any partitioning; optional per-stratum hash."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed), *( [F.col(strata)] if strata else [])), F.lit(1_000_000))
-    return df.filter(h < F.lit(int(fraction * 1_000_000)))
+    """Deterministic scatter sample (V4): keep a row when its draw (key, seed) falls below ``fraction`` — the same
+    rows on any partitioning; ``strata`` adds the stratum to the draw's key."""
+    name = F.concat_ws("/", F.col(key), F.col(strata)) if strata else F.col(key)
+    return df.filter(uniform_draw(name, 0, seed) < fraction)
 
 
 def journey_funnel(df: DataFrame, tier: str = "subscription_tier") -> DataFrame:
@@ -91,17 +91,24 @@ def revenue_hierarchy(df: DataFrame, dims=("industry", "subscription_tier", "ref
                       F.round("_s", 2).cast("double").alias("revenue"))
 
 
-def radar_metrics(profile: DataFrame) -> DataFrame:
-    """Per-cluster radar values (G34): min-max scaled mean revenue, satisfaction/5, 1 - churn."""
-    w = Window.partitionBy()  # over the k cluster rows
-    rev = F.col("avg_revenue")
-    scaled = (rev - F.min(rev).over(w)) / (F.max(rev).over(w) - F.min(rev).over(w))
-    return profile.select(
-        "cluster",
-        rnd(scaled, 6).alias("revenue"),
-        rnd(F.col("avg_satisfaction") / 5, 6).alias("satisfaction"),
-        rnd(1 - F.col("avg_churn_risk"), 6).alias("retention"),
-        rnd("avg_engagement", 6).alias("engagement"),
+def radar_metrics(labeled: DataFrame, names: DataFrame) -> DataFrame:
+    """Radar values per cluster name (G34): mean revenue on the range of all customers, satisfaction / 5,
+    1 - churn risk, feature usage and engagement; clusters of one name are one row."""
+    span = labeled.agg(F.min("monthly_revenue").alias("_lo"), F.max("monthly_revenue").alias("_hi"))  # one row
+    per = labeled.join(names.select("cluster", "name"), "cluster").groupBy("name").agg(
+        F.avg("monthly_revenue").alias("_rev"),
+        F.avg("customer_satisfaction_score").alias("_sat"),
+        F.avg("churn_risk_score").alias("_risk"),
+        F.avg("feature_usage_score").alias("_use"),
+        F.avg("engagement_score").alias("_eng"),
+    )
+    return per.crossJoin(F.broadcast(span)).select(
+        "name",
+        rnd(F.try_divide(F.col("_rev") - F.col("_lo"), F.col("_hi") - F.col("_lo")), 6).alias("revenue"),
+        rnd(F.col("_sat") / 5, 6).alias("satisfaction"),
+        rnd(1 - F.col("_risk"), 6).alias("retention"),
+        rnd("_use", 6).alias("feature_usage"),
+        rnd("_eng", 6).alias("engagement"),
     )
 
 
@@ -137,4 +144,4 @@ def density(df: DataFrame, col: str, grid: int = 200, bins: int = 512) -> DataFr
                 yield pd.DataFrame({"x": gx, "density": dens})
 
     out = packed.mapInPandas(kde, "x double, density double")
-    return out.select(F.lit(col).alias("column_name"), rnd("x", 6).alias("x"), rnd("density", 12).alias("density"))
+    return out.select(F.lit(col).alias("column_name"), rnd("x", 6).alias("x"), F.round("density", 9).alias("density"))

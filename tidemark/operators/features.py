@@ -156,38 +156,38 @@ def customer_trends(clean: DataFrame, rows: int = 30, n_buckets: int | None = No
         "standardized_subscription_tier",
         "cleaned_churn_risk_score",
     )
-    base = materialize(cm)
-    key = "customer_id"
-    # Independent window features over one checkpointed base, joined on the key.
-    feats = [
-        W.global_row_number(
-            base.select(key, "cleaned_monthly_revenue", "standardized_subscription_tier"),
-            ["cleaned_monthly_revenue", key],
-            "revenue_rank_in_tier",
-            descending=("cleaned_monthly_revenue",),
-            partition_cols=("standardized_subscription_tier",),
+    # A customer may have several snapshots, so every row carries its own key and the windows are chained on the
+    # rows themselves. Running and moving sums share one order by (signup_date, customer_id).
+    key = ["customer_id", "signup_date", "_row"]
+    df = materialize(cm.withColumn("_row", F.monotonically_increasing_id()))
+    rank = lambda d, c, out: W.global_rank(d, c, out, pct=True, n_buckets=n_buckets)
+    df = rank(rank(df, "cleaned_monthly_revenue", "revenue_percentile"), "customer_health_score", "health_percentile")
+    df = W.global_row_number(
+        df,
+        ["cleaned_monthly_revenue", *key],
+        "revenue_rank_in_tier",
+        descending=("cleaned_monthly_revenue",),
+        partition_cols=("standardized_subscription_tier",),
+        n_buckets=n_buckets,
+    )
+    numbered = materialize(
+        W.global_prefix(
+            df.withColumn("_rev_dec", F.col("cleaned_monthly_revenue").cast(MONEY)),
+            ["signup_date", "customer_id", "_row"],
+            ("_rev_dec",),
             n_buckets=n_buckets,
-        ).select(key, "revenue_rank_in_tier"),
-        W.global_rank(base.select(key, "cleaned_monthly_revenue"), "cleaned_monthly_revenue", "revenue_percentile",
-                      pct=True, n_buckets=n_buckets).select(key, "revenue_percentile"),
-        W.global_rank(base.select(key, "customer_health_score"), "customer_health_score", "health_percentile",
-                      pct=True, n_buckets=n_buckets).select(key, "health_percentile"),
-        W.moving_average_rows(base.select(key, "signup_date", "cleaned_monthly_revenue"), ["signup_date", key],
-                              "cleaned_monthly_revenue", rows, "revenue_30day_avg", exact=True).select(key, "revenue_30day_avg"),
-        W.global_cumsum(base.select(key, "signup_date", F.col("cleaned_monthly_revenue").cast(MONEY).alias("_rev_dec")),
-                        ["signup_date", key], "_rev_dec", "cumulative_revenue", n_buckets=n_buckets).select(
-            key, "cumulative_revenue"),
-    ]
-    df = base
-    for f in feats:
-        df = df.join(f, key)
+        ).withColumnRenamed("cum__rev_dec", "cumulative_revenue")
+    )
+    df = W.moving_average_rows(
+        numbered, (), "cleaned_monthly_revenue", rows, "revenue_30day_avg", exact=True, numbered=numbered
+    )
     rev = F.col("cleaned_monthly_revenue")
     risk = F.col("cleaned_churn_risk_score")
     ltv = None
     for t, mult in LTV_BANDS:
         ltv = F.when(risk > t, rev * mult) if ltv is None else ltv.when(risk > t, rev * mult)
     ltv = ltv.otherwise(rev * LTV_ELSE)
-    prev = F.lag("cleaned_monthly_revenue", 1).over(Window.partitionBy("customer_id").orderBy("signup_date"))
+    prev = F.lag("cleaned_monthly_revenue", 1).over(Window.partitionBy("customer_id").orderBy("signup_date", "_row"))
     out = df.select(
         "customer_id",
         "signup_date",
@@ -211,7 +211,7 @@ def customer_trends(clean: DataFrame, rows: int = 30, n_buckets: int | None = No
         .alias("revenue_growth_pct"),
         _ge_ladder(F.col("revenue_percentile"), REVENUE_PERF, REVENUE_PERF_ELSE).alias("revenue_performance"),
         _ge_ladder(F.col("health_percentile"), HEALTH_PERF, HEALTH_PERF_ELSE).alias("health_performance"),
-    )
+    ).orderBy("signup_date", "customer_id")
 
 
 ROLLUP_SETS = (
@@ -233,13 +233,30 @@ def business_rollup(clean: DataFrame, sets=ROLLUP_SETS) -> DataFrame:
     keys = ["standardized_subscription_tier", "standardized_industry", "customer_lifecycle_stage"]
     rev = F.col("cleaned_monthly_revenue")
     risk = F.col("cleaned_churn_risk_score")
+    # medians of all groupings from one value histogram: no task holds the values of a group
+    spread = clean.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        *[(F.col(k) if k in s else F.lit(None).cast("string")).alias(k) for k in keys],
+                        F.lit(sum((k not in s) << (len(keys) - 1 - i) for i, k in enumerate(keys))).cast("long").alias(
+                            "grouping_id"
+                        ),
+                        rev.alias("_rev"),
+                    )
+                    for s in sets
+                ]
+            )
+        ).alias("g")
+    ).select("g.*")
+    medians = W.group_quantiles(spread, [*keys, "grouping_id"], "_rev", [0.5], ["median_monthly_revenue"])
     agg = clean.groupingSets([list(s) for s in sets], *keys).agg(
-        F.grouping_id(*keys).alias("grouping_id"),
+        F.grouping_id(*keys).cast("long").alias("grouping_id"),
         F.count(F.lit(1)).alias("customer_count"),
         count_when(F.col("activation_completed") == 1).alias("activated_customers"),
         money_sum(rev).alias("total_monthly_revenue"),
         money_avg(rev).alias("avg_monthly_revenue"),
-        F.median(rev).alias("median_monthly_revenue"),
         F.avg("total_sessions").alias("avg_sessions"),
         F.avg("avg_session_duration").alias("avg_session_duration"),
         money_avg("cleaned_feature_usage_score").alias("avg_feature_usage"),
@@ -247,6 +264,7 @@ def business_rollup(clean: DataFrame, sets=ROLLUP_SETS) -> DataFrame:
         money_avg(risk).alias("avg_churn_risk"),
         count_when(risk > 0.7).alias("high_risk_customers"),
     )
+    agg = W.null_safe_join(agg, medians, [*keys, "grouping_id"], "left")
     n = F.col("customer_count")
     return agg.select(
         F.coalesce("standardized_subscription_tier", F.lit("ALL TIERS")).alias("subscription_tier"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd
+from tidemark.operators import windows as W
 
 PSI_EPS = 1e-6
 
@@ -13,46 +14,69 @@ PSI_EPS = 1e-6
 def psi(base: DataFrame, new: DataFrame, cols, bins: int = 10) -> DataFrame:
     """Population stability index per column.
 
-    Bin edges are the base batch's interior quantiles (one aggregate, a
-    one-row broadcast); each row's bin is the number of edges below its value;
+    Bin edges are the base batch's interior quantiles; a value's bin is the
+    number of edges below it; one value histogram of both batches gives edges
+    and bin counts, so each batch is read once;
     PSI = sum over bins of (q - p) * ln((q + eps) / (p + eps)).
     """
-    probs = [i / bins for i in range(1, bins)]
-    edges = base.agg(*[F.percentile(c, probs).alias(f"_e{i}") for i, c in enumerate(cols)])
-
-    def binned(df, tag):
-        j = df.crossJoin(F.broadcast(edges))
-        long = j.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("column_name"),
-                            sum(
-                                ((F.col(c) > F.col(f"_e{i}")[k]).cast("int") for k in range(bins - 1)), F.lit(0)
-                            ).alias("bin"),
-                        )
-                        for i, c in enumerate(cols)
-                    ]
-                )
-            ).alias("r"),
-        ).select("r.*")
-        counts = long.filter(F.col("bin").isNotNull()).groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias(f"n_{tag}"))
-        return counts
+    from tidemark.session import materialize
 
-    b, n = binned(base, "p"), binned(new, "q")
-    j = b.join(n, ["column_name", "bin"], "full_outer").fillna(0, ["n_p", "n_q"])
-    tot = j.groupBy("column_name").agg(F.sum("n_p").alias("_tp"), F.sum("n_q").alias("_tq"))
-    j = j.join(tot, "column_name")  # one row per column
-    p = F.col("n_p") / F.col("_tp")
-    q = F.col("n_q") / F.col("_tq")
-    term = (q - p) * F.log((q + PSI_EPS) / (p + PSI_EPS))
-    return j.groupBy("column_name").agg(rnd(F.sum(term), 6).alias("psi")).withColumn(
+    probs = [i / bins for i in range(1, bins)]
+    names = [f"e{k}" for k in range(bins - 1)]
+    side = lambda d, tag: W.unpivot(d, cols).where("_value IS NOT NULL").withColumn("_side", F.lit(tag))
+    # one histogram of both batches; the base side's cells also give the edges
+    hist = materialize(
+        side(base, 0).unionByName(side(new, 1)).groupBy("_column", "_value").agg(
+            F.count_if(F.col("_side") == 0).alias("p"), F.count_if(F.col("_side") == 1).alias("q")
+        )
+    )
+    edges = _weighted_quantiles(hist.where("p > 0"), "p", probs, names)
+    bin_ = sum(((F.col("_value") > F.col(e)).cast("int") for e in names), F.lit(0))
+    cells = hist.join(F.broadcast(edges), "_column")  # a row per column of the report
+    j = cells.groupBy("_column", bin_.alias("bin")).agg(F.sum("p").alias("n_p"), F.sum("q").alias("n_q"))
+    of = Window.partitionBy("_column")  # over at most ``bins`` rows
+    p = F.try_divide(F.col("n_p"), F.sum("n_p").over(of))
+    q = F.try_divide(F.col("n_q"), F.sum("n_q").over(of))
+    term = j.select("_column", p.alias("p"), q.alias("q")).select(
+        F.col("_column").alias("column_name"),
+        ((F.col("q") - F.col("p")) * F.log((F.col("q") + PSI_EPS) / (F.col("p") + PSI_EPS))).alias("t"),
+    )
+    return term.groupBy("column_name").agg(rnd(F.sum("t"), 6).alias("psi")).withColumn(
         "drift",
         F.when(F.col("psi") < 0.1, "stable").when(F.col("psi") < 0.25, "moderate").otherwise("significant"),
     )
 
 
+def _weighted_quantiles(hist: DataFrame, weight: str, probs, names) -> DataFrame:
+    """Exact quantiles per ``_column`` of a value histogram with ``weight`` rows a value."""
+    cum = W.global_prefix(hist.select("_column", "_value", weight), ["_value"], (weight,), ("_column",))
+    total = cum.groupBy("_column").agg(F.sum(weight).alias("_n"))
+    h = cum.join(total, "_column").withColumn("_below", F.col(f"cum_{weight}") - F.col(weight))
+    aggs, out = [F.max("_n").alias("_n")], []
+    for name, p in zip(names, probs, strict=True):
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        for tag, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            hit = (F.col("_below") <= place) & (place < F.col(f"cum_{weight}"))
+            aggs.append(F.max(F.when(hit, F.col("_value"))).alias(f"{name}_{tag}"))
+        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
+    return h.groupBy("_column").agg(*aggs).select("_column", *out)
+
+
+def seasonality_index(tx: DataFrame) -> DataFrame:
+    """Quarterly seasonality (X3): a quarter's mean monthly revenue over the mean of all months; one row per quarter."""
+    monthly = tx.groupBy(F.trunc(F.col("transaction_date").cast("date"), "month").alias("month")).agg(
+        F.sum(F.col("transaction_amount").cast("decimal(18,2)")).alias("revenue")
+    )
+    per = monthly.groupBy(F.quarter("month").alias("quarter")).agg(
+        F.count(F.lit(1)).alias("months"), F.sum("revenue").alias("_s")
+    )
+    of = Window.partitionBy()  # over at most four rows
+    mean = F.sum("_s").over(of).cast("double") / F.sum("months").over(of)
+    own = F.col("_s").cast("double") / F.col("months")
+    return per.select("quarter", "months", rnd(own, 2).alias("avg_monthly_revenue"), rnd(F.try_divide(own, mean), 6).alias("seasonality_index"))
+
+
 def revenue_trend(tx: DataFrame, horizon: int = 12, z: float = 1.96) -> DataFrame:
     """Monthly revenue, least-squares trend and a ``horizon``-month projection with a band.
 

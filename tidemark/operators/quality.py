@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import count_when, money_avg, pct, rnd
 from tidemark.operators import windows as W
+from tidemark.operators.stats import number
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -180,10 +181,19 @@ def cardinality_report(df: DataFrame, cols=("customer_id", "industry", "subscrip
     )
 
 
+def _missing_counts(df: DataFrame) -> list:
+    """Per column the rows without a value; NaN counts as none."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    return [
+        F.count_if(F.col(c).isNull() | F.isnan(c) if c in floating else F.col(c).isNull()).alias(f"m{i}")
+        for i, c in enumerate(df.columns)
+    ]
+
+
 def missing_report(df: DataFrame) -> DataFrame:
     """Missing count and % per column, sorted descending."""
     cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *_missing_counts(df))
     structs = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -198,7 +208,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 def missing_summary(df: DataFrame) -> DataFrame:
     """Shape, total missing cells, columns with any missing, missing share."""
     cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *_missing_counts(df))
     total = sum((F.col(f"m{i}") for i in range(len(cols))), F.lit(0))
     with_missing = sum((F.when(F.col(f"m{i}") > 0, 1).otherwise(0) for i in range(len(cols))), F.lit(0))
     return row.select(
@@ -210,118 +220,105 @@ def missing_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def _quartile_aggs(cols, probs, approx: bool):
-    if approx:
-        return [F.percentile_approx(c, probs, 100000).alias(f"_p{i}") for i, c in enumerate(cols)]
-    # Exact interpolated percentiles, all columns in one pass.
-    return [F.percentile(c, probs).alias(f"_p{i}") for i, c in enumerate(cols)]
+def _by_column(row: DataFrame, cols, fields) -> DataFrame:
+    """A one-row aggregate as a row per column: ``fields(i)`` are the structs' columns."""
+    return _rows_from_struct_array(row, [F.struct(F.lit(c).alias("column_name"), *fields(i)) for i, c in enumerate(cols)])
+
 
+def iqr_outliers(df: DataFrame, cols=None, k: float = 1.5) -> DataFrame:
+    """IQR outlier count / % for every numeric column.
 
-def iqr_outliers(df: DataFrame, cols=None, k: float = 1.5, approx: bool = False) -> DataFrame:
-    """IQR outlier count / % for every numeric column (G22): two passes, both one scan."""
+    The quartiles of all columns come from one value histogram; its cells then
+    also give the counts outside the bounds, weighted by their rows.
+    """
     cols = cols or numeric_columns(df)
-    q = df.agg(*_quartile_aggs(cols, [0.25, 0.75], approx))
-    bounds = q.select(
-        *[
-            (F.col(f"_p{i}")[0] - k * (F.col(f"_p{i}")[1] - F.col(f"_p{i}")[0])).alias(f"_lo{i}")
-            for i in range(len(cols))
-        ],
-        *[
-            (F.col(f"_p{i}")[1] + k * (F.col(f"_p{i}")[1] - F.col(f"_p{i}")[0])).alias(f"_hi{i}")
-            for i in range(len(cols))
-        ],
-    )
-    j = df.crossJoin(F.broadcast(bounds))  # single-row bounds
-    counts = j.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[
-            count_when((F.col(c) < F.col(f"_lo{i}")) | (F.col(c) > F.col(f"_hi{i}"))).alias(f"_o{i}")
-            for i, c in enumerate(cols)
-        ],
+    from tidemark.session import materialize
+
+    long = W.unpivot(df, cols).where("_value IS NOT NULL")
+    hist = materialize(long.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")))
+    q = W.column_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"])
+    lo, hi = F.col("q1") - k * (F.col("q3") - F.col("q1")), F.col("q3") + k * (F.col("q3") - F.col("q1"))
+    outside = (F.col("_value") < lo) | (F.col("_value") > hi)
+    per = hist.join(q, "_column").groupBy("_column").agg(F.sum(F.when(outside, F.col("_rows")).otherwise(0)).alias("_o"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    total = df.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    out = names.join(per.withColumnRenamed("_column", "column_name"), "column_name", "left").crossJoin(F.broadcast(total))
+    count = F.coalesce(F.col("_o"), F.lit(0))
+    return out.select(
+        "column_name", count.cast("long").alias("outlier_count"), rnd(pct(count, "_n"), 6).alias("outlier_percentage")
     )
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"_o{i}").alias("outlier_count"),
-            rnd(pct(f"_o{i}", "_n"), 6).alias("outlier_percentage"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return _rows_from_struct_array(counts, structs)
 
 
-def describe_exact(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
+def describe_exact(df: DataFrame, cols=None) -> DataFrame:
     """count / mean / std / min / 25% / 50% / 75% / max per numeric column."""
     cols = cols or numeric_columns(df)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [
-            F.count(c).alias(f"_c{i}"),
-            F.avg(c).alias(f"_m{i}"),
-            F.stddev_samp(c).alias(f"_s{i}"),
-            F.min(c).cast("double").alias(f"_mn{i}"),
-            F.max(c).cast("double").alias(f"_mx{i}"),
+    values = [number(c) for c in cols]
+    row = df.agg(
+        *[
+            agg.alias(f"{name}{i}")
+            for i, v in enumerate(values)
+            for name, agg in (
+                ("_c", F.count(v)), ("_m", F.avg(v)), ("_s", F.stddev_samp(v)), ("_mn", F.min(v)), ("_mx", F.max(v))
+            )
         ]
-    aggs += _quartile_aggs(cols, [0.25, 0.5, 0.75], approx)
-    row = df.agg(*aggs)
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
+    )
+    base = _by_column(
+        row,
+        cols,
+        lambda i: [
             F.col(f"_c{i}").cast("long").alias("count"),
             rnd(f"_m{i}", 6).alias("mean"),
             rnd(f"_s{i}", 6).alias("std"),
             rnd(f"_mn{i}", 6).alias("min"),
-            rnd(F.col(f"_p{i}")[0], 6).alias("p25"),
-            rnd(F.col(f"_p{i}")[1], 6).alias("p50"),
-            rnd(F.col(f"_p{i}")[2], 6).alias("p75"),
             rnd(f"_mx{i}", 6).alias("max"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return _rows_from_struct_array(row, structs)
+        ],
+    )
+    q = W.column_quantiles(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    q = q.select(F.col("_column").alias("column_name"), *[rnd(p, 6).alias(p) for p in ("p25", "p50", "p75")])
+    return base.join(q, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
 
 
 def univariate_stats(df: DataFrame, cols=None) -> DataFrame:
     """Mean, median, sample std and population skewness per numeric column."""
     cols = cols or numeric_columns(df)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [
-            F.avg(c).alias(f"_m{i}"),
-            F.median(c).alias(f"_md{i}"),
-            F.stddev_samp(c).alias(f"_s{i}"),
-            F.skewness(c).alias(f"_k{i}"),
+    values = [number(c) for c in cols]
+    row = df.agg(
+        *[
+            agg.alias(f"{name}{i}")
+            for i, v in enumerate(values)
+            for name, agg in (("_m", F.avg(v)), ("_s", F.stddev_samp(v)), ("_k", F.skewness(v)))
         ]
-    row = df.agg(*aggs)
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
+    )
+    base = _by_column(
+        row,
+        cols,
+        lambda i: [
             rnd(f"_m{i}", 6).alias("mean"),
-            rnd(f"_md{i}", 6).alias("median"),
             rnd(f"_s{i}", 6).alias("std"),
-            rnd(f"_k{i}", 6).alias("skewness"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return _rows_from_struct_array(row, structs)
+            rnd(F.nanvl(f"_k{i}", F.lit(None).cast("double")), 6).alias("skewness"),
+        ],
+    )
+    q = W.column_quantiles(df, cols, [0.5], ["median"])
+    q = q.select(F.col("_column").alias("column_name"), rnd("median", 6).alias("median"))
+    return base.join(q, "column_name", "left").select("column_name", "mean", "median", "std", "skewness")
 
 
 def categorical_report(df: DataFrame, cols=None) -> DataFrame:
-    """Distinct count and most common value per categorical column (G25; ties -> smallest)."""
+    """Distinct count and most common value per categorical column (G25; ties -> smallest).
+
+    From the value counts of all columns, so no task holds a column's distinct values."""
     cols = cols or string_columns(df)
-    row = df.agg(
-        *[F.count_distinct(c).alias(f"_d{i}") for i, c in enumerate(cols)],
-        *[F.mode(c, True).alias(f"_mo{i}") for i, c in enumerate(cols)],
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]
+    counts = (
+        df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").groupBy("column_name", "value")
+        .agg(F.count("value").alias("c"))
     )
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"_d{i}").cast("long").alias("unique_count"),
-            F.col(f"_mo{i}").cast("string").alias("most_common"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return _rows_from_struct_array(row, structs)
+    top = counts.groupBy("column_name").agg(F.count("value").alias("unique_count"), F.max("c").alias("c"))
+    first = counts.where("value IS NOT NULL").join(top.select("column_name", "c"), ["column_name", "c"])
+    first = first.groupBy("column_name").agg(F.min("value").alias("most_common"))
+    return top.join(first, "column_name", "left").select("column_name", "unique_count", "most_common")
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -337,11 +334,10 @@ def value_counts(df: DataFrame, cols=("subscription_tier", "industry", "location
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
         ).alias("r")
     ).select("r.*")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    counts = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    return counts.crossJoin(F.broadcast(n)).select(
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    # the share is of all rows: a column's counts, NULL included, add up to them
+    total = counts.groupBy("column_name").agg(F.sum("count").alias("_n"))
+    return counts.where("value IS NOT NULL").join(total, "column_name").select(
         "column_name", "value", "count", rnd(pct("count", "_n"), 6).alias("share_pct")
     )
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd
+from tidemark.operators import windows as W
+from tidemark.operators.stats import number
 from tidemark.session import materialize
 from tidemark.sources.fixtures import CUSTOMER_AS_OF
 
@@ -30,16 +32,15 @@ SEG_FEATURES = [
 ]
 LIFECYCLE_4 = [(30, "New"), (90, "Growing"), (180, "Mature")]
 LIFECYCLE_4_TOP = "Veteran"
+N_INIT = 10
 
 
 def impute_medians(df: DataFrame, cols) -> DataFrame:
-    """Fill NULLs with each column's exact median (B20): one aggregate, one-row broadcast."""
-    med = df.agg(*[F.median(c).alias(f"_med_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(med))
-    out = j.select(
-        *[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns]
+    """Fill NULLs (and NaN) with each column's exact median (B20): one histogram of all columns, a one-row broadcast."""
+    med = W.quantile_row(df, list(cols), [0.5], ["median"])
+    return df.crossJoin(F.broadcast(med)).select(
+        *[F.coalesce(number(c), F.col(f"{c}__median")).alias(c) if c in cols else F.col(c) for c in df.columns]
     )
-    return out
 
 
 def segmentation_features(raw: DataFrame, as_of: str = CUSTOMER_AS_OF) -> DataFrame:
@@ -123,20 +124,31 @@ def cluster_metrics(pred: DataFrame, k_col: str = "cluster", features: str = "fe
     return {"n_clusters": k, "inertia": within, "silhouette": sil, "calinski_harabasz": ch, "davies_bouldin": db}
 
 
-def sweep_k(scaled: DataFrame, ks=range(2, 11), seed: int = 42, n_init: int = 3) -> DataFrame:
-    """k-means for each k (best of ``n_init`` seeds by cost) with its metrics (M1-M5)."""
-    spark = scaled.sparkSession
+def best_kmeans(data: DataFrame, k: int, seed: int = 42, n_init: int = N_INIT):
+    """The k-means model of least cost among ``n_init`` seeds (M6)."""
+    models = (KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="cluster").fit(data) for s in range(n_init))
+    return min(models, key=lambda m: m.summary.trainingCost)
+
+
+def sweep_k(scaled: DataFrame, ks=range(2, 11), seed: int = 42, n_init: int = N_INIT) -> DataFrame:
+    """k-means for each k (best of ``n_init`` seeds by cost) with its metrics (M1-M5); flags the k that each metric picks."""
     out = []
     for k in ks:
-        best = None
-        for s in range(n_init):
-            m = KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="cluster").fit(scaled)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
+        best = best_kmeans(scaled, k, seed, n_init)
         met = cluster_metrics(best.transform(scaled))
         out.append((k, float(best.summary.trainingCost), float(met["silhouette"]), float(met["calinski_harabasz"]),
                     float(met["davies_bouldin"])))
-    return spark.createDataFrame(out, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
+    picks = {
+        "silhouette": max(out, key=lambda r: r[2])[0],
+        "calinski_harabasz": max(out, key=lambda r: r[3])[0],
+        "davies_bouldin": min(out, key=lambda r: r[4])[0],
+    }
+    rows = [(*r, *(r[0] == k for k in picks.values())) for r in out]
+    return scaled.sparkSession.createDataFrame(
+        rows,
+        "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double, "
+        + ", ".join(f"best_by_{m} boolean" for m in picks),
+    )
 
 
 def best_k(sweep: DataFrame) -> int:
@@ -147,8 +159,8 @@ def best_k(sweep: DataFrame) -> int:
 def fit_cluster(scaled: DataFrame, algo: str, k: int, seed: int = 42) -> DataFrame:
     """Cluster labels from k-means, bisecting k-means (divisive stand-in for Ward) or GMM (M6-M8)."""
     if algo == "kmeans":
-        est = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
-    elif algo == "bisecting":
+        return best_kmeans(scaled, k, seed).transform(scaled)
+    if algo == "bisecting":
         est = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
     elif algo == "gmm":
         est = GaussianMixture(k=k, seed=seed, featuresCol="features", predictionCol="cluster", probabilityCol="_prob")
@@ -179,15 +191,16 @@ def compare_clusterings(scaled: DataFrame, k: int, seed: int = 42, algos=("kmean
 
 def profile_clusters(labeled: DataFrame) -> DataFrame:
     """Cluster profile: revenue mean / median / std / count and seven means."""
-    return labeled.groupBy("cluster").agg(
+    median = W.group_quantiles(labeled.select("cluster", "monthly_revenue"), ["cluster"], "monthly_revenue", [0.5], ["_median"])
+    per = labeled.groupBy("cluster").agg(
         rnd(F.avg("monthly_revenue"), 2).alias("revenue_mean"),
-        rnd(F.median("monthly_revenue"), 2).alias("revenue_median"),
         rnd(F.stddev_samp("monthly_revenue"), 2).alias("revenue_std"),
         F.count("monthly_revenue").alias("revenue_count"),
         *[rnd(F.avg(c), 2).alias(f"avg_{c}") for c in (
             "company_size", "feature_usage_score", "churn_risk_score", "customer_satisfaction_score", "total_sessions",
             "annual_contract_value", "engagement_score")],
     )
+    return W.null_safe_join(per, median, ["cluster"], "left").withColumn("revenue_median", rnd("_median", 2)).drop("_median")
 
 
 # Cluster naming rules.
@@ -197,12 +210,9 @@ CLUSTER_NAMES = ("High-Value Champions", "High-Value At-Risk", "Growing Advocate
 
 def name_clusters(labeled: DataFrame) -> DataFrame:
     """Cluster names from mean revenue vs global q75 / median, churn and engagement; shares."""
-    glob = labeled.agg(
-        F.percentile("monthly_revenue", 0.75).alias("_g75"),
-        F.median("monthly_revenue").alias("_g50"),
-        F.sum("monthly_revenue").alias("_gsum"),
-        F.count(F.lit(1)).alias("_gn"),
-    )
+    glob = labeled.agg(F.sum("monthly_revenue").alias("_gsum"), F.count(F.lit(1)).alias("_gn")).crossJoin(
+        W.exact_quantiles(labeled, "monthly_revenue", [0.5, 0.75], ["_g50", "_g75"])
+    )  # one row each
     agg = labeled.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("size"),
         F.avg("monthly_revenue").alias("avg_revenue"),
@@ -229,6 +239,22 @@ def name_clusters(labeled: DataFrame) -> DataFrame:
     )
 
 
+def name_customers(labeled: DataFrame, names: DataFrame) -> DataFrame:
+    """Every customer with the name of its cluster (B21); ``names`` has a row per cluster."""
+    return labeled.join(names.select("cluster", F.col("name").alias("cluster_name"), "high_value"), "cluster")
+
+
+def high_value_summary(names: DataFrame) -> DataFrame:
+    """Customers and revenue of the high-value clusters together."""
+    hv = F.col("high_value")
+    return names.agg(
+        F.count_if(hv).alias("clusters"),
+        F.sum(F.when(hv, F.col("size")).otherwise(0)).alias("customers"),
+        rnd(F.sum(F.when(hv, F.col("customer_share_pct")).otherwise(0.0)), 4).alias("customer_share_pct"),
+        rnd(F.sum(F.when(hv, F.col("revenue_share_pct")).otherwise(0.0)), 4).alias("revenue_share_pct"),
+    )
+
+
 def pca_project(scaled: DataFrame, k: int = 2) -> tuple[DataFrame, list]:
     """2-D projection and explained variance (V8); component signs fixed so the largest loading is positive."""
     model = PCA(k=k, inputCol="features", outputCol="_pc").fit(scaled)
@@ -241,8 +267,9 @@ def pca_project(scaled: DataFrame, k: int = 2) -> tuple[DataFrame, list]:
     return out, [float(v) for v in model.explainedVariance.toArray()]
 
 
-def pca_kmeans(scaled: DataFrame, variance: float = 0.95, k: int = 5, seed: int = 42) -> DataFrame:
-    """PCA keeping ``variance`` of the variance, then k-means on the projection."""
+def pca_kmeans(scaled: DataFrame, variance: float = 0.95, ks=range(2, 11), seed: int = 42, n_init: int = N_INIT) -> DataFrame:
+    """PCA keeping ``variance`` of the variance, then a k sweep on the scores (M11): components, variance and the
+    sweep's columns, a row per k."""
     d = len(scaled.first()["features"])
     full = PCA(k=d, inputCol="features", outputCol="_pc").fit(scaled)
     cum, keep = 0.0, d
@@ -252,13 +279,9 @@ def pca_kmeans(scaled: DataFrame, variance: float = 0.95, k: int = 5, seed: int
             keep = i + 1
             break
     proj = PCA(k=keep, inputCol="features", outputCol="_pcs").fit(scaled).transform(scaled)
-    proj = proj.drop("features").withColumnRenamed("_pcs", "features")
-    pred = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(proj).transform(proj)
-    met = cluster_metrics(pred)
-    spark = scaled.sparkSession
-    return spark.createDataFrame(
-        [(keep, float(cum), k, float(met["silhouette"]), float(met["inertia"]))],
-        "components int, variance_explained double, k int, silhouette double, inertia double",
+    proj = materialize(proj.drop("features").withColumnRenamed("_pcs", "features"))
+    return sweep_k(proj, ks, seed, n_init).select(
+        F.lit(keep).alias("components"), F.lit(float(cum)).alias("variance_explained"), "*"
     )
 
 
@@ -270,6 +293,8 @@ def segment_customers(raw: DataFrame, as_of: str = CUSTOMER_AS_OF, ks=range(2, 1
     k = best_k(sweep)
     comp = compare_clusterings(scaled, k, seed)
     best = comp.filter("is_best").first()["algorithm"]
-    labeled = fit_cluster(scaled, best, k, seed)
-    return {"features": feat, "scaled": scaled, "sweep": sweep, "k": k, "comparison": comp,
-            "labeled": labeled, "profile": profile_clusters(labeled), "names": name_clusters(labeled)}
+    labeled = materialize(fit_cluster(scaled, best, k, seed))
+    names = materialize(name_clusters(labeled))
+    return {"features": feat, "scaled": scaled, "sweep": sweep, "k": k, "comparison": comp, "labeled": labeled,
+            "profile": profile_clusters(labeled), "names": names, "customers": name_customers(labeled, names),
+            "high_value": high_value_summary(names)}

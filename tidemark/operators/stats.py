@@ -1,10 +1,10 @@
 """Hypothesis tests, effect sizes, intervals and correlations.
 
-Every test is one distributed aggregate of exact sufficient statistics
-(count, DECIMAL sum, DECIMAL sum of squares / cross-products) followed by a
-closed form on the one aggregated row. Results therefore do not depend on
-partitioning, and tail probabilities (pandas UDFs in ``special``) only ever
-see the tiny result rows.
+Every test is one distributed aggregate of counts, means and centred second
+moments (``var_samp`` / ``covar_pop``, whose partial results merge without
+cancellation) followed by a closed form on the aggregated row. NaN counts as
+NULL. A statistic that is not defined (an empty group, no variance) is NULL;
+tail probabilities (pandas UDFs in ``special``) only see the result rows.
 """
 
 from __future__ import annotations
@@ -15,33 +15,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import special as SP
-from tidemark.functions.exprs import rnd
+from tidemark.functions.exprs import col, money_sum, rnd
 from tidemark.operators import windows as W
 
-DEC = "decimal(18,6)"
 
-
-def _dec(x: Column) -> Column:
-    return x.cast(DEC)
+def number(x) -> Column:
+    """The value as DOUBLE, NaN as NULL."""
+    return F.nanvl(col(x).cast("double"), F.lit(None).cast("double"))
 
 
 def moment_aggs(x: Column, tag: str) -> list[Column]:
-    """n, exact sum and exact sum of squares of ``x`` (NULLs skipped)."""
-    d = _dec(x)
+    """Count, mean and sample variance of ``x`` (NULLs skipped)."""
+    v = number(x)
     return [
-        F.count(x).cast("double").alias(f"n_{tag}"),
-        F.sum(d).cast("double").alias(f"s1_{tag}"),
-        F.sum(d * d).cast("double").alias(f"s2_{tag}"),
+        F.count(v).cast("double").alias(f"n_{tag}"),
+        F.avg(v).alias(f"m_{tag}"),
+        F.var_samp(v).alias(f"v_{tag}"),
     ]
 
 
 def mean_of(tag: str) -> Column:
-    return F.try_divide(F.col(f"s1_{tag}"), F.col(f"n_{tag}"))
+    return F.col(f"m_{tag}")
 
 
 def var_of(tag: str) -> Column:
-    n, s1, s2 = F.col(f"n_{tag}"), F.col(f"s1_{tag}"), F.col(f"s2_{tag}")
-    return F.when(n > 1, F.greatest(F.lit(0.0), (s2 - s1 * s1 / n) / (n - 1)))
+    return F.col(f"v_{tag}")
 
 
 def _two_group_row(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
@@ -49,39 +47,51 @@ def _two_group_row(df: DataFrame, value: str, group: str, a: str, b: str) -> Dat
     return df.agg(*moment_aggs(F.when(g == a, v), "a"), *moment_aggs(F.when(g == b, v), "b"))
 
 
+def _per(x: Column, n: Column) -> Column:
+    return F.try_divide(x, n)
+
+
+def _pooled_variance() -> Column:
+    na, nb = F.col("n_a"), F.col("n_b")
+    return _per((na - 1) * var_of("a") + (nb - 1) * var_of("b"), na + nb - 2)
+
+
+def _welch_parts() -> tuple[Column, Column]:
+    """Squared standard error of the mean difference and Welch's degrees of freedom."""
+    na, nb = F.col("n_a"), F.col("n_b")
+    ea, eb = _per(var_of("a"), na), _per(var_of("b"), nb)
+    return ea + eb, _per((ea + eb) * (ea + eb), _per(ea * ea, na - 1) + _per(eb * eb, nb - 1))
+
+
 def ttest(df: DataFrame, value: str, group: str, a: str, b: str, equal_var: bool = True, z: float = 1.96,
           with_p: bool = False) -> DataFrame:
     """Two-sample t-test (pooled or Welch) with the z-interval of the mean difference."""
     row = _two_group_row(df, value, group, a, b)
     na, nb = F.col("n_a"), F.col("n_b")
-    ma, mb, va, vb = mean_of("a"), mean_of("b"), var_of("a"), var_of("b")
-    se_w = F.sqrt(va / na + vb / nb)
+    diff = mean_of("a") - mean_of("b")
+    error2, welch_df = _welch_parts()
     if equal_var:
-        sp2 = ((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)
-        t = (ma - mb) / F.sqrt(sp2 * (F.lit(1.0) / na + F.lit(1.0) / nb))
+        t = _per(diff, F.sqrt(_pooled_variance() * (_per(F.lit(1.0), na) + _per(F.lit(1.0), nb))))
         dof = na + nb - 2
     else:
-        t = (ma - mb) / se_w
-        dof = (va / na + vb / nb) * (va / na + vb / nb) / (
-            (va / na) * (va / na) / (na - 1) + (vb / nb) * (vb / nb) / (nb - 1)
-        )
+        t, dof = _per(diff, F.sqrt(error2)), welch_df
     out = row.select(
         F.lit(a).alias("group_a"),
         F.lit(b).alias("group_b"),
         na.cast("long").alias("n_a"),
         nb.cast("long").alias("n_b"),
-        rnd(ma, 6).alias("mean_a"),
-        rnd(mb, 6).alias("mean_b"),
+        rnd(mean_of("a"), 6).alias("mean_a"),
+        rnd(mean_of("b"), 6).alias("mean_b"),
         rnd(t, 6).alias("t_stat"),
         rnd(dof, 6).alias("df"),
-        rnd(ma - mb, 6).alias("mean_diff"),
-        rnd(ma - mb - z * se_w, 6).alias("ci_lower"),
-        rnd(ma - mb + z * se_w, 6).alias("ci_upper"),
+        rnd(diff, 6).alias("mean_diff"),
+        rnd(diff - z * F.sqrt(error2), 6).alias("ci_lower"),
+        rnd(diff + z * F.sqrt(error2), 6).alias("ci_upper"),
         t.alias("_t"),
         dof.alias("_df"),
     )
     if with_p:
-        out = out.withColumn("p_value", SP.t_pvalue("_t", "_df")).withColumn(
+        out = out.withColumn("p_value", rnd(SP.t_pvalue("_t", "_df"), 6)).withColumn(
             "significant", F.col("p_value") < 0.05
         )
     return out.drop("_t", "_df")
@@ -90,67 +100,71 @@ def ttest(df: DataFrame, value: str, group: str, a: str, b: str, equal_var: bool
 def cohens_d(df: DataFrame, value: str, group: str, a: str, b: str, average_variance: bool = False) -> DataFrame:
     """Cohen's d with the pooled SD (or sqrt of the mean variance) and its size label."""
     row = _two_group_row(df, value, group, a, b)
-    na, nb = F.col("n_a"), F.col("n_b")
-    va, vb = var_of("a"), var_of("b")
-    if average_variance:
-        sd = F.sqrt((va + vb) / 2)
-    else:
-        sd = F.sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2))
-    d = (mean_of("a") - mean_of("b")) / sd
+    sd = F.sqrt((var_of("a") + var_of("b")) / 2 if average_variance else _pooled_variance())
+    d = _per(mean_of("a") - mean_of("b"), sd)
     return row.select(
         F.lit(a).alias("group_a"),
         F.lit(b).alias("group_b"),
         rnd(d, 6).alias("cohens_d"),
-        F.when(F.abs(d) < 0.5, "Small").when(F.abs(d) < 0.8, "Medium").otherwise("Large").alias("effect_size"),
+        F.when(F.abs(d) < 0.5, "Small").when(F.abs(d) < 0.8, "Medium").when(d.isNotNull(), "Large").alias("effect_size"),
     )
 
 
 def proportion_ztest(df: DataFrame, success: Column, group: str, a: str, b: str, with_p: bool = False) -> DataFrame:
     """Pooled two-proportion z-test (S7): counts of ``success`` per group."""
     g = F.col(group)
-    row = df.agg(
-        F.count_if((g == a) & success).cast("double").alias("x_a"),
-        F.count_if(g == a).cast("double").alias("n_a"),
-        F.count_if((g == b) & success).cast("double").alias("x_b"),
-        F.count_if(g == b).cast("double").alias("n_b"),
-    )
-    xa, na, xb, nb = F.col("x_a"), F.col("n_a"), F.col("x_b"), F.col("n_b")
-    p = (xa + xb) / (na + nb)
-    zs = (xa / na - xb / nb) / F.sqrt(p * (1 - p) * (F.lit(1.0) / na + F.lit(1.0) / nb))
-    out = row.select(
-        F.lit(a).alias("group_a"),
-        F.lit(b).alias("group_b"),
+    row = df.agg(*_proportion_aggs(success, g, a, b))
+    out = row.select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), *_proportion_columns())
+    if with_p:
+        out = out.withColumn("p_value", rnd(SP.z_pvalue("_z"), 6))
+    return out.drop("_z")
+
+
+def _proportion_aggs(success: Column, g: Column, a: str, b: str) -> list[Column]:
+    return [
+        x.cast("double").alias(name)
+        for name, x in (
+            ("x_a", F.count_if((g == a) & success)),
+            ("z_a", F.count_if(g == a)),
+            ("x_b", F.count_if((g == b) & success)),
+            ("z_b", F.count_if(g == b)),
+        )
+    ]
+
+
+def _proportion_columns() -> list[Column]:
+    xa, na, xb, nb = F.col("x_a"), F.col("z_a"), F.col("x_b"), F.col("z_b")
+    p = _per(xa + xb, na + nb)
+    error = F.sqrt(p * (1 - p) * (_per(F.lit(1.0), na) + _per(F.lit(1.0), nb)))
+    z = _per(_per(xa, na) - _per(xb, nb), error)
+    return [
         xa.cast("long").alias("successes_a"),
         na.cast("long").alias("n_a"),
         xb.cast("long").alias("successes_b"),
         nb.cast("long").alias("n_b"),
-        rnd(xa / na, 6).alias("rate_a"),
-        rnd(xb / nb, 6).alias("rate_b"),
-        rnd(zs, 6).alias("z_stat"),
-        zs.alias("_z"),
-    )
-    if with_p:
-        out = out.withColumn("p_value", SP.z_pvalue("_z"))
-    return out.drop("_z")
+        rnd(_per(xa, na), 6).alias("rate_a"),
+        rnd(_per(xb, nb), 6).alias("rate_b"),
+        rnd(z, 6).alias("z_stat"),
+        z.alias("_z"),
+    ]
 
 
 def anova(df: DataFrame, value: str, group: str, groups=None, with_p: bool = False) -> DataFrame:
-    """One-way ANOVA F test (S5): per-group exact moments, then SSB / SSW on k rows."""
-    d = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+    """One-way ANOVA F test (S5): per-group moments, then the sums of squares around the grand mean."""
+    d = df.select(number(value).alias("_v"), F.col(group)).where(F.col("_v").isNotNull() & F.col(group).isNotNull())
     if groups is not None:
         d = d.filter(F.col(group).isin(*groups))
-    per = d.groupBy(group).agg(*moment_aggs(F.col(value), "g"))
-    tot = per.agg(
+    per = d.groupBy(group).agg(*moment_aggs(F.col("_v"), "g"))
+    grand = per.agg(_per(F.sum(F.col("n_g") * F.col("m_g")), F.sum("n_g")).alias("_grand"))
+    off = F.col("m_g") - F.col("_grand")
+    tot = per.crossJoin(F.broadcast(grand)).agg(  # one row
         F.count(F.lit(1)).cast("double").alias("k"),
         F.sum("n_g").alias("n"),
-        F.sum("s1_g").alias("s1"),
-        F.sum(F.col("s1_g") * F.col("s1_g") / F.col("n_g")).alias("sum_sq_means"),
-        F.sum("s2_g").alias("s2"),
+        F.sum(F.col("n_g") * off * off).alias("ssb"),
+        F.sum((F.col("n_g") - 1) * F.coalesce("v_g", F.lit(0.0))).alias("ssw"),
     )
     k, n = F.col("k"), F.col("n")
-    ssb = F.col("sum_sq_means") - F.col("s1") * F.col("s1") / n
-    ssw = F.col("s2") - F.col("sum_sq_means")
-    fstat = (ssb / (k - 1)) / (ssw / (n - k))
+    fstat = _per(_per(F.col("ssb"), k - 1), _per(F.col("ssw"), n - k))
     out = tot.select(
         F.lit(value).alias("value"),
         F.lit(group).alias("factor"),
@@ -162,7 +176,7 @@ def anova(df: DataFrame, value: str, group: str, groups=None, with_p: bool = Fal
         (n - k).alias("_d2"),
     )
     if with_p:
-        out = out.withColumn("p_value", SP.f_pvalue("_f", "_d1", "_d2"))
+        out = out.withColumn("p_value", rnd(SP.f_pvalue("_f", "_d1", "_d2"), 6))
     return out.drop("_f", "_d1", "_d2")
 
 
@@ -178,8 +192,8 @@ def chi2_independence(df: DataFrame, a: str, b: str, yates: str = "auto", with_p
     # Marginals by windows over the (small) cell table.
     row_t = F.sum("o").over(Window.partitionBy(a))
     col_t = F.sum("o").over(Window.partitionBy(b))
-    tot = F.sum("o").over(Window.partitionBy())
-    e = cells.select(a, b, "o", (row_t * col_t / tot).alias("e"))
+    tot = cells.agg(F.sum("o").alias("_tot"))
+    e = cells.crossJoin(F.broadcast(tot)).select(a, b, "o", (row_t * col_t / F.col("_tot")).alias("e"))  # one row
     stats = e.agg(
         F.countDistinct(a).alias("r"),
         F.countDistinct(b).alias("c"),
@@ -200,30 +214,26 @@ def chi2_independence(df: DataFrame, a: str, b: str, yates: str = "auto", with_p
         dof.cast("double").alias("_k"),
     )
     if with_p:
-        out = out.withColumn("p_value", SP.chi2_pvalue("_x", "_k"))
+        out = out.withColumn("p_value", rnd(SP.chi2_pvalue("_x", "_k"), 6))
     return out.drop("_x", "_k")
 
 
 def mean_ci(df: DataFrame, cols, level: float = 0.95) -> DataFrame:
-    """t-based confidence interval of the mean per column."""
+    """t-based confidence interval of the mean per column (S4), one scan."""
     row = df.agg(*[a for i, c in enumerate(cols) for a in moment_aggs(F.col(c), str(i))])
-    parts = []
-    for i, c in enumerate(cols):
-        n = F.col(f"n_{i}")
-        sem = F.sqrt(var_of(str(i)) / n)
-        parts.append(
-            row.select(
+    parts = F.array(
+        *[
+            F.struct(
                 F.lit(c).alias("metric"),
-                n.cast("long").alias("n"),
-                mean_of(str(i)).alias("mean"),
-                sem.alias("sem"),
-                (n - 1).alias("_df"),
+                F.col(f"n_{i}").cast("long").alias("n"),
+                F.col(f"m_{i}").alias("mean"),
+                F.sqrt(_per(F.col(f"v_{i}"), F.col(f"n_{i}"))).alias("sem"),
             )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    tq = SP.t_quantile(F.lit((1 + level) / 2.0), F.col("_df"))
+            for i, c in enumerate(cols)
+        ]
+    )
+    out = row.select(F.explode(parts).alias("p")).select("p.*")
+    tq = SP.t_quantile(F.lit((1 + level) / 2.0), F.when(F.col("n") > 1, (F.col("n") - 1).cast("double")))
     return out.select(
         "metric",
         "n",
@@ -234,45 +244,49 @@ def mean_ci(df: DataFrame, cols, level: float = 0.95) -> DataFrame:
     )
 
 
-def _corr_from_sums(n, sx, sy, sxx, syy, sxy):
-    return (n * sxy - sx * sy) / F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
+def correlation_aggs(x: Column, y: Column, tag: str) -> list[Column]:
+    """Count, centred cross moment and deviations of the rows that have both values."""
+    both = x.isNotNull() & y.isNotNull()
+    return [
+        F.count_if(both).alias(f"n_{tag}"),
+        F.covar_pop(x, y).alias(f"c_{tag}"),
+        F.stddev_pop(F.when(both, x)).alias(f"x_{tag}"),
+        F.stddev_pop(F.when(both, y)).alias(f"y_{tag}"),
+    ]
+
+
+def correlation_of(tag: str) -> Column:
+    """Pearson r; NULL without variance, within [-1, 1]."""
+    r = _per(F.col(f"c_{tag}"), F.col(f"x_{tag}") * F.col(f"y_{tag}"))
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
 
 
 def pearson_pairs(df: DataFrame, cols, with_p: bool = False, pairs=None) -> DataFrame:
     """Pearson r for every pair (or the given index pairs) on pairwise-complete rows (S9, SURVEY D15), one scan."""
-    aggs = []
     pairs = list(pairs) if pairs is not None else list(combinations(range(len(cols)), 2))
-    for i, j in pairs:
-        x, y = F.col(cols[i]), F.col(cols[j])
-        both = x.isNotNull() & y.isNotNull()
-        xd, yd = _dec(F.when(both, x)), _dec(F.when(both, y))
-        aggs += [
-            F.count(xd).cast("double").alias(f"n_{i}_{j}"),
-            F.sum(xd).cast("double").alias(f"sx_{i}_{j}"),
-            F.sum(yd).cast("double").alias(f"sy_{i}_{j}"),
-            F.sum(xd * xd).cast("double").alias(f"sxx_{i}_{j}"),
-            F.sum(yd * yd).cast("double").alias(f"syy_{i}_{j}"),
-            F.sum(xd * yd).cast("double").alias(f"sxy_{i}_{j}"),
-        ]
-    row = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        s = lambda k: F.col(f"{k}_{i}_{j}")
-        r = _corr_from_sums(s("n"), s("sx"), s("sy"), s("sxx"), s("syy"), s("sxy"))
-        structs.append(
-            F.struct(
-                F.lit(cols[i]).alias("var1"),
-                F.lit(cols[j]).alias("var2"),
-                s("n").cast("long").alias("n"),
-                r.alias("r"),
-            )
+    values = [number(c) for c in cols]
+    row = df.agg(*[a for i, j in pairs for a in correlation_aggs(values[i], values[j], f"{i}_{j}")])
+    structs = [
+        F.struct(
+            F.lit(cols[i]).alias("var1"),
+            F.lit(cols[j]).alias("var2"),
+            F.col(f"n_{i}_{j}").cast("long").alias("n"),
+            correlation_of(f"{i}_{j}").alias("r"),
         )
+        for i, j in pairs
+    ]
     long = row.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
+    return _pair_report(long, with_p)
+
+
+def _pair_report(long: DataFrame, with_p: bool) -> DataFrame:
     out = long.select("var1", "var2", "n", rnd("r", 6).alias("pearson_r"), F.col("r").alias("_r"))
     if with_p:
-        t = F.col("_r") * F.sqrt((F.col("n") - 2) / (1 - F.col("_r") * F.col("_r")))
+        rest = 1 - F.col("_r") * F.col("_r")
+        t = F.col("_r") * F.sqrt(_per((F.col("n") - 2).cast("double"), F.when(rest > 0, rest)))
+        p = F.when(rest <= 0, F.lit(0.0)).otherwise(SP.t_pvalue(t, (F.col("n") - 2).cast("double")))
         out = (
-            out.withColumn("p_value", SP.t_pvalue(t, (F.col("n") - 2).cast("double")))
+            out.withColumn("p_value", rnd(p, 6))
             .withColumn("significant", F.col("p_value") < 0.05)
             .withColumn(
                 "stars",
@@ -283,32 +297,57 @@ def pearson_pairs(df: DataFrame, cols, with_p: bool = False, pairs=None) -> Data
     return out.drop("_r")
 
 
+def strong_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs of a report with p-values that are strong: |r| > 0.3 at p < 0.05."""
+    return pairs.where("strong").drop("strong")
+
+
 def top_pairs(pairs: DataFrame, k: int, col: str = "pearson_r") -> DataFrame:
     """Top-k pairs by absolute correlation (T3; ties by names)."""
     return pairs.orderBy(F.abs(F.col(col)).desc(), "var1", "var2").limit(k)
 
 
 def spearman_pairs(df: DataFrame, cols, n_buckets=None) -> DataFrame:
-    """Spearman rho for every pair: Pearson on average ranks.
+    """Spearman rho for every pair on its own complete rows: Pearson on average ranks.
 
-    Rows are those complete in all ``cols`` (listwise), so each column is
-    ranked once; ranks come from value histograms (hot values are one row).
+    The rows of all pairs are one long table; the ranks of both sides of every
+    pair come from one value histogram and one prefix over it.
     """
     from tidemark.session import materialize
 
-    base = df.select(F.monotonically_increasing_id().alias("_row"), *cols).dropna(subset=list(cols))
-    base = materialize(base)  # fixes _row ids and is read once per column
-    ranked = None
-    for i, c in enumerate(cols):
-        rk = W.average_rank(base.select("_row", c), c, f"_rk{i}", n_buckets=n_buckets).select("_row", f"_rk{i}")
-        ranked = rk if ranked is None else ranked.join(rk, "_row")
-    ranked = ranked.select(*[F.col(f"_rk{i}").alias(c) for i, c in enumerate(cols)])
-    out = pearson_pairs(ranked, list(cols))
-    return out.withColumnRenamed("pearson_r", "spearman_rho")
+    pairs = list(combinations(range(len(cols)), 2))
+    base = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = base.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(k).alias("pair"), F.col(f"c{i}").alias("x"), F.col(f"c{j}").alias("y"))
+                    for k, (i, j) in enumerate(pairs)
+                ]
+            )
+        ).alias("p")
+    ).select("p.*").where("x IS NOT NULL AND y IS NOT NULL")
+    rows = materialize(rows)
+    sides = rows.select(
+        "pair",
+        F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("value")) for s in ("x", "y")])).alias("s"),
+    ).select("pair", "s.side", "s.value")
+    ranks = materialize(
+        W.value_ranks(sides, "value", ["pair", "side"], n_buckets).select(
+            "pair", "side", "value", (F.col("_below") + (F.col("_cnt") + 1) / 2.0).alias("rank")
+        )
+    )
+    both = rows
+    for side in ("x", "y"):
+        of = ranks.where(F.col("side") == side).select("pair", F.col("value").alias(side), F.col("rank").alias(f"r{side}"))
+        both = both.join(of, ["pair", side])
+    per = both.groupBy("pair").agg(*correlation_aggs(F.col("rx"), F.col("ry"), "p"))
+    names = F.array(*[F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2")) for i, j in pairs])
+    named = per.select(F.get(names, F.col("pair")).alias("v"), F.col("n_p").cast("long").alias("n"), correlation_of("p").alias("r"))
+    return named.select("v.var1", "v.var2", "n", rnd("r", 6).alias("spearman_rho"))
 
 
-# Value-score weights and segment labels.
-VALUE_WEIGHTS = (0.4, 1000 * 0.3, 2000 * 0.3)
+# Segment labels.
 VALUE_SEGMENTS = ["High Value", "Medium Value", "Low Value", "At Risk"]
 
 
@@ -350,90 +389,62 @@ def segment_report(seg: DataFrame) -> DataFrame:
     )
 
 
-def revenue_concentration(seg: DataFrame, segment: str = "High Value", col: str = "monthly_revenue") -> DataFrame:
+def revenue_concentration(seg: DataFrame, segment: str = "High Value", column: str = "monthly_revenue") -> DataFrame:
     """Share of total revenue from one segment, in percent."""
-    d = _dec(F.col(col))
     row = seg.agg(
-        F.sum(F.when(F.col("value_segment") == segment, d)).cast("double").alias("seg"),
-        F.sum(d).cast("double").alias("tot"),
+        money_sum(F.when(F.col("value_segment") == segment, F.col(column))).cast("double").alias("seg"),
+        money_sum(column).cast("double").alias("tot"),
     )
-    return row.select(F.lit(segment).alias("segment"), rnd(F.lit(100.0) * F.col("seg") / F.col("tot"), 6).alias("revenue_share_pct"))
+    share = _per(F.lit(100.0) * F.col("seg"), F.col("tot"))
+    return row.select(F.lit(segment).alias("segment"), rnd(share, 6).alias("revenue_share_pct"))
 
 
 def prob_greater(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
     """P(mean_a > mean_b) under a normal approximation of the difference."""
     row = _two_group_row(df, value, group, a, b)
-    se = F.sqrt(var_of("a") / F.col("n_a") + var_of("b") / F.col("n_b"))
-    z = (mean_of("a") - mean_of("b")) / se
+    z = _per(mean_of("a") - mean_of("b"), F.sqrt(_welch_parts()[0]))
     return row.select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), rnd(SP.normal_cdf(z), 6).alias("prob_a_greater"))
 
 
-def _poisson_weights(h, b_ids, seed: int):
-    """Poisson(1) weights for rows x resamples from a counter-based hash (splitmix64)."""
-    import math
-
-    import numpy as np
-
-    x = (h[:, None].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (
-        b_ids[None, :].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(seed)
-    )
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    u = (x >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-    cdf, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(20):
-        acc += term
-        cdf.append(acc)
-        term /= k + 1
-    return np.searchsorted(np.array(cdf), u, side="right").astype(np.float64)
-
-
-def bootstrap_mean_diff(df: DataFrame, value: str, group: str, a: str, b: str, key: str = "customer_id",
-                        resamples: int = 10000, seed: int = 42, level: float = 0.95, chunk: int = 1024) -> DataFrame:
+def bootstrap_mean_diff(df: DataFrame, value: str, group: str, a: str, b: str,
+                        resamples: int = 10000, seed: int = 42, level: float = 0.95) -> DataFrame:
     """Bootstrap percentile CI of mean(a) - mean(b).
 
-    Poisson(1) resampling weights are a hash of (row key, resample, seed), so
-    every partitioning and every retried task gives the same resamples. Each
-    partition adds its weighted sums for all resamples with numpy
-    (``mapInPandas``: rows x resamples work, ``resamples`` rows out per
-    partition); one ``groupBy(resample)`` combines them. No resample is
-    materialised and no rows x resamples table is ever built.
+    The data is first a value histogram per group (combined on the map side); a
+    cell of c rows enters a resample Poisson(c) times, drawn by a generator
+    seeded with the cell alone, so every partitioning and every retried task
+    gives the same resamples. A task adds its cells' sums for all resamples and
+    returns one row per resample; one ``groupBy(resample)`` combines them.
     """
     import numpy as np
     import pandas as pd
 
-    rows = df.filter(F.col(group).isin(a, b) & F.col(value).isNotNull()).select(
-        F.xxhash64(F.col(key)).alias("h"), (F.col(group) == a).cast("int").alias("is_a"), F.col(value).cast("double").alias("v")
+    cells = (
+        df.select((F.col(group) == a).cast("int").alias("is_a"), number(value).alias("v"), F.col(group).alias("g"))
+        .where(F.col("g").isin(a, b) & F.col("v").isNotNull())
+        .groupBy("is_a", "v")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .select("is_a", "v", "c", F.xxhash64("is_a", "v", F.lit(seed)).alias("h"))
     )
-    B = resamples
 
     def part(it):
-        ids = np.arange(B, dtype=np.uint64)
-        acc = np.zeros((4, B))
+        acc = np.zeros((4, resamples))
         for pdf in it:
-            h = pdf["h"].to_numpy().astype(np.int64).view(np.uint64)
-            ga = pdf["is_a"].to_numpy() == 1
-            v = pdf["v"].to_numpy()
-            for s in range(0, len(pdf), chunk):
-                w = _poisson_weights(h[s:s + chunk], ids, seed)
-                m, vv = ga[s:s + chunk], v[s:s + chunk]
-                acc[0] += (w[m] * vv[m, None]).sum(0)
-                acc[1] += w[m].sum(0)
-                acc[2] += (w[~m] * vv[~m, None]).sum(0)
-                acc[3] += w[~m].sum(0)
-        yield pd.DataFrame({"b": np.arange(B, dtype=np.int64), "sa": acc[0], "wa": acc[1], "sb": acc[2], "wb": acc[3]})
-
-    partial = rows.mapInPandas(part, "b long, sa double, wa double, sb double, wb double")
+            for is_a, v, c, h in pdf.itertuples(index=False):
+                w = np.random.Generator(np.random.Philox(key=h % (1 << 63))).poisson(c, resamples)
+                at = 0 if is_a else 2
+                acc[at] += w * v
+                acc[at + 1] += w
+        yield pd.DataFrame({"b": np.arange(resamples, dtype=np.int64), "sa": acc[0], "wa": acc[1], "sb": acc[2], "wb": acc[3]})
+
+    partial = cells.mapInPandas(part, "b long, sa double, wa double, sb double, wb double")
     per = partial.groupBy("b").agg(*[F.sum(c).alias(c) for c in ("sa", "wa", "sb", "wb")])
-    diff = per.select((F.col("sa") / F.col("wa") - F.col("sb") / F.col("wb")).alias("d"))
+    diff = per.select((_per(F.col("sa"), F.col("wa")) - _per(F.col("sb"), F.col("wb"))).alias("d"))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    return diff.agg(
+    return diff.agg(  # one row per resample
         F.lit(a).alias("group_a"),
         F.lit(b).alias("group_b"),
-        F.lit(B).alias("resamples"),
+        F.lit(resamples).alias("resamples"),
         rnd(F.percentile("d", lo), 6).alias("ci_lower"),
         rnd(F.percentile("d", hi), 6).alias("ci_upper"),
     )
@@ -441,10 +452,18 @@ def bootstrap_mean_diff(df: DataFrame, value: str, group: str, a: str, b: str, k
 
 def ab_evaluation(df: DataFrame, variant: str, a: str, b: str, success: Column, value: str) -> DataFrame:
     """A/B evaluation (X7): pooled z-test on the success rate and Welch t-test on
-    ``value`` between variants; two one-row aggregates side by side."""
-    z = proportion_ztest(df, success, variant, a, b)
-    t = ttest(df, value, variant, a, b, equal_var=False).select(
-        F.col("mean_a").alias("value_mean_a"), F.col("mean_b").alias("value_mean_b"),
-        F.col("t_stat"), F.col("df").alias("t_df"),
+    ``value`` between variants, from one aggregate."""
+    g, v = F.col(variant), F.col(value)
+    row = df.agg(
+        *_proportion_aggs(success, g, a, b), *moment_aggs(F.when(g == a, v), "a"), *moment_aggs(F.when(g == b, v), "b")
+    )
+    error2, dof = _welch_parts()
+    return row.select(
+        F.lit(a).alias("group_a"),
+        F.lit(b).alias("group_b"),
+        *_proportion_columns()[:-1],
+        rnd(mean_of("a"), 6).alias("value_mean_a"),
+        rnd(mean_of("b"), 6).alias("value_mean_b"),
+        rnd(_per(mean_of("a") - mean_of("b"), F.sqrt(error2)), 6).alias("t_stat"),
+        rnd(dof, 6).alias("t_df"),
     )
-    return z.crossJoin(t)  # 1 row x 1 row

@@ -19,69 +19,53 @@ from tidemark.sources.fixtures import TRANSACTION_AS_OF
 HIGH_VALUE = 1000.0
 
 
-def exact_var_samp(c: str, scale: int = 6):
-    """Sample variance from exact DECIMAL sums (same value for any partitioning)."""
-    x = F.col(c).cast(f"decimal(18,{scale})")
-    n = F.count(c).cast("double")
-    s1 = F.sum(x).cast("double")
-    s2 = F.sum(x * x).cast("double")
-    return F.try_divide(s2 - s1 * s1 / n, n - 1)
-
-
-def exact_stddev_samp(c: str, scale: int = 6):
-    """Sample standard deviation; NULL for fewer than two values."""
-    return F.when(F.count(c) > 1, F.sqrt(F.greatest(F.lit(0.0), exact_var_samp(c, scale))))
-
-
 def ntz_micros(c) -> "F.Column":
     """Microseconds since 1970-01-01 of a wall-clock timestamp (time-zone independent)."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz"))
 
 
-def transaction_metrics(tx: DataFrame) -> DataFrame:
-    """Count, mean, volatility, tenure days and active months per customer."""
+def _metric_aggs() -> list:
     ts = F.col("transaction_date").cast("timestamp_ntz")
-    return tx.groupBy("customer_id").agg(
+    days = F.floor((ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(86_400_000_000))
+    return [
         F.count(F.lit(1)).alias("transaction_count"),
         rnd(money_avg("transaction_amount"), 6).alias("avg_transaction"),
-        rnd(exact_stddev_samp("transaction_amount", 2), 6).alias("transaction_volatility"),
-        F.floor((ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(86_400_000_000)).cast("long").alias(
-            "customer_tenure"
-        ),
+        rnd(F.stddev_samp("transaction_amount"), 4).alias("transaction_volatility"),
+        days.cast("long").alias("customer_tenure"),
         F.count_distinct(F.trunc(ts.cast("date"), "month")).alias("active_months"),
-    )
+    ]
+
+
+def transaction_metrics(tx: DataFrame) -> DataFrame:
+    """Count, mean, volatility, tenure days and active months per customer."""
+    return tx.groupBy("customer_id").agg(*_metric_aggs())
 
 
 def transaction_behaviour(tx: DataFrame, high: float = HIGH_VALUE, n_buckets: int | None = None) -> DataFrame:
     """Per-transaction behaviour joined to customer metrics.
 
     ``recency_rank`` orders by (date desc, id desc); ``prev_transaction`` is
-    the amount of the previous transaction in (date, id) order — the next row
-    in recency order, found by an equi-join on (customer, rank + 1).
+    the amount of the previous transaction, the following row in that order
+    (inside a bucket, or the first row of the next one). All metrics of a
+    customer come from one aggregate; both sides of the one join are tables, so
+    adaptive execution splits a hot customer's rows.
     """
-    t = tx.select(
-        "customer_id",
-        "transaction_id",
-        "transaction_date",
-        "transaction_amount",
-        (-ntz_micros("transaction_date")).alias("_neg_ts"),
-        (-F.col("transaction_id")).alias("_neg_id"),
-    )
-    ranked = W.global_row_number(
-        t, ["_neg_ts", "_neg_id"], "recency_rank", partition_cols=("customer_id",), n_buckets=n_buckets
-    ).drop("_neg_ts", "_neg_id")
-    nxt = ranked.select(
-        "customer_id",
-        (F.col("recency_rank") - 1).alias("recency_rank"),
-        F.col("transaction_amount").alias("prev_transaction"),
+    from tidemark.session import materialize
+
+    t = tx.select("customer_id", "transaction_id", "transaction_date", "transaction_amount")
+    order = ["transaction_date", "transaction_id"]
+    ranked = materialize(
+        W.global_prefix(
+            t, order, (), ("customer_id",), order, "recency_rank", n_buckets, lags=("transaction_amount",)
+        ).withColumnRenamed("next_transaction_amount", "prev_transaction")
     )
-    per_customer = tx.groupBy("customer_id").agg(count_when(F.col("transaction_amount") > high).alias("high_value_transactions"))
-    out = (
-        ranked.join(nxt, ["customer_id", "recency_rank"], "left")
-        .join(per_customer, "customer_id")
-        .join(transaction_metrics(tx), "customer_id")
+    per_customer = materialize(
+        ranked.groupBy("customer_id").agg(
+            count_when(F.col("transaction_amount") > high).alias("high_value_transactions"), *_metric_aggs()
+        )
     )
+    out = W.null_safe_join(ranked, per_customer, ["customer_id"])
     return out.select(
         "customer_id",
         "transaction_id",
@@ -117,7 +101,7 @@ def rfm(tx: DataFrame, lineitem: DataFrame, as_of: str = TRANSACTION_AS_OF, n_bu
         F.count(F.lit(1)).alias("frequency"),
         money_sum("transaction_amount").alias("_monetary"),
         rnd(money_avg("transaction_amount"), 6).alias("avg_transaction"),
-        rnd(exact_stddev_samp("transaction_amount", 2), 6).alias("transaction_volatility"),
+        rnd(F.stddev_samp("transaction_amount"), 4).alias("transaction_volatility"),
     )
     base = base.join(product_diversity(tx, lineitem), "customer_id", "left").select(
         "customer_id",
@@ -129,20 +113,7 @@ def rfm(tx: DataFrame, lineitem: DataFrame, as_of: str = TRANSACTION_AS_OF, n_bu
         F.coalesce("product_diversity", F.lit(0)).alias("product_diversity"),
         (-F.col("recency")).alias("_neg_recency"),
     )
-    from tidemark.session import materialize
-
-    base = materialize(base)
-    # Each score is an independent bucketed NTILE over the checkpointed base,
-    # joined back on the key (no chain of windows re-reading each other).
-    scores = [
-        W.global_ntile(base.select("customer_id", "_neg_recency"), ["_neg_recency", "customer_id"], 5, "r_score",
-                       n_buckets=n_buckets).select("customer_id", "r_score"),
-        W.global_ntile(base.select("customer_id", "frequency"), ["frequency", "customer_id"], 5, "f_score",
-                       n_buckets=n_buckets).select("customer_id", "f_score"),
-        W.global_ntile(base.select("customer_id", "monetary"), ["monetary", "customer_id"], 5, "m_score",
-                       n_buckets=n_buckets).select("customer_id", "m_score"),
-    ]
-    out = base.drop("_neg_recency")
-    for sc in scores:
-        out = out.join(sc, "customer_id")
-    return out
+    # three NTILEs, each carrying the columns before it: no join back
+    for measure, out in (("_neg_recency", "r_score"), ("frequency", "f_score"), ("monetary", "m_score")):
+        base = W.global_ntile(base, [measure, "customer_id"], 5, out, n_buckets=n_buckets)
+    return base.drop("_neg_recency")

@@ -105,6 +105,32 @@ def q_customer_trends(spark, sf_dir):
     return customer_trends(clean(spark, sf_dir))
 
 
+@register("customer_trends_snapshots", O.snapshots_trends_sql)
+def q_customer_trends_snapshots(spark, sf_dir):
+    """The trend report where every customer has two snapshots, 31 days apart."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.features import customer_trends
+
+    now = clean(spark, sf_dir)
+    later = now.withColumns(
+        {
+            "signup_date": F.date_add("signup_date", 31),
+            "cleaned_monthly_revenue": F.col("cleaned_monthly_revenue") * 2,
+        }
+    )
+    return customer_trends(now.unionByName(later))
+
+
+@register("lifecycle_metrics", O.lifecycle_metrics_sql)
+def q_lifecycle_metrics(spark, sf_dir):
+    from tidemark.operators.cohorts import lifecycle_metrics
+
+    return lifecycle_metrics(clean(spark, sf_dir)).select(
+        "customer_id", "lifecycle_stage", "churn_risk_category", "usage_level", "revenue_quartile"
+    )
+
+
 @register("business_rollup", O.business_rollup_sql)
 def q_business_rollup(spark, sf_dir):
     from tidemark.operators.features import business_rollup
@@ -208,17 +234,17 @@ def _stats(fn_name, *args, **kwargs):
 register("ttest_premium_basic", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic"))(
     _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic")
 )
-register("ttest_premium_basic_report")(_stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", with_p=True))
+register("ttest_premium_basic_report", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic", with_p=True))(_stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", with_p=True))
 register("welch_premium_basic", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic", False))(
     _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", equal_var=False)
 )
-register("welch_premium_basic_report")(
+register("welch_premium_basic_report", lambda: OS.ttest_sql("monthly_revenue", TIER, "Premium", "Basic", False, with_p=True))(
     _stats("ttest", "monthly_revenue", TIER, "Premium", "Basic", equal_var=False, with_p=True)
 )
 register("anova_churn_by_industry", lambda: OS.anova_sql("churn_risk_score", "industry"))(
     _stats("anova", "churn_risk_score", "industry")
 )
-register("anova_churn_by_industry_report")(_stats("anova", "churn_risk_score", "industry", with_p=True))
+register("anova_churn_by_industry_report", lambda: OS.anova_sql("churn_risk_score", "industry", with_p=True))(_stats("anova", "churn_risk_score", "industry", with_p=True))
 register(
     "anova_revenue_by_tier", lambda: OS.anova_sql("monthly_revenue", TIER, ["Basic", "Premium", "Enterprise"])
 )(_stats("anova", "monthly_revenue", TIER, ["Basic", "Premium", "Enterprise"]))
@@ -234,7 +260,7 @@ def _raw_stats(fn_name, *args, **kwargs):
 register("chi2_referral_activation", lambda: OS.chi2_sql("referral_source", "activation_completed"))(
     _raw_stats("chi2_independence", "referral_source", "activation_completed")
 )
-register("chi2_referral_activation_report")(
+register("chi2_referral_activation_report", lambda: OS.chi2_sql("referral_source", "activation_completed", with_p=True))(
     _raw_stats("chi2_independence", "referral_source", "activation_completed", with_p=True)
 )
 
@@ -251,18 +277,24 @@ def _ztest(with_p):
 
 
 register("ztest_activation_premium_basic", lambda: OS.ztest_sql(TIER, "Premium", "Basic"))(_ztest(False))
-register("ztest_activation_premium_basic_report")(_ztest(True))
+register("ztest_activation_premium_basic_report", lambda: OS.ztest_sql(TIER, "Premium", "Basic", with_p=True))(_ztest(True))
 register(
     "cohens_d_satisfaction", lambda: OS.cohens_d_sql("customer_satisfaction_score", TIER, "Enterprise", "Basic")
 )(_stats("cohens_d", "customer_satisfaction_score", TIER, "Enterprise", "Basic"))
 register(
     "cohens_d_revenue_avgvar", lambda: OS.cohens_d_sql("monthly_revenue", TIER, "Premium", "Basic", True)
 )(_stats("cohens_d", "monthly_revenue", TIER, "Premium", "Basic", average_variance=True))
-register("mean_ci_key_metrics")(
-    _stats("mean_ci", ["monthly_revenue", "churn_risk_score", "customer_satisfaction_score"])
-)
+KEY_METRICS = ["monthly_revenue", "churn_risk_score", "customer_satisfaction_score"]
+register("mean_ci_key_metrics", lambda: OS.mean_ci_sql(KEY_METRICS))(_stats("mean_ci", KEY_METRICS))
 register("pearson_pairs", lambda: OS.pearson_sql(CORR_VARS))(_stats("pearson_pairs", CORR_VARS))
-register("pearson_pairs_report")(_stats("pearson_pairs", CORR_VARS, with_p=True))
+register("pearson_pairs_report", lambda: OS.pearson_sql(CORR_VARS, with_p=True))(_stats("pearson_pairs", CORR_VARS, with_p=True))
+
+
+@register("pearson_strong_pairs", lambda: OS.pearson_sql(CORR_VARS_11, with_p=True, strong=True))
+def q_pearson_strong(spark, sf_dir):
+    from tidemark.operators import stats
+
+    return stats.strong_pairs(stats.pearson_pairs(clean(spark, sf_dir), CORR_VARS_11, with_p=True))
 
 
 def _top(kind, cols, k):
@@ -296,11 +328,11 @@ register("value_segments", OS.value_segments_sql)(_seg("value_segments"))
 register("segment_report", OS.segment_report_sql)(_seg("segment_report"))
 register("segment_ttest", OS.segment_ttest_sql)(_seg("ttest", "monthly_revenue", "value_segment", "High Value", "At Risk"))
 register("revenue_concentration", OS.revenue_concentration_sql)(_seg("revenue_concentration"))
-register("prob_premium_greater")(_stats("prob_greater", "monthly_revenue", TIER, "Premium", "Basic"))
+register("prob_premium_greater", lambda: OS.prob_greater_sql("monthly_revenue", TIER, "Premium", "Basic"))(_stats("prob_greater", "monthly_revenue", TIER, "Premium", "Basic"))
 
 
 # --- chart data --------------------------------------------------------------
-HIST_COLS = ["monthly_revenue", "churn_risk_score", "total_sessions", "annual_contract_value"]
+HIST_COLS = OQ.NUM_COLS
 
 
 @register("histogram", lambda: OQ.histogram_sql(HIST_COLS))
@@ -317,7 +349,7 @@ def q_box_stats(spark, sf_dir):
     return box_stats(clean(spark, sf_dir), "monthly_revenue", "standardized_subscription_tier")
 
 
-@register("sample_points")
+@register("sample_points", lambda: OQ.sample_points_sql(0.2))
 def q_sample_points(spark, sf_dir):
     from tidemark.operators.chartdata import sample_points
 
@@ -352,7 +384,7 @@ def _seg_scaled(spark, sf_dir):
     return feat, materialize(S.standardize(feat))
 
 
-@register("segmentation_features")
+@register("segmentation_features", OS.segmentation_features_sql)
 def q_segmentation_features(spark, sf_dir):
     from tidemark.operators.segmentation import segmentation_features
 
@@ -370,56 +402,103 @@ def q_target_correlation(spark, sf_dir):
 def q_kmeans_sweep(spark, sf_dir):
     from tidemark.operators.segmentation import sweep_k
 
-    return sweep_k(_seg_scaled(spark, sf_dir)[1], range(2, 11), 42, n_init=2)
+    return sweep_k(_seg_scaled(spark, sf_dir)[1])
 
 
-def _labeled(spark, sf_dir, k=5):
-    from tidemark.operators.segmentation import fit_cluster
+@register("segmentation_job")
+def q_segmentation_job(spark, sf_dir):
+    """The whole job: k from the sweep, the best algorithm, names on the customers (a row per named cluster)."""
+    from pyspark.sql import functions as F
 
-    return fit_cluster(_seg_scaled(spark, sf_dir)[1], "kmeans", k)
+    from tidemark.operators.segmentation import segment_customers
+
+    job = segment_customers(customer_profile(spark, sf_dir))
+    per = job["customers"].groupBy("cluster", "cluster_name").agg(F.count(F.lit(1)).alias("customers"))
+    hv = job["high_value"].select(
+        F.col("customers").alias("high_value_customers"), F.col("revenue_share_pct").alias("high_value_revenue_pct")
+    )
+    return per.crossJoin(F.broadcast(hv)).withColumn("k", F.lit(job["k"]))
 
 
 @register("clustering_comparison")
 def q_clustering_comparison(spark, sf_dir):
-    from tidemark.operators.segmentation import compare_clusterings
+    from tidemark.operators.segmentation import best_k, compare_clusterings, sweep_k
+
+    scaled = _seg_scaled(spark, sf_dir)[1]
+    return compare_clusterings(scaled, best_k(sweep_k(scaled)))
 
-    return compare_clusterings(_seg_scaled(spark, sf_dir)[1], 5)
 
+def _by_rule(spark, sf_dir):
+    """Clusters by a rule on usage and risk, which SQL can state too (the fitted ones are in segmentation_job)."""
+    from pyspark.sql import functions as F
 
-@register("cluster_profiles")
+    from tidemark.operators.segmentation import segmentation_features
+
+    f = segmentation_features(customer_profile(spark, sf_dir))
+    rich = (F.col("monthly_revenue") > 100).cast("int")
+    risky = F.coalesce(F.col("churn_risk_score") > 0.5, F.lit(False)).cast("int")
+    return f.withColumn("cluster", 2 * rich + risky)
+
+
+@register("cluster_profiles", OS.cluster_profiles_sql)
 def q_cluster_profiles(spark, sf_dir):
     from tidemark.operators.segmentation import profile_clusters
 
-    return profile_clusters(_labeled(spark, sf_dir))
+    return profile_clusters(_by_rule(spark, sf_dir))
 
 
-@register("cluster_names")
+@register("cluster_names", OS.cluster_names_sql)
 def q_cluster_names(spark, sf_dir):
     from tidemark.operators.segmentation import name_clusters
 
-    return name_clusters(_labeled(spark, sf_dir))
+    return name_clusters(_by_rule(spark, sf_dir))
+
+
+@register("named_customers", OS.named_customers_sql)
+def q_named_customers(spark, sf_dir):
+    from tidemark.operators.segmentation import name_clusters, name_customers
 
+    labeled = _by_rule(spark, sf_dir)
+    return name_customers(labeled, name_clusters(labeled)).select("customer_id", "cluster", "cluster_name", "high_value")
 
-@register("cluster_radar")
+
+@register("high_value_clusters", OS.high_value_sql)
+def q_high_value_clusters(spark, sf_dir):
+    from tidemark.operators.segmentation import high_value_summary, name_clusters
+
+    return high_value_summary(name_clusters(_by_rule(spark, sf_dir)))
+
+
+@register("cluster_radar", OS.radar_sql)
 def q_cluster_radar(spark, sf_dir):
     from tidemark.operators.chartdata import radar_metrics
     from tidemark.operators.segmentation import name_clusters
 
-    return radar_metrics(name_clusters(_labeled(spark, sf_dir)))
+    labeled = _by_rule(spark, sf_dir)
+    return radar_metrics(labeled, name_clusters(labeled))
 
 
 @register("pca_projection")
 def q_pca_projection(spark, sf_dir):
+    from pyspark.sql import functions as F
+
     from tidemark.operators.segmentation import pca_project
 
-    return pca_project(_seg_scaled(spark, sf_dir)[1])[0]
+    points, explained = pca_project(_seg_scaled(spark, sf_dir)[1])
+    return points.select("*", *[F.lit(v).alias(f"explained_{i + 1}") for i, v in enumerate(explained)])
 
 
 @register("pca_kmeans")
 def q_pca_kmeans(spark, sf_dir):
-    from tidemark.operators.segmentation import pca_kmeans
+    """k sweep on the principal components of the RFM features and product diversity."""
+    from tidemark.operators.segmentation import pca_kmeans, standardize
+    from tidemark.operators.transactions import rfm
+    from tidemark.session import materialize
+    from tidemark.sources.tables import read_table
 
-    return pca_kmeans(_seg_scaled(spark, sf_dir)[1])
+    table = rfm(tx(spark, sf_dir), read_table(spark, sf_dir, "lineitem")).fillna(0.0, ["transaction_volatility"])
+    cols = ["recency", "frequency", "monetary", "avg_transaction", "transaction_volatility", "product_diversity"]
+    return pca_kmeans(materialize(standardize(table, cols)))
 
 
 # --- churn (ML) ----------------------------------------------------------------
@@ -433,14 +512,14 @@ def _churn_split(spark, sf_dir):
     return feat, materialize(stratified_split(feat))
 
 
-@register("churn_features")
+@register("churn_features", OS.churn_features_sql)
 def q_churn_features(spark, sf_dir):
     from tidemark.operators.churn import CHURN_FEATURES, churn_features
 
     return churn_features(customer_profile(spark, sf_dir)).select("customer_id", "churn_target", *CHURN_FEATURES)
 
 
-@register("churn_split")
+@register("churn_split", OS.churn_split_sql)
 def q_churn_split(spark, sf_dir):
     from pyspark.sql import functions as F
 
@@ -480,14 +559,41 @@ def q_churn_scores(spark, sf_dir):
     return score_customers(model, feat)
 
 
-@register("churn_business_impact")
+@register("churn_importance")
+def q_churn_importance(spark, sf_dir):
+    """Impurity and permutation importance of the forest's features on the test split."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.churn import CHURN_FEATURES, feature_importance, permutation_importance
+
+    _, split, model = _rf_model(spark, sf_dir)
+    test = split.filter(F.col("is_test"))
+    return feature_importance(model, CHURN_FEATURES).join(permutation_importance(model, test, CHURN_FEATURES), "feature")
+
+
+@register("churn_job")
+def q_churn_job(spark, sf_dir):
+    """The whole job, up to the evaluation of the tuned model (a row per grid point of the best model)."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.churn import predict_churn
+
+    job = predict_churn(customer_profile(spark, sf_dir))
+    return job["tuning"].crossJoin(F.broadcast(job["auc"])).crossJoin(F.broadcast(job["impact"])).withColumn(
+        "n_features", F.lit(len(job["selected"]))
+    )
+
+
+@register("churn_business_impact", OS.business_impact_sql)
 def q_churn_business_impact(spark, sf_dir):
+    """Impact with a rule's predictions (no login for 30 days); the fitted model's is in churn_job."""
     from pyspark.sql import functions as F
 
-    from tidemark.operators.churn import business_impact
+    from tidemark.operators.churn import business_impact, churn_features
 
-    feat, split, model = _rf_model(spark, sf_dir)
-    return business_impact(feat, model.transform(split.filter(F.col("is_test"))))
+    feat = churn_features(customer_profile(spark, sf_dir))
+    rule = (F.col("days_since_last_login") > 30).cast("int").alias("prediction")
+    return business_impact(feat, feat.select("churn_target", rule))
 
 
 # Metric operators on a rule-based scorer over the data (SQL-checkable):
@@ -542,14 +648,21 @@ def q_event_features(spark, sf_dir):
     return event_features(read_table(spark, sf_dir, "events"))
 
 
-@register("event_features_stream")  # append mode: only windows closed by the watermark are emitted
+@register("event_features_stream", OQ.event_scores_sql)
 def q_event_features_stream(spark, sf_dir):
     from tidemark.streaming.features import run_event_features_stream
 
     return run_event_features_stream(spark, sf_dir)
 
 
-@register("session_features")
+@register("event_alerts_stream", OQ.event_alerts_sql)
+def q_event_alerts_stream(spark, sf_dir):
+    from tidemark.streaming.features import alerts, run_event_features_stream
+
+    return alerts(run_event_features_stream(spark, sf_dir))
+
+
+@register("session_features", OQ.session_features_sql)
 def q_session_features(spark, sf_dir):
     from tidemark.sources.tables import read_table
     from tidemark.streaming.features import session_features
@@ -572,6 +685,13 @@ def q_psi(spark, sf_dir):
     return psi(c.filter(cut), c.filter(~cut), PSI_COLS)
 
 
+@register("seasonality", OT.seasonality_sql)
+def q_seasonality(spark, sf_dir):
+    from tidemark.operators.monitoring import seasonality_index
+
+    return seasonality_index(tx(spark, sf_dir))
+
+
 @register("revenue_trend", OT.revenue_trend_sql)
 def q_revenue_trend(spark, sf_dir):
     from tidemark.operators.monitoring import revenue_trend
@@ -601,7 +721,7 @@ def q_ab_retention_offer(spark, sf_dir):
                          F.col("retained_month_1") == 1, "cleaned_monthly_revenue")
 
 
-@register("density_revenue")
+@register("density_revenue", lambda: OQ.density_sql("monthly_revenue"))
 def q_density_revenue(spark, sf_dir):
     from tidemark.operators.chartdata import density
 

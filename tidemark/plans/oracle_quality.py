@@ -1,72 +1,82 @@
-"""DuckDB oracles for the quality / profiling reports."""
+"""DuckDB oracles for the quality / profiling reports, chart data and event features."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from tidemark.plans.oracle import draw, mean, pct, position_quantile, r, with_base
 
-from tidemark.functions.exprs import money_avg_sql as mavg
-from tidemark.functions.exprs import rnd_sql as r
-from tidemark.operators.quality import NUMERIC, QUALITY_RULES
-from tidemark.plans.oracle import pct, with_base
-from tidemark.sources.tables import CUSTOMER_SCHEMA
+mavg = mean
 
-RAW_COLS = [f.name for f in CUSTOMER_SCHEMA.fields]
-NUM_COLS = [f.name for f in CUSTOMER_SCHEMA.fields if isinstance(f.dataType, NUMERIC)]
-STR_COLS = [f.name for f in CUSTOMER_SCHEMA.fields if isinstance(f.dataType, T.StringType)]
+# Columns of the customer table by kind, and the validity rules of the quality report.
+NUM_COLS = [
+    "customer_id", "age", "company_size", "monthly_revenue", "feature_usage_score", "churn_risk_score",
+    "customer_satisfaction_score", "activation_completed", "transaction_volume", "support_tickets", "days_since_last_login",
+    "total_sessions", "avg_session_duration", "api_calls_per_month", "integration_count", "team_size",
+    "annual_contract_value", "onboarding_completion_rate", "feature_adoption_score",
+]
+STR_COLS = ["industry", "subscription_tier", "payment_method", "referral_source", "location"]
+RAW_COLS = [*NUM_COLS, *STR_COLS, "signup_date"]
+VALID = {
+    "customer_id": "COUNT(*) = COUNT(DISTINCT customer_id)",
+    "monthly_revenue": "COUNT(*) FILTER (monthly_revenue < 0) = 0",
+    "churn_risk_score": "COUNT(*) FILTER (churn_risk_score < 0 OR churn_risk_score > 1) = 0",
+    "customer_satisfaction_score": "COUNT(*) FILTER (customer_satisfaction_score < 1 OR customer_satisfaction_score > 5) = 0",
+}
+
+
+def median_list(c: str) -> str:
+    """The sorted list of a column's values."""
+    return f"LIST(CAST({c} AS DOUBLE) ORDER BY {c}) FILTER ({c} IS NOT NULL)"
 
 
 def quality_report_sql() -> str:
-    parts = []
-    for c, kind, lo, hi in QUALITY_RULES:
-        if kind == "unique":
-            ok = f"COUNT(*) = COUNT(DISTINCT {c})"
-        else:
-            conds = []
-            if lo is not None:
-                conds.append(f"MIN({c}) >= {lo}")
-            if hi is not None:
-                conds.append(f"MAX({c}) <= {hi}")
-            ok = " AND ".join(conds)
-        parts.append(
-            f"SELECT '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS total_records, CAST(COUNT({c}) AS BIGINT) AS non_null_count, "
-            f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_count, {r(pct(f'COUNT({c})', 'COUNT(*)'), 2)} AS completeness_pct, "
-            f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS uniqueness_check FROM cust"
-        )
-    return with_base("SELECT * FROM (" + " UNION ALL ".join(parts) + ") q ORDER BY completeness_pct DESC")
+    parts = [
+        f"SELECT '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS total_records, CAST(COUNT({c}) AS BIGINT) AS non_null_count, "
+        f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_count, {r(pct(f'COUNT({c})', 'COUNT(*)'), 2)} AS completeness_pct, "
+        f"IF({ok}, 'PASS', 'FAIL') AS uniqueness_check FROM cust"
+        for c, ok in VALID.items()
+    ]
+    return with_base("SELECT * FROM (" + " UNION ALL ".join(parts) + ") q")
 
 
 def outlier_report_sql() -> str:
-    ctes = """
-rq AS (SELECT quantile_cont(monthly_revenue, 0.25) AS q1, quantile_cont(monthly_revenue, 0.75) AS q3 FROM cust),
-oa AS (SELECT c.*, CASE WHEN c.monthly_revenue < (q.q1 - 1.5 * (q.q3 - q.q1)) OR c.monthly_revenue > (q.q3 + 1.5 * (q.q3 - q.q1))
-                        THEN 'OUTLIER' ELSE 'NORMAL' END AS revenue_outlier_flag
-       FROM cust c CROSS JOIN rq q)"""
-    body = f"""
-SELECT revenue_outlier_flag, CAST(COUNT(*) AS BIGINT) AS customer_count,
-  {r(pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()'), 2)} AS percentage,
-  {r(mavg('monthly_revenue'), 2)} AS avg_revenue,
-  {r('MIN(monthly_revenue)', 2)} AS min_revenue, {r('MAX(monthly_revenue)', 2)} AS max_revenue
-FROM oa GROUP BY revenue_outlier_flag ORDER BY revenue_outlier_flag"""
-    return with_base(body, ctes)
+    """The two kinds counted one by one, against fences from the sorted list of revenues."""
+    v = "vals"
+    fences = f"""fences AS (SELECT total, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM
+  (SELECT {position_quantile(v, 0.25)} AS q1, {position_quantile(v, 0.75)} AS q3, total
+   FROM (SELECT {median_list("monthly_revenue")} AS vals, COUNT(*) AS total FROM cust) l) q)"""
+    parts = [
+        f"""SELECT '{name}' AS revenue_outlier_flag, CAST(COUNT(*) AS BIGINT) AS customer_count,
+  {r("100.0 * COUNT(*) / ANY_VALUE(total)", 2)} AS percentage, {r(mean("monthly_revenue"), 2)} AS avg_revenue,
+  {r("MIN(monthly_revenue)", 2)} AS min_revenue, {r("MAX(monthly_revenue)", 2)} AS max_revenue
+FROM cust, fences WHERE {keep} HAVING COUNT(*) > 0"""
+        for name, keep in (
+            ("NORMAL", "monthly_revenue IS NULL OR monthly_revenue BETWEEN low AND high"),
+            ("OUTLIER", "monthly_revenue NOT BETWEEN low AND high"),
+        )
+    ]
+    return with_base(" UNION ALL ".join(parts), fences)
 
 
 def cleaning_summary_sql() -> str:
-    body = f"""
+    """Corrections by comparing raw and clean columns; the stages' shares from a total looked up apart."""
+    pairs = {"age": "cleaned_age", "revenue": "cleaned_monthly_revenue", "industry": "standardized_industry"}
+    raw = {"age": "age", "revenue": "monthly_revenue", "industry": "industry"}
+    count = {k: f"COUNT(*) FILTER ({raw[k]} IS NOT NULL AND {c} IS DISTINCT FROM {raw[k]})" for k, c in pairs.items()}
+    rate = {k: r(pct(c, "COUNT(*)"), 2) for k, c in count.items()}
+    number = lambda k: f"CAST({count[k]} AS BIGINT)"
+    return with_base(
+        f"""
 SELECT 'Data Cleaning Summary' AS report_section, CAST(COUNT(*) AS BIGINT) AS total_records,
-  CAST(SUM(age_was_cleaned) AS BIGINT) AS age_corrections, CAST(SUM(revenue_was_cleaned) AS BIGINT) AS revenue_corrections,
-  CAST(SUM(industry_was_standardized) AS BIGINT) AS industry_standardizations,
-  {r(pct('SUM(age_was_cleaned)', 'COUNT(*)'), 2)} AS age_correction_rate,
-  {r(pct('SUM(revenue_was_cleaned)', 'COUNT(*)'), 2)} AS revenue_correction_rate,
-  {r(pct('SUM(industry_was_standardized)', 'COUNT(*)'), 2)} AS industry_standardization_rate
-FROM clean
-UNION ALL
-SELECT 'Lifecycle Distribution', CAST(COUNT(*) AS BIGINT), NULL, NULL, NULL, NULL, NULL, NULL FROM clean
-UNION ALL
-SELECT customer_lifecycle_stage, CAST(COUNT(*) AS BIGINT), NULL, NULL, NULL,
-  {r(pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()'), 2)}, NULL, NULL
-FROM clean GROUP BY customer_lifecycle_stage
-ORDER BY report_section, total_records DESC"""
-    return with_base(body)
+  {number("age")} AS age_corrections, {number("revenue")} AS revenue_corrections,
+  {number("industry")} AS industry_standardizations, {rate["age"]} AS age_correction_rate,
+  {rate["revenue"]} AS revenue_correction_rate, {rate["industry"]} AS industry_standardization_rate FROM clean
+UNION ALL BY NAME
+SELECT 'Lifecycle Distribution' AS report_section, CAST(COUNT(*) AS BIGINT) AS total_records FROM clean
+UNION ALL BY NAME
+SELECT customer_lifecycle_stage AS report_section, CAST(COUNT(*) AS BIGINT) AS total_records,
+  {r(pct("COUNT(*)", "(SELECT COUNT(*) FROM clean)"), 2)} AS age_correction_rate
+FROM clean GROUP BY customer_lifecycle_stage"""
+    )
 
 
 def lifecycle_distribution_sql() -> str:
@@ -137,7 +147,7 @@ def univariate_sql() -> str:
         m2 = f"AVG(POWER({c} - {m}, 2))"
         m3 = f"AVG(POWER({c} - {m}, 3))"
         parts.append(
-            f"SELECT '{c}' AS column_name, {r(f'AVG({c})', 6)} AS mean, {r(f'MEDIAN({c})', 6)} AS median, "
+            f"SELECT '{c}' AS column_name, {r(f'AVG({c})', 6)} AS mean, {r(position_quantile('(' + median_list(c) + ')', 0.5), 6)} AS median, "
             f"{r(f'STDDEV_SAMP({c})', 6)} AS std, {r(f'{m3} / POWER({m2}, 1.5)', 6)} AS skewness FROM cust"
         )
     return with_base(" UNION ALL ".join(parts))
@@ -280,13 +290,55 @@ c AS (SELECT pos, neg, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDI
     return with_base(f"SELECT {r('SUM(neg / N * (2 * cp - pos) / (2 * P))', 6)} AS roc_auc FROM c", ctes)
 
 
+EVENTS_CTE = f"""feat AS (SELECT DATE_TRUNC('day', ts) AS window_start, DATE_TRUNC('day', ts) + INTERVAL 1 DAY AS window_end, user_id,
+  CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(*) FILTER (event_type = 'login') AS BIGINT) AS logins,
+  CAST(COUNT(DISTINCT event_type) AS BIGINT) AS event_types, CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value_sum,
+  {r("CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value)", 6)} AS value_avg
+  FROM events GROUP BY ALL)"""
+RISK = r("0.5 * IF(logins > 0, 0.0, 1.0) + 0.3 * (1.0 / (1 + events)) + 0.2 * (1.0 / (1 + event_types))", 6)
+
+
 def event_features_sql() -> str:
+    return f"WITH {EVENTS_CTE} SELECT * FROM feat"
+
+
+def event_scores_sql() -> str:
+    return f"WITH {EVENTS_CTE} SELECT *, {RISK} AS churn_probability FROM feat"
+
+
+def event_alerts_sql() -> str:
+    return f"WITH {EVENTS_CTE} SELECT window_start, user_id, {RISK} AS churn_probability FROM feat WHERE {RISK} > 0.7"
+
+
+def session_features_sql() -> str:
+    """A session starts where no event of the user lies in the 30 minutes before."""
+    return """
+WITH e AS (SELECT user_id, ts, ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE AS gap FROM events),
+s AS (SELECT user_id, ts, SUM(IF(gap IS NULL OR gap, 1, 0)) OVER (PARTITION BY user_id ORDER BY ts, gap ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, user_id, CAST(COUNT(*) AS BIGINT) AS events
+FROM s GROUP BY user_id, k"""
+
+
+def sample_points_sql(fraction: float) -> str:
+    key = "(CAST(customer_id AS VARCHAR) || '/' || standardized_subscription_tier)"
+    return with_base(
+        "SELECT customer_id, monthly_revenue, feature_usage_score, customer_satisfaction_score, standardized_subscription_tier, "
+        f"company_size FROM clean WHERE {draw(key, 0)} < {fraction}"
+    )
+
+
+def density_sql(c: str, grid: int = 200, bins: int = 512) -> str:
+    """The kernel sum over every pair of grid point and histogram cell."""
+    ctes = f"""st AS (SELECT MIN({c}) AS mn, MAX({c}) AS mx, COUNT({c}) AS n, STDDEV_SAMP({c}) AS sd FROM cust),
+cell AS (SELECT LEAST({bins - 1}, CAST(FLOOR(({c} - mn) / ((mx - mn) / {bins})) AS INTEGER)) AS bin, COUNT(*) AS c
+  FROM cust, st WHERE {c} IS NOT NULL GROUP BY 1),
+pts AS (SELECT i, mn + i * (mx - mn) / {grid - 1} AS x, sd * POWER(n, -0.2) AS bw, n, mn, (mx - mn) / {bins} AS w FROM st, range({grid}) g(i))"""
+    z = "((x - (mn + (bin + 0.5) * w)) / bw)"
     return with_base(
-        "SELECT DATE_TRUNC('day', ts) AS window_start, DATE_TRUNC('day', ts) + INTERVAL 1 DAY AS window_end, user_id, "
-        "CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(CASE WHEN event_type = 'login' THEN 1 END) AS BIGINT) AS logins, "
-        "CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value_sum, "
-        f"{r('CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value)', 6)} AS value_avg "
-        "FROM events GROUP BY DATE_TRUNC('day', ts), user_id"
+        f"""SELECT '{c}' AS column_name, {r("ANY_VALUE(x)", 6)} AS x,
+  CAST(ROUND(SUM(c * EXP(-0.5 * {z} * {z})) / (ANY_VALUE(n) * ANY_VALUE(bw) * SQRT(2 * PI())), 9) AS DOUBLE) AS density
+FROM pts, cell GROUP BY i""",
+        ctes,
     )
 
 

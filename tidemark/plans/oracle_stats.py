@@ -1,157 +1,202 @@
-"""DuckDB oracles for the statistical tests (statistics only; p-values need
-distribution tails DuckDB lacks, so report variants with p are rows-only)."""
+"""DuckDB oracles for the statistical tests, segments and model inputs.
+
+Moments and correlations are DuckDB's own aggregates. Tail probabilities are
+Simpson sums of the densities over ``range()``; t quantiles are the
+Cornish-Fisher series in the normal quantile.
+"""
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from tidemark.functions.exprs import rnd_sql as r
-from tidemark.plans.oracle import with_base
-
+from tidemark.plans.oracle import draw, kept, position_quantile, r, with_base
 
-def _mom(x: str, tag: str) -> str:
-    d = f"CAST({x} AS DECIMAL(18,6))"
-    w = f"CAST({x} AS DECIMAL(38,6))"  # 128-bit product (exact, like Spark's decimal(37,12))
-    return (
-        f"CAST(COUNT({x}) AS DOUBLE) AS n_{tag}, CAST(SUM({d}) AS DOUBLE) AS s1_{tag}, "
-        f"CAST(SUM({w} * {d}) AS DOUBLE) AS s2_{tag}"
-    )
+PANELS = 4000
 
 
-def _mean(t):
-    return f"(s1_{t} / n_{t})"
+def simpson(density: str, upper: str, source: str, keys: str) -> str:
+    """Per row of ``source`` (with ``keys``): the integral of ``density`` (of ``x``) from 0 to ``upper``."""
+    weight = f"CASE WHEN i = 0 OR i = {PANELS} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"""(SELECT {keys}, SUM({weight} * ({density})) * ANY_VALUE(top) / {PANELS} / 3 AS area
+  FROM (SELECT *, i * top / {PANELS} AS x FROM (SELECT *, {upper} AS top FROM {source}) q, range({PANELS + 1}) g(i)) p GROUP BY {keys})"""
 
 
-def _var(t):
-    return f"(CASE WHEN n_{t} > 1 THEN GREATEST(0.0, (s2_{t} - s1_{t} * s1_{t} / n_{t}) / (n_{t} - 1)) END)"
+T_DENSITY = "EXP(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0) - 0.5 * LN(dof * PI()) - (dof + 1) / 2.0 * LN(1 + x * x / dof))"
+NORMAL_DENSITY = "EXP(-x * x / 2) / SQRT(2 * PI())"
+#: of the square root of a chi-square variable, which has no singular end
+CHI_DENSITY = "IF(x = 0 AND dof > 1, 0, EXP((1 - dof / 2.0) * LN(2) + (dof - 1) * LN(GREATEST(x, 1e-300)) - x * x / 2 - lgamma(dof / 2.0)))"
+#: of Beta(d2/2, d1/2)
+BETA_DENSITY = (
+    "IF(x = 0, 0, EXP(lgamma((d1 + d2) / 2.0) - lgamma(d1 / 2.0) - lgamma(d2 / 2.0) "
+    "+ (d2 / 2.0 - 1) * LN(GREATEST(x, 1e-300)) + (d1 / 2.0 - 1) * LN(1 - x)))"
+)
 
 
-def _two(value, group, a, b):
-    return (
-        f"agg AS (SELECT {_mom(f'CASE WHEN {group} = {a!r} THEN {value} END', 'a')}, "
-        f"{_mom(f'CASE WHEN {group} = {b!r} THEN {value} END', 'b')} FROM {{src}})"
+def _pair(value, group, a, b) -> str:
+    cols = ", ".join(
+        f"CAST(COUNT({value}) FILTER ({group} = '{g}') AS DOUBLE) AS n_{t}, AVG({value}) FILTER ({group} = '{g}') AS m_{t}, "
+        f"VAR_SAMP({value}) FILTER ({group} = '{g}') AS v_{t}"
+        for t, g in (("a", a), ("b", b))
     )
+    return f"two AS (SELECT {cols} FROM {{src}})"
+
 
+POOLED = "((n_a - 1) * v_a + (n_b - 1) * v_b) / (n_a + n_b - 2)"
+ERROR2 = "(v_a / n_a + v_b / n_b)"
+WELCH_DF = f"(POWER({ERROR2}, 2) / (POWER(v_a / n_a, 2) / (n_a - 1) + POWER(v_b / n_b, 2) / (n_b - 1)))"
 
-def ttest_sql(value, group, a, b, equal_var=True, src="clean", extra_ctes="") -> str:
-    ma, mb, va, vb = _mean("a"), _mean("b"), _var("a"), _var("b")
-    se_w = f"SQRT({va} / n_a + {vb} / n_b)"
+
+def ttest_sql(value, group, a, b, equal_var=True, src="clean", extra_ctes="", with_p=False) -> str:
     if equal_var:
-        sp2 = f"(((n_a - 1) * {va} + (n_b - 1) * {vb}) / (n_a + n_b - 2))"
-        t = f"(({ma} - {mb}) / SQRT({sp2} * (1.0 / n_a + 1.0 / n_b)))"
-        dof = "(n_a + n_b - 2)"
+        t, dof = f"(m_a - m_b) / SQRT({POOLED} * (1 / n_a + 1 / n_b))", "(n_a + n_b - 2)"
     else:
-        t = f"(({ma} - {mb}) / {se_w})"
-        dof = (
-            f"(({va} / n_a + {vb} / n_b) * ({va} / n_a + {vb} / n_b) / "
-            f"(({va} / n_a) * ({va} / n_a) / (n_a - 1) + ({vb} / n_b) * ({vb} / n_b) / (n_b - 1)))"
-        )
+        t, dof = f"(m_a - m_b) / SQRT({ERROR2})", WELCH_DF
+    test = f"test AS (SELECT *, {t} AS t, {dof} AS dof FROM two)"
+    tail = f"tail AS (SELECT 1 - 2 * area AS p FROM {simpson(T_DENSITY, 'ABS(t)', 'test', 't')} s)"
+    extra = f", {r('p', 6)} AS p_value, {r('p', 6)} < 0.05 AS significant" if with_p else ""
     body = f"""
-SELECT {a!r} AS group_a, {b!r} AS group_b, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b,
-  {r(ma, 6)} AS mean_a, {r(mb, 6)} AS mean_b, {r(t, 6)} AS t_stat, {r(dof, 6)} AS df,
-  {r(f'{ma} - {mb}', 6)} AS mean_diff, {r(f'{ma} - {mb} - 1.96 * {se_w}', 6)} AS ci_lower,
-  {r(f'{ma} - {mb} + 1.96 * {se_w}', 6)} AS ci_upper
-FROM agg"""
-    ctes = (extra_ctes + ",\n" if extra_ctes else "") + _two(value, group, a, b).format(src=src)
-    return with_base(body, ctes)
+SELECT '{a}' AS group_a, '{b}' AS group_b, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, {r("m_a", 6)} AS mean_a,
+  {r("m_b", 6)} AS mean_b, {r("t", 6)} AS t_stat, {r("dof", 6)} AS df, {r("m_a - m_b", 6)} AS mean_diff,
+  {r(f"m_a - m_b - 1.96 * SQRT({ERROR2})", 6)} AS ci_lower, {r(f"m_a - m_b + 1.96 * SQRT({ERROR2})", 6)} AS ci_upper{extra}
+FROM test{", tail" if with_p else ""}"""
+    return with_base(body, extra_ctes, _pair(value, group, a, b).format(src=src), test, tail if with_p else "")
 
 
 def cohens_d_sql(value, group, a, b, average_variance=False) -> str:
-    va, vb = _var("a"), _var("b")
-    sd = f"SQRT(({va} + {vb}) / 2)" if average_variance else f"SQRT(((n_a - 1) * {va} + (n_b - 1) * {vb}) / (n_a + n_b - 2))"
-    d = f"(({_mean('a')} - {_mean('b')}) / {sd})"
-    body = f"""
-SELECT {a!r} AS group_a, {b!r} AS group_b, {r(d, 6)} AS cohens_d,
-  CASE WHEN ABS({d}) < 0.5 THEN 'Small' WHEN ABS({d}) < 0.8 THEN 'Medium' ELSE 'Large' END AS effect_size
-FROM agg"""
-    return with_base(body, _two(value, group, a, b).format(src="clean"))
-
-
-def ztest_sql(group, a, b) -> str:
-    ctes = f"""agg AS (SELECT
-  CAST(COUNT(CASE WHEN {group} = {a!r} AND activation_completed = 1 THEN 1 END) AS DOUBLE) AS x_a,
-  CAST(COUNT(CASE WHEN {group} = {a!r} THEN 1 END) AS DOUBLE) AS n_a,
-  CAST(COUNT(CASE WHEN {group} = {b!r} AND activation_completed = 1 THEN 1 END) AS DOUBLE) AS x_b,
-  CAST(COUNT(CASE WHEN {group} = {b!r} THEN 1 END) AS DOUBLE) AS n_b FROM clean)"""
-    p = "((x_a + x_b) / (n_a + n_b))"
-    z = f"((x_a / n_a - x_b / n_b) / SQRT({p} * (1 - {p}) * (1.0 / n_a + 1.0 / n_b)))"
-    body = f"""
-SELECT {a!r} AS group_a, {b!r} AS group_b, CAST(x_a AS BIGINT) AS successes_a, CAST(n_a AS BIGINT) AS n_a,
-  CAST(x_b AS BIGINT) AS successes_b, CAST(n_b AS BIGINT) AS n_b,
-  {r('x_a / n_a', 6)} AS rate_a, {r('x_b / n_b', 6)} AS rate_b, {r(z, 6)} AS z_stat FROM agg"""
-    return with_base(body, ctes)
-
-
-def anova_sql(value, group, groups=None) -> str:
-    filt = f"{value} IS NOT NULL AND {group} IS NOT NULL"
-    if groups:
-        filt += " AND " + group + " IN (" + ", ".join(repr(g) for g in groups) + ")"
-    ctes = f"""per AS (SELECT {group}, {_mom(value, 'g')} FROM clean WHERE {filt} GROUP BY {group}),
-tot AS (SELECT CAST(COUNT(*) AS DOUBLE) AS k, SUM(n_g) AS n, SUM(s1_g) AS s1, SUM(s1_g * s1_g / n_g) AS sum_sq_means,
-  SUM(s2_g) AS s2 FROM per)"""
-    f = "(((sum_sq_means - s1 * s1 / n) / (k - 1)) / ((s2 - sum_sq_means) / (n - k)))"
-    body = f"""
-SELECT {value!r} AS value, {group!r} AS factor, CAST(k AS BIGINT) AS n_groups, CAST(n AS BIGINT) AS n, {r(f, 6)} AS f_stat FROM tot"""
-    return with_base(body, ctes)
+    sd = "SQRT((v_a + v_b) / 2)" if average_variance else f"SQRT({POOLED})"
+    return with_base(
+        f"""SELECT '{a}' AS group_a, '{b}' AS group_b, {r("d", 6)} AS cohens_d,
+  ['Small', 'Medium', 'Large'][1 + CAST(ABS(d) >= 0.5 AS INTEGER) + CAST(ABS(d) >= 0.8 AS INTEGER)] AS effect_size
+FROM (SELECT (m_a - m_b) / {sd} AS d FROM two) e""",
+        _pair(value, group, a, b).format(src="clean"),
+    )
 
 
-def chi2_sql(a, b) -> str:
-    ctes = f"""cells AS (SELECT {a}, {b}, CAST(COUNT(*) AS DOUBLE) AS o FROM cust WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY {a}, {b}),
-e AS (SELECT {a}, {b}, o, SUM(o) OVER (PARTITION BY {a}) * SUM(o) OVER (PARTITION BY {b}) / SUM(o) OVER () AS e FROM cells),
-st AS (SELECT COUNT(DISTINCT {a}) AS r, COUNT(DISTINCT {b}) AS c, SUM((o - e) * (o - e) / e) AS chi2_plain,
-  SUM((ABS(o - e) - LEAST(0.5, ABS(o - e))) * (ABS(o - e) - LEAST(0.5, ABS(o - e))) / e) AS chi2_yates FROM e)"""
-    body = f"""
-SELECT {a!r} AS row_var, {b!r} AS col_var,
-  {r('CASE WHEN (r - 1) * (c - 1) = 1 THEN chi2_yates ELSE chi2_plain END', 6)} AS chi2,
-  CAST((r - 1) * (c - 1) AS BIGINT) AS dof FROM st"""
-    return with_base(body, ctes)
-
-
-def _pairs_sql(cols, src, value_name="pearson_r") -> tuple[str, str]:
-    pairs = list(combinations(range(len(cols)), 2))
-    aggs, rows = [], []
-    for i, j in pairs:
-        x, y = cols[i], cols[j]
-        both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
-        xd = f"CAST(CASE WHEN {both} THEN {x} END AS DECIMAL(18,6))"
-        yd = f"CAST(CASE WHEN {both} THEN {y} END AS DECIMAL(18,6))"
-        xw = f"CAST(CASE WHEN {both} THEN {x} END AS DECIMAL(38,6))"
-        t = f"{i}_{j}"
-        aggs.append(
-            f"CAST(COUNT({xd}) AS DOUBLE) AS n_{t}, CAST(SUM({xd}) AS DOUBLE) AS sx_{t}, CAST(SUM({yd}) AS DOUBLE) AS sy_{t}, "
-            f"CAST(SUM({xw} * {xd}) AS DOUBLE) AS sxx_{t}, CAST(SUM(CAST({yd} AS DECIMAL(38,6)) * {yd}) AS DOUBLE) AS syy_{t}, "
-            f"CAST(SUM({xw} * {yd}) AS DOUBLE) AS sxy_{t}"
-        )
-        rr = f"((n_{t} * sxy_{t} - sx_{t} * sy_{t}) / SQRT((n_{t} * sxx_{t} - sx_{t} * sx_{t}) * (n_{t} * syy_{t} - sy_{t} * sy_{t})))"
-        rows.append(f"SELECT '{x}' AS var1, '{y}' AS var2, CAST(n_{t} AS BIGINT) AS n, {rr} AS _r FROM s")
-    cte = f"s AS (SELECT {', '.join(aggs)} FROM {src}),\npr AS ({' UNION ALL '.join(rows)})"
-    return cte, f"SELECT var1, var2, n, {r('_r', 6)} AS {value_name} FROM pr"
-
-
-def pearson_sql(cols, top=None) -> str:
-    cte, sel = _pairs_sql(cols, "clean")
-    if top:
-        sel += f" ORDER BY ABS(_r) DESC, var1, var2 LIMIT {top}"
-    return with_base(sel, cte)
+def _rates(flag: str, group: str, a: str, b: str, src: str) -> str:
+    return f"""rates AS (SELECT *, (p_a - p_b) / SQRT(p * (1 - p) * (1 / z_a + 1 / z_b)) AS z FROM
+  (SELECT x_a, x_b, z_a, z_b, x_a / z_a AS p_a, x_b / z_b AS p_b, (x_a + x_b) / (z_a + z_b) AS p FROM
+    (SELECT SUM(IF({group} = '{a}' AND {flag}, 1.0, 0.0))::DOUBLE AS x_a, SUM(IF({group} = '{a}', 1.0, 0.0))::DOUBLE AS z_a,
+       SUM(IF({group} = '{b}' AND {flag}, 1.0, 0.0))::DOUBLE AS x_b, SUM(IF({group} = '{b}', 1.0, 0.0))::DOUBLE AS z_b FROM {src}) c) q)"""
+
+
+RATE_COLUMNS = f"""CAST(x_a AS BIGINT) AS successes_a, CAST(z_a AS BIGINT) AS n_a, CAST(x_b AS BIGINT) AS successes_b,
+  CAST(z_b AS BIGINT) AS n_b, {r("p_a", 6)} AS rate_a, {r("p_b", 6)} AS rate_b, {r("z", 6)} AS z_stat"""
+
+
+def ztest_sql(group, a, b, with_p=False) -> str:
+    tail = f"tail AS (SELECT 1 - 2 * area AS p2 FROM {simpson(NORMAL_DENSITY, 'ABS(z)', 'rates', 'z')} s)"
+    return with_base(
+        f"SELECT '{a}' AS group_a, '{b}' AS group_b, {RATE_COLUMNS}{f', {r("p2", 6)} AS p_value' if with_p else ''} "
+        f"FROM rates{', tail' if with_p else ''}",
+        _rates("activation_completed = 1", group, a, b, "clean"),
+        tail if with_p else "",
+    )
+
+
+def anova_sql(value, group, groups=None, with_p=False) -> str:
+    chosen = f" AND {group} IN ({', '.join(repr(g) for g in groups)})" if groups else ""
+    rows = f"""rows_ AS (SELECT {value} AS v, {group} AS g, AVG({value}) OVER (PARTITION BY {group}) AS own, AVG({value}) OVER () AS grand
+  FROM clean WHERE {value} IS NOT NULL AND {group} IS NOT NULL{chosen})"""
+    test = """test AS (SELECT k, n, k - 1 AS d1, n - k AS d2, (between_ / (k - 1)) / (within_ / (n - k)) AS f FROM
+  (SELECT COUNT(DISTINCT g) AS k, COUNT(*) AS n, SUM(POWER(own - grand, 2)) AS between_, SUM(POWER(v - own, 2)) AS within_ FROM rows_) s)"""
+    tail = f"tail AS (SELECT area AS p FROM {simpson(BETA_DENSITY, 'd2 / (d2 + d1 * f)', 'test', 'f')} s)"
+    return with_base(
+        f"""SELECT '{value}' AS value, '{group}' AS factor, CAST(k AS BIGINT) AS n_groups, CAST(n AS BIGINT) AS n,
+  {r("f", 6)} AS f_stat{f", {r('p', 6)} AS p_value" if with_p else ""} FROM test{", tail" if with_p else ""}""",
+        rows,
+        test,
+        tail if with_p else "",
+    )
+
+
+def chi2_sql(a, b, with_p=False) -> str:
+    cells = f"""cells AS (SELECT o, e, lines, cols FROM
+  (SELECT x.a, y.b, (SELECT COUNT(*) FROM known k WHERE k.a = x.a AND k.b = y.b) AS o, x.n * y.n / CAST(t.n AS DOUBLE) AS e,
+     x.lines, y.cols FROM (SELECT a, COUNT(*) AS n, COUNT(*) OVER () AS lines FROM known GROUP BY a) x,
+     (SELECT b, COUNT(*) AS n, COUNT(*) OVER () AS cols FROM known GROUP BY b) y, (SELECT COUNT(*) AS n FROM known) t) c)"""
+    test = """test AS (SELECT (ANY_VALUE(lines) - 1) * (ANY_VALUE(cols) - 1) AS dof,
+  SUM(POWER(IF((lines - 1) * (cols - 1) = 1, GREATEST(ABS(o - e) - 0.5, 0), o - e), 2) / e) AS chi2 FROM cells)"""
+    tail = f"tail AS (SELECT 1 - area AS p FROM {simpson(CHI_DENSITY, 'SQRT(chi2)', 'test', 'chi2')} s)"
+    return with_base(
+        f"""SELECT '{a}' AS row_var, '{b}' AS col_var, {r("chi2", 6)} AS chi2, CAST(dof AS BIGINT) AS dof
+  {f", {r('p', 6)} AS p_value" if with_p else ""} FROM test{", tail" if with_p else ""}""",
+        f"known AS (SELECT {a} AS a, {b} AS b FROM cust WHERE {a} IS NOT NULL AND {b} IS NOT NULL)",
+        cells,
+        test,
+        tail if with_p else "",
+    )
+
+
+def mean_ci_sql(cols) -> str:
+    """95 % intervals; the t quantile from its series in the normal quantile."""
+    z = 1.959963984540054
+    terms = [
+        z,
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    ]
+    t = " + ".join(f"{c!r} / POWER(n - 1, {k})" for k, c in enumerate(terms))
+    parts = [
+        f"SELECT '{c}' AS metric, COUNT({c}) AS n, AVG({c}) AS m, STDDEV_SAMP({c}) / SQRT(COUNT({c})) AS e FROM clean" for c in cols
+    ]
+    return with_base(
+        f"""SELECT metric, CAST(n AS BIGINT) AS n, {r("m", 6)} AS mean, {r("e", 6)} AS sem,
+  {r(f"m - ({t}) * e", 6)} AS ci_lower, {r(f"m + ({t}) * e", 6)} AS ci_upper FROM ({" UNION ALL ".join(parts)}) q"""
+    )
+
+
+def _pairs(cols, src) -> str:
+    rows = [
+        f"SELECT '{x}' AS var1, '{y}' AS var2, COUNT(*) AS n, CORR({x}, {y}) AS rho FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL"
+        for x, y in combinations(cols, 2)
+    ]
+    return f"pr AS ({' UNION ALL '.join(rows)})"
+
+
+def pearson_sql(cols, top=None, with_p=False, strong=False) -> str:
+    select = f"var1, var2, CAST(n AS BIGINT) AS n, {r('rho', 6)} AS pearson_r"
+    if not with_p:
+        order = f" ORDER BY ABS(rho) DESC, var1, var2 LIMIT {top}" if top else ""
+        return with_base(f"SELECT {select} FROM pr{order}", _pairs(cols, "clean"))
+    test = "test AS (SELECT *, CAST(n - 2 AS DOUBLE) AS dof, rho * SQRT((n - 2) / (1 - rho * rho)) AS t FROM pr)"
+    tail = f"tail AS (SELECT var1, var2, 1 - 2 * area AS q FROM {simpson(T_DENSITY, 'ABS(t)', 'test', 'var1, var2')} s)"
+    p = r("q", 6)
+    is_strong = f"ABS(rho) > 0.3 AND {p} < 0.05"
+    return with_base(
+        f"""SELECT {select}, {p} AS p_value, {p} < 0.05 AS significant,
+  ['*', '**', '***'][1 + CAST({p} < 0.01 AS INTEGER) + CAST({p} < 0.001 AS INTEGER)] AS stars
+  {"" if strong else f", {is_strong} AS strong"} FROM test JOIN tail USING (var1, var2){f" WHERE {is_strong}" if strong else ""}""",
+        _pairs(cols, "clean"),
+        test,
+        tail,
+    )
 
 
 def spearman_sql(cols, top=None) -> str:
-    complete = " AND ".join(f"{c} IS NOT NULL" for c in cols)
-    ranks = ", ".join(
-        f"(RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0) AS {c}" for c in cols
+    """Ranks on each pair's own complete rows: a value's rank is the mean of the places of its rows."""
+    parts = []
+    for x, y in combinations(cols, 2):
+        place = lambda c: f"AVG(place_{c}) OVER (PARTITION BY {c})"
+        parts.append(f"""SELECT '{x}' AS var1, '{y}' AS var2, COUNT(*) AS n, CORR(rx, ry) AS rho FROM
+  (SELECT {place(x)} AS rx, {place(y)} AS ry FROM
+    (SELECT {x}, {y}, ROW_NUMBER() OVER (ORDER BY {x}) AS place_{x}, ROW_NUMBER() OVER (ORDER BY {y}) AS place_{y}
+     FROM clean WHERE {x} IS NOT NULL AND {y} IS NOT NULL) a) b""")
+    order = f" ORDER BY ABS(rho) DESC, var1, var2 LIMIT {top}" if top else ""
+    return with_base(
+        f"SELECT var1, var2, CAST(n AS BIGINT) AS n, {r('rho', 6)} AS spearman_rho FROM pr{order}",
+        f"pr AS ({' UNION ALL '.join(parts)})",
     )
-    cte, sel = _pairs_sql(cols, "rk", "spearman_rho")
-    if top:
-        sel += f" ORDER BY ABS(_r) DESC, var1, var2 LIMIT {top}"
-    return with_base(sel, f"b AS (SELECT * FROM clean WHERE {complete}),\nrk AS (SELECT {ranks} FROM b),\n{cte}")
 
 
 VALUE_SCORE = "(monthly_revenue * 0.4 + feature_usage_score * 1000 * 0.3 + customer_satisfaction_score * 2000 * 0.3)"
-SEG_CTES = f"""sc AS (SELECT *, {VALUE_SCORE} AS customer_value_score FROM cust),
-q AS (SELECT quantile_cont(customer_value_score, 0.25) AS q1, quantile_cont(customer_value_score, 0.5) AS q2,
-  quantile_cont(customer_value_score, 0.75) AS q3 FROM sc),
-seg AS (SELECT sc.*, CASE WHEN customer_value_score >= q3 THEN 'High Value' WHEN customer_value_score >= q2 THEN 'Medium Value'
-  WHEN customer_value_score >= q1 THEN 'Low Value' ELSE 'At Risk' END AS value_segment FROM sc CROSS JOIN q)"""
+_CUTS = ", ".join(f"{position_quantile('v', p)} AS q{i}" for i, p in enumerate((0.25, 0.5, 0.75), 1))
+SEG_CTES = f"""scored AS (SELECT *, {VALUE_SCORE} AS customer_value_score FROM cust),
+cuts AS (SELECT {_CUTS} FROM (SELECT LIST(customer_value_score ORDER BY customer_value_score)
+  FILTER (customer_value_score IS NOT NULL) AS v FROM scored) l),
+seg AS (SELECT scored.*, ['At Risk', 'Low Value', 'Medium Value', 'High Value'][1 + IFNULL(CAST(customer_value_score >= q1 AS INTEGER)
+  + CAST(customer_value_score >= q2 AS INTEGER) + CAST(customer_value_score >= q3 AS INTEGER), 0)] AS value_segment FROM scored, cuts)"""
 
 
 def value_segments_sql() -> str:
@@ -159,14 +204,13 @@ def value_segments_sql() -> str:
 
 
 def segment_report_sql() -> str:
-    ctes = SEG_CTES + f""",
-g AS (SELECT value_segment, {_mom('monthly_revenue', 'rev')}, {_mom('churn_risk_score', 'churn')},
-  {_mom('customer_satisfaction_score', 'sat')}, {_mom('CAST(activation_completed AS DOUBLE)', 'act')} FROM seg GROUP BY value_segment)"""
-    body = f"""
-SELECT value_segment, {r(_mean('rev'), 2)} AS revenue_mean, {r(f"SQRT({_var('rev')})", 2)} AS revenue_std,
-  CAST(n_rev AS BIGINT) AS revenue_count, {r(_mean('churn'), 2)} AS churn_risk_mean,
-  {r(_mean('sat'), 2)} AS satisfaction_mean, {r(_mean('act'), 2)} AS activation_mean FROM g"""
-    return with_base(body, ctes)
+    return with_base(
+        f"""SELECT value_segment, {r("AVG(monthly_revenue)", 2)} AS revenue_mean, {r("STDDEV_SAMP(monthly_revenue)", 2)} AS revenue_std,
+  CAST(COUNT(monthly_revenue) AS BIGINT) AS revenue_count, {r("AVG(churn_risk_score)", 2)} AS churn_risk_mean,
+  {r("AVG(customer_satisfaction_score)", 2)} AS satisfaction_mean, {r("AVG(activation_completed)", 2)} AS activation_mean
+FROM seg GROUP BY value_segment""",
+        SEG_CTES,
+    )
 
 
 def segment_ttest_sql() -> str:
@@ -174,66 +218,178 @@ def segment_ttest_sql() -> str:
 
 
 def revenue_concentration_sql() -> str:
-    body = f"""
-SELECT 'High Value' AS segment,
-  {r("100.0 * CAST(SUM(CASE WHEN value_segment = 'High Value' THEN CAST(monthly_revenue AS DECIMAL(18,6)) END) AS DOUBLE) / CAST(SUM(CAST(monthly_revenue AS DECIMAL(18,6))) AS DOUBLE)", 6)} AS revenue_share_pct
-FROM seg"""
-    return with_base(body, SEG_CTES)
+    return with_base(
+        f"""SELECT 'High Value' AS segment,
+  {r("100.0 * SUM(monthly_revenue) FILTER (value_segment = 'High Value') / SUM(monthly_revenue)", 6)} AS revenue_share_pct FROM seg""",
+        SEG_CTES,
+    )
 
 
-SEG_FEATURES_SQL = [
+def prob_greater_sql(value, group, a, b) -> str:
+    test = f"test AS (SELECT (m_a - m_b) / SQRT({ERROR2}) AS z FROM two)"
+    return with_base(
+        f"SELECT '{a}' AS group_a, '{b}' AS group_b, {r('0.5 + SIGN(z) * area', 6)} AS prob_a_greater "
+        f"FROM {simpson(NORMAL_DENSITY, 'ABS(z)', 'test', 'z')} s",
+        _pair(value, group, a, b).format(src="clean"),
+        test,
+    )
+
+
+SEG_FEATURES = [
     "monthly_revenue", "transaction_volume", "feature_usage_score", "total_sessions", "avg_session_duration",
     "api_calls_per_month", "customer_satisfaction_score", "company_size", "annual_contract_value",
     "revenue_per_session", "api_efficiency", "engagement_score", "days_since_signup",
-]
+]
+
+
+def _filled(cols) -> str:
+    """Columns with NULL replaced by the median of the others."""
+    return ", ".join(f"IFNULL(CAST({c} AS DOUBLE), CAST(MEDIAN({c}) OVER () AS DOUBLE)) AS {c}" for c in cols)
+
+
+FEATURES_CTE = f"""made AS (SELECT *, monthly_revenue / (total_sessions + 1) AS revenue_per_session,
+  api_calls_per_month / (total_sessions + 1) AS api_efficiency,
+  feature_usage_score * 0.3 + avg_session_duration / 30 * 0.3 + (1 - churn_risk_score) * 0.4 AS engagement_score,
+  CAST(DATE '2024-01-01' - signup_date AS INTEGER) AS days_since_signup FROM cust),
+features AS (SELECT * REPLACE ({_filled(SEG_FEATURES)}),
+  ['New', 'Growing', 'Mature', 'Veteran'][1 + IFNULL(CAST(made.days_since_signup > 30 AS INTEGER) + CAST(made.days_since_signup > 90 AS INTEGER)
+    + CAST(made.days_since_signup > 180 AS INTEGER), 3)] AS lifecycle_stage FROM made)"""
+
+
+def segmentation_features_sql() -> str:
+    return with_base("SELECT * FROM features", FEATURES_CTE)
 
 
 def target_correlation_sql(target: str = "monthly_revenue", top: int = 5) -> str:
-    cols = SEG_FEATURES_SQL
-    meds = ", ".join(f"MEDIAN({c}) AS m_{c}" for c in cols)
-    imp = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in cols)
-    others = [c for c in cols if c != target]
-    cte, _ = _pairs_sql([target] + others, "imp")
-    ctes = f"""f AS (SELECT *, monthly_revenue / (total_sessions + 1) AS revenue_per_session,
-    api_calls_per_month / (total_sessions + 1) AS api_efficiency,
-    feature_usage_score * 0.3 + avg_session_duration / 30 * 0.3 + (1 - churn_risk_score) * 0.4 AS engagement_score,
-    CAST(DATE '2024-01-01' - signup_date AS INTEGER) AS days_since_signup FROM cust),
-med AS (SELECT {meds} FROM f),
-imp AS (SELECT {imp} FROM f CROSS JOIN med),
-{cte}"""
-    body = (
-        f"SELECT var2 AS feature, ABS({r('_r', 6)}) AS abs_corr FROM pr WHERE var1 = '{target}' "
-        f"ORDER BY abs_corr DESC, feature LIMIT {top}"
-    )
-    return with_base(body, ctes)
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, ABS({r(f'CORR({target}, {c})', 6)}) AS abs_corr FROM features" for c in SEG_FEATURES if c != target
+    )
+    return with_base(f"SELECT * FROM ({rows}) q ORDER BY abs_corr DESC, feature LIMIT {top}", FEATURES_CTE)
+
+
+RULE_CLUSTERS = """labeled AS (SELECT *, 2 * CAST(monthly_revenue > 100 AS INTEGER) + CAST(IFNULL(churn_risk_score > 0.5, FALSE) AS INTEGER) AS cluster
+  FROM features)"""
+
+
+def cluster_profiles_sql() -> str:
+    means = ", ".join(
+        f"{r(f'AVG({c})', 2)} AS avg_{c}"
+        for c in ("company_size", "feature_usage_score", "churn_risk_score", "customer_satisfaction_score", "total_sessions",
+                  "annual_contract_value", "engagement_score")
+    )
+    return with_base(
+        f"""SELECT cluster, {r("AVG(monthly_revenue)", 2)} AS revenue_mean, {r("MEDIAN(monthly_revenue)", 2)} AS revenue_median,
+  {r("STDDEV_SAMP(monthly_revenue)", 2)} AS revenue_std, CAST(COUNT(monthly_revenue) AS BIGINT) AS revenue_count, {means}
+FROM labeled GROUP BY cluster""",
+        FEATURES_CTE,
+        RULE_CLUSTERS,
+    )
+
+
+NAMES_CTE = """named AS (SELECT *, IF(rev > g75, IF(risk < 0.3, 'High-Value Champions', 'High-Value At-Risk'),
+    IF(rev > g50, IF(eng > 0.6, 'Growing Advocates', 'Moderate Users'), IF(risk > 0.6, 'At-Risk Low-Value', 'New/Small Customers'))) AS name
+  FROM (SELECT cluster, COUNT(*) AS size, AVG(monthly_revenue) AS rev, SUM(monthly_revenue) AS money, AVG(churn_risk_score) AS risk,
+      AVG(customer_satisfaction_score) AS sat, AVG(engagement_score) AS eng FROM labeled GROUP BY cluster) c,
+    (SELECT quantile_cont(monthly_revenue, 0.75) AS g75, MEDIAN(monthly_revenue) AS g50, SUM(monthly_revenue) AS all_money,
+      COUNT(*) AS everyone FROM labeled) g),
+report AS (SELECT cluster, name, CAST(size AS BIGINT) AS size, """ + f"""{r("size / everyone * 100", 4)} AS customer_share_pct,
+  {r("rev", 4)} AS avg_revenue, {r("money / all_money * 100", 4)} AS revenue_share_pct, {r("risk", 4)} AS avg_churn_risk,
+  {r("sat", 4)} AS avg_satisfaction, {r("eng", 4)} AS avg_engagement,
+  (CONTAINS(name, 'High-Value') OR CONTAINS(name, 'Champions')) AS high_value FROM named)"""
+
+
+def cluster_names_sql() -> str:
+    return with_base("SELECT * FROM report", FEATURES_CTE, RULE_CLUSTERS, NAMES_CTE)
+
+
+def named_customers_sql() -> str:
+    return with_base(
+        "SELECT customer_id, cluster, name AS cluster_name, high_value FROM labeled JOIN report USING (cluster)",
+        FEATURES_CTE, RULE_CLUSTERS, NAMES_CTE,
+    )
+
+
+def high_value_sql() -> str:
+    return with_base(
+        f"""SELECT CAST(COUNT(*) FILTER (high_value) AS BIGINT) AS clusters, CAST(IFNULL(SUM(size) FILTER (high_value), 0) AS BIGINT) AS customers,
+  {r("IFNULL(SUM(customer_share_pct) FILTER (high_value), 0)", 4)} AS customer_share_pct,
+  {r("IFNULL(SUM(revenue_share_pct) FILTER (high_value), 0)", 4)} AS revenue_share_pct FROM report""",
+        FEATURES_CTE, RULE_CLUSTERS, NAMES_CTE,
+    )
+
+
+def radar_sql() -> str:
+    return with_base(
+        f"""SELECT name, {r("(AVG(monthly_revenue) - ANY_VALUE(lo)) / (ANY_VALUE(hi) - ANY_VALUE(lo))", 6)} AS revenue,
+  {r("AVG(customer_satisfaction_score) / 5", 6)} AS satisfaction, {r("1 - AVG(churn_risk_score)", 6)} AS retention,
+  {r("AVG(feature_usage_score)", 6)} AS feature_usage, {r("AVG(engagement_score)", 6)} AS engagement
+FROM labeled JOIN report USING (cluster), (SELECT MIN(monthly_revenue) AS lo, MAX(monthly_revenue) AS hi FROM labeled) g GROUP BY name""",
+        FEATURES_CTE, RULE_CLUSTERS, NAMES_CTE,
+    )
+
+
+CHURN_FEATURES = [
+    "monthly_revenue", "transaction_volume", "feature_usage_score", "support_tickets", "days_since_last_login",
+    "total_sessions", "avg_session_duration", "api_calls_per_month", "integration_count", "team_size",
+    "annual_contract_value", "customer_satisfaction_score", "company_size", "age", "onboarding_completion_rate",
+    "feature_adoption_score", "revenue_per_session", "api_efficiency", "support_intensity", "low_engagement",
+    "high_session_duration", "frequent_user", "new_customer", "veteran_customer", "high_value",
+    "enterprise_customer", "industry_encoded", "location_encoded", "referral_encoded", "payment_encoded",
+]
+
+
+def _code(c: str) -> str:
+    """Place of a value among the column's values in alphabetical order; NULL after them."""
+    return f"IF({c} IS NULL, (SELECT COUNT(DISTINCT {c}) FROM cust), (SELECT COUNT(DISTINCT o.{c}) FROM cust o WHERE o.{c} < cust.{c}))"
+
+
+CHURN_CTE = f"""marked AS (SELECT *, CAST(IFNULL(churn_risk_score > 0.5, FALSE) AS INTEGER) AS churn_target,
+  monthly_revenue / (total_sessions + 1) AS revenue_per_session, api_calls_per_month / (total_sessions + 1) AS api_efficiency,
+  support_tickets / (days_since_last_login + 1) AS support_intensity,
+  CAST(IFNULL(feature_usage_score < 0.3, FALSE) AS INTEGER) AS low_engagement,
+  CAST(IFNULL(avg_session_duration > (SELECT MEDIAN(avg_session_duration) FROM cust), FALSE) AS INTEGER) AS high_session_duration,
+  CAST(IFNULL(total_sessions > (SELECT quantile_cont(total_sessions, 0.75) FROM cust), FALSE) AS INTEGER) AS frequent_user,
+  CAST(DATE '2024-01-01' - signup_date <= 30 AS INTEGER) AS new_customer,
+  CAST(DATE '2024-01-01' - signup_date > 180 AS INTEGER) AS veteran_customer,
+  CAST(IFNULL(monthly_revenue > (SELECT quantile_cont(monthly_revenue, 0.75) FROM cust), FALSE) AS INTEGER) AS high_value,
+  CAST(IFNULL(subscription_tier = 'Enterprise', FALSE) AS INTEGER) AS enterprise_customer,
+  {_code("industry")} AS industry_encoded, {_code("location")} AS location_encoded, {_code("referral_source")} AS referral_encoded,
+  {_code("payment_method")} AS payment_encoded FROM cust),
+churn AS (SELECT customer_id, churn_target, {_filled(CHURN_FEATURES)} FROM marked)"""
+
+
+def churn_features_sql() -> str:
+    return with_base("SELECT * FROM churn", CHURN_CTE)
+
+
+def churn_split_sql() -> str:
+    placed = f"""placed AS (SELECT churn_target, ROW_NUMBER() OVER (PARTITION BY churn_target ORDER BY {draw("customer_id", 5)}, customer_id) AS place,
+  ROUND(COUNT(*) OVER (PARTITION BY churn_target) * 0.2) AS held FROM churn)"""
+    return with_base(
+        """SELECT churn_target, place <= held AS is_test, CAST((place - held - 1) % 5 AS INTEGER) AS fold, CAST(COUNT(*) AS BIGINT) AS n
+FROM placed GROUP BY ALL""",
+        CHURN_CTE,
+        placed,
+    )
+
+
+def business_impact_sql() -> str:
+    return with_base(
+        f"""SELECT {r("rate", 6)} AS churn_rate, {r("lost", 2)} AS potential_lost_revenue, {r("recall", 6)} AS recall,
+  0.3 AS save_rate, {r("lost * recall * 0.3", 2)} AS potential_savings FROM
+  (SELECT AVG(churn_target) AS rate, 12 * SUM(monthly_revenue) FILTER (churn_target = 1) AS lost,
+     COUNT(*) FILTER (churn_target = 1 AND days_since_last_login > 30) / COUNT(*) FILTER (churn_target = 1) AS recall FROM churn) q""",
+        CHURN_CTE,
+    )
 
 
 def ab_sql() -> str:
-    from tidemark.functions.exprs import uniform_draw_sql
-    from tidemark.operators import cohorts as co
-    from tidemark.plans.oracle import _band
-
-    risk = "cleaned_churn_risk_score"
-    u1 = uniform_draw_sql("customer_id", 1, 42)
-    m1 = f"CASE WHEN {risk} <= 0.2 THEN 1 ELSE {_band(risk, u1, co.RETENTION_M1, co.RETENTION_M1_ELSE)} END"
-    arm = f"CASE WHEN {uniform_draw_sql('customer_id', 99, 7)} < 0.5 THEN 'treatment' ELSE 'control' END"
-    ctes = f"""ab AS (SELECT customer_id, cleaned_monthly_revenue, {m1} AS retained_month_1, {arm} AS variant FROM clean),
-z AS (SELECT CAST(COUNT(CASE WHEN variant = 'treatment' AND retained_month_1 = 1 THEN 1 END) AS DOUBLE) AS zx_a,
-  CAST(COUNT(CASE WHEN variant = 'treatment' THEN 1 END) AS DOUBLE) AS zn_a,
-  CAST(COUNT(CASE WHEN variant = 'control' AND retained_month_1 = 1 THEN 1 END) AS DOUBLE) AS zx_b,
-  CAST(COUNT(CASE WHEN variant = 'control' THEN 1 END) AS DOUBLE) AS zn_b FROM ab),
-agg AS (SELECT {_mom("CASE WHEN variant = 'treatment' THEN cleaned_monthly_revenue END", 'a')},
-  {_mom("CASE WHEN variant = 'control' THEN cleaned_monthly_revenue END", 'b')} FROM ab)"""
-    p = "((zx_a + zx_b) / (zn_a + zn_b))"
-    zs = f"((zx_a / zn_a - zx_b / zn_b) / SQRT({p} * (1 - {p}) * (1.0 / zn_a + 1.0 / zn_b)))"
-    ma, mb, va, vb = _mean("a"), _mean("b"), _var("a"), _var("b")
-    t = f"(({ma} - {mb}) / SQRT({va} / n_a + {vb} / n_b))"
-    dof = (f"(({va} / n_a + {vb} / n_b) * ({va} / n_a + {vb} / n_b) / "
-           f"(({va} / n_a) * ({va} / n_a) / (n_a - 1) + ({vb} / n_b) * ({vb} / n_b) / (n_b - 1)))")
-    body = f"""
-SELECT 'treatment' AS group_a, 'control' AS group_b, CAST(zx_a AS BIGINT) AS successes_a, CAST(zn_a AS BIGINT) AS n_a,
-  CAST(zx_b AS BIGINT) AS successes_b, CAST(zn_b AS BIGINT) AS n_b, {r('zx_a / zn_a', 6)} AS rate_a, {r('zx_b / zn_b', 6)} AS rate_b,
-  {r(zs, 6)} AS z_stat, {r(ma, 6)} AS value_mean_a, {r(mb, 6)} AS value_mean_b,
-  {r(t, 6)} AS t_stat, {r(dof, 6)} AS t_df
-FROM z CROSS JOIN agg"""
-    return with_base(body, ctes)
+    arms = f"""ab AS (SELECT cleaned_monthly_revenue AS v, {kept(1)} AS stay, IF({draw("customer_id", 99, 7)} < 0.5, 'treatment', 'control') AS arm
+  FROM clean WHERE signup_date >= DATE '1900-01-01')"""
+    return with_base(
+        f"""SELECT 'treatment' AS group_a, 'control' AS group_b, {RATE_COLUMNS}, {r("m_a", 6)} AS value_mean_a,
+  {r("m_b", 6)} AS value_mean_b, {r(f"(m_a - m_b) / SQRT({ERROR2})", 6)} AS t_stat, {r(WELCH_DF, 6)} AS t_df FROM rates, two""",
+        arms,
+        _rates("stay = 1", "arm", "treatment", "control", "ab"),
+        _pair("v", "arm", "treatment", "control").format(src="ab"),
+    )

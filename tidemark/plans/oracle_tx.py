@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.functions.exprs import money_avg_sql as mavg
-from tidemark.functions.exprs import rnd_sql as r
-from tidemark.plans.oracle import with_tx
+from tidemark.plans.oracle import mean, r, with_tx
 
-
-def exact_std_sql(x: str, scale: int = 2) -> str:
-    d = f"CAST({x} AS DECIMAL(18,{scale}))"
-    n = f"CAST(COUNT({x}) AS DOUBLE)"
-    s1 = f"CAST(SUM({d}) AS DOUBLE)"
-    s2 = f"CAST(SUM({d} * {d}) AS DOUBLE)"
-    return f"CASE WHEN COUNT({x}) > 1 THEN SQRT(GREATEST(0.0, ({s2} - {s1} * {s1} / {n}) / NULLIF({n} - 1, 0))) END"
-
-
-METRICS_CTE = f"""
-m AS (SELECT customer_id, CAST(COUNT(*) AS BIGINT) AS transaction_count,
-    {r(mavg('transaction_amount'), 6)} AS avg_transaction,
-    {r(exact_std_sql('transaction_amount'), 6)} AS transaction_volatility,
+METRICS_CTE = f"""m AS (SELECT customer_id, CAST(COUNT(*) AS BIGINT) AS transaction_count,
+    {r(mean('transaction_amount'), 6)} AS avg_transaction,
+    {r('STDDEV_SAMP(transaction_amount)', 4)} AS transaction_volatility,
     CAST(FLOOR((epoch_us(MAX(transaction_date)) - epoch_us(MIN(transaction_date))) / 86400000000) AS BIGINT) AS customer_tenure,
-    CAST(COUNT(DISTINCT DATE_TRUNC('month', transaction_date)) AS BIGINT) AS active_months
+    CAST(COUNT(DISTINCT YEAR(transaction_date) * 12 + MONTH(transaction_date)) AS BIGINT) AS active_months
   FROM tx GROUP BY customer_id)"""
 
 
@@ -33,16 +21,31 @@ def transaction_metrics_sql() -> str:
 
 
 def transaction_behaviour_sql() -> str:
-    ctes = METRICS_CTE + """,
-b AS (SELECT customer_id, transaction_id, transaction_date, transaction_amount,
-    CAST(SUM(CASE WHEN transaction_amount > 1000 THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id) AS BIGINT) AS high_value_transactions,
-    LAG(transaction_amount, 1) OVER (PARTITION BY customer_id ORDER BY transaction_date, transaction_id) AS prev_transaction,
-    CAST(ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY transaction_date DESC, transaction_id DESC) AS BIGINT) AS recency_rank
-  FROM tx)"""
+    """Recency by counting a customer's later transactions, the previous amount by looking up the latest earlier one."""
+    pairs = """pairs AS (SELECT a.transaction_id,
+    COUNT(*) FILTER ((b.transaction_date, b.transaction_id) > (a.transaction_date, a.transaction_id)) AS later,
+    ARG_MAX(b.transaction_amount, (b.transaction_date, b.transaction_id))
+      FILTER ((b.transaction_date, b.transaction_id) < (a.transaction_date, a.transaction_id)) AS prev_transaction,
+    COUNT(*) FILTER (b.transaction_amount > 1000) AS high_value
+  FROM tx a JOIN tx b USING (customer_id) GROUP BY a.transaction_id)"""
+    return with_tx(
+        """
+SELECT tx.customer_id, transaction_id, transaction_date, transaction_amount, CAST(high_value AS BIGINT) AS high_value_transactions,
+  prev_transaction, CAST(later + 1 AS BIGINT) AS recency_rank, m.* EXCLUDE (customer_id)
+FROM tx JOIN pairs USING (transaction_id) JOIN m ON m.customer_id = tx.customer_id""",
+        METRICS_CTE,
+        pairs,
+    )
+
+
+def seasonality_sql() -> str:
     return with_tx(
-        "SELECT b.*, m.transaction_count, m.avg_transaction, m.transaction_volatility, m.customer_tenure, m.active_months "
-        "FROM b JOIN m ON b.customer_id = m.customer_id",
-        ctes,
+        f"""
+SELECT CAST(QUARTER(month) AS INTEGER) AS quarter, CAST(COUNT(*) AS BIGINT) AS months, {r("CAST(SUM(revenue) AS DOUBLE) / COUNT(*)", 2)} AS avg_monthly_revenue,
+  {r("AVG(revenue) / (SELECT AVG(revenue) FROM mo)", 6)} AS seasonality_index
+FROM mo GROUP BY 1""",
+        """mo AS (SELECT DATE_TRUNC('month', transaction_date)::DATE AS month,
+  SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS revenue FROM tx GROUP BY 1)""",
     )
 
 
@@ -51,8 +54,8 @@ def rfm_sql() -> str:
 base AS (SELECT customer_id, CAST(DATE '2001-08-02' - CAST(MAX(transaction_date) AS DATE) AS INTEGER) AS recency,
     CAST(COUNT(*) AS BIGINT) AS frequency,
     CAST(SUM(CAST(transaction_amount AS DECIMAL(18,6))) AS DOUBLE) AS monetary,
-    {r(mavg('transaction_amount'), 6)} AS avg_transaction,
-    {r(exact_std_sql('transaction_amount'), 6)} AS transaction_volatility
+    {r(mean('transaction_amount'), 6)} AS avg_transaction,
+    {r('STDDEV_SAMP(transaction_amount)', 4)} AS transaction_volatility
   FROM tx GROUP BY customer_id),
 pd AS (SELECT o.customer_id, COUNT(DISTINCT l.l_partkey) AS product_diversity
   FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) l JOIN tx o ON l.l_orderkey = o.transaction_id

@@ -55,6 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and read it back.
@@ -63,16 +68,23 @@ def materialize(df):
     iterative algorithms): the upstream is computed exactly once (an eager
     ``checkpoint()`` computes it twice unless cached), later reads prune
     columns and carry real size statistics, and a lost executor re-reads the
-    files instead of recomputing the lineage.
+    files instead of recomputing the lineage. A returned DataFrame may read
+    such tables until it is consumed; ``release_tables`` deletes them then.
     """
     import uuid
 
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = f"{tables_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def release_tables(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; call it when no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set = set()
 
 

@@ -69,7 +69,7 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders=orders,
         events=events,
         customer=customer,
-        nation=F.broadcast(nation),  # 25 rows: a fixed-size dimension
+        nation=nation,
     )
 
 

@@ -59,7 +59,7 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "csv", **options)
     """Read a customer table with the fixed schema (no inference pass).
 
     ``fmt='csv'`` keeps malformed lines in ``_corrupt_record`` instead of
-    failing the job; ``fmt='jdbc'`` forwards ``options`` (url, dbtable,
+    failing the job; NaN becomes NULL in every format; ``fmt='jdbc'`` forwards ``options`` (url, dbtable,
     partitionColumn, lowerBound, upperBound, numPartitions) so a database
     table is read by parallel range scans; anything else goes through
     ``spark.read.format(fmt)``.
@@ -75,16 +75,16 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "csv", **options)
         )
         for k, v in options.items():
             reader = reader.option(k, v)
-        return reader.csv(path)
+        return nan_to_null(reader.csv(path))
     if fmt == "jdbc":
         reader = spark.read.format("jdbc")
         for k, v in options.items():
             reader = reader.option(k, v)
-        return reader.load()
+        return nan_to_null(reader.load())
     reader = spark.read.format(fmt)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    return nan_to_null(reader.load(path))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -100,6 +100,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def publish_view(df: DataFrame, name: str, path: str | None = None, partition_by=None) -> None:
+    """Publish a derived table under ``name`` (A5): a temporary view, over a partitioned table at ``path`` if given."""
+    if path:
+        write_report(df, path, partition_by=partition_by)
+        df = df.sparkSession.read.parquet(path)
+    df.createOrReplaceTempView(name)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=None) -> None:
     """Persist a report / derived table (e.g. the cleaned view partitioned by signup month)."""
     writer = df.write.mode(mode).format(fmt)

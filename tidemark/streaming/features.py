@@ -2,7 +2,7 @@
 
 The reference has no streaming code; these are the streaming forms of the
 batch features, written so the same aggregation runs in batch and in a
-stream (event-time windows + watermark, append mode, checkpointed state).
+stream (event-time windows + watermark, update mode, checkpointed state).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import rnd
 from tidemark.session import checkpoint_dir
 
+ALERT_THRESHOLD = 0.7
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -44,6 +46,7 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
     agg = e.groupBy(F.window("event_time", window).alias("w"), "user_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "login").alias("logins"),
+        F.size(F.collect_set("event_type")).cast("long").alias("event_types"),  # a few fixed types
         F.sum(F.col("value").cast("decimal(18,6)")).alias("_vsum"),
         F.count("value").alias("_vn"),
     )
@@ -53,8 +56,9 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
         "user_id",
         "events",
         "logins",
+        "event_types",
         F.col("_vsum").cast("double").alias("value_sum"),
-        rnd(F.col("_vsum").cast("double") / F.col("_vn"), 6).alias("value_avg"),
+        rnd(F.try_divide(F.col("_vsum").cast("double"), F.col("_vn")), 6).alias("value_avg"),
     )
 
 
@@ -72,9 +76,23 @@ def session_features(events: DataFrame, gap: str = "30 minutes", watermark: str
     )
 
 
-def stream_alerts(scored: DataFrame, threshold: float = 0.7, watermark: str = "1 day",
+def activity_risk(features: DataFrame) -> DataFrame:
+    """``features`` with a churn probability from the window's activity (X4): few events, few kinds of events and no
+    login each add to it. A fitted pipeline's ``transform`` takes the same place for a learned score."""
+    quiet = 1 / (1 + F.col("events"))
+    narrow = 1 / (1 + F.col("event_types"))
+    away = F.when(F.col("logins") > 0, 0.0).otherwise(1.0)
+    return features.withColumn("churn_probability", rnd(0.5 * away + 0.3 * quiet + 0.2 * narrow, 6))
+
+
+def alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """Windows whose churn probability exceeds ``threshold``."""
+    return scored.filter(F.col("churn_probability") > threshold).select("window_start", "user_id", "churn_probability")
+
+
+def stream_alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD, watermark: str = "1 day",
                   key: str = "customer_id", time_col: str = "event_time") -> DataFrame:
-    """Churn alerts: probability above ``threshold``, one alert per customer within the watermark."""
+    """Churn alerts on a scored stream: one alert per customer within the watermark."""
     return (
         scored.withWatermark(time_col, watermark)
         .filter(F.col("churn_probability") > threshold)
@@ -82,14 +100,22 @@ def stream_alerts(scored: DataFrame, threshold: float = 0.7, watermark: str = "1
     )
 
 
+def latest(table: DataFrame, keys=("window_start", "user_id")) -> DataFrame:
+    """The last update of every key of a table that the stream's batches appended to."""
+    rest = [c for c in table.columns if c not in (*keys, "batch")]
+    last = table.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
 def run_event_features_stream(spark: SparkSession, events_dir: str, out_path: str | None = None,
                               window: str = "1 day", watermark: str = "1 hour",
-                              file_glob: str = "events*.parquet") -> DataFrame:
-    """Run the streaming feature job once over everything available and return the sink table.
+                              file_glob: str = "events*.parquet", score=activity_risk) -> DataFrame:
+    """Run the streaming feature job over everything available; the current features and scores of every window.
 
-    File source -> watermark -> windowed aggregate -> Parquet sink (append),
-    with the stream checkpoint in the shared checkpoint folder, so a restarted
-    job resumes from its offsets and state.
+    File source -> watermark -> windowed aggregate in update mode -> score ->
+    one folder per micro-batch, overwritten if the batch is replayed, so every
+    window appears (closed or not) and a restarted job resumes from its
+    checkpoint in the shared folder without duplicates.
     """
     base = checkpoint_dir(spark).rstrip("/")
     import uuid
@@ -102,14 +128,17 @@ def run_event_features_stream(spark: SparkSession, events_dir: str, out_path: st
         .option("pathGlobFilter", file_glob)
         .parquet(events_dir)
     )
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        score(batch).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
     q = (
         event_features(stream, window, watermark)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out_path)
+        .writeStream.outputMode("update")
+        .foreachBatch(keep)
         .option("checkpointLocation", f"{base}/stream-ckpt-{run}")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return latest(spark.read.parquet(out_path))
