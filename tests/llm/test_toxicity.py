@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tidemark.llm import toxicity as X
+from tidemark.llm import toxicity_features as T
 
 BAD = ["blockhead", "nitwit", "dunce", "numbskull"]
 
@@ -50,18 +51,18 @@ def test_one_class_and_no_labels(table):
 
 
 def test_features_see_obfuscation_and_distance():
-    lex = X.Lexicon({"dunce": (50, 0)}, 100, 400)
-    near, far, plain, spelled = X.features(
-        ["you are a dunce", "you " + "x " * 60 + "dunce", "nothing here", "what a d0nce dun0e d1unce"], X._Weights(lex.weigher())
+    lex = T.Lexicon({"dunce": (50, 0)}, 100, 400)
+    near, far, plain, spelled = T.features(
+        ["you are a dunce", "you " + "x " * 60 + "dunce", "nothing here", "what a d0nce dun0e d1unce"], T.word_weights(lex)
     )
     assert near[5] > 0 and far[5] == 0 and near[6] > far[6] > plain[6] == 0
     assert spelled[11] > 0 and plain[11] == 0
-    stretched = X._Weights(lex.weigher())
+    stretched = T.word_weights(lex)
     assert stretched["duuuunce"] > 0 and stretched["you"] == -1
 
 
 def test_own_label_is_left_out():
-    lex = X.Lexicon({"rare": (3, 0)}, 30, 300)
+    lex = T.Lexicon({"rare": (3, 0)}, 30, 300)
     assert lex.weigher(None)("rare") > 0 and lex.weigher(1)("rare") == 0
 
 

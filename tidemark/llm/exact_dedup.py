@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ascii_lower, join_groups, text_or_empty
-from tidemark.session import checkpoint_dir, materialize
+from tidemark.session import materialize, tables_dir
 
 #: digests per bucket of a new index, about 50 MB; a persistent index keeps the number it was made with
 BUCKET_ROWS = 500_000
@@ -43,13 +43,13 @@ def digest_rows(docs: DataFrame) -> DataFrame:
 
 class DigestIndex:
     """Bucketed, sorted digest table. ``path`` names a shared folder that outlives the session;
-    without one the index lives in the session's shared checkpoint folder."""
+    without one the index lives with the application's other tables in the shared checkpoint folder."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, expected_rows: int = 0):
         self.spark = spark
         self.buckets = max(MIN_BUCKETS, -(-expected_rows // BUCKET_ROWS))
         self.name = f"tidemark_digests_{uuid.uuid4().hex}"
-        self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{self.name}"
+        self.path = path or f"{tables_dir(spark)}/{self.name}"
         spark.sql(
             f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"

@@ -263,7 +263,7 @@ def learn(docs: DataFrame, learn_on=None) -> Crf | None:
     labelled = labelled.select(
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)).alias("draw"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)).alias("draw"),
     )
     per = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(LANGS).collect()
     if not per:
