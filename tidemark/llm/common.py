@@ -36,14 +36,14 @@ def fold_col(id_col: str, modulus: int) -> Column:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, its session handing Python at most 32 MB at once unless the user set a bound: long texts stay bounded too."""
+    """``df``, its session handing Python at most 8 MB at once unless the user set a bound: long texts stay bounded too."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if df.sparkSession.conf.get(key, None) is None:
-        df.sparkSession.conf.set(key, str(32 << 20))
+        df.sparkSession.conf.set(key, str(8 << 20))
     return df
 
 
-def slices(batch, max_bytes: int = 4 << 20):
+def slices(batch, max_bytes: int = 2 << 20):
     """Cut an Arrow batch into row ranges of about ``max_bytes`` (one row at least).
 
     Bounds what one step of an operator holds; whole texts stay whole.

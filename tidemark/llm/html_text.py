@@ -26,11 +26,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, slices
 
-_TAG = re.compile(
-    r"<!--(?:.*?--\s*>|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)|[^>]*)>",
-    re.S,
-)
+#: possessive, so that broken tags cost one scan; quoted values may hold ">"
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)|[^>]*+)>", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
 # names of HTML (fixed values)
@@ -61,10 +58,10 @@ CUT_ROLES = {
 }
 CUT_NAMES = {
     "ad", "ads", "adv", "advert", "advertisement", "adverts", "adsense", "banner", "breadcrumb", "breadcrumbs",
-    "byline", "comment", "comments", "consent", "cookie", "cookies", "disqus", "dropdown", "footer", "gdpr", "header",
+    "alert", "alerts", "comment", "comments", "consent", "cookie", "cookies", "discussion", "disqus", "dropdown", "footer", "gdpr", "header",
     "login", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
-    "pager", "pagination", "popup", "promo", "promos", "promotion", "related", "replies", "reply", "respond", "rail",
-    "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+    "pager", "pagination", "popular", "popup", "promo", "promos", "promotion", "recommended", "related", "replies", "reply", "respond", "rail",
+    "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toc", "toolbar", "trending", "widget",
 }
 KEEP_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 NEVER_CUT = {"html", "body", "article", "main"}
@@ -75,13 +72,13 @@ SHORT = 25
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "score", "own", "length", "linked", "commas")
+    __slots__ = ("tag", "parent", "kids", "score", "own", "length", "linked", "commas", "links")
 
     def __init__(self, tag, parent):
         self.tag, self.parent = tag, parent
         self.kids: list = []  # nodes and texts in page order
         self.score = 0.0
-        self.own = self.length = self.linked = self.commas = 0
+        self.own = self.length = self.linked = self.commas = self.links = 0
 
 
 def _is_cut(tag: str, attrs: str) -> bool:
@@ -103,23 +100,39 @@ def _is_cut(tag: str, attrs: str) -> bool:
     return bool(names & CUT_NAMES) and not names & KEEP_NAMES
 
 
+def _declaration_end(page: str, lt: int) -> int:
+    """Where the comment, CDATA section or declaration that starts at ``lt`` ends; 0 if there is none."""
+    if page.startswith("<!--", lt):
+        end = page.find("-->", lt + 4)
+        return len(page) if end < 0 else end + 3
+    if page.startswith(("<!", "<?"), lt):
+        end = page.find("]]>", lt) if page.startswith("<![CDATA[", lt) else -1
+        end = end + 3 if end >= 0 else page.find(">", lt) + 1
+        return end or len(page)
+    return 0
+
+
 def parse(page: str) -> Node:
     """The tree of a page without the subtrees that cannot be article text."""
     root = Node("html", None)
     open_ = [root]
     cut_depth = 0  # how many open elements the cut subtree starts below; 0 outside
     at, n = 0, len(page)
+    last = page.rfind(">")  # no tag ends after it
     low = None
     while at < n:
-        m = _TAG.search(page, at)
-        if not m:
-            break
-        if m.start() > at and not cut_depth:
-            open_[-1].kids.append(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if not tag:
+        lt = page.find("<", at)
+        m = _TAG.match(page, lt) if 0 <= lt < last else None
+        skip = _declaration_end(page, lt) if m is None and lt >= 0 else 0
+        end = n if lt < 0 else m.end() if m else skip or lt + 1
+        if not cut_depth:
+            text = page[at : end if m is None and not skip else lt]
+            if text:
+                open_[-1].kids.append(text)
+        at = end
+        if m is None:
             continue
+        tag = m[2]
         tag = tag.lower()
         if m[1]:
             for i in range(len(open_) - 1, 0, -1):
@@ -171,8 +184,6 @@ def parse(page: str) -> Node:
             else:
                 open_[-1].kids.append(node)
         open_.append(node)
-    if at < n and not cut_depth:
-        open_[-1].kids.append(page[at:])
     return root
 
 
@@ -193,6 +204,7 @@ def _measure(nodes: list[Node]) -> None:
             if isinstance(kid, Node):
                 node.length += kid.length
                 node.commas += kid.commas
+                node.links += kid.links + (kid.tag == "a")
                 node.linked += kid.length if kid.tag == "a" else kid.linked
                 if kid.tag not in BLOCK:
                     node.own += kid.own
@@ -240,8 +252,7 @@ def _blocks(node: Node) -> list[str]:
         elif now.tag in BLOCK:
             flush()
             if now is not node and now.tag in ("ul", "ol", "dl", "table", "div", "section") and now.length:
-                links = sum(1 for k in _walk(now) if k.tag == "a")
-                if links >= 3 and now.linked > 0.66 * now.length:  # a menu inside the article
+                if now.links >= 3 and now.linked > 0.66 * now.length:  # a menu inside the article
                     continue
             todo.append(None)
             todo.extend(reversed(now.kids))

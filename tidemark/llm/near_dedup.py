@@ -53,7 +53,7 @@ TREES, STEP, DEPTH = 24, 4, 16
 HASHES = TREES * STEP
 SLACK = 4.5
 CROWD = 10_000  # members of a region that one task orders
-BLOCK = 512  # left-over members that one task compares with a group
+BLOCK, PART = 256, 512  # left-over members and members of a group that one task compares with one another
 _U = np.uint64
 
 
@@ -401,33 +401,35 @@ def _rest_links(labels: DataFrame, hubs: DataFrame, comps: DataFrame, sets: Data
             "hub",
             F.col("top.comp").alias("major"),
             F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("m") / PART).cast("int").alias("parts"),
         )
     )
     rows = materialize(_differences(members.join(open_groups, "hub"), sets))
-    cols = ["hub", "block", "key", "n", "delta", "comp"]
-    queries = rows.where("comp <> major").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    against = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = (
+    cols = ["hub", "block", "part", "key", "n", "delta", "comp"]
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    queries = rows.where("comp <> major").withColumn("block", dealt("blocks")).withColumn("part", numbers("parts"))
+    against = rows.withColumn("part", dealt("parts")).withColumn("block", numbers("blocks"))
+    cells = (
         queries.select(*cols, F.lit(0).alias("side"))
         .unionByName(against.select(*cols, F.lit(1).alias("side")))
-        .repartition("hub", "block")
-        .sortWithinPartitions("hub", "block", "side")
+        .repartition("hub", "block", "part")
+        .sortWithinPartitions("hub", "block", "part", "side")
     )
 
     def run(batches):
         group, held = None, _Queries()
         for batch in batches:
             for part in slices(batch, 1 << 20):
-                hub, block, side = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(6).to_pylist()
-                names = list(zip(hub, block, side, strict=True))
+                names = list(zip(*(part.column(c).to_pylist() for c in (0, 1, 2, 7)), strict=True))
                 cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    if names[a][:2] != group:
-                        group, held = names[a][:2], _Queries()
+                    if names[a][:3] != group:
+                        group, held = names[a][:3], _Queries()
                     piece = part.slice(a, b - a)
-                    keys, n, deltas, comp = (piece.column(c).to_pylist() for c in (2, 3, 4, 5))
+                    keys, n, deltas, comp = (piece.column(c).to_pylist() for c in (3, 4, 5, 6))
                     x = (keys, comp, n, [np.frombuffer(d, np.uint64) for d in deltas])
-                    if names[a][2] == 0:
+                    if names[a][3] == 0:
                         held.add(*x)
                     elif held.keys and (found := held.links(*x, percent)):
                         yield pa.RecordBatch.from_arrays(
@@ -435,7 +437,7 @@ def _rest_links(labels: DataFrame, hubs: DataFrame, comps: DataFrame, sets: Data
                             names=["a", "b"],
                         )
 
-    return _unordered(bounded_batches(dealt).mapInArrow(run, "a binary, b binary"))
+    return _unordered(bounded_batches(cells).mapInArrow(run, "a binary, b binary"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:

@@ -32,7 +32,8 @@ from tidemark.llm.common import bounded_batches, slices
 from tidemark.llm.pieces import MODEL_PATH, PieceModel, load_pieces, pretokens
 
 MAX_WORDS = 400_000
-MAX_INDEX = 1 << 20
+#: code points that one suffix array indexes
+MAX_INDEX = 1 << 18
 _LOW = np.int64(-(1 << 62))
 
 
@@ -240,22 +241,32 @@ def _list_array(ids: np.ndarray, sizes: np.ndarray, texts: list[str | None]):
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32()), mask=none)
 
 
-def encode(docs: DataFrame, model_path: str = MODEL_PATH, out_col: str = "token_ids") -> DataFrame:
-    """``docs`` with an array<int> column of ids; a column of that name is replaced."""
+def encode(
+    docs: DataFrame, model_path: str = MODEL_PATH, out_col: str = "token_ids", check_col: str | None = None
+) -> DataFrame:
+    """``docs`` with an array<int> column of ids and, if named, a column that tells whether decoding them gives the
+    text back; columns of those names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
-    docs = docs.drop(out_col)
+    docs = docs.drop(out_col, *([check_col] if check_col else []))
     at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if check_col:
+        added.append(T.StructField(check_col, T.BooleanType()))
+    names = [*docs.columns, *(f.name for f in added)]
 
     def run(batches):
         encoder = SuffixEncoder(shared.value)
         for batch in batches:
             for part in slices(batch):
                 texts = part.column(at).to_pylist()
-                out = _list_array(*encoder.encode(texts), texts)
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
+                ids, sizes = encoder.encode(texts)
+                cols = [*part.columns, _list_array(ids, sizes, texts)]
+                if check_col:
+                    back = encoder.decode(ids, sizes)
+                    cols.append(pa.array([(t or "") == b for t, b in zip(texts, back, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return bounded_batches(docs).mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "token_ids", out_col: str = "text") -> DataFrame:
