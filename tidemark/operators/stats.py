@@ -258,7 +258,7 @@ def correlation_aggs(x: Column, y: Column, tag: str) -> list[Column]:
 def correlation_of(tag: str) -> Column:
     """Pearson r; NULL without variance, within [-1, 1]."""
     r = _per(F.col(f"c_{tag}"), F.col(f"x_{tag}") * F.col(f"y_{tag}"))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))  # greatest() and least() skip NULL
 
 
 def pearson_pairs(df: DataFrame, cols, with_p: bool = False, pairs=None) -> DataFrame:
