@@ -271,3 +271,17 @@ def moving_average_rows(
         .filter(~F.col("_halo"))
         .drop("_blk", "_halo")
     )
+
+
+def moving_average_days(df: DataFrame, date_col: str, measure: str, days: int, out: str) -> DataFrame:
+    """AVG(measure) over the rows of the last ``days`` calendar days, the row's own day included.
+
+    Rows are first combined per day, so the window runs over one row per calendar day and a day holding a third of
+    all rows is one of them; rows without a date get NULL.
+    """
+    daily = df.where(F.col(date_col).isNotNull()).groupBy(date_col).agg(
+        F.sum(F.col(measure).cast("decimal(18,6)")).alias("_s"), F.count(measure).alias("_c")
+    )
+    w = Window.orderBy(F.unix_date(date_col)).rangeBetween(-(days - 1), 0)
+    avg = F.try_divide(F.sum("_s").over(w).cast("double"), F.sum("_c").over(w))
+    return null_safe_join(df, daily.select(date_col, avg.alias(out)), [date_col], "left")

@@ -122,6 +122,14 @@ def q_customer_trends_snapshots(spark, sf_dir):
     return customer_trends(now.unionByName(later))
 
 
+@register("revenue_last_30_days", O.last_days_sql)
+def q_revenue_last_30_days(spark, sf_dir):
+    from tidemark.operators.windows import moving_average_days
+
+    c = clean(spark, sf_dir).select("customer_id", "signup_date", "cleaned_monthly_revenue")
+    return moving_average_days(c, "signup_date", "cleaned_monthly_revenue", 30, "revenue_30_days_avg")
+
+
 @register("lifecycle_metrics", O.lifecycle_metrics_sql)
 def q_lifecycle_metrics(spark, sf_dir):
     from tidemark.operators.cohorts import lifecycle_metrics
