@@ -298,12 +298,15 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _differences(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rows`` (hub, key, ...) with ``n``, the size of the class's set, and ``delta``, its symmetric difference with
-    the hub's set."""
+def _differences(rows: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` (hub, key, parts, ...) with ``n``, the size of the class's set, and ``delta``, its symmetric difference
+    with the hub's set. The hubs of ``groups`` (hub, parts) go out once per part, so a hot hub's rows are spread."""
     keep = [c for c in rows.columns if c not in ("hub", "key")]
+    centres = groups.select("hub", "parts").join(sets.select(F.col("key").alias("hub"), F.col("set").alias("centre")), "hub")
+    centres = centres.select("hub", "centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
     own = rows.join(sets.withColumnRenamed("set", "own"), "key")
-    both = own.join(sets.select(F.col("key").alias("hub"), F.col("set").alias("centre")), "hub")
+    own = own.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    both = own.join(centres, ["hub", "salt"])
 
     def run(batches):
         for batch in batches:
@@ -404,7 +407,8 @@ def _rest_links(labels: DataFrame, hubs: DataFrame, comps: DataFrame, sets: Data
             F.ceil(F.col("m") / PART).cast("int").alias("parts"),
         )
     )
-    rows = materialize(_differences(members.join(open_groups, "hub"), sets))
+    open_groups = materialize(open_groups)
+    rows = materialize(_differences(members.join(open_groups, "hub"), open_groups, sets))
     cols = ["hub", "block", "part", "key", "n", "delta", "comp"]
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
