@@ -581,17 +581,28 @@ def q_churn_importance(spark, sf_dir):
 
 @register("churn_job")
 def q_churn_job(spark, sf_dir):
-    """The whole job, up to the evaluation of the tuned model (a row per grid point of the best model)."""
+    """The whole job on the selected features, with the best model's test metrics and impact (a row per class).
+
+    The best model's grid is left out here: an ensemble's is 90 or 135 fits, minutes on any table
+    (``predict_churn(tuned=True)`` runs it); the regression's is churn_tuning."""
     from pyspark.sql import functions as F
 
     from tidemark.operators.churn import predict_churn
 
-    job = predict_churn(customer_profile(spark, sf_dir))
-    return job["tuning"].crossJoin(F.broadcast(job["auc"])).crossJoin(F.broadcast(job["impact"])).withColumn(
-        "n_features", F.lit(len(job["selected"]))
+    job = predict_churn(customer_profile(spark, sf_dir), tuned=False)
+    return job["report"].crossJoin(F.broadcast(job["auc"])).crossJoin(F.broadcast(job["impact"])).withColumns(
+        {"best_model": F.lit(job["best"]), "n_features": F.lit(len(job["selected"]))}
     )
 
 
+@register("churn_tuning")
+def q_churn_tuning(spark, sf_dir):
+    """The logistic regression's whole grid with 5-fold CV on the training split."""
+    from tidemark.operators.churn import CHURN_FEATURES, tune
+
+    return tune(_churn_split(spark, sf_dir)[1], CHURN_FEATURES, "Logistic Regression")[0]
+
+
 @register("churn_business_impact", OS.business_impact_sql)
 def q_churn_business_impact(spark, sf_dir):
     """Impact with a rule's predictions (no login for 30 days); the fitted model's is in churn_job."""
