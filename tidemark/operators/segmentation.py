@@ -133,11 +133,13 @@ def best_kmeans(data: DataFrame, k: int, seed: int = 42, n_init: int = N_INIT):
 def sweep_k(scaled: DataFrame, ks=range(2, 11), seed: int = 42, n_init: int = N_INIT) -> DataFrame:
     """k-means for each k (best of ``n_init`` seeds by cost) with its metrics (M1-M5); flags the k that each metric picks."""
     out = []
+    scaled = scaled.persist()  # read by every fit
     for k in ks:
         best = best_kmeans(scaled, k, seed, n_init)
         met = cluster_metrics(best.transform(scaled))
         out.append((k, float(best.summary.trainingCost), float(met["silhouette"]), float(met["calinski_harabasz"]),
                     float(met["davies_bouldin"])))
+    scaled.unpersist()
     picks = {
         "silhouette": max(out, key=lambda r: r[2])[0],
         "calinski_harabasz": max(out, key=lambda r: r[3])[0],
@@ -285,11 +287,13 @@ def pca_kmeans(scaled: DataFrame, variance: float = 0.95, ks=range(2, 11), seed:
     )
 
 
-def segment_customers(raw: DataFrame, as_of: str = CUSTOMER_AS_OF, ks=range(2, 11), seed: int = 42):
-    """End-to-end segmentation (M12): features -> z-scores -> k sweep -> best algorithm -> names."""
+def segment_customers(raw: DataFrame, as_of: str = CUSTOMER_AS_OF, ks=range(2, 11), seed: int = 42, sweep=None):
+    """End-to-end segmentation (M12): features -> z-scores -> k sweep -> best algorithm -> names.
+
+    ``sweep`` takes the result of an earlier ``sweep_k`` on the same customers."""
     feat = materialize(segmentation_features(raw, as_of))
     scaled = materialize(standardize(feat))
-    sweep = sweep_k(scaled, ks, seed)
+    sweep = sweep_k(scaled, ks, seed) if sweep is None else sweep
     k = best_k(sweep)
     comp = compare_clusterings(scaled, k, seed)
     best = comp.filter("is_best").first()["algorithm"]

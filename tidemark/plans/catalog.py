@@ -406,11 +406,22 @@ def q_target_correlation(spark, sf_dir):
     return target_correlation(segmentation_features(customer_profile(spark, sf_dir)))
 
 
-@register("kmeans_sweep")
-def q_kmeans_sweep(spark, sf_dir):
+_SWEEPS: dict = {}
+
+
+def _sweep(spark, sf_dir):
+    """The k sweep of a table, fitted once per application (ten seeds for each of nine k): a row per k."""
     from tidemark.operators.segmentation import sweep_k
 
-    return sweep_k(_seg_scaled(spark, sf_dir)[1])
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SWEEPS:
+        _SWEEPS[key] = sweep_k(_seg_scaled(spark, sf_dir)[1])
+    return _SWEEPS[key]
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    return _sweep(spark, sf_dir)
 
 
 @register("segmentation_job")
@@ -420,7 +431,7 @@ def q_segmentation_job(spark, sf_dir):
 
     from tidemark.operators.segmentation import segment_customers
 
-    job = segment_customers(customer_profile(spark, sf_dir))
+    job = segment_customers(customer_profile(spark, sf_dir), sweep=_sweep(spark, sf_dir))
     per = job["customers"].groupBy("cluster", "cluster_name").agg(F.count(F.lit(1)).alias("customers"))
     hv = job["high_value"].select(
         F.col("customers").alias("high_value_customers"), F.col("revenue_share_pct").alias("high_value_revenue_pct")
@@ -430,10 +441,9 @@ def q_segmentation_job(spark, sf_dir):
 
 @register("clustering_comparison")
 def q_clustering_comparison(spark, sf_dir):
-    from tidemark.operators.segmentation import best_k, compare_clusterings, sweep_k
+    from tidemark.operators.segmentation import best_k, compare_clusterings
 
-    scaled = _seg_scaled(spark, sf_dir)[1]
-    return compare_clusterings(scaled, best_k(sweep_k(scaled)))
+    return compare_clusterings(_seg_scaled(spark, sf_dir)[1], best_k(_sweep(spark, sf_dir)))
 
 
 def _by_rule(spark, sf_dir):
