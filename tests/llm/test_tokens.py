@@ -78,3 +78,14 @@ def test_encode_then_decode_is_exact(odd_docs, no_docs, rows):
 def test_unknown_ids_decode_to_nothing(spark):
     ids = spark.createDataFrame([([-5, 10**6],), (None,)], "token_ids array<int>")
     assert [r["text"] for r in sentencepieces.decode(ids).collect()] == ["", None]
+
+
+def test_long_run_without_pieces_is_encoded_whole(model):
+    letter = "ꦄ"  # Javanese, no piece of its own
+    assert letter not in model.value
+    long = letter * 10_000 + "ab"
+    encoder = sentencepieces.SuffixEncoder(model)
+    ids, sizes = encoder.encode([long, "the end"])
+    assert ids[: sizes[0]].tolist() == plain(model, long)
+    assert sizes[0] > 30_000
+    assert encoder.decode(ids, sizes) == [long, "the end"]

@@ -11,6 +11,7 @@ wins, then the one whose last piece is longest.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -57,7 +58,7 @@ def pretokens(text: str | None) -> list[str]:
 def best_path(model: PieceModel, pretoken: str) -> list[int]:
     """Plain dynamic programme over one pre-token, as the operators define it (for tests)."""
     n = len(pretoken)
-    best: list[tuple[int, int]] = [(0, 0)] + [(-(1 << 62), 0)] * n
+    best: list[tuple[float, int]] = [(0, 0)] + [(-math.inf, 0)] * n
     for start in range(n):
         for end in range(start + 1, min(n, start + model.longest) + 1):
             got = model.value.get(pretoken[start:end])

@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import bounded_batches, slices
-from tidemark.llm.pieces import MODEL_PATH, PieceModel, load_pieces, pretokens
+from tidemark.llm.pieces import MODEL_PATH, WEIGHT, PieceModel, load_pieces, pretokens
 
 MAX_WORDS = 400_000
 #: code points that one suffix array indexes
 MAX_INDEX = 1 << 18
+#: score of an unreached node; a text has less than 2^31 bytes, so its score (without WEIGHT) stays far above
 _LOW = np.int64(-(1 << 62))
 
 
@@ -53,7 +54,7 @@ class SuffixEncoder:
         self.model, self.max_words = model, max_words
         pieces = list(model.value)
         self.length = np.array([len(p) for p in pieces], np.int64)
-        self.score = np.array([model.value[p][0] for p in pieces], np.int64)
+        self.score = np.array([(model.value[p][0] + 1) // WEIGHT for p in pieces], np.int64)
         self.id = np.array([model.value[p][1] for p in pieces], np.int64)
         flat = "".join(pieces)
         self.letters = np.frombuffer(flat.encode("utf-32-le"), np.uint32)
@@ -148,23 +149,27 @@ class SuffixEncoder:
         n_bytes = 1 + (cp >= 0x80).astype(np.int64) + (cp >= 0x800) + (cp >= 0x10000)
         e_start = np.concatenate([start, bare])
         e_end = np.concatenate([start + self.length[piece], bare + 1])
-        e_gain = np.concatenate([self.score[piece], self.model.fallback - n_bytes])
+        e_gain = np.concatenate([self.score[piece], np.full(len(bare), self.model.fallback // WEIGHT, np.int64)])
+        e_tokens = np.concatenate([np.ones(len(piece), np.int64), n_bytes])
         e_piece = np.concatenate([piece, np.full(len(bare), -1, np.int64)])
 
         offset = np.arange(n, dtype=np.int64) - np.repeat(begin, size + 1)
         e_off = offset[e_start]
         by = np.argsort(e_off, kind="stable")
-        e_start, e_end, e_gain, e_piece = e_start[by], e_end[by], e_gain[by], e_piece[by]
+        e_start, e_end, e_gain, e_tokens, e_piece = e_start[by], e_end[by], e_gain[by], e_tokens[by], e_piece[by]
         cuts = np.searchsorted(e_off[by], np.arange(int(size.max(initial=0)) + 1))
         best = np.full(n, _LOW, np.int64)
         best[begin] = 0
+        tokens = np.zeros(n, np.int64)
         back = np.full(n, -1, np.int64)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             # edges from one distance to their word's start: their ends differ, and their starts are settled
             total = best[e_start[a:b]] + e_gain[a:b]
+            count = tokens[e_start[a:b]] + e_tokens[a:b]
             end = e_end[a:b]
-            better = total > best[end]
+            better = (total > best[end]) | (total == best[end]) & (count < tokens[end])
             best[end[better]] = total[better]
+            tokens[end[better]] = count[better]
             back[end[better]] = np.flatnonzero(better) + a
 
         node, word = begin + size, np.arange(len(words))
