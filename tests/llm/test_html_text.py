@@ -54,3 +54,31 @@ def test_odd_tables(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (None, None, "<p>a", "y"), (1, "u", None, "x")], "page_id bigint, url string, html string, text string")
     assert sorted((r["page_id"] or 0, r["text"]) for r in H.extract_text(df).collect()) == [(0, "a"), (1, ""), (1, "")]
     assert H.extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 7, 9, 40])
+def test_wrapped_articles_are_kept_whole(n):
+    long, short = "x" * 198 + ",,", "A short section's only words."
+    paragraphs = [f"{i} {long}" for i in range(n)]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    want = ["Title", *paragraphs, "Second", short, "one", "two", "loose words"]
+    tail = f"<section><h2>Second</h2><p>{short}</p></section><ul><li>one<li>two</ul>loose words"
+    for tag in ("article", "main"):
+        assert H.main_text(f"<{tag}><h1>Title</h1><div>{body}</div>{tail}</{tag}>").split("\n") == want
+    outside = f"<body><h1>Title</h1><div>{body}</div><h3>Menu</h3><div><a href=x>y</a></div>Loose text of the article itself.</body>"
+    assert H.main_text(outside).split("\n") == ["Title", *paragraphs, "Loose text of the article itself."]
+
+
+def test_references_stay():
+    refs = [f"Author {i}, the title of a long enough work" for i in range(4)]
+    lists = "".join(f"<li><a href=x>{r}</a></li>" for r in refs)
+    assert H.main_text(f"<article><p>{BODY}</p><ol>{lists}</ol></article>").split("\n") == [BODY, *refs]
+
+
+@pytest.mark.parametrize(("names", "cut"), [
+    ("post-comments", True), ("content-sidebar", True), ("articleShare", True), ("main-nav", True), ("post-header", False),
+    ("content", False), ("content sidebar", False), ("entry-content has-sidebar", False), ("story", False),
+])
+def test_compound_names(names, cut):
+    page = f"<article><p>{BODY}</p><div class='{names}'><p>More</p></div></article>"
+    assert H.main_text(page) == (BODY if cut else f"{BODY}\nMore")

@@ -6,8 +6,9 @@ styles, hidden elements, and elements whose role, class or id names an advert,
 notice, menu, comment section and the like) are cut off. Every paragraph then
 passes points for its length and its commas to its ancestors, fewer with the
 distance; a container's points are discounted by its link density. The best
-container and those of its siblings that score like article text are kept, and
-their blocks are written one per line.
+container (or the article or main element it lies in) and those of its siblings
+that score or read like article text are kept, and their blocks are written one
+per line.
 
 One narrow pass, no shuffle, a page at a time. Defined results: null and empty
 html give an empty text; a page without any paragraph gives the text of its
@@ -64,6 +65,9 @@ CUT_NAMES = {
     "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toc", "toolbar", "trending", "widget",
 }
 KEEP_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+#: a part's header of these holds its title
+TITLED = {"article", "entry", "post", "story"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NEVER_CUT = {"html", "body", "article", "main"}
 START = {"article": 25, "main": 20, "section": 5, "div": 5, "blockquote": 3, "pre": 3, "td": 3}
 LOW_START = {"ol": -3, "ul": -3, "dl": -3, "address": -3, "li": -3, "dd": -3, "dt": -3, "th": -5}
@@ -86,7 +90,7 @@ def _is_cut(tag: str, attrs: str) -> bool:
         return True
     if tag in NEVER_CUT or not attrs:
         return False
-    names: set[str] = set()
+    cut = keep = False
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -96,8 +100,11 @@ def _is_cut(tag: str, attrs: str) -> bool:
         if name == "role" and value.lower() in CUT_ROLES:
             return True
         if name in ("class", "id"):
-            names.update(x.lower() for x in _PARTS.findall(value))
-    return bool(names & CUT_NAMES) and not names & KEEP_NAMES
+            for word in value.split():
+                names = {x.lower() for x in _PARTS.findall(word)}
+                keep |= bool(names) and names <= KEEP_NAMES
+                cut |= bool(names & CUT_NAMES) and not ("header" in names and names & TITLED and names & CUT_NAMES == {"header"})
+    return cut and not keep
 
 
 def _declaration_end(page: str, lt: int) -> int:
@@ -252,8 +259,8 @@ def _blocks(node: Node) -> list[str]:
         elif now.tag in BLOCK:
             flush()
             if now is not node and now.tag in ("ul", "ol", "dl", "table", "div", "section") and now.length:
-                if now.links >= 3 and now.linked > 0.66 * now.length:  # a menu inside the article
-                    continue
+                if now.links >= 3 and now.linked > 0.66 * now.length and now.linked < SHORT * now.links:
+                    continue  # a menu inside the article; references have longer link texts
             todo.append(None)
             todo.extend(reversed(now.kids))
         else:
@@ -262,6 +269,43 @@ def _blocks(node: Node) -> list[str]:
     return out
 
 
+def _with_siblings(best: Node) -> list[Node]:
+    """``best`` and what belongs to it on its level: blocks that score like it, unlinked text, lists and headings."""
+    if best.parent is None:
+        return [best]
+    need = max(10, 0.2 * best.score)
+    level: list[Node] = []  # a run of loose texts and inline elements is one paragraph
+    for kid in best.parent.kids:
+        if isinstance(kid, Node) and kid.tag in BLOCK:
+            level.append(kid)
+            continue
+        if not level or level[-1].tag != "loose":
+            level.append(Node("loose", best.parent))
+        level[-1].kids.append(kid)
+    for run in level:
+        if run.tag == "loose":
+            _measure([run])
+    keep = []
+    for kid in level:
+        density = kid.linked / kid.length if kid.length else 0
+        if kid is best:
+            good = True
+        elif kid.tag == "p":
+            good = kid.length > 80 and density < 0.25 or density == 0 and kid.length >= SHORT and kid.commas > 0
+        elif kid.tag in ("loose", "ul", "ol", "dl"):
+            good = kid.length >= SHORT and density < 0.25
+        else:
+            good = kid.length > 0 and kid.score * (1 - density) >= need
+        keep.append(good)
+    last = False  # whether the next block that is no heading is kept
+    for i in range(len(level) - 1, -1, -1):
+        if level[i].tag in HEADINGS:
+            keep[i] = last
+        elif level[i].length:
+            last = keep[i]
+    return [kid for kid, good in zip(level, keep, strict=True) if good]
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line; empty if there is none."""
     if not page:
@@ -274,21 +318,10 @@ def main_text(page: str | None) -> str:
     if not box:
         return "\n".join(_blocks(root))
     best = max(box, key=lambda x: x.score * (1 - x.linked / x.length))
-    kept = [best]
-    if best.parent is not None:
-        need = max(10, 0.2 * best.score)
-        kept = []
-        for kid in best.parent.kids:
-            if kid is best:
-                kept.append(kid)
-            elif isinstance(kid, Node) and kid.length:
-                density = kid.linked / kid.length
-                if kid.tag == "p":
-                    good = kid.length > 80 and density < 0.25 or density == 0 and kid.length >= SHORT and kid.commas > 0
-                else:
-                    good = kid.score * (1 - density) >= need
-                if good:
-                    kept.append(kid)
+    up = best
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    kept = _with_siblings(up or best)
     return "\n".join(b for k in kept for b in _blocks(k))
 
 
