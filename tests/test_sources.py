@@ -63,6 +63,29 @@ def test_stream_has_every_window_of_the_batch(spark):
     assert S.alerts(stream).count() == batch.where("churn_probability > 0.7").count() > 0
 
 
+def test_stream_of_shuffled_files_is_the_batch(spark, tmp_path):
+    import os
+
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming import features as S
+
+    events = read_table(spark, SF001, "events").select(*S.EVENT_SCHEMA.names)
+    folder = tmp_path / "events.parquet"
+    events.repartitionByRange(4, F.desc("ts")).write.parquet(str(folder))  # the latest days first
+    events.limit(0).write.mode("append").parquet(str(folder))
+    for k, name in enumerate(sorted(p for p in os.listdir(folder) if p.startswith("part-"))):
+        os.utime(folder / name, (1_700_000_000 + 60 * k, 1_700_000_000 + 60 * k))
+    batch = S.activity_risk(S.event_features(read_table(spark, SF001, "events")))
+    cols = sorted(batch.columns)
+    want = sorted(map(str, batch.select(cols).collect()))
+    assert sorted(map(str, S.run_event_features_stream(spark, str(tmp_path)).select(cols).collect())) == want
+    # a day's rows spread over all files
+    events.repartition(3, "event_id").write.parquet(str(tmp_path / "b" / "events.parquet"))
+    again = S.run_event_features_stream(spark, str(tmp_path / "b"))
+    assert sorted(map(str, again.select(cols).collect())) == want
+    assert again.dtypes == S.run_event_features_stream(spark, SF001).dtypes
+
+
 def test_alerts_once_per_customer(spark, tmp_path):
     from tidemark.streaming.features import stream_alerts
 

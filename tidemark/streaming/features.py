@@ -2,7 +2,8 @@
 
 The reference has no streaming code; these are the streaming forms of the
 batch features, written so the same aggregation runs in batch and in a
-stream (event-time windows + watermark, update mode, checkpointed state).
+stream (event-time windows; the job keeps mergeable parts per micro-batch, so
+no order of the files loses a row).
 """
 
 from __future__ import annotations
@@ -100,22 +101,43 @@ def stream_alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD, waterma
     )
 
 
-def latest(table: DataFrame, keys=("window_start", "user_id")) -> DataFrame:
-    """The last update of every key of a table that the stream's batches appended to."""
-    rest = [c for c in table.columns if c not in (*keys, "batch")]
-    last = table.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
-    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+def event_parts(events: DataFrame, window: str = "1 day") -> DataFrame:
+    """Mergeable parts of ``event_features``, one row per window and user."""
+    agg = _with_event_time(events).groupBy(F.window("event_time", window).alias("w"), "user_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("event_type") == "login").alias("logins"),
+        F.collect_set("event_type").alias("types"),  # a few fixed types
+        F.sum(F.col("value").cast("decimal(18,6)")).alias("vsum"),
+        F.count("value").alias("vn"),
+    )
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id",
+                      "events", "logins", "types", "vsum", "vn")
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """``event_features`` from the parts of any number of batches, in any order."""
+    agg = parts.groupBy("window_start", "window_end", "user_id").agg(
+        F.sum("events").alias("events"),
+        F.sum("logins").alias("logins"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("types")))).cast("long").alias("event_types"),
+        F.sum("vsum").cast("double").alias("value_sum"),
+        F.sum("vn").alias("_vn"),
+    )
+    return agg.withColumn("value_avg", rnd(F.try_divide(F.col("value_sum"), F.col("_vn")), 6)).drop("_vn")
 
 
 def run_event_features_stream(spark: SparkSession, events_dir: str, out_path: str | None = None,
-                              window: str = "1 day", watermark: str = "1 hour",
-                              file_glob: str = "events*.parquet", score=activity_risk) -> DataFrame:
+                              window: str = "1 day", file_glob: str = "events.parque[t]",
+                              score=activity_risk) -> DataFrame:
     """Run the streaming feature job over everything available; the current features and scores of every window.
 
-    File source -> watermark -> windowed aggregate in update mode -> score ->
-    one folder per micro-batch, overwritten if the batch is replayed, so every
-    window appears (closed or not) and a restarted job resumes from its
-    checkpoint in the shared folder without duplicates.
+    File source -> aggregate of the micro-batch -> one folder of parts per
+    micro-batch, overwritten if the batch is replayed; the parts of a window
+    are merged by key when the table is read, then scored. There is no
+    watermark: every row counts, whatever the order of the files, and a
+    restarted job resumes from its checkpoint in the shared folder without
+    duplicates. ``file_glob`` names the table, a file or a folder of files
+    (a pattern, since the file source takes no plain path of a single file).
     """
     base = checkpoint_dir(spark).rstrip("/")
     import uuid
@@ -125,20 +147,18 @@ def run_event_features_stream(spark: SparkSession, events_dir: str, out_path: st
     stream = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("maxFilesPerTrigger", 1)
-        .option("pathGlobFilter", file_glob)
-        .parquet(events_dir)
+        .parquet(f"{events_dir}/{file_glob}")
     )
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        score(batch).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        event_parts(batch, window).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
+    keep(spark.createDataFrame([], EVENT_SCHEMA), -1)  # the table is there before any event
     q = (
-        event_features(stream, window, watermark)
-        .writeStream.outputMode("update")
-        .foreachBatch(keep)
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", f"{base}/stream-ckpt-{run}")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return latest(spark.read.parquet(out_path))
+    return score(merge_parts(spark.read.parquet(out_path).drop("batch")))
