@@ -90,3 +90,26 @@ def test_sanitised_text(mail):
 def test_odd_tables(docs, odd_docs, no_docs, rows):
     assert P.find_spans(docs).count() == len(rows) == P.find_spans(odd_docs).count()
     assert P.find_spans(no_docs).count() == 0 and P.sanitise(odd_docs).columns == odd_docs.columns
+
+
+def test_terms_of_one_person(spark):
+    """A name beside one phone in differing texts discloses it; copies of a text, or other entities in it, do not."""
+    about = ["rain fell", "shops open", "trains stop", "birds sing", "doors shut", "lamps glow"]
+    rows = [(i, f"In town the {x} and Zaphod answers +1 234 555 0100 while the {x} again") for i, x in enumerate(about)]
+    rows += [(20 + i, f"copies of Marvin always say +1 234 555 0199 and p{i}@mail.example.com") for i in range(4)]
+    rows += [(40 + i, "the town and the shops and the rain and trains again while birds sing " * 3) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    terms = P.disclosing_terms(docs)
+    got = {(r["term"], r["kind"]): r for r in terms.collect()}
+    assert ("zaphod", "phone") in got and not {"marvin", "the", "town"} & {t for t, _ in got}
+    assert (got["zaphod", "phone"]["near"], got["zaphod", "phone"]["n"]) == (6, 6)
+    spans = {r["doc_id"]: r["spans"] for r in P.find_spans(docs, terms).collect()}
+    at = rows[0][1].index("Zaphod")
+    assert f"term:{at}:{at + 6}" in spans[0]
+
+
+def test_near_words_have_no_window():
+    text = "far " + "x" * 300 + " two three four" + " " * 500 + "a@b.c" + "\n" * 400 + "y" * 250 + " one two three four five"
+    words = [(m.start(), m.end(), m[0]) for m in P._WORD.finditer(P._masked(text, P.base_spans(text)))]
+    (_, a, b), = P.base_spans(text)
+    assert P._near(words, a, b) == ["far", "x" * 300, "two", "three", "four", "y" * 250, "one", "two", "three", "four"]

@@ -9,8 +9,11 @@ where the entity itself is masked: for a term t and a kind k
 P over all word positions of all documents, near: within ``REACH`` words of a
 span. A term with PMI >= ``DISCLOSE`` x IC(k) that stood near at least
 ``ENTITIES`` different values of k (so that copies of one text prove nothing)
-discloses k: in documents that hold an entity of k its occurrences become spans
-of kind ``term``. ``sanitise`` masks base spans, generalises disclosing terms to
+discloses k. So does a term that gives one entity away (a name beside one
+person's phone): the same ratio with the entity v in place of k, and near v in
+at least ``TEXTS`` texts that differ in more than case, spaces and entities.
+In documents that hold an entity of k its occurrences become spans of kind
+``term``. ``sanitise`` masks base spans, generalises disclosing terms to
 their kind and removes those at ``REMOVE`` x IC(k) and above.
 
 Scale: narrow passes over the texts; only words near spans, and the counts of
@@ -28,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -38,7 +42,7 @@ from tidemark.llm.common import bounded_batches, slices
 from tidemark.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, ENTITIES, DISCLOSE, REMOVE = 5, 5, 0.9, 0.97
+REACH, ENTITIES, TEXTS, DISCLOSE, REMOVE = 5, 5, 3, 0.9, 0.97
 SHARD_TERMS = 200_000
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -107,17 +111,19 @@ def _masked(text: str, spans) -> str:
     return "".join(out)
 
 
-def _near(masked: str, a: int, b: int) -> list[str]:
-    """The ``REACH`` words on either side of a span."""
-    room = 40 * REACH
-    left = masked[max(0, a - room) : a]
-    if a > room and left and left[0].isalpha() and masked[a - room - 1].isalpha():
-        left = left.lstrip("".join(set(left) - set(" \n\t")))
-    return [w.lower() for w in _WORD.findall(left)[-REACH:] + _WORD.findall(masked[b : b + room])[:REACH]]
+def _near(words: list[tuple[int, int, str]], a: int, b: int) -> list[str]:
+    """The ``REACH`` words on either side of a span, however far; ``words`` are (start, end, word) in page order."""
+    left = bisect_right(words, a, key=lambda w: w[1])
+    right = bisect_left(words, b, key=lambda w: w[0])
+    return [w for _, _, w in words[max(0, left - REACH) : left] + words[right : right + REACH]]
+
+
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
 def _near_words(docs: DataFrame) -> DataFrame:
-    """(term, kind, value) for every word near a span, counted within a batch."""
+    """(term, kind, value, text) for every word near a span, counted within a batch; values and texts as digests."""
 
     def run(batches):
         for batch in batches:
@@ -127,18 +133,20 @@ def _near_words(docs: DataFrame) -> DataFrame:
                 if not spans:
                     continue
                 masked = _masked(text, spans)
+                words = [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(masked)]
+                plain = _digest(" ".join(masked.lower().split()))
                 for kind, a, b in spans:
-                    value = hashlib.blake2b(text[a:b].lower().encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-                    for w in _near(masked, a, b):
-                        found[w, kind, value] += 1
+                    value = _digest(text[a:b].lower())
+                    for w in _near(words, a, b):
+                        found[w, kind, value, plain] += 1
             if found:
                 cols = list(zip(*((*k, n) for k, n in found.items()), strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int64())],
-                    names=["term", "kind", "value", "n"],
+                    [*(pa.array(c, pa.string()) for c in cols[:4]), pa.array(cols[4], pa.int64())],
+                    names=["term", "kind", "value", "text", "n"],
                 )
 
-    return docs.mapInArrow(run, "term string, kind string, value string, n bigint")
+    return docs.mapInArrow(run, "term string, kind string, value string, text string, n bigint")
 
 
 def _occurrences(docs: DataFrame, terms) -> DataFrame:
@@ -176,21 +184,28 @@ def _shards(rows: DataFrame, size: int):
 
 
 def disclosing_terms(
-    docs: DataFrame, entities: int = ENTITIES, disclose: float = DISCLOSE, shard_terms: int = SHARD_TERMS
+    docs: DataFrame, entities: int = ENTITIES, disclose: float = DISCLOSE, shard_terms: int = SHARD_TERMS, texts: int = TEXTS
 ) -> DataFrame:
-    """term, kind, near (times near the kind), n (times in the corpus), pmi, ic, ratio (pmi / ic)."""
+    """term, kind, near (times near the kind, or the one entity), n (times in the corpus), pmi, ic, ratio (pmi / ic);
+    a term that discloses a kind in several ways has the row of the highest ratio."""
     spark = docs.sparkSession
     slim = bounded_batches(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
     # a value's own words first, then its terms: every step combines before the shuffle
-    near = materialize(
+    pairs = materialize(
         _near_words(slim)
-        .groupBy("term", "kind", "value")
+        .groupBy("term", "kind", "value", "text")
         .agg(F.sum("n").alias("n"))
-        .groupBy("term", "kind")
-        .agg(F.sum("n").alias("near"), F.count(F.lit(1)).alias("entities"))
+        .groupBy("term", "kind", "value")
+        .agg(F.sum("n").alias("near"), F.count(F.lit(1)).alias("texts"))
+    )
+    near = materialize(
+        pairs.groupBy("term", "kind").agg(
+            F.sum("near").alias("near"), F.count(F.lit(1)).alias("entities"), F.max("texts").alias("texts")
+        )
     )
-    share = near.groupBy("kind").agg(F.sum("near").alias("kind_words"))  # a row per kind
-    candidates = near.where(F.col("entities") >= entities)
+    share = near.groupBy("kind").agg(F.sum("near").alias("_words"))  # a row per kind
+    of_value = pairs.groupBy("kind", "value").agg(F.sum("near").alias("_words"))
+    candidates = near.where((F.col("entities") >= entities) | (F.col("texts") >= texts))
     counted = None
     for shard in _shards(candidates.select("term").distinct(), shard_terms):
         part = _occurrences(slim, spark.sparkContext.broadcast(frozenset(t for (t,) in shard)))
@@ -201,17 +216,22 @@ def disclosing_terms(
         )
     counted = materialize(counted)
     total = counted.where("term IS NULL").agg(F.max("n").alias("words"))
-    p_kind = F.col("kind_words") / F.col("words")
-    return (
-        candidates.join(counted.where("term IS NOT NULL"), "term")
+    by_kind = near.where(F.col("entities") >= entities).join(F.broadcast(share), "kind")  # four rows
+    by_value = pairs.where(F.col("texts") >= texts).join(of_value, ["kind", "value"])
+    columns = ["term", "kind", "near", "_words"]
+    p_near = F.col("_words") / F.col("words")
+    scored = (
+        by_kind.select(columns)
+        .unionByName(by_value.select(columns))
+        .join(counted.where("term IS NOT NULL"), "term")
         .crossJoin(F.broadcast(total))  # one row
-        .join(F.broadcast(share), "kind")  # four rows
-        .withColumn("ic", -F.log2(p_kind))
-        .withColumn("pmi", F.log2(F.col("near") / F.col("n") / p_kind))
+        .withColumn("ic", -F.log2(p_near))
+        .withColumn("pmi", F.log2(F.col("near") / F.col("n") / p_near))
         .withColumn("ratio", F.col("pmi") / F.col("ic"))
         .where((F.col("ic") > 0) & (F.col("ratio") >= disclose))
-        .select("term", "kind", "near", "n", "pmi", "ic", "ratio")
     )
+    row = F.max(F.struct("ratio", "near", "n", "pmi", "ic")).alias("r")
+    return scored.groupBy("term", "kind").agg(row).select("term", "kind", "r.near", "r.n", "r.pmi", "r.ic", "r.ratio")
 
 
 def _term_spans(text: str, spans, terms: dict) -> list[tuple[str, int, int]]:
