@@ -34,3 +34,21 @@ def test_margin_model_gets_probabilities(spark):
     scored = C.score_customers(fitted["SVM"], split).join(split, "customer_id")
     means = {r["churn_target"]: r["p"] for r in scored.groupBy("churn_target").agg(F.avg("churn_probability").alias("p")).collect()}
     assert 0 <= means[0] < 0.3 and 0.7 < means[1] <= 1
+
+
+def test_registered_churn_job_tunes_its_best_model(spark, monkeypatch):
+    import pytest
+
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    from tidemark.operators import churn
+
+    class Seen(Exception):
+        pass
+
+    def job(raw, tuned=True, **_):
+        raise Seen(tuned)
+
+    monkeypatch.setattr(churn, "predict_churn", job)
+    with pytest.raises(Seen, match="True"):
+        E.queries()["churn_job"](spark, SF001)

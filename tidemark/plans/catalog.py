@@ -591,15 +591,13 @@ def q_churn_importance(spark, sf_dir):
 
 @register("churn_job")
 def q_churn_job(spark, sf_dir):
-    """The whole job on the selected features, with the best model's test metrics and impact (a row per class).
-
-    The best model's grid is left out here: an ensemble's is 90 or 135 fits, minutes on any table
-    (``predict_churn(tuned=True)`` runs it); the regression's is churn_tuning."""
+    """The whole job on the selected features: the best model tuned over its grid on the training split, its test
+    metrics and impact (a row per class). An ensemble's grid is 90 or 135 fits."""
     from pyspark.sql import functions as F
 
     from tidemark.operators.churn import predict_churn
 
-    job = predict_churn(customer_profile(spark, sf_dir), tuned=False)
+    job = predict_churn(customer_profile(spark, sf_dir), tuned=True)
     return job["report"].crossJoin(F.broadcast(job["auc"])).crossJoin(F.broadcast(job["impact"])).withColumns(
         {"best_model": F.lit(job["best"]), "n_features": F.lit(len(job["selected"]))}
     )
