@@ -89,3 +89,10 @@ def test_long_run_without_pieces_is_encoded_whole(model):
     assert ids[: sizes[0]].tolist() == plain(model, long)
     assert sizes[0] > 30_000
     assert encoder.decode(ids, sizes) == [long, "the end"]
+
+
+def test_count_of_a_huge_pretoken_does_not_wrap(model):
+    letter = "ꦄ"  # three bytes, no piece of its own
+    n = (1 << 20) // 3 + 10
+    assert token_counts.ForwardTrie(model).count(letter * n) == 3 * n
+    assert token_counts.ForwardTrie(model).count(" " + letter * n) == 3 * n + 1

@@ -16,8 +16,8 @@ import re
 from dataclasses import dataclass
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-#: total score of a path in one integer: score x WEIGHT - tokens
-WEIGHT = 1 << 20
+#: total score of a path in one Python integer: score x WEIGHT - tokens; no text has as many bytes, so no count wraps
+WEIGHT = 1 << 32
 PRETOKEN = re.compile(r" ?[^ \n]+| |\n")
 
 
