@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm import (
     chat_format,
+    collocations,
     decontamination,
     exact_dedup,
     html_text,
@@ -59,6 +60,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
@@ -70,9 +75,11 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES = {
     "op1_chat_format": lambda: chat_format.ORACLE_SQL,
     "op2_exact_dedup": lambda: exact_dedup.ORACLE_SQL,
+    "op12_collocations": lambda: collocations.ORACLE_SQL,
 }
