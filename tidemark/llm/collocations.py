@@ -45,7 +45,7 @@ from tidemark.session import materialize
 MIN_COUNT, TOP, SCALE = 10, 2000, 1_000_000
 DROP_PERCENT = 50
 FRONTIER, GROW = 4 * TOP, 8
-CHUNK = 24 << 20
+CHUNK = 10 << 20
 MAX_BITS = 1 << 27
 _PRIME, _FACTOR = (1 << 31) - 1, 1_000_003
 _BLOCK = 1 << 15  # bits of one aggregated bitmap
@@ -111,35 +111,41 @@ def _sums(keys: np.ndarray):
 
 
 def _count(lang: str, texts: pa.Array, size: int, known: dict):
-    """(phrases, counts) of ``size`` words in the texts of one language, as far as the bitmaps let them pass."""
+    """Slices (phrases, counts) of ``size`` words in the texts of one language, as far as the bitmaps let them pass."""
     text = joined(texts)
     ids, distinct, starts = split_words(text, KINDS)
-    if size == 1:
-        counts = np.bincount(ids, minlength=len(distinct))
-        return pa.concat_arrays([distinct, pa.array([""])]), np.append(counts, len(ids))  # "" counts all words
-    if len(ids) < size:
-        return pa.array([], pa.string()), np.zeros(0, np.int64)
-    ends = np.flatnonzero(KINDS[np.frombuffer(text, np.uint8)] == END)
-    piece = np.searchsorted(ends, starts)
-    hashed = _hashes(lang, distinct)
     n = len(distinct)
+    if size == 1:
+        yield pa.array([""]), np.array([len(ids)])  # all words
+        yield from _slices(distinct, np.bincount(ids, minlength=n), lambda k: (k,), np.arange(n))
+    if size == 1 or len(ids) < size:
+        return
+    piece = np.searchsorted(np.flatnonzero(KINDS[np.frombuffer(text, np.uint8)] == END), starts)
     pair = piece[1:] == piece[:-1]
+    del text, starts, piece
+    hashed = _hashes(lang, distinct)
     if size == 2:
         often = known["words"].has(hashed)
         at = np.flatnonzero(pair & often[ids[:-1]] & often[ids[1:]])
         keys, counts = _sums(ids[at] * n + ids[at + 1])
-        return phrases(distinct, keys // n, keys % n), counts
+        yield from _slices(distinct, counts, lambda k: (k // n, k % n), keys)
+        return
     at = np.flatnonzero(pair)
-    codes, back = np.unique(ids[at] * n + ids[at + 1], return_inverse=True)
-    h = hashed[codes // n] * _FACTOR + hashed[codes % n]
-    flags = np.where(known["pairs"].has(h), 1, 0) | np.where(known["grown"].has(h), 2, 0) | np.where(known["open"].has(h), 4, 0)
-    code, flag = np.full(len(pair), -1, np.int64), np.zeros(len(pair), np.int64)
-    code[at], flag[at] = back, flags[back]
+    h = hashed[ids[at]] * _FACTOR + hashed[ids[at + 1]]
+    near = known["pairs"].has(h)
+    at, h = at[near], h[near]
+    flag = np.zeros(len(pair), np.uint8)
+    flag[at] = 1 + 2 * known["grown"].has(h) + 4 * known["open"].has(h)
     a, b = flag[:-1], flag[1:]
     at = np.flatnonzero((a & b & 1 == 1) & ((a & 2 == 2) | (b & 4 == 4)))
-    keys, counts = _sums(code[at] * n + ids[at + 2])
-    first = codes[keys // n] if len(keys) else keys
-    return phrases(distinct, first // n, first % n, keys % n), counts
+    heads, code = np.unique(ids[at] * n + ids[at + 1], return_inverse=True)
+    keys, counts = _sums(code * n + ids[at + 2])
+    yield from _slices(distinct, counts, lambda k: (heads[k // n] // n, heads[k // n] % n, k % n), keys)
+
+
+def _slices(distinct: pa.Array, counts: np.ndarray, words_of, keys: np.ndarray, rows: int = 50_000):
+    for at in range(0, len(keys), rows):
+        yield phrases(distinct, *words_of(keys[at : at + rows])), counts[at : at + rows]
 
 
 def count_phrases(docs: DataFrame, size: int, known) -> DataFrame:
@@ -150,11 +156,9 @@ def count_phrases(docs: DataFrame, size: int, known) -> DataFrame:
         texts = pa.concat_arrays([x.column(1) for x in held])
         for lang in langs.unique().to_pylist():
             mine = texts.filter(pa.compute.equal(langs, lang))
-            found, counts = _count(lang, mine, size, known.value if known else {})
-            for at in range(0, len(found), 50_000):
-                part = found.slice(at, 50_000)
+            for found, counts in _count(lang, mine, size, known.value if known else {}):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(lang, pa.string()), len(part)), part, pa.array(counts[at : at + 50_000], pa.int64())],
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(found)), found, pa.array(counts, pa.int64())],
                     names=["lang", "phrase", "c"],
                 )
 

@@ -36,13 +36,16 @@ def split_words(text: bytes, kinds: np.ndarray):
     change[0] = change[-1] = len(kind) > 0
     np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
     at = np.flatnonzero(change)
-    kept = np.flatnonzero((kind[at[:-1]] == WORD) | (kind[at[:-1]] == MARK))
+    kind = kind[at[:-1]]
+    kept = np.flatnonzero((kind == WORD) | (kind == MARK))
     if not len(kept):
         return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64)
     width, of = (np.int32, pa.binary()) if len(text) < 2**31 else (np.int64, pa.large_binary())
     runs = pa.Array.from_buffers(of, len(at) - 1, [None, pa.py_buffer(at.astype(width)), pa.py_buffer(text)])
+    starts = at[kept]
+    del kind, change, at
     coded = runs.take(pa.array(kept)).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.string()), at[kept]
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.string()), starts
 
 
 def phrases(distinct: pa.Array, *ids: np.ndarray) -> pa.Array:
