@@ -13,9 +13,9 @@ COLS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 LOWER = {i: i + 32 for i in range(65, 91)}
 
 
-def brute(table_rows, top):
+def brute(table, top):
     counts = defaultdict(lambda: [Counter(), Counter(), Counter()])
-    for lang, text in rows:
+    for lang, text in table:
         for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
             ws = [w for w in re.split("[ \t]", piece) if w]
             for k in (1, 2, 3):

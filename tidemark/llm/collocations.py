@@ -45,7 +45,7 @@ from tidemark.session import materialize
 MIN_COUNT, TOP, SCALE = 10, 2000, 1_000_000
 DROP_PERCENT = 50
 FRONTIER, GROW = 4 * TOP, 8
-CHUNK = 10 << 20
+CHUNK = 6 << 20
 MAX_BITS = 1 << 27
 _PRIME, _FACTOR = (1 << 31) - 1, 1_000_003
 _BLOCK = 1 << 15  # bits of one aggregated bitmap

@@ -14,6 +14,7 @@ from tidemark.llm import (
     sentencepieces,
     token_counts,
     toxicity,
+    whitening,
 )
 from tidemark.llm.common import read_table
 
@@ -64,6 +65,10 @@ def op12_collocations(spark, sf_dir):
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
@@ -76,6 +81,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
     "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
