@@ -11,6 +11,7 @@ from tidemark.llm import (
     language_id,
     near_dedup,
     pii,
+    quality,
     sentencepieces,
     token_counts,
     toxicity,
@@ -61,6 +62,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_quality(spark, sf_dir):
+    return quality.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
+    "op11_quality": op11_quality,
     "op12_collocations": op12_collocations,
     "op13_whitening": op13_whitening,
 }
