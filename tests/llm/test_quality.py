@@ -72,7 +72,7 @@ def test_dot_products_equal_plain_sums():
     # words, pairs, shapes: "One two *** two two" has 5 + 4 + one repeated word
     assert (number == 0).sum() == 10 and (number == 1).sum() == 0 and (number == 5).sum() == 1
     # a text has the same features wherever it stands, in whatever batch
-    alone = [sorted(Q.ngram_slots(pa.array([t]))[0].tolist()) for t in texts.to_pylist()]
+    alone = [sorted(Q.ngram_slots(pa.array([t], pa.string()))[0].tolist()) for t in texts.to_pylist()]
     assert alone == [sorted(slots[number == i].tolist()) for i in range(len(texts))]
 
 
