@@ -1,4 +1,4 @@
-"""Customer segmentation with Spark ML (k-means family, GMM, PCA).
+"""Customer segmentation: k-means, GMM and PCA of Spark ML, Ward and DBSCAN of this package.
 
 Features are built with column expressions, missing values get exact
 column medians (one aggregate), vectors are standardised with
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import rnd
 from tidemark.operators import windows as W
+from tidemark.operators.density import dbscan
 from tidemark.operators.stats import number
+from tidemark.operators.ward import ward
 from tidemark.session import materialize
 from tidemark.sources.fixtures import CUSTOMER_AS_OF
 
@@ -158,10 +160,15 @@ def best_k(sweep: DataFrame) -> int:
     return int(sweep.agg(F.max_by("k", "silhouette")).first()[0])
 
 
-def fit_cluster(scaled: DataFrame, algo: str, k: int, seed: int = 42) -> DataFrame:
-    """Cluster labels from k-means, bisecting k-means (divisive stand-in for Ward) or GMM (M6-M8)."""
+def fit_cluster(scaled: DataFrame, algo: str, k: int, seed: int = 42, key: str = "customer_id") -> DataFrame:
+    """Cluster labels from k-means, Ward, GMM, DBSCAN (noise is -1) or bisecting k-means (M6-M9)."""
     if algo == "kmeans":
         return best_kmeans(scaled, k, seed).transform(scaled)
+    if algo == "ward":
+        return ward(scaled, k, seed=seed)[0]
+    if algo == "dbscan":
+        labels = dbscan(scaled.select(key, vector_to_array("features").alias("_x")), key, "_x")
+        return scaled.join(labels.select(key, "cluster"), key)
     if algo == "bisecting":
         est = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
     elif algo == "gmm":
@@ -172,15 +179,16 @@ def fit_cluster(scaled: DataFrame, algo: str, k: int, seed: int = 42) -> DataFra
     return out.drop("_prob") if "_prob" in out.columns else out
 
 
-def compare_clusterings(scaled: DataFrame, k: int, seed: int = 42, algos=("kmeans", "bisecting", "gmm")) -> DataFrame:
+def compare_clusterings(scaled: DataFrame, k: int, seed: int = 42, algos=("kmeans", "ward", "gmm", "dbscan")) -> DataFrame:
     """Run the algorithms, keep those with > 1 cluster and < 50 % noise, rank by silhouette."""
     spark = scaled.sparkSession
     rows = []
     for a in algos:
-        pred = fit_cluster(scaled, a, k, seed)
+        pred = materialize(fit_cluster(scaled, a, k, seed))
         noise = pred.filter(F.col("cluster") < 0).count()
-        met = cluster_metrics(pred.filter(F.col("cluster") >= 0))
         n = pred.count()
+        met = cluster_metrics(pred.filter(F.col("cluster") >= 0)) if noise < n else dict.fromkeys(
+            ("silhouette", "calinski_harabasz", "davies_bouldin"), math.nan) | {"n_clusters": 0}
         ok = met["n_clusters"] > 1 and noise < 0.5 * n
         rows.append((a, int(met["n_clusters"]), int(noise), float(met["silhouette"]), float(met["calinski_harabasz"]),
                      float(met["davies_bouldin"]), bool(ok)))

@@ -446,6 +446,25 @@ def q_clustering_comparison(spark, sf_dir):
     return compare_clusterings(_seg_scaled(spark, sf_dir)[1], best_k(_sweep(spark, sf_dir)))
 
 
+@register("dbscan_clusters")
+def q_dbscan_clusters(spark, sf_dir):
+    """Density clusters of the standardised customers (eps 0.5, 5 samples); noise is -1."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tidemark.operators.density import dbscan
+
+    scaled = _seg_scaled(spark, sf_dir)[1]
+    return dbscan(scaled.select("customer_id", vector_to_array("features").alias("x")), "customer_id", "x")
+
+
+@register("ward_merges")
+def q_ward_merges(spark, sf_dir):
+    """The merge table of Ward's clustering of the standardised customers."""
+    from tidemark.operators.ward import ward
+
+    return ward(_seg_scaled(spark, sf_dir)[1], 4)[1]
+
+
 def _by_rule(spark, sf_dir):
     """Clusters by a rule on usage and risk, which SQL can state too (the fitted ones are in segmentation_job)."""
     from pyspark.sql import functions as F
