@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ascii_lower, join_groups, text_or_empty
 from tidemark.session import materialize, tables_dir
 
-#: digests per bucket of a new index, about 50 MB; a persistent index keeps the number it was made with
+#: digests per bucket of a new index, about 50 MB
 BUCKET_ROWS = 500_000
 MIN_BUCKETS = 6
+#: version of the index's columns and of its hash
+LAYOUT = 1
 _DIGEST, _ID = "__dedup_digest", "__dedup_id"
 
 
@@ -41,15 +43,37 @@ def digest_rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 class DigestIndex:
     """Bucketed, sorted digest table. ``path`` names a shared folder that outlives the session;
-    without one the index lives with the application's other tables in the shared checkpoint folder."""
+    without one the index lives with the application's other tables in the shared checkpoint folder.
+
+    The number of buckets and the layout's version are written beside a new index
+    (``<path>_layout``) and read on opening, so ``expected_rows`` shapes new indexes only. A folder
+    with data but without that table, or of another version, is refused. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, expected_rows: int = 0):
         self.spark = spark
-        self.buckets = max(MIN_BUCKETS, -(-expected_rows // BUCKET_ROWS))
         self.name = f"tidemark_digests_{uuid.uuid4().hex}"
         self.path = path or f"{tables_dir(spark)}/{self.name}"
+        layout = f"{self.path.rstrip('/')}_layout"
+        if path and _exists(spark, layout):
+            made = spark.read.parquet(layout).first()
+            if made is None or made["version"] != LAYOUT:
+                raise ValueError(f"{path}: not an index of layout {LAYOUT}")
+            self.buckets = made["buckets"]
+        elif path and _exists(spark, path):
+            raise ValueError(f"{path}: data without its layout table {layout}")
+        else:
+            self.buckets = max(MIN_BUCKETS, -(-expected_rows // BUCKET_ROWS))
+            if path:
+                spark.range(1).select(F.lit(LAYOUT).alias("version"), F.lit(self.buckets).alias("buckets")).coalesce(
+                    1
+                ).write.parquet(layout)
         spark.sql(
             f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
@@ -58,11 +82,15 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def admit(self, rows: DataFrame) -> DataFrame:
+    def admit(self, rows: DataFrame, batch: str | None = None) -> DataFrame:
         """Admit one batch of ``digest_rows``; returns the verdict per distinct digest of the batch:
         digest, keep_id, group_size (rows of this batch), admitted (new to the index),
-        copies (rows of the batch that are the kept document)."""
-        batch = uuid.uuid4().hex
+        copies (rows of the batch that are the kept document).
+
+        A caller that may repeat the batch after a failure names it: digests that an earlier
+        try under this name has appended count as admitted by it, so the verdict is the same."""
+        batch = batch or uuid.uuid4().hex
+        self.spark.catalog.refreshTable(self.name)
         groups = materialize(
             rows.groupBy(_DIGEST, _ID)
             .agg(F.count(F.lit(1)).alias("copies"))
@@ -89,12 +117,12 @@ class DigestIndex:
         )
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     spark = docs.sparkSession
     rows = materialize(digest_rows(docs))
     total = rows.count()
-    verdict = (index or DigestIndex(spark, expected_rows=total)).admit(rows)
+    verdict = (index or DigestIndex(spark, expected_rows=total)).admit(rows, batch)
     out = join_groups(rows, verdict.withColumnRenamed("digest", _DIGEST), _DIGEST, "group_size", total)
     return out.select(
         F.col(_ID).alias("doc_id"),
@@ -105,11 +133,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     )
 
 
-def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: of equal texts the one with the largest doc_id."""
     spark = docs.sparkSession
     index = index or DigestIndex(spark, expected_rows=docs.count())
-    verdict = index.admit(digest_rows(docs)).where("admitted")
+    verdict = index.admit(digest_rows(docs), batch).where("admitted")
     keep = verdict.select(
         F.col("digest").alias(_DIGEST), F.col("keep_id").alias(_ID), F.col("copies").alias("__dedup_copies")
     )
