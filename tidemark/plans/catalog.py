@@ -608,6 +608,16 @@ def q_churn_importance(spark, sf_dir):
     return feature_importance(model, CHURN_FEATURES).join(permutation_importance(model, test, CHURN_FEATURES), "feature")
 
 
+@register("churn_explanations")
+def q_churn_explanations(spark, sf_dir):
+    """Shapley values of every customer and feature under the forest."""
+    from tidemark.operators.churn import CHURN_FEATURES
+    from tidemark.operators.explain import explain
+
+    feat, _, model = _rf_model(spark, sf_dir)
+    return explain(model.estimator, feat, CHURN_FEATURES)
+
+
 @register("churn_job")
 def q_churn_job(spark, sf_dir):
     """The whole job on the selected features: the best model tuned over its grid on the training split, its test
