@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,6)"
+#: amounts below 1e18 with six places; their sums keep 34 digits
+MONEY = "decimal(24,6)"
 
 
 def col(c) -> Column:
@@ -22,8 +23,8 @@ def col(c) -> Column:
 
 
 def rnd(c, n: int) -> Column:
-    """ROUND(x, n) HALF_UP on the decimal value of ``x``; returns DOUBLE."""
-    return F.round(col(c).cast("decimal(38,9)"), n).cast("double")
+    """ROUND(x, n) HALF_UP on the decimal value of ``x``; returns DOUBLE. From 1e29 on a DOUBLE has no places to round."""
+    return F.coalesce(F.round(col(c).try_cast("decimal(38,9)"), n).cast("double"), col(c).cast("double"))
 
 
 def money_sum(c) -> Column:

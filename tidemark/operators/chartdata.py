@@ -85,7 +85,7 @@ def revenue_hierarchy(df: DataFrame, dims=("industry", "subscription_tier", "ref
                       value: str = "monthly_revenue") -> DataFrame:
     """Revenue roll-up industry -> tier -> source (G35) with the level of each row."""
     agg = df.rollup(*dims).agg(
-        F.sum(F.col(value).cast("decimal(18,6)")).alias("_s"), F.grouping_id(*dims).alias("level_id")
+        F.sum(F.col(value).cast("decimal(24,6)")).alias("_s"), F.grouping_id(*dims).alias("level_id")
     )
     return agg.select(*dims, F.col("level_id").cast("long").alias("level_id"),
                       F.round("_s", 2).cast("double").alias("revenue"))

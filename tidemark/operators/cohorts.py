@@ -285,7 +285,7 @@ def cohort_summary(clean: DataFrame, start: str = COHORT_START) -> DataFrame:
             count_when(risk > 0.7).alias("high_risk_customers"),
             money_avg("cleaned_satisfaction_score").alias("avg_satisfaction"),
             # AVG(rev * 12 * (1 - risk) * 2) from an exact decimal sum of rev * (1 - risk)
-            F.sum(rev.cast(MONEY) * (F.lit(1.0) - risk).cast(MONEY)).alias("ltv_sum"),
+            F.sum(rev.cast(MONEY) * (F.lit(1.0) - risk).cast("decimal(10,6)")).alias("ltv_sum"),
         )
     )
     w = Window.partitionBy(tier).orderBy("signup_quarter")

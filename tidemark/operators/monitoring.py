@@ -43,7 +43,7 @@ def psi(base: DataFrame, new: DataFrame, cols, bins: int = 10) -> DataFrame:
     )
     return term.groupBy("column_name").agg(rnd(F.sum("t"), 6).alias("psi")).withColumn(
         "drift",
-        F.when(F.col("psi") < 0.1, "stable").when(F.col("psi") < 0.25, "moderate").otherwise("significant"),
+        F.when(F.col("psi") < 0.1, "stable").when(F.col("psi") < 0.25, "moderate").when(F.col("psi") >= 0.25, "significant"),
     )
 
 
@@ -82,6 +82,7 @@ def revenue_trend(tx: DataFrame, horizon: int = 12, z: float = 1.96) -> DataFram
 
     One aggregate per month (exact sums), then a second aggregate over the
     month rows for the regression sums; projections for months n..n+h-1.
+    Two months give a projection without a band (NULL), one month a NULL projection.
     """
     monthly = tx.groupBy(F.trunc(F.col("transaction_date").cast("date"), "month").alias("month")).agg(
         F.sum(F.col("transaction_amount").cast("decimal(18,2)")).alias("revenue")
@@ -99,10 +100,10 @@ def revenue_trend(tx: DataFrame, horizon: int = 12, z: float = 1.96) -> DataFram
         F.sum(F.col("y").cast("decimal(24,2)") * F.col("y").cast("decimal(24,2)")).cast("double").alias("syy"),
         F.max("x").alias("xmax"), F.max("month").alias("last_month"),
     )
-    slope = (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
-    icpt = (F.col("sy") - slope * F.col("sx")) / F.col("n")
+    slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+    icpt = F.try_divide(F.col("sy") - slope * F.col("sx"), F.col("n"))
     sse = F.col("syy") - icpt * F.col("sy") - slope * F.col("sxy")
-    se = F.sqrt(F.greatest(F.lit(0.0), sse) / (F.col("n") - 2))
+    se = F.sqrt(F.try_divide(F.greatest(F.lit(0.0), sse), F.col("n") - 2))
     fit = s.select("xmax", "last_month", slope.alias("slope"), icpt.alias("intercept"), se.alias("se"))
     out = fit.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
     xh = F.col("xmax") + F.col("step")

@@ -358,7 +358,7 @@ def overview(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.lit(len(df.columns)).cast("long").alias("n_columns"),
-        F.round(F.sum(F.col("monthly_revenue").cast("decimal(18,6)")), 2).cast("double").alias("total_monthly_revenue"),
+        F.round(F.sum(F.col("monthly_revenue").cast("decimal(24,6)")), 2).cast("double").alias("total_monthly_revenue"),
         rnd(money_avg("monthly_revenue"), 2).alias("avg_monthly_revenue"),
         rnd(F.avg("activation_completed"), 6).alias("activation_rate"),
         rnd(money_avg("churn_risk_score"), 6).alias("avg_churn_risk"),

@@ -264,7 +264,7 @@ def moving_average_rows(
     return (
         both.withColumn(
             out,
-            F.try_divide(F.sum(F.col(measure).cast("decimal(18,6)")).over(w).cast("double"), F.count(measure).over(w))
+            F.try_divide(F.sum(F.col(measure).cast("decimal(24,6)")).over(w).cast("double"), F.count(measure).over(w))
             if exact
             else F.avg(measure).over(w),
         )
@@ -280,7 +280,7 @@ def moving_average_days(df: DataFrame, date_col: str, measure: str, days: int, o
     all rows is one of them; rows without a date get NULL.
     """
     daily = df.where(F.col(date_col).isNotNull()).groupBy(date_col).agg(
-        F.sum(F.col(measure).cast("decimal(18,6)")).alias("_s"), F.count(measure).alias("_c")
+        F.sum(F.col(measure).cast("decimal(24,6)")).alias("_s"), F.count(measure).alias("_c")
     )
     w = Window.orderBy(F.unix_date(date_col)).rangeBetween(-(days - 1), 0)
     avg = F.try_divide(F.sum("_s").over(w).cast("double"), F.sum("_c").over(w))

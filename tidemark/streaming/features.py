@@ -48,7 +48,7 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "login").alias("logins"),
         F.size(F.collect_set("event_type")).cast("long").alias("event_types"),  # a few fixed types
-        F.sum(F.col("value").cast("decimal(18,6)")).alias("_vsum"),
+        F.sum(F.col("value").cast("decimal(24,6)")).alias("_vsum"),
         F.count("value").alias("_vn"),
     )
     return agg.select(
@@ -107,7 +107,7 @@ def event_parts(events: DataFrame, window: str = "1 day") -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "login").alias("logins"),
         F.collect_set("event_type").alias("types"),  # a few fixed types
-        F.sum(F.col("value").cast("decimal(18,6)")).alias("vsum"),
+        F.sum(F.col("value").cast("decimal(24,6)")).alias("vsum"),
         F.count("value").alias("vn"),
     )
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id",
