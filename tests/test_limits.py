@@ -36,3 +36,23 @@ def test_drift_of_an_empty_batch_is_unknown(spark):
     got = psi(df, df.limit(0), ["x"]).collect()
     assert all(r["drift"] is None for r in got if r["psi"] is None)
     assert psi(df, df, ["x"]).first()["drift"] == "stable"
+
+
+def test_little_bootstraps_agree_with_the_plain_one(spark):
+    from tidemark.operators.stats import bootstrap_mean_diff, bootstrap_subsets
+
+    rows = spark.range(24000).selectExpr(
+        "id", "IF(id % 3 = 0, 'a', IF(id % 17 = 0, NULL, 'b')) AS g", "IF(id % 29 = 0, NULL, log(1 + pmod(xxhash64(id), 1000)) + id % 3) AS v"
+    )
+    one = bootstrap_subsets(rows, "v", "g", "a", "b", "id", subset_rows=3000, resamples=2000).first()
+    other = bootstrap_subsets(rows.repartition(7), "v", "g", "a", "b", "id", subset_rows=3000, resamples=2000).first()
+    assert one == other and one["subsets"] == 7 and one["resamples_per_subset"] == 286
+    plain = bootstrap_mean_diff(rows, "v", "g", "a", "b", resamples=2000).first()
+    m = {r["g"]: r for r in rows.where("v IS NOT NULL").groupBy("g").agg(F.avg("v").alias("m"), F.variance("v").alias("s"), F.count("v").alias("n")).collect()}
+    centre = m["a"]["m"] - m["b"]["m"]
+    width = 2 * 1.96 * (m["a"]["s"] / m["a"]["n"] + m["b"]["s"] / m["b"]["n"]) ** 0.5
+    for r in (one, plain):
+        assert abs((r["ci_upper"] - r["ci_lower"]) / width - 1) < 0.06
+        assert abs((r["ci_upper"] + r["ci_lower"]) / 2 - centre) < 0.05 * width
+    empty = bootstrap_subsets(rows.where("g = 'a'"), "v", "g", "a", "b", "id").first()
+    assert empty["subsets"] == 0 and empty["ci_lower"] is None

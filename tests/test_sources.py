@@ -86,6 +86,29 @@ def test_stream_of_shuffled_files_is_the_batch(spark, tmp_path):
     assert again.dtypes == S.run_event_features_stream(spark, SF001).dtypes
 
 
+def test_named_stream_resumes_and_compacts(spark, tmp_path):
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming import features as S
+
+    events = read_table(spark, SF001, "events").select(*S.EVENT_SCHEMA.names)
+    folder, job = str(tmp_path / "events.parquet"), f"resumed-{tmp_path.name}"
+    cols = ["window_start", "window_end", "user_id", "events", "logins", "event_types", "value_sum", "value_avg", "churn_probability"]
+    table = S.PartsTable(spark, f"{S.shared_folder(spark)}/streams/{job}/parts")
+    for k in range(3):  # a job stopped and started again; late rows of every day in every part
+        events.where(F.pmod("event_id", F.lit(3)) == k).repartition(2 + k).write.mode("append").parquet(folder)
+        got = S.run_event_features_stream(spark, str(tmp_path), job, compact_after=3)
+        seen = S.activity_risk(S.event_features(events.where(F.pmod("event_id", F.lit(3)) <= k)))
+        assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, seen.select(cols).collect()))
+    assert table._finished("upto") and len(table._finished("batch")) <= 4
+    again = S.run_event_features_stream(spark, str(tmp_path), job)  # nothing new
+    assert sorted(map(str, again.select(cols).collect())) == sorted(map(str, seen.select(cols).collect()))
+    # a compaction lost halfway: an unfinished base, and old folders that were not deleted yet
+    part = S.event_parts(events.limit(5))
+    part.write.parquet(f"{table.path}/batch=0")
+    part.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table.path}/upto=99")
+    assert sorted(map(str, S.activity_risk(S.merge_parts(table.read())).select(cols).collect())) == sorted(map(str, seen.select(cols).collect()))
+
+
 def test_alerts_once_per_customer(spark, tmp_path):
     from tidemark.streaming.features import stream_alerts
 

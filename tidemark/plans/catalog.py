@@ -755,6 +755,8 @@ def q_revenue_trend(spark, sf_dir):
     return revenue_trend(tx(spark, sf_dir))
 register("bootstrap_premium_basic")(_stats("bootstrap_mean_diff", "monthly_revenue", TIER, "Premium", "Basic"))
 
+register("bootstrap_subsets_premium_basic")(_stats("bootstrap_subsets", "monthly_revenue", TIER, "Premium", "Basic", "customer_id"))
+
 
 def _ab_frame(spark, sf_dir):
     from pyspark.sql import functions as F

@@ -55,6 +55,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The configured shared folder itself, the same for every application; ``checkpoint_dir`` is this application's part."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    return (path or checkpoint_dir(spark)).rstrip("/")
+
+
 def tables_dir(spark: SparkSession) -> str:
     """Where this application's intermediate tables are."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import rnd
-from tidemark.session import checkpoint_dir
+from tidemark.session import shared_folder
 
 ALERT_THRESHOLD = 0.7
 
@@ -107,58 +107,106 @@ def event_parts(events: DataFrame, window: str = "1 day") -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "login").alias("logins"),
         F.collect_set("event_type").alias("types"),  # a few fixed types
-        F.sum(F.col("value").cast("decimal(24,6)")).alias("vsum"),
+        F.sum(F.col("value").cast("decimal(24,6)")).cast("decimal(38,6)").alias("vsum"),
         F.count("value").alias("vn"),
     )
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id",
                       "events", "logins", "types", "vsum", "vn")
 
 
-def merge_parts(parts: DataFrame) -> DataFrame:
-    """``event_features`` from the parts of any number of batches, in any order."""
-    agg = parts.groupBy("window_start", "window_end", "user_id").agg(
+def add_parts(parts: DataFrame) -> DataFrame:
+    """The parts of any number of batches, in any order, as one part per window and user."""
+    return parts.groupBy("window_start", "window_end", "user_id").agg(
         F.sum("events").alias("events"),
         F.sum("logins").alias("logins"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("types")))).cast("long").alias("event_types"),
-        F.sum("vsum").cast("double").alias("value_sum"),
-        F.sum("vn").alias("_vn"),
+        F.array_distinct(F.flatten(F.collect_set("types"))).alias("types"),
+        F.sum("vsum").cast("decimal(38,6)").alias("vsum"),
+        F.sum("vn").alias("vn"),
+    )
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """``event_features`` from the parts of any number of batches, in any order."""
+    total = F.col("vsum").cast("double")
+    return add_parts(parts).select(
+        "window_start", "window_end", "user_id", "events", "logins", F.size("types").cast("long").alias("event_types"),
+        total.alias("value_sum"), rnd(F.try_divide(total, F.col("vn")), 6).alias("value_avg"),
     )
-    return agg.withColumn("value_avg", rnd(F.try_divide(F.col("value_sum"), F.col("_vn")), 6)).drop("_vn")
 
 
-def run_event_features_stream(spark: SparkSession, events_dir: str, out_path: str | None = None,
+class PartsTable:
+    """Parts of a named stream: a folder ``batch=N`` per micro-batch and, after compaction, one folder
+    ``upto=N`` that holds the sum of all batches up to N.
+
+    A reader takes the highest finished ``upto`` folder and the batches above it, so a compaction that is
+    lost halfway changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(self, batch: DataFrame, batch_id: int, window: str) -> None:
+        event_parts(batch, window).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def _finished(self, kind: str) -> list[int]:
+        if not self._fs.exists(self._path(self.path)):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
+        ids = [int(n.removeprefix(f"{kind}=")) for n in names if n.startswith(f"{kind}=")]
+        return sorted(i for i in ids if self._fs.exists(self._path(f"{self.path}/{kind}={i}/_SUCCESS")))
+
+    def read(self) -> DataFrame:
+        base = self._finished("upto")[-1:]
+        later = [i for i in self._finished("batch") if not base or i > base[0]]
+        folders = [f"{self.path}/upto={i}" for i in base] + [f"{self.path}/batch={i}" for i in later]
+        empty = event_parts(self.spark.createDataFrame([], EVENT_SCHEMA))
+        return self.spark.read.schema(empty.schema).parquet(*folders) if folders else empty
+
+    def compact(self, most: int) -> None:
+        """Sum up the batches once more than ``most`` folders lie beside the base; the last batch stays, as it may be replayed."""
+        base = self._finished("upto")[-1:]
+        later = [i for i in self._finished("batch") if not base or i > base[0]]
+        if len(later) <= most + 1:
+            return
+        folders = [f"{self.path}/upto={i}" for i in base] + [f"{self.path}/batch={i}" for i in later[:-1]]
+        add_parts(self.spark.read.parquet(*folders)).write.mode("overwrite").parquet(f"{self.path}/upto={later[-2]}")
+        for folder in folders:
+            self._fs.delete(self._path(folder), True)
+
+
+def run_event_features_stream(spark: SparkSession, events_dir: str, job: str | None = None,
                               window: str = "1 day", file_glob: str = "events.parque[t]",
-                              score=activity_risk) -> DataFrame:
+                              score=activity_risk, compact_after: int = 20) -> DataFrame:
     """Run the streaming feature job over everything available; the current features and scores of every window.
 
     File source -> aggregate of the micro-batch -> one folder of parts per
     micro-batch, overwritten if the batch is replayed; the parts of a window
     are merged by key when the table is read, then scored. There is no
-    watermark: every row counts, whatever the order of the files, and a
-    restarted job resumes from its checkpoint in the shared folder without
-    duplicates. ``file_glob`` names the table, a file or a folder of files
+    watermark: every row counts, whatever the order of the files. ``job`` names the stream: its
+    checkpoint and parts lie under that name in the shared folder, so a later call under the same
+    name, in any session with that folder, reads only files it has not seen and adds to the
+    same table. Without a name the job stands alone. More than ``compact_after`` folders of parts are
+    summed into one. ``file_glob`` names the table, a file or a folder of files
     (a pattern, since the file source takes no plain path of a single file).
     """
-    base = checkpoint_dir(spark).rstrip("/")
     import uuid
 
-    run = uuid.uuid4().hex[:12]
-    out_path = out_path or f"{base}/stream-out-{run}"
+    base = f"{shared_folder(spark)}/streams/{job or uuid.uuid4().hex}"
+    table = PartsTable(spark, f"{base}/parts")
     stream = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{events_dir}/{file_glob}")
     )
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        event_parts(batch, window).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-
-    keep(spark.createDataFrame([], EVENT_SCHEMA), -1)  # the table is there before any event
     q = (
-        stream.writeStream.foreachBatch(keep)
-        .option("checkpointLocation", f"{base}/stream-ckpt-{run}")
+        stream.writeStream.foreachBatch(lambda batch, batch_id: table.put(batch, batch_id, window))
+        .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return score(merge_parts(spark.read.parquet(out_path).drop("batch")))
+    table.compact(compact_after)
+    return score(merge_parts(table.read()))
