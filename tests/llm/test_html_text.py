@@ -76,9 +76,72 @@ def test_references_stay():
 
 
 @pytest.mark.parametrize(("names", "cut"), [
-    ("post-comments", True), ("content-sidebar", True), ("articleShare", True), ("main-nav", True), ("post-header", False),
-    ("content", False), ("content sidebar", False), ("entry-content has-sidebar", False), ("story", False),
+    ("post-comments", True), ("content-sidebar", True), ("articleShare", True), ("main-nav", True), ("post-header", True),
+    ("content", False), ("content sidebar", True), ("comments content", True), ("ad main", True), ("thread", True),
+    ("content no-comments", False), ("entry-content has-sidebar", False), ("story", False),
 ])
 def test_compound_names(names, cut):
     page = f"<article><p>{BODY}</p><div class='{names}'><p>More</p></div></article>"
     assert H.main_text(page) == (BODY if cut else f"{BODY}\nMore")
+
+
+def test_cut_names_and_whole_keep_names():
+    page = "<main><p>{}</p><div {}><p>More</p></div></main>"
+    for attrs, kept in (
+        ("id=content class='sidebar-layout'", True), ("id=comments class=content", False), ("id=story class='ad'", False),
+        ("class='story text'", True), ("class='story share-buttons'", False),
+    ):
+        assert H.main_text(page.format(BODY, attrs)) == (f"{BODY}\nMore" if kept else BODY), attrs
+
+
+def test_titles_and_ends_without_an_article_element():
+    long = [f"{i} {BODY}" for i in range(5)]
+    body = "".join(f"<p>{p}</p>" for p in long)
+    end = f"<div class=wrap><div>{body}</div><div><div><p>Short end</p></div></div></div>"
+    assert H.main_text(end).split("\n") == [*long, "Short end"]
+    deeper = f"<div><div><div>{body}</div></div><div>The end.</div></div>"
+    assert H.main_text(f"<body><nav>x</nav>{deeper}<div><a href=x>Next page</a></div></body>").split("\n") == [*long, "The end."]
+    lined = f"<h1>Title</h1><div class=meta>By A</div><div>{body}</div>"
+    assert H.main_text(f"<body>{lined}</body>").split("\n") == ["Title", "By A", *long]
+    menu = f"<h3>Links</h3><div><a href=x>y</a></div><div>{body}</div>"
+    assert H.main_text(f"<body>{menu}</body>").split("\n") == long
+
+
+def test_headers_of_articles_leave_their_headings():
+    for head in ("<header><p>By me</p><h1>The <i>title</i></h1><nav>x</nav></header>", "<div class='post-header'><h1>The <i>title</i></h1>By me</div>"):
+        assert H.main_text(f"<article>{head}<p>{BODY}</p></article>") == f"The title\n{BODY}"
+    assert H.main_text(f"<body><header><h1>Site</h1></header><article><p>{BODY}</p></article></body>") == BODY
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_planted_parts_go_and_all_else_stays(seed):
+    """Random nested articles with planted boilerplate: exactly the planted parts are missing."""
+    import random
+
+    rng = random.Random(seed)
+    serial = iter(range(10_000))
+    words = lambda: f"Text {next(serial)} with words, enough of them to be read as a sentence."
+    want = []
+
+    def part(depth):
+        kind = rng.random()
+        if kind < 0.35 or depth > 4:
+            want.append(words())
+            return f"<p>{want[-1]}</p>"
+        if kind < 0.45:
+            want.append(f"Heading {next(serial)}")
+            return f"<h2>{want[-1]}</h2>"
+        if kind < 0.6:
+            planted = rng.choice([
+                "<div class='comments content'>{}</div>", "<aside>{}</aside>", "<div class='ad main'>{}</div>", "<form>{}</form>",
+                "<section id=related class=story>{}</section>", "<div role=navigation>{}</div>", "<footer>{}</footer>",
+                "<div class='share-bar'>{}</div>", "<script>{}</script>", "<header><p>{}</p></header>",
+            ])
+            return planted.format(words())
+        inner = "".join(part(depth + 1) for _ in range(rng.randint(1, 4)))
+        return rng.choice(["<div>{}</div>", "<section class='entry-content has-sidebar'>{}</section>", "<div id=story>{}</div>"]).format(inner)
+
+    body = "".join(part(0) for _ in range(6))
+    want.append(words())
+    page = f"<body><nav>{words()}</nav><{'article' if seed % 2 else 'main'}>{body}<p>{want[-1]}</p></{'article' if seed % 2 else 'main'}><footer>{words()}</footer></body>"
+    assert H.main_text(page).split("\n") == want

@@ -6,9 +6,9 @@ styles, hidden elements, and elements whose role, class or id names an advert,
 notice, menu, comment section and the like) are cut off. Every paragraph then
 passes points for its length and its commas to its ancestors, fewer with the
 distance; a container's points are discounted by its link density. The best
-container (or the article or main element it lies in) and those of its siblings
-that score or read like article text are kept, and their blocks are written one
-per line.
+container (or the article or main element it lies in) and what scores or reads
+like article text beside it, on every level, are kept, and their blocks are
+written one per line. Of a header inside an article only the headings stay.
 
 One narrow pass, no shuffle, a page at a time. Defined results: null and empty
 html give an empty text; a page without any paragraph gives the text of its
@@ -62,9 +62,11 @@ CUT_NAMES = {
     "alert", "alerts", "comment", "comments", "consent", "cookie", "cookies", "discussion", "disqus", "dropdown", "footer", "gdpr", "header",
     "login", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
     "pager", "pagination", "popular", "popup", "promo", "promos", "promotion", "recommended", "related", "replies", "reply", "respond", "rail",
-    "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toc", "toolbar", "trending", "widget",
+    "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "thread", "threads", "toc", "toolbar", "trending", "widget",
 }
 KEEP_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+#: a class that tells of a layout ("has-sidebar"), not of its element
+STATES = {"has", "no", "with", "without"}
 #: a part's header of these holds its title
 TITLED = {"article", "entry", "post", "story"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -85,26 +87,40 @@ class Node:
         self.own = self.length = self.linked = self.commas = self.links = 0
 
 
-def _is_cut(tag: str, attrs: str) -> bool:
+def _fate(tag: str, attrs: str, inside: bool) -> str:
+    """"cut", "keep" or "title" (only the headings stay) for an element; ``inside`` an article or main element.
+
+    A name that says what the whole element is (``comments``, ``ad``) cuts it, whatever stands beside it. A name that
+    only contains such a word (``content-sidebar``) cuts it unless the id or the class consists of keep names.
+    """
+    if tag == "header" and inside:
+        return "title"
     if tag in CUT_TAGS:
-        return True
+        return "cut"
     if tag in NEVER_CUT or not attrs:
-        return False
-    cut = keep = False
+        return "keep"
+    whole = part = kept = title = False
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "cut"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return "cut"
         if name == "role" and value.lower() in CUT_ROLES:
-            return True
+            return "cut"
         if name in ("class", "id"):
-            for word in value.split():
-                names = {x.lower() for x in _PARTS.findall(word)}
-                keep |= bool(names) and names <= KEEP_NAMES
-                cut |= bool(names & CUT_NAMES) and not ("header" in names and names & TITLED and names & CUT_NAMES == {"header"})
-    return cut and not keep
+            named = [{x.lower() for x in _PARTS.findall(word)} for word in value.split()]
+            kept |= bool(named) and all(n and n <= KEEP_NAMES for n in named)
+            for names in named:
+                bad = names & CUT_NAMES
+                if "header" in names and names & TITLED and bad == {"header"}:
+                    title = True
+                elif bad and not names & STATES:
+                    whole |= names <= CUT_NAMES
+                    part = True
+    if whole or part and not kept:
+        return "cut"
+    return "title" if title else "keep"
 
 
 def _declaration_end(page: str, lt: int) -> int:
@@ -122,7 +138,7 @@ def _declaration_end(page: str, lt: int) -> int:
 def parse(page: str) -> Node:
     """The tree of a page without the subtrees that cannot be article text."""
     root = Node("html", None)
-    open_ = [root]
+    open_, titled = [root], []
     cut_depth = 0  # how many open elements the cut subtree starts below; 0 outside
     at, n = 0, len(page)
     last = page.rfind(">")  # no tag ends after it
@@ -186,14 +202,30 @@ def parse(page: str) -> Node:
             continue
         node = Node(tag, open_[-1])
         if not cut_depth:
-            if _is_cut(tag, m[3]):
+            fate = _fate(tag, m[3], tag == "header" and any(x.tag in ("article", "main") for x in open_))
+            if fate == "cut":
                 cut_depth = len(open_) + 1
             else:
                 open_[-1].kids.append(node)
+                if fate == "title":
+                    titled.append(node)
         open_.append(node)
+    for node in titled:  # of an article's header only the headings stay
+        heads = [x for x in _walk(node) if x.tag in HEADINGS and not any(y.tag in HEADINGS for y in _above(x, node))]
+        node.tag, node.kids = "header", heads
+        for x in heads:
+            x.parent = node
     return root
 
 
+def _above(node: Node, top: Node):
+    """The nodes between a node and ``top``."""
+    node = node.parent
+    while node is not None and node is not top:
+        yield node
+        node = node.parent
+
+
 def _walk(root: Node) -> list[Node]:
     """All nodes, parents first."""
     out, todo = [], [root]
@@ -269,12 +301,9 @@ def _blocks(node: Node) -> list[str]:
     return out
 
 
-def _with_siblings(best: Node) -> list[Node]:
-    """``best`` and what belongs to it on its level: blocks that score like it, unlinked text, lists and headings."""
-    if best.parent is None:
-        return [best]
-    need = max(10, 0.2 * best.score)
-    level: list[Node] = []  # a run of loose texts and inline elements is one paragraph
+def _level(best: Node) -> list[Node]:
+    """The blocks beside ``best``; a run of loose texts and inline elements is one of them."""
+    level: list[Node] = []
     for kid in best.parent.kids:
         if isinstance(kid, Node) and kid.tag in BLOCK:
             level.append(kid)
@@ -285,27 +314,66 @@ def _with_siblings(best: Node) -> list[Node]:
     for run in level:
         if run.tag == "loose":
             _measure([run])
-    keep = []
-    for kid in level:
-        density = kid.linked / kid.length if kid.length else 0
-        if kid is best:
-            good = True
-        elif kid.tag == "p":
-            good = kid.length > 80 and density < 0.25 or density == 0 and kid.length >= SHORT and kid.commas > 0
-        elif kid.tag in ("loose", "ul", "ol", "dl"):
-            good = kid.length >= SHORT and density < 0.25
-        else:
-            good = kid.length > 0 and kid.score * (1 - density) >= need
-        keep.append(good)
-    last = False  # whether the next block that is no heading is kept
+    return level
+
+
+def _belongs(kid: Node, need: float, wrapped: bool) -> bool:
+    """Whether a block beside the best container is article text: it scores like it, or it is unlinked
+    text. In a wrapper of the article's own any unlinked block is, on the page's own level it has to read like text."""
+    density = kid.linked / kid.length if kid.length else 0
+    if wrapped:
+        return kid.length > 0 and density < 0.25
+    if kid.tag == "p":
+        return kid.length > 80 and density < 0.25 or density == 0 and kid.length >= SHORT and kid.commas > 0
+    if kid.tag in ("loose", "ul", "ol", "dl"):
+        return kid.length >= SHORT and density < 0.25
+    return kid.length > 0 and kid.score * (1 - density) >= need
+
+
+def _with_siblings(best: Node) -> list[Node]:
+    """``best`` and what belongs to it on its level, with the headings and by-lines before kept blocks."""
+    need, wrapped = max(10, 0.2 * best.score), best.parent.tag not in ("body", "html")
+    level = _level(best)
+    keep = [kid is best or kid.tag not in HEADINGS and _belongs(kid, need, wrapped) for kid in level]
+    last, between = False, []  # whether the next block that is no heading is kept; short unlinked blocks before it
     for i in range(len(level) - 1, -1, -1):
-        if level[i].tag in HEADINGS:
+        kid = level[i]
+        if kid.tag in HEADINGS:
             keep[i] = last
-        elif level[i].length:
-            last = keep[i]
+            if last:
+                for j in between:  # a by-line between a title and its text
+                    keep[j] = True
+            between = []
+        elif keep[i]:
+            last, between = True, []
+        elif kid.length and last and kid.length <= 80 and not kid.links:
+            between.append(i)
+        elif kid.length:
+            last, between = False, []
     return [kid for kid, good in zip(level, keep, strict=True) if good]
 
 
+def _article(best: Node) -> list[Node]:
+    """The article's nodes in page order: the article or main element of ``best`` and its siblings, else
+    ``best`` with what belongs to it on every level up to the body."""
+    up = best
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    if up is not None:
+        return _with_siblings(up) if up.parent is not None else [up]
+    kept, node = [best], best
+    while node.parent is not None:
+        beside = _with_siblings(node)
+        at = next(i for i, x in enumerate(beside) if x is node)
+        kept = beside[:at] + kept + beside[at + 1 :]
+        top = node.parent
+        top.score = max(top.score, node.score)
+        node = top
+        if node.tag in ("body", "html"):
+            break
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line; empty if there is none."""
     if not page:
@@ -318,11 +386,7 @@ def main_text(page: str | None) -> str:
     if not box:
         return "\n".join(_blocks(root))
     best = max(box, key=lambda x: x.score * (1 - x.linked / x.length))
-    up = best
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    kept = _with_siblings(up or best)
-    return "\n".join(b for k in kept for b in _blocks(k))
+    return "\n".join(b for k in _article(best) for b in _blocks(k))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
