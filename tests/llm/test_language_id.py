@@ -1,11 +1,13 @@
 """The random field: exact probabilities, accuracy, defined results."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
 
 from tidemark.llm import language_id as L
+from tidemark.llm.common import fold_col
 
 
 def test_probabilities_are_sums_over_all_paths():
@@ -62,3 +64,20 @@ def test_stage_drops_what_has_no_language(odd_docs, rows):
     out = L.keep_identified(odd_docs, L.learn(odd_docs))
     assert out.columns == odd_docs.columns
     assert out.count() == sum(bool(r[1]) and any(c.isalpha() for c in r[1]) for r in rows)
+
+
+def test_every_label_is_learned(spark):
+    """70 labels with a vocabulary each, one of them far larger; and copies of a row."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(70):
+        vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(12)]
+        for _ in range(900 if k == 0 else 9):
+            rows.append((len(rows), " ".join(rng.choice(vocabulary) for _ in range(25)), f"l{k:02d}"))
+    rows += [rows[5]] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    crf = L.learn(docs, fold_col("doc_id", 4) != 2)
+    assert crf.langs == [f"l{k:02d}" for k in range(70)]
+    got = L.identify(docs.where(fold_col("doc_id", 4) == 2), crf).join(docs.select("doc_id", "lang").distinct(), "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)

@@ -8,13 +8,13 @@ likelihood (forward-backward) of sequences that mix chunks of labelled texts.
 A document's language is the one with the largest expected share of its words;
 the share is the score.
 
-Training takes a bounded sample: at most ``LANGS`` languages (the most
-frequent), about ``DOCS_PER_LANG`` texts of each and one span of at most
-``SPAN`` words of a text. Prediction reads every word of every text. Long texts
+Training learns every label from a bounded sample of each: the ``DOCS_PER_LANG``
+texts of the lowest hash draws and one span of at most ``SPAN`` words of a
+text. Prediction reads every word of every text. Long texts
 are cut into blocks joined by their transfer matrices, which is exact: steps in
 a task follow the block length and not the longest text.
 
-Nothing is shuffled; the model (a few MB, fixed by ``BUCKETS`` and ``LANGS``) is
+Only hash draws are shuffled; the model (``BUCKETS`` weights a label) is
 broadcast. Defined results: a null text, and a text without a letter, is ``und``
 with score 0; without any labelled text everything is ``und``; a null doc_id
 counts as the empty string in the fold; repeated rows are predicted each; extra
@@ -29,12 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, fold_col, slices
+from tidemark.session import materialize
 
-LANGS = 64
 DOCS_PER_LANG = 400
 SPAN = 300
 BUCKETS = 1 << 16
@@ -129,7 +129,7 @@ def train(sample: list[tuple[str, list[str]]], langs: list[str], seed: int = 5)
     crf = Crf(langs, np.zeros((BUCKETS, n)), lexicon, np.zeros((n + 1, n)), np.zeros((n, n)))
     seen = [np.full_like(x, 1e-2) for x in (crf.grams, crf.by_lexicon, crf.moves)]
     have = [k for k in range(n) if spans[k]]
-    for _ in range(STEPS if n > 1 else 0):
+    for _ in range(STEPS * max(1, n // 32) if n > 1 else 0):
         seq = np.empty((BATCH, SEQUENCE), np.int64)
         gold = np.empty((BATCH, SEQUENCE), np.int64)
         for row in range(BATCH):
@@ -263,15 +263,15 @@ def learn(docs: DataFrame, learn_on=None) -> Crf | None:
     labelled = labelled.select(
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)).alias("draw"),
+        F.xxhash64("doc_id", "text").alias("draw"),
     )
-    per = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(LANGS).collect()
-    if not per:
-        return None
-    chosen = F.lit(False)
-    for row in per:
-        share = int(1_000_000 * min(1.0, DOCS_PER_LANG / row["c"])) + 1
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (F.col("draw") < share))
+    # the draws of each label's sample, ranked in two steps so that no task holds a label's rows
+    few = labelled.select("lang", "draw").distinct().withColumn("part", F.pmod("draw", F.lit(64)))
+    for by in (["lang", "part"], ["lang"]):
+        ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("draw")))
+        few = ranked.where(F.col("rank") <= DOCS_PER_LANG).drop("rank")
+    last = materialize(few.groupBy("lang").agg(F.max("draw").alias("last")))
+    chosen = labelled.join(F.broadcast(last), "lang").where("draw <= last").select("lang", "text", "draw")  # a row a label
 
     def spans(batches):
         for batch in batches:
@@ -279,14 +279,14 @@ def learn(docs: DataFrame, learn_on=None) -> Crf | None:
                 out = []
                 for text, draw in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     ws = words(text)
-                    at = draw * 7919 % max(1, len(ws) - SPAN + 1)
+                    at = draw % 1_000_003 * 7919 % max(1, len(ws) - SPAN + 1)
                     out.append(ws[at : at + SPAN])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(out, pa.list_(pa.string()))], names=["lang", "words"]
                 )
 
-    drawn = labelled.where(chosen).mapInArrow(spans, "lang string, words array<string>").where("size(words) > 0")
-    sample = [(r["lang"], list(r["words"])) for r in drawn.limit(2 * DOCS_PER_LANG * len(per)).collect()]
+    drawn = bounded_batches(chosen).mapInArrow(spans, "lang string, words array<string>").where("size(words) > 0").distinct()
+    sample = sorted((r["lang"], list(r["words"])) for r in drawn.collect())  # DOCS_PER_LANG spans a label
     langs = sorted({lang for lang, _ in sample})
     return train(sample, langs) if langs else None
 
