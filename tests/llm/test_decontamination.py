@@ -53,6 +53,21 @@ def test_long_spans_are_cut(spark, bench, rows):
     assert got.startswith("Before, . After. word0") and got.endswith("word899")
 
 
+def test_shards_do_not_change_what_is_cut(spark, odd_docs, bench):
+    """Coverage and spans come from the union of all shards: 13 hit words of each of two items are 6.5 % of 400."""
+    one, two = (" ".join(f"{c}{i}" for i in range(13)) for c in "ab")
+    items = spark.createDataFrame([(1, one), (2, two)], "item_id bigint, text string")
+    fill = " ".join(f"w{i}" for i in range(374))
+    rows = [(1, f"{one} {fill} {two}"), (2, f"{one} and {fill} {fill}"), (3, fill), (4, None), (None, f"{one} {fill} {fill}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    key = lambda df: sorted(map(str, df.collect()))
+    want = key(D.decontaminate(docs, items, max_span=5))
+    assert key(D.decontaminate(docs, items, max_span=5, shard_words=13)) == want and len(want) == 4
+    assert any("and w0" in r and "a1 a2" not in r for r in want)
+    whole = key(D.decontaminate(odd_docs, bench, max_span=15))
+    assert key(D.decontaminate(odd_docs, bench, max_span=15, shard_words=20)) == whole
+
+
 def test_empty_tables(spark, docs, no_docs, bench):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert D.contamination_report(no_docs, bench).count() == 0

@@ -275,23 +275,27 @@ def contamination_report(
 
 def _cut(text: str, automaton: Automaton, max_span: int, per: int) -> tuple[str | None, bool]:
     """The text without spans longer than ``max_span`` words; None if coverage drops it whole."""
-    import re
-
     doc = words(text)
     n, spans, _, _ = automaton.scan(doc)
     hit = sum(e - s for s, e in spans)
     if hit and hit * per >= n:
         return None, True
-    long = [(s, e) for s, e in spans if e - s > max_span]
+    return _without(text, [(s, e) for s, e in spans if e - s > max_span]), False
+
+
+def _without(text: str, long: list[tuple[int, int]]) -> str:
+    """The text without the given word spans."""
+    import re
+
     if not long:
-        return text, False
+        return text
     raw = text.encode("utf-8", "surrogatepass")
     at = [(m.start(), m.end()) for m in re.finditer(rb"[^ ]+", raw.translate(_TABLE))]
     out, last = [], 0
     for s, e in long:
         out.append(raw[last : at[s][0]])
         last = at[e - 1][1]
-    return b"".join([*out, raw[last:]]).decode("utf-8", "surrogatepass"), False
+    return b"".join([*out, raw[last:]]).decode("utf-8", "surrogatepass")
 
 
 def decontaminate(
@@ -302,11 +306,11 @@ def decontaminate(
     max_span: int | None = None,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """The documents that stay, with their own columns and no shuffle of texts.
+    """The documents that stay, with their own columns and, up to one shard of the benchmark, no shuffle of texts.
 
     A document whose hit words reach ``coverage`` goes; with ``max_span`` set,
-    hit spans of more words than that are cut out of the rest (coverage and
-    spans then judged per shard of the benchmark).
+    hit spans of more words than that are cut out of the rest. With several
+    shards their spans are united first, then judged and cut once.
     """
     schema, spark = docs.schema, docs.sparkSession
     names = docs.columns
@@ -314,8 +318,8 @@ def decontaminate(
     per = round(1 / coverage)
     limit = _NEVER if max_span is None else max_span
     shards = [spark.sparkContext.broadcast(Automaton(window).build(s)) for s in item_shards(bench, window, shard_words)]
-    if len(shards) > 1 and max_span is None:
-        return _drop_by_report(docs, bench, window, coverage, shard_words)
+    if len(shards) > 1:
+        return _by_report(docs, bench, window, coverage, max_span, shard_words)
 
     def run_with(automaton):
         def run(batches):
@@ -337,17 +341,35 @@ def decontaminate(
     return docs
 
 
-def _drop_by_report(docs, bench, window, coverage, shard_words):
-    """Several shards: coverage needs the union of their hits, so rows get a key and the verdict is joined back."""
+def _by_report(docs, bench, window, coverage, max_span, shard_words):
+    """Several shards: verdict and spans need the union of their hits, so rows get a key and both are joined back."""
     from tidemark.session import materialize
 
-    key = "__decon_row"
+    key, cuts = "__decon_row", "__decon_spans"
     keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()))
     report = contamination_report(
         keyed.select(F.col(key).alias("doc_id"), "text"), bench, window, coverage, shard_words
-    )
-    bad = report.where("contaminated").select(F.col("doc_id").alias(key))
-    return keyed.join(bad, key, "left_anti").select(*docs.columns)
+    ).withColumnRenamed("doc_id", key)
+    if max_span is None:
+        return keyed.join(report.where("contaminated").select(key), key, "left_anti").select(*docs.columns)
+    report = materialize(report.select(key, "contaminated", F.filter("spans", lambda s: s["end"] - s["start"] > max_span).alias(cuts)))
+    kept = keyed.join(report.where("contaminated").select(key), key, "left_anti")
+    long = report.where(~F.col("contaminated") & (F.size(cuts) > 0)).select(key, cuts)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                spans = part.column(part.num_columns - 1).to_pylist()
+                texts = [
+                    _without(t, [(s["start"], s["end"]) for s in cut]) if cut else t
+                    for t, cut in zip(part.column(at).to_pylist(), spans, strict=True)
+                ]
+                cols = [pa.array(texts, x.type) if i == at else x for i, x in enumerate(part.columns[:-1])]
+                yield pa.RecordBatch.from_arrays(cols, names=docs_names)
+
+    docs_names = docs.columns
+    return bounded_batches(kept.join(long, key, "left").select(*docs.columns, cuts)).mapInArrow(run, docs.schema)
 
 
 def brute_force(doc: str | None, items: list[tuple[object, str | None]], window: int = WINDOW) -> tuple:
