@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import MONEY, count_when, money_avg, money_sum, pct, rnd
@@ -187,7 +187,9 @@ def customer_trends(clean: DataFrame, rows: int = 30, n_buckets: int | None = No
     for t, mult in LTV_BANDS:
         ltv = F.when(risk > t, rev * mult) if ltv is None else ltv.when(risk > t, rev * mult)
     ltv = ltv.otherwise(rev * LTV_ELSE)
-    prev = F.lag("cleaned_monthly_revenue", 1).over(Window.partitionBy("customer_id").orderBy("signup_date", "_row"))
+    # LAG: the following row of the reversed order, so a customer's snapshots may spread over several tasks
+    back = ["signup_date", "_row"]
+    df = W.global_prefix(df, back, (), ("customer_id",), back, "_back", n_buckets, lags=("cleaned_monthly_revenue",))
     out = df.select(
         "customer_id",
         "signup_date",
@@ -199,7 +201,7 @@ def customer_trends(clean: DataFrame, rows: int = 30, n_buckets: int | None = No
         "health_percentile",
         "revenue_30day_avg",
         F.col("cumulative_revenue").cast("double").alias("cumulative_revenue"),
-        prev.alias("previous_revenue"),
+        F.col("next_cleaned_monthly_revenue").alias("previous_revenue"),
         F.trunc("signup_date", "month").alias("signup_month_cohort"),
         ltv.alias("estimated_ltv"),
     )

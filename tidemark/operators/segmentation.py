@@ -86,6 +86,12 @@ def standardize(feat: DataFrame, cols=SEG_FEATURES, out: str = "features") -> Da
     return ep.transform(scaled).drop("_raw", "_z")
 
 
+def z_scores(feat: DataFrame, cols=SEG_FEATURES, key: str = "customer_id") -> DataFrame:
+    """``key`` and the z-scores of ``cols`` as plain columns (S13); a constant column's are 0."""
+    z = vector_to_array("features")
+    return standardize(feat, cols).select(key, *[rnd(z[i], 6).alias(f"z_{c}") for i, c in enumerate(cols)])
+
+
 def _cluster_stats(pred: DataFrame, k_col: str = "cluster", features: str = "features"):
     """Sizes, centroids, within-SS and mean distance per cluster (aggregates)."""
     arr = pred.select(k_col, vector_to_array(features).alias("_x"))
@@ -126,6 +132,23 @@ def cluster_metrics(pred: DataFrame, k_col: str = "cluster", features: str = "fe
     return {"n_clusters": k, "inertia": within, "silhouette": sil, "calinski_harabasz": ch, "davies_bouldin": db}
 
 
+def compare_labels(scaled: DataFrame, labels) -> DataFrame:
+    """Metrics of given labellings of one table (M2-M4), a row each, and the one of the largest silhouette (T5, M5);
+    of equal ones the first name. ``labels``: integer columns of ``scaled``. A labelling of one cluster has only an inertia."""
+    rows = []
+    for name in labels:
+        met = cluster_metrics(scaled.where(F.col(name).isNotNull()).withColumn(name, F.col(name).cast("int")), name)
+        known = {m: None if isinstance(v, float) and not math.isfinite(v) else v for m, v in met.items()}
+        rows.append((name, *(known[m] for m in ("n_clusters", "inertia", "silhouette", "calinski_harabasz", "davies_bouldin"))))
+    table = scaled.sparkSession.createDataFrame(
+        rows, "labelling string, n_clusters int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double"
+    )
+    known = [r for r in rows if r[3] is not None]
+    best = min(known, key=lambda r: (-r[3], r[0]))[0] if known else None
+    metrics = ("inertia", "silhouette", "calinski_harabasz", "davies_bouldin")
+    return table.withColumns({m: rnd(m, 6) for m in metrics}).withColumn("is_best", F.lit(best).eqNullSafe(F.col("labelling")))
+
+
 def best_kmeans(data: DataFrame, k: int, seed: int = 42, n_init: int = N_INIT):
     """The k-means model of least cost among ``n_init`` seeds (M6)."""
     models = (KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="cluster").fit(data) for s in range(n_init))

@@ -50,6 +50,22 @@ def q_cleaned_customers(spark, sf_dir):
     return clean(spark, sf_dir)
 
 
+@register("customer_file", lambda: O.with_base("SELECT *, TRUE AS whole FROM cust"))
+def q_customer_file(spark, sf_dir):
+    """The customer table written as a CSV report and read back by the file reader."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tidemark.session import tables_dir
+    from tidemark.sources.tables import read_customers, write_report
+
+    path = f"{tables_dir(spark)}/customers-{uuid.uuid4().hex}"
+    write_report(customer_profile(spark, sf_dir), path, fmt="csv")
+    read = read_customers(spark, path)
+    return read.withColumn("whole", F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
 # --- cohorts ---------------------------------------------------------------
 
 
@@ -406,6 +422,27 @@ def q_target_correlation(spark, sf_dir):
     return target_correlation(segmentation_features(customer_profile(spark, sf_dir)))
 
 
+@register("z_scores", OS.z_scores_sql)
+def q_z_scores(spark, sf_dir):
+    from tidemark.operators.segmentation import segmentation_features, z_scores
+    from tidemark.session import materialize
+
+    return z_scores(materialize(segmentation_features(customer_profile(spark, sf_dir))))
+
+
+@register("cluster_quality_rule", OS.cluster_quality_sql)
+def q_cluster_quality_rule(spark, sf_dir):
+    """The clustering metrics of three rule-based labellings; the fitted clusterings' are in kmeans_sweep."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.segmentation import compare_labels
+    from tidemark.session import materialize
+
+    rich, risky = F.col("monthly_revenue") > 100, F.coalesce(F.col("churn_risk_score") > 0.5, F.lit(False))
+    rules = {"by_revenue": rich.cast("int"), "by_risk": risky.cast("int"), "by_both": 2 * rich.cast("int") + risky.cast("int")}
+    return compare_labels(materialize(_seg_scaled(spark, sf_dir)[1].withColumns(rules)), list(rules))
+
+
 _SWEEPS: dict = {}
 
 
@@ -564,6 +601,18 @@ def q_churn_split(spark, sf_dir):
     return split.groupBy("churn_target", "is_test", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("churn_anova_scores", OS.anova_scores_sql)
+def q_churn_anova_scores(spark, sf_dir):
+    """ANOVA F of every churn feature on the training split and the 15 that it selects."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.exprs import rnd
+    from tidemark.operators.churn import anova_scores
+
+    split = _churn_split(spark, sf_dir)[1]
+    return anova_scores(split.filter(~F.col("is_test"))).withColumn("f_value", rnd("f_value", 6))
+
+
 @register("churn_feature_selection")
 def q_churn_feature_selection(spark, sf_dir):
     from pyspark.sql import functions as F
@@ -621,7 +670,7 @@ def q_churn_explanations(spark, sf_dir):
 @register("churn_job")
 def q_churn_job(spark, sf_dir):
     """The whole job on the selected features: the best model tuned over its grid on the training split, its test
-    metrics and impact (a row per class). An ensemble's grid is 90 or 135 fits."""
+    metrics and impact (a row per class). An ensemble's grid is 45 fits."""
     from pyspark.sql import functions as F
 
     from tidemark.operators.churn import predict_churn
@@ -646,10 +695,11 @@ def q_churn_business_impact(spark, sf_dir):
     from pyspark.sql import functions as F
 
     from tidemark.operators.churn import business_impact, churn_features
+    from tidemark.session import materialize
 
-    feat = churn_features(customer_profile(spark, sf_dir))
     rule = (F.col("days_since_last_login") > 30).cast("int").alias("prediction")
-    return business_impact(feat, feat.select("churn_target", rule))
+    feat = materialize(churn_features(customer_profile(spark, sf_dir)).select("churn_target", "monthly_revenue", rule))
+    return business_impact(feat, feat)
 
 
 # Metric operators on a rule-based scorer over the data (SQL-checkable):
@@ -672,6 +722,13 @@ def q_confusion_rule(spark, sf_dir):
     return confusion(_rule_pred(spark, sf_dir))
 
 
+@register("summary_metrics_rule", OQ.summary_metrics_rule_sql)
+def q_summary_metrics_rule(spark, sf_dir):
+    from tidemark.operators.metrics import summary_metrics
+
+    return summary_metrics(_rule_pred(spark, sf_dir))
+
+
 @register("classification_report_rule", OQ.classification_report_rule_sql)
 def q_classification_report_rule(spark, sf_dir):
     from tidemark.operators.metrics import classification_report

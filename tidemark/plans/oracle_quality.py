@@ -250,6 +250,14 @@ def confusion_rule_sql() -> str:
     return with_base("SELECT label, prediction, CAST(COUNT(*) AS BIGINT) AS count FROM rp GROUP BY label, prediction", RULE_PRED)
 
 
+def summary_metrics_rule_sql() -> str:
+    return with_base(
+        f"""SELECT {r("AVG(IF(label = prediction, 1.0, 0.0))", 6)} AS accuracy,
+  {r("IFNULL(2.0 * SUM(label * prediction) / NULLIF(SUM(label) + SUM(prediction), 0), 0)", 6)} AS f1 FROM rp WHERE prediction IS NOT NULL""",
+        RULE_PRED,
+    )
+
+
 def classification_report_rule_sql() -> str:
     parts = []
     for cls in (0, 1):

@@ -160,7 +160,8 @@ def pearson_sql(cols, top=None, with_p=False, strong=False) -> str:
     if not with_p:
         order = f" ORDER BY ABS(rho) DESC, var1, var2 LIMIT {top}" if top else ""
         return with_base(f"SELECT {select} FROM pr{order}", _pairs(cols, "clean"))
-    test = "test AS (SELECT *, CAST(n - 2 AS DOUBLE) AS dof, rho * SQRT((n - 2) / (1 - rho * rho)) AS t FROM pr)"
+    only = " WHERE ABS(rho) > 0.3" if strong else ""  # the others need no integral
+    test = f"test AS (SELECT *, CAST(n - 2 AS DOUBLE) AS dof, rho * SQRT((n - 2) / (1 - rho * rho)) AS t FROM pr{only})"
     tail = f"tail AS (SELECT var1, var2, 1 - 2 * area AS q FROM {simpson(T_DENSITY, 'ABS(t)', 'test', 'var1, var2')} s)"
     p = r("q", 6)
     is_strong = f"ABS(rho) > 0.3 AND {p} < 0.05"
@@ -267,6 +268,48 @@ def target_correlation_sql(target: str = "monthly_revenue", top: int = 5) -> str
     return with_base(f"SELECT * FROM ({rows}) q ORDER BY abs_corr DESC, feature LIMIT {top}", FEATURES_CTE)
 
 
+def _z(c: str) -> str:
+    return f"IF(STDDEV_POP({c}) OVER () = 0, 0, ({c} - AVG({c}) OVER ()) / STDDEV_POP({c}) OVER ())"
+
+
+def z_scores_sql() -> str:
+    return with_base(f"SELECT customer_id, {', '.join(f'{r(_z(c), 6)} AS z_{c}' for c in SEG_FEATURES)} FROM features", FEATURES_CTE)
+
+
+def cluster_quality_sql() -> str:
+    """Long form: a row per customer, labelling and feature. A point's mean squared distance to a cluster is the sum
+    over features of z^2 - 2 z mean + mean square; to its own cluster it counts itself out."""
+    rich, risky = "CAST(monthly_revenue > 100 AS INTEGER)", "CAST(IFNULL(churn_risk_score > 0.5, FALSE) AS INTEGER)"
+    rules = {"by_revenue": rich, "by_risk": risky, "by_both": f"2 * {rich} + {risky}"}
+    columns = ", ".join(f"{_z(c)} AS z_{c}" for c in SEG_FEATURES)
+    rule = " UNION ALL ".join(f"SELECT '{name}' AS labelling, customer_id, {expr} AS c FROM features" for name, expr in rules.items())
+    return with_base(
+        f"""SELECT labelling, CAST(k AS INTEGER) AS n_clusters, {r("ss", 6)} AS inertia, {r("sil", 6)} AS silhouette,
+  {r("(between_ / (k - 1)) / (ss / (n - k))", 6)} AS calinski_harabasz, {r("db", 6)} AS davies_bouldin,
+  IFNULL(ROW_NUMBER() OVER (ORDER BY sil DESC NULLS LAST, labelling) = 1 AND sil IS NOT NULL, FALSE) AS is_best
+FROM spread JOIN silhouettes USING (labelling) JOIN bouldin USING (labelling)""",
+        FEATURES_CTE,
+        f"""zs AS (UNPIVOT (SELECT customer_id, {columns} FROM features) ON COLUMNS(* EXCLUDE customer_id) INTO NAME f VALUE z),
+rules AS ({rule}),
+points AS (SELECT labelling, customer_id, c, f, z FROM rules JOIN zs USING (customer_id)),
+centre AS (SELECT labelling, c, f, COUNT(*) AS n, AVG(z) AS m, AVG(z * z) AS s FROM points GROUP BY ALL),
+own AS (SELECT labelling, c, customer_id, SUM((z - m) * (z - m)) AS d2 FROM points JOIN centre USING (labelling, c, f) GROUP BY ALL),
+spread AS (SELECT labelling, COUNT(DISTINCT c) AS k, COUNT(*) AS n, SUM(d2) AS ss,
+    (SELECT SUM(e.n * POWER(e.m - g.m, 2)) FROM centre e JOIN (SELECT f, AVG(z) AS m FROM zs GROUP BY f) g USING (f)
+     WHERE e.labelling = own.labelling) AS between_ FROM own GROUP BY labelling),
+far AS (SELECT p.labelling, p.customer_id, p.c, e.c AS other, ANY_VALUE(e.n) AS n, SUM(p.z * p.z - 2 * p.z * e.m + e.s) AS d
+  FROM points p JOIN centre e ON e.labelling = p.labelling AND e.f = p.f GROUP BY ALL),
+sides AS (SELECT labelling, customer_id, MAX(IF(c = other, IF(n > 1, d * n / (n - 1), NULL), NULL)) AS a, MIN(IF(c = other, NULL, d)) AS b
+  FROM far GROUP BY ALL),
+silhouettes AS (SELECT labelling, IF(COUNT(b) = 0, NULL, AVG(IF(a IS NULL, 0, (b - a) / GREATEST(a, b)))) AS sil FROM sides GROUP BY labelling),
+reach AS (SELECT labelling, c, AVG(SQRT(d2)) AS s FROM own GROUP BY ALL),
+apart AS (SELECT x.labelling, x.c, y.c AS o, SQRT(SUM(POWER(x.m - y.m, 2))) AS d FROM centre x
+  JOIN centre y ON x.labelling = y.labelling AND x.f = y.f AND x.c <> y.c GROUP BY ALL),
+bouldin AS (SELECT labelling, AVG(worst) AS db FROM (SELECT labelling, a.c, MAX((p.s + q.s) / a.d) AS worst FROM apart a
+  JOIN reach p USING (labelling, c) JOIN (SELECT labelling, c AS o, s FROM reach) q USING (labelling, o) GROUP BY ALL) w GROUP BY labelling)""",
+    )
+
+
 RULE_CLUSTERS = """labeled AS (SELECT *, 2 * CAST(monthly_revenue > 100 AS INTEGER) + CAST(IFNULL(churn_risk_score > 0.5, FALSE) AS INTEGER) AS cluster
   FROM features)"""
 
@@ -373,6 +416,19 @@ FROM placed GROUP BY ALL""",
     )
 
 
+def anova_scores_sql(k: int = 15) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, churn_target AS g, CAST({c} AS DOUBLE) AS v FROM train" for c in CHURN_FEATURES)
+    return with_base(
+        f"""SELECT feature, CAST(n AS BIGINT) AS n, {r("f", 6)} AS f_value, ROW_NUMBER() OVER (ORDER BY f DESC NULLS LAST, feature) <= {k} AS by_anova
+FROM (SELECT feature, COUNT(*) AS n, (SUM(POWER(own - grand, 2)) / NULLIF(COUNT(DISTINCT g) - 1, 0))
+    / NULLIF(SUM(POWER(v - own, 2)) / (COUNT(*) - COUNT(DISTINCT g)), 0) AS f
+  FROM (SELECT *, AVG(v) OVER (PARTITION BY feature, g) AS own, AVG(v) OVER (PARTITION BY feature) AS grand FROM ({rows}) x) y GROUP BY feature) q""",
+        CHURN_CTE,
+        f"""train AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY churn_target ORDER BY {draw("customer_id", 5)}, customer_id) AS place,
+  ROUND(COUNT(*) OVER (PARTITION BY churn_target) * 0.2) AS held FROM churn) t WHERE place > held)""",
+    )
+
+
 def business_impact_sql() -> str:
     return with_base(
         f"""SELECT {r("rate", 6)} AS churn_rate, {r("lost", 2)} AS potential_lost_revenue, {r("recall", 6)} AS recall,
