@@ -386,3 +386,25 @@ def brute_force(doc: str | None, items: list[tuple[object, str | None]], window:
                 found.add("" if item is None else str(item))
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(ws), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(ws)
+
+
+_CUT = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+#: the report by window strings: every position's next words, compared with the distinct windows of the items
+ORACLE_SQL = f"""WITH d AS (SELECT ROW_NUMBER() OVER () AS rid, doc_id, {_CUT} AS w FROM documents),
+b AS (SELECT item_id, {_CUT} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, LEAST({WINDOW}, LEN(w)) AS size, ARRAY_TO_STRING(w[i : i + {WINDOW} - 1], ' ') AS piece
+  FROM (SELECT *, UNNEST(RANGE(1, GREATEST(LEN(w) - {WINDOW} + 2, 2))) AS i FROM b WHERE LEN(w) > 0) x),
+word AS (SELECT rid, UNNEST(w) AS word, GENERATE_SUBSCRIPTS(w, 1) AS i FROM d WHERE LEN(w) > 0),
+ahead AS (SELECT rid, i, LIST(word) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW} - 1 FOLLOWING) AS next FROM word),
+hit AS (SELECT DISTINCT rid, i, win.size, item_id FROM (SELECT rid, i, size, ARRAY_TO_STRING(next[1 : size], ' ') AS piece
+  FROM ahead, (SELECT DISTINCT size FROM win) s WHERE LEN(next) >= size) p JOIN win USING (size, piece)),
+cover AS (SELECT rid, COUNT(DISTINCT place) AS n_hit FROM (SELECT DISTINCT rid, UNNEST(RANGE(i, i + size)) AS place FROM hit) c GROUP BY rid),
+found AS (SELECT rid, COUNT(*) AS n_items, STRING_AGG(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) f GROUP BY rid)
+SELECT doc_id, CAST(IFNULL(LEN(w), 0) AS BIGINT) AS n_words, CAST(IFNULL(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(IFNULL(n_items, 0) AS BIGINT) AS n_items, SHA256(IFNULL(items, '')) AS items_sha256,
+  IFNULL(n_hit > 0 AND 20 * n_hit >= LEN(w), FALSE) AS contaminated
+FROM d LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)"""
