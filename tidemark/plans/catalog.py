@@ -66,6 +66,27 @@ def q_customer_file(spark, sf_dir):
     return read.withColumn("whole", F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
+@register("view_refresh", lambda: O.with_base("SELECT * FROM clean"))
+def q_view_refresh(spark, sf_dir):
+    """The published view by signup month, first as it was before late corrections (three months with other revenues,
+    one year missing, one month too many), then refreshed: only those months are written again."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tidemark.session import tables_dir
+    from tidemark.sources.tables import refresh_table
+
+    path = f"{tables_dir(spark)}/view-{uuid.uuid4().hex}"
+    now = clean(spark, sf_dir).withColumn("published_month", F.date_format("signup_date", "yyyy-MM"))
+    late = F.month("signup_date").isin(2, 5, 8)
+    before = now.withColumn("monthly_revenue", F.when(late, F.col("monthly_revenue") * 2).otherwise(F.col("monthly_revenue")))
+    before = before.where("year(signup_date) <> 2023").unionByName(now.where("month(signup_date) = 3").withColumn("published_month", F.lit("1899-12")))
+    refresh_table(before, path, "published_month")
+    refresh_table(now, path, "published_month")
+    return spark.read.schema(now.schema).parquet(path).drop("published_month")
+
+
 # --- cohorts ---------------------------------------------------------------
 
 
@@ -775,6 +796,17 @@ def q_event_alerts_stream(spark, sf_dir):
     return alerts(run_event_features_stream(spark, sf_dir))
 
 
+@register("daily_alerts_stream", OQ.daily_alerts_sql)
+def q_daily_alerts_stream(spark, sf_dir):
+    """Events of customers whose churn risk exceeds 0.7 as a stream: one alert per customer and day."""
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.features import run_alert_stream
+
+    risk = F.col("churn_risk_score").alias("churn_probability")
+    return run_alert_stream(spark, sf_dir, customer_profile(spark, sf_dir).select(F.col("customer_id").alias("user_id"), risk))
+
+
 @register("session_features", OQ.session_features_sql)
 def q_session_features(spark, sf_dir):
     from tidemark.sources.tables import read_table

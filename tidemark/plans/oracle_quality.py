@@ -298,6 +298,13 @@ c AS (SELECT pos, neg, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDI
     return with_base(f"SELECT {r('SUM(neg / N * (2 * cp - pos) / (2 * P))', 6)} AS roc_auc FROM c", ctes)
 
 
+def daily_alerts_sql() -> str:
+    return with_base(
+        """SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, churn_risk_score AS churn_probability
+FROM events JOIN cust ON customer_id = user_id WHERE churn_risk_score > 0.7"""
+    )
+
+
 EVENTS_CTE = f"""feat AS (SELECT DATE_TRUNC('day', ts) AS window_start, DATE_TRUNC('day', ts) + INTERVAL 1 DAY AS window_end, user_id,
   CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(*) FILTER (event_type = 'login') AS BIGINT) AS logins,
   CAST(COUNT(DISTINCT event_type) AS BIGINT) AS event_types, CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value_sum,

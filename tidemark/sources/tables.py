@@ -118,6 +118,54 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
     writer.save(path)
 
 
+def _partition_states(df: DataFrame, partition_by: str, *more) -> DataFrame:
+    """(partition_by, state): rows and the sum of their digests per partition, whatever the order of rows and columns."""
+    from pyspark.sql import functions as F
+
+    cols = sorted(c for c in df.columns if c != partition_by)
+    digest = F.xxhash64(*cols, *[F.col(c).isNull() for c in cols])  # a NULL alone adds nothing to a hash
+    state = F.struct(F.count(F.lit(1)).alias("rows"), F.sum(digest.cast("decimal(38,0)")).alias("digest")).alias("state")
+    return df.groupBy(partition_by).agg(state, *more)
+
+
+def refresh_table(df: DataFrame, path: str, partition_by: str) -> DataFrame:
+    """Bring the partitioned table at ``path`` up to date with ``df`` (A5); a row per partition that changed.
+
+    Partitions are compared by their number of rows and the sum of their rows' digests. Only those that differ are
+    written, by dynamic partition overwrite; partitions that ``df`` no longer has are deleted; the files of the
+    others stay. NULL is a partition of its own. A refresh lost halfway is repeated by calling it again.
+    Returns (``partition_by``, change) with change 'new', 'changed' or 'gone'; all are new if there is no table yet.
+    """
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.windows import null_safe_join
+    from tidemark.session import materialize
+
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df = materialize(df)  # read twice, and it may itself come from the table
+    sides = _partition_states(df, partition_by).select(partition_by, F.col("state").alias("now"), F.lit(None).alias("was"), F.lit(None).alias("folder"))
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+        folder = F.max(F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)).alias("folder")
+        old = spark.read.schema(df.schema).parquet(path).select(*df.columns, "_metadata")
+        cols = [c for c in df.columns if c != partition_by]
+        states = _partition_states(old.select(partition_by, *cols), partition_by)
+        folders = old.groupBy(partition_by).agg(folder)
+        known = null_safe_join(states, folders, [partition_by])
+        sides = sides.unionByName(known.select(partition_by, F.lit(None).alias("now"), F.col("state").alias("was"), "folder"))
+    both = sides.groupBy(partition_by).agg(F.max("now").alias("now"), F.max("was").alias("was"), F.max("folder").alias("folder"))
+    kind = F.when(F.col("was").isNull(), "new").when(F.col("now").isNull(), "gone").otherwise("changed")
+    changes = materialize(both.where(~F.col("now").eqNullSafe(F.col("was"))).withColumn("change", kind))
+    alive = changes.where("change <> 'gone'").select(partition_by)
+    null_safe_join(df, alive, [partition_by], "left_semi").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(partition_by).parquet(path)
+    for gone in changes.where("change = 'gone'").select("folder").toLocalIterator():  # a folder a partition
+        fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(gone["folder"])), True)
+    return changes.select(partition_by, "change")
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 

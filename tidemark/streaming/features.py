@@ -92,15 +92,44 @@ def alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
 
 
 def stream_alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD, watermark: str = "1 day",
-                  key: str = "customer_id", time_col: str = "event_time") -> DataFrame:
-    """Churn alerts on a scored stream: one alert per customer within the watermark."""
+                  key: str | list[str] = "customer_id", time_col: str = "event_time") -> DataFrame:
+    """Churn alerts on a scored stream: one alert per ``key`` within the watermark."""
     return (
         scored.withWatermark(time_col, watermark)
         .filter(F.col("churn_probability") > threshold)
-        .dropDuplicatesWithinWatermark([key])
+        .dropDuplicatesWithinWatermark([key] if isinstance(key, str) else list(key))
     )
 
 
+def run_alert_stream(spark: SparkSession, events_dir: str, scores: DataFrame, job: str | None = None,
+                     threshold: float = ALERT_THRESHOLD, watermark: str = "31 days",
+                     file_glob: str = "events.parque[t]") -> DataFrame:
+    """Alert when a customer at risk is active: (user_id, day, churn_probability), one per user and day.
+
+    Every micro-batch of events is joined with ``scores`` (user_id, churn_probability; a NULL score raises no alert).
+    The state holds a user and day until the watermark has passed it, so a replayed or late event raises no second
+    alert; an event later than ``watermark`` behind the newest is dropped. The file sink and the checkpoint of a named
+    ``job`` give every alert once, also when the job is stopped and started again.
+    """
+    import uuid
+
+    base = f"{shared_folder(spark)}/streams/{job or uuid.uuid4().hex}-alerts"
+    events = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{events_dir}/{file_glob}")
+    timed = _with_event_time(events, for_watermark=True).withColumn("day", F.to_date("ts"))
+    scored = timed.select("user_id", "day", "event_time").join(scores.select("user_id", "churn_probability"), "user_id")
+    found = stream_alerts(scored, threshold, watermark, ["user_id", "day"]).select("user_id", "day", "churn_probability")
+    q = (
+        found.writeStream.format("parquet")
+        .option("path", f"{base}/alerts")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{base}/alerts")
+
+
 def event_parts(events: DataFrame, window: str = "1 day") -> DataFrame:
     """Mergeable parts of ``event_features``, one row per window and user."""
     agg = _with_event_time(events).groupBy(F.window("event_time", window).alias("w"), "user_id").agg(
