@@ -52,3 +52,74 @@ def test_registered_churn_job_tunes_its_best_model(spark, monkeypatch):
     monkeypatch.setattr(churn, "predict_churn", job)
     with pytest.raises(Seen, match="True"):
         E.queries()["churn_job"](spark, SF001)
+
+
+def planted(spark, n=300):
+    rng = random.Random(3)
+    rows = [(i, i % 2, rng.gauss(i % 2, 0.7), rng.random(), i % 10 == 0, i // 2 % 5) for i in range(n)]
+    return spark.createDataFrame(rows, "customer_id long, churn_target int, x double, y double, is_test boolean, fold int").coalesce(1)
+
+
+def test_first_trees_of_boosting_are_the_shorter_fit(spark):
+    from pyspark.ml import Pipeline
+
+    data = planted(spark)
+    est = C._estimators("raw", "churn_target", 42, 300)["Gradient Boosting"]
+    fit = lambda m: Pipeline(stages=C._stages(["x", "y"], est)).fit(data, {est.maxIter: m})
+    part = C.first_trees(fit(12), 5)
+    raw = lambda m: [r["rawPrediction"] for r in m.transform(data).orderBy("customer_id").collect()]
+    assert raw(part) == raw(fit(5)) != raw(fit(12))
+
+
+def test_first_trees_of_a_forest(spark):
+    from pyspark.ml import Pipeline
+
+    data = planted(spark)
+    est = C._estimators("raw", "churn_target", 42, 300)["Random Forest"]
+    whole = Pipeline(stages=C._stages(["x", "y"], est)).fit(data, {est.numTrees: 9, est.maxDepth: 4})
+    part = C.first_trees(whole, 4)
+    assert [t.toDebugString for t in part.stages[-1].trees] == [t.toDebugString for t in whole.stages[-1].trees[:4]]
+    votes = part.transform(data).select(F.col("rawPrediction")).first()[0]
+    assert abs(sum(votes) - 4) < 1e-9
+
+
+def test_grid_points_of_one_fit_have_their_own_scores(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    data = planted(spark)
+    grid = lambda name, est, n: ParamGridBuilder().addGrid(est.maxIter, [3, 8]).addGrid(est.maxDepth, [1, 2]).build()
+    monkeypatch.setattr(C, "_grid", grid)
+    table, model = C.tune(data, ["x", "y"], "Gradient Boosting")
+    train = data.where("NOT is_test")
+    est = C._estimators("raw", "churn_target", 42, train.count())["Gradient Boosting"]
+    best = 0
+    for row, point in zip(table.collect(), grid("", est, 0), strict=True):
+        aucs = []
+        for f in range(5):
+            one = Pipeline(stages=C._stages(["x", "y"], est)).fit(train.where(F.col("fold") != f), point)
+            aucs.append(C._auc("churn_target").evaluate(one.transform(train.where(F.col("fold") == f))))
+        assert abs(row["cv_auc"] - sum(aucs) / 5) < 1e-9
+        best = max(best, row["cv_auc"])
+    chosen = table.where("is_best").first()
+    assert chosen["cv_auc"] == best and f"maxIter={model.estimator.getNumTrees}" in chosen["params"]
+
+
+def test_anova_of_constant_and_empty_features(spark):
+    rows = [(i % 2, float(i % 2 + i % 3), 1.0, None if i else 2.0, float("nan") if i == 3 else float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "churn_target int, a double, b double, c double, d double")
+    got = {r["feature"]: r for r in C.anova_scores(df, ["a", "b", "c", "d"], k=2).collect()}
+    assert got["a"]["f_value"] > got["d"]["f_value"] > 0 and got["b"]["f_value"] is None and got["c"]["f_value"] is None
+    assert [f for f in "abcd" if got[f]["by_anova"]] == ["a", "d"] and got["d"]["n"] == 11 and got["c"]["n"] == 1
+
+
+def test_labels_of_one_cluster_are_never_the_best(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(i, [float(i // 5 * 10 + i % 5), 0.0], i // 5, 0, i % 2) for i in range(10)]
+    df = spark.createDataFrame(rows, "customer_id int, x array<double>, good int, one int, mixed int")
+    df = df.select("customer_id", array_to_vector("x").alias("features"), "good", "one", "mixed")
+    got = {r["labelling"]: r for r in S.compare_labels(df, ["mixed", "one", "good"]).collect()}
+    assert got["good"]["is_best"] and not got["one"]["is_best"] and not got["mixed"]["is_best"]
+    assert got["one"]["silhouette"] is None and got["one"]["n_clusters"] == 1
+    assert not any(r["is_best"] for r in S.compare_labels(df, ["one"]).collect())

@@ -139,3 +139,56 @@ def test_radar_is_on_the_range_of_all_customers(spark):
     names = spark.createDataFrame([(0, "low"), (1, "high"), (2, "high")], "cluster int, name string")
     got = {r["name"]: r["revenue"] for r in radar_metrics(labeled, names).collect()}
     assert got == {"low": pytest.approx(0.1), "high": pytest.approx(0.733333, abs=1e-6)}
+
+
+def test_refresh_rewrites_only_what_changed(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "view")
+    schema = "id long, v double, w string, month string"
+    rows = [(1, 1.0, None, "2024-01"), (2, 2.0, "a", "2024-01"), (3, 3.0, "b", "2024-02"), (4, None, "c", "a/b =%"), (5, 5.0, "d", None)]
+
+    def files(month):
+        return sorted(os.listdir(os.path.join(path, f"month={month}")))
+
+    def read():
+        return sorted(map(str, spark.read.schema(schema).parquet(path).collect()))
+
+    def refresh(rows):
+        df = spark.createDataFrame(rows, schema)
+        got = {r["month"]: r["change"] for r in T.refresh_table(df, path, "month").collect()}
+        assert read() == sorted(map(str, df.collect()))
+        return got
+
+    assert refresh(rows) == {"2024-01": "new", "2024-02": "new", "a/b =%": "new", None: "new"}
+    assert refresh(rows[::-1]) == {}  # the order of rows is no change
+    kept = files("2024-02")
+    late = [(1, 1.5, None, "2024-01"), *rows[1:]]
+    assert refresh(late) == {"2024-01": "changed"} and files("2024-02") == kept
+    swapped = [*late[:2], (3, None, "b", "2024-02"), *late[3:]]
+    assert refresh(swapped) == {"2024-02": "changed"}
+    repeated = [*swapped, swapped[0]]
+    assert refresh(repeated) == {"2024-01": "changed"}
+    less = [r for r in repeated if r[3] in ("2024-01", None)] + [(9, 9.0, "z", "2024-03")]
+    assert refresh(less) == {"2024-02": "gone", "a/b =%": "gone", "2024-03": "new"}
+    # from the table itself
+    assert {r["change"] for r in T.refresh_table(spark.read.schema(schema).parquet(path), path, "month").collect()} == set()
+    assert T.refresh_table(spark.createDataFrame([], schema), path, "month").count() == 3 and read() == []
+
+
+def test_alerts_of_a_resumed_stream_come_once(spark, tmp_path):
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming import features as S
+
+    events = read_table(spark, SF001, "events").select(*S.EVENT_SCHEMA.names)
+    users = events.select("user_id").distinct().where("user_id IS NOT NULL")
+    risk = F.when(F.pmod("user_id", F.lit(5)) == 0, None).otherwise(F.pmod("user_id", F.lit(3)) / 2.0)
+    scores = users.withColumn("churn_probability", risk)
+    folder, job = str(tmp_path / "events.parquet"), f"once-{tmp_path.name}"
+    for k in (2, 1, 0):  # later files hold earlier days too, and days that have had their alert
+        events.where(F.pmod("event_id", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(folder)
+        got = S.run_alert_stream(spark, str(tmp_path), scores, job)
+        seen = events.where(F.pmod("event_id", F.lit(3)) >= k).join(scores.where("churn_probability > 0.7"), "user_id")
+        want = seen.select("user_id", F.to_date("ts").alias("day"), "churn_probability").distinct()
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() > 0
