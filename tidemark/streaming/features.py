@@ -8,12 +8,13 @@ no order of the files loses a row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import rnd
-from tidemark.session import shared_folder
+from tidemark.operators.windows import range_bucket
+from tidemark.session import materialize, shared_folder
 
 ALERT_THRESHOLD = 0.7
 
@@ -63,8 +64,15 @@ def event_features(events: DataFrame, window: str = "1 day", watermark: str | No
     )
 
 
-def session_features(events: DataFrame, gap: str = "30 minutes", watermark: str | None = None) -> DataFrame:
-    """Session windows per user (activity bursts separated by ``gap``)."""
+def session_features(events: DataFrame, gap: str = "30 minutes", watermark: str | None = None,
+                     n_buckets: int | None = None) -> DataFrame:
+    """Session windows per user (activity bursts separated by more than ``gap``); rows without a time are skipped.
+
+    A stream runs on Spark's session windows. A batch is cut into range buckets of (user, time), so the rows of one
+    user may spread over any number of tasks (``_bucket_sessions``); rows without a user are one user.
+    """
+    if not events.isStreaming:
+        return _bucket_sessions(events, gap, n_buckets)
     e = _with_event_time(events, bool(watermark))
     if watermark:
         e = e.withWatermark("event_time", watermark)
@@ -77,6 +85,47 @@ def session_features(events: DataFrame, gap: str = "30 minutes", watermark: str
     )
 
 
+def _bucket_sessions(events: DataFrame, gap: str, n_buckets: int | None) -> DataFrame:
+    """Sessions inside every range bucket, stitched at the bucket borders.
+
+    Rows are first counted per user and time, which also makes the range key unique. Inside a bucket only the first
+    and the last session of a user can go on elsewhere, and only of the users at the bucket's two ends; these few
+    pieces (at most four a bucket) are joined by the same gap rule, all others are final.
+    """
+    pause = F.expr(f"INTERVAL {gap}")
+    moments = events.where("ts IS NOT NULL").groupBy("user_id", "ts").agg(F.count(F.lit(1)).alias("n"))
+    b = range_bucket(moments, ["user_id", "ts"], (), n_buckets)
+    by_time = Window.partitionBy("_bkt", "user_id").orderBy("ts")
+    opens = F.coalesce(F.col("ts") > F.lag("ts").over(by_time) + pause, F.lit(True))
+    numbered = b.withColumn("_opens", opens).withColumn("_k", F.count_if("_opens").over(by_time))
+    pieces = numbered.groupBy("_bkt", "user_id", "_k").agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("n").alias("events")
+    )
+    pieces = pieces.withColumn("_last", F.max("_k").over(Window.partitionBy("_bkt", "user_id")))
+
+    # users at the ends of more than one bucket: at most two rows a bucket, so the broadcast follows their number
+    who = F.struct("user_id")
+    ends = b.groupBy("_bkt").agg(F.array(F.min(who), F.max(who)).alias("u")).select("_bkt", F.explode("u").alias("u"))
+    spread = ends.groupBy(F.col("u.user_id").alias("_user")).agg((F.count_distinct("_bkt") > 1).alias("_many")).where("_many")
+    marked = pieces.join(F.broadcast(spread), F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    edge = F.col("_many").isNotNull() & ((F.col("_k") == 1) | (F.col("_k") == F.col("_last")))
+    marked = materialize(marked.select("user_id", "first", "last", "events", edge.alias("_edge")))
+
+    run = Window.partitionBy("user_id").orderBy("first")
+    opens = F.coalesce(F.col("first") > F.lag("last").over(run) + pause, F.lit(True))
+    stitched = (
+        marked.where("_edge").withColumn("_opens", opens).withColumn("_k", F.count_if("_opens").over(run))
+        .groupBy("user_id", "_k").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("events").alias("events"))
+    )
+    whole = marked.where("NOT _edge").unionByName(stitched, allowMissingColumns=True)
+    return whole.select(
+        F.col("first").cast("timestamp_ntz").alias("session_start"),
+        (F.col("last") + pause).cast("timestamp_ntz").alias("session_end"),
+        "user_id",
+        "events",
+    )
+
+
 def activity_risk(features: DataFrame) -> DataFrame:
     """``features`` with a churn probability from the window's activity (X4): few events, few kinds of events and no
     login each add to it. A fitted pipeline's ``transform`` takes the same place for a learned score."""
