@@ -807,6 +807,14 @@ def q_daily_alerts_stream(spark, sf_dir):
     return run_alert_stream(spark, sf_dir, customer_profile(spark, sf_dir).select(F.col("customer_id").alias("user_id"), risk))
 
 
+@register("user_scores_stream", OQ.user_scores_sql)
+def q_user_scores_stream(spark, sf_dir):
+    """Running features and score of every user from the state of a stream, quiet users by timer."""
+    from tidemark.streaming.stateful import run_user_scores_stream
+
+    return run_user_scores_stream(spark, sf_dir)
+
+
 @register("session_features", OQ.session_features_sql)
 def q_session_features(spark, sf_dir):
     from tidemark.sources.tables import read_table

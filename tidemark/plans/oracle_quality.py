@@ -325,6 +325,19 @@ def event_alerts_sql() -> str:
     return f"WITH {EVENTS_CTE} SELECT window_start, user_id, {RISK} AS churn_probability FROM feat WHERE {RISK} > 0.7"
 
 
+def user_scores_sql(quiet_hours: int = 6, late: str = "1 DAY") -> str:
+    """A user is quiet if the last event is older than the newest one by more than both spans (in whole milliseconds)."""
+    risk = r("IF(quiet OR logins = 0, 0.5, 0.0) + 0.3 * (1.0 / (1 + events)) + 0.2 * (1.0 / (1 + event_types))", 6)
+    return f"""
+WITH u AS (SELECT user_id, CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(*) FILTER (event_type = 'login') AS BIGINT) AS logins,
+  CAST(COUNT(DISTINCT event_type) AS BIGINT) AS event_types, CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value_sum,
+  COUNT(value) AS vn, MAX(ts) AS last_seen FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY user_id),
+q AS (SELECT *, EPOCH_MS(last_seen + INTERVAL {quiet_hours} HOUR)
+  < EPOCH_MS((SELECT MAX(ts) FROM events WHERE user_id IS NOT NULL) - INTERVAL {late}) AS quiet FROM u)
+SELECT user_id, quiet, events, logins, event_types, value_sum, {r("value_sum / vn", 6)} AS value_avg, last_seen,
+  {risk} AS churn_probability FROM q"""
+
+
 def session_features_sql() -> str:
     """A session starts where no event of the user lies in the 30 minutes before."""
     return """
