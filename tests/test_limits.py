@@ -56,3 +56,11 @@ def test_little_bootstraps_agree_with_the_plain_one(spark):
         assert abs((r["ci_upper"] + r["ci_lower"]) / 2 - centre) < 0.05 * width
     empty = bootstrap_subsets(rows.where("g = 'a'"), "v", "g", "a", "b", "id").first()
     assert empty["subsets"] == 0 and empty["ci_lower"] is None
+
+
+def test_few_files_of_many_rows_are_spread(spark):
+    from tidemark.session import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 10).rdd.getNumPartitions() == 10 and spread(one, 10).count() == 100
+    assert spread(one, 100).rdd.getNumPartitions() == 1 and spread(spark.range(0, 100, 1, 4), 50).rdd.getNumPartitions() == 4

@@ -123,3 +123,23 @@ def test_labels_of_one_cluster_are_never_the_best(spark):
     assert got["good"]["is_best"] and not got["one"]["is_best"] and not got["mixed"]["is_best"]
     assert got["one"]["silhouette"] is None and got["one"]["n_clusters"] == 1
     assert not any(r["is_best"] for r in S.compare_labels(df, ["one"]).collect())
+
+
+def test_a_forest_keeps_node_ids_and_grows_the_same_trees(spark):
+    from pyspark.ml import Pipeline
+
+    data = planted(spark)
+    est = C._estimators("raw", "churn_target", 42, 300)["Random Forest"]
+    assert est.getCacheNodeIds()
+    fit = lambda kept: Pipeline(stages=C._stages(["x", "y"], est)).fit(data, {est.numTrees: 5, est.cacheNodeIds: kept})
+    assert [t.toDebugString for t in fit(True).stages[-1].trees] == [t.toDebugString for t in fit(False).stages[-1].trees]
+
+
+def test_permuted_features_are_scored_together(spark, monkeypatch):
+    data = planted(spark)
+    _, fitted = C.train_models(data, ["x", "y"], models=["Gradient Boosting"])
+    model, calls = fitted["Gradient Boosting"], []
+    whole = type(model).transform
+    monkeypatch.setattr(type(model), "transform", lambda self, df: calls.append(1) or whole(self, df))
+    got = {r["feature"]: r["auc_drop"] for r in C.permutation_importance(model, data, ["x", "y"]).collect()}
+    assert len(calls) == 2 and got["x"] > 0.1 > abs(got["y"])
