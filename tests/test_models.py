@@ -144,3 +144,48 @@ def test_permuted_features_are_scored_together(spark, monkeypatch):
     monkeypatch.setattr(type(model), "transform", lambda self, df: calls.append(1) or whole(self, df))
     got = {r["feature"]: r["auc_drop"] for r in C.permutation_importance(model, data, ["x", "y"]).collect()}
     assert len(calls) == 2 and got["x"] > 0.1 > abs(got["y"])
+
+
+def test_parts_of_a_forest_vote_like_forests_of_their_own(spark):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tidemark.operators.forest import part_name, score_parts
+
+    data = planted(spark)
+    est = C._estimators("raw", "churn_target", 42, 300)["Random Forest"]
+    fit = lambda depth: Pipeline(stages=C._stages(["x", "y"], est)).fit(
+        data, {est.numTrees: 9, est.maxDepth: depth, est.leafCol: "leaf"})
+    whole = fit(30)
+    held = PipelineModel(whole.stages[:-1]).transform(data)
+    parts = [(9, 30), (9, 3), (4, 7), (2, 0)]
+    got = score_parts(whole.stages[-1], held, "churn_target", parts)
+    for n, depth in parts:
+        own = C.first_trees(fit(depth), n).transform(data).select("churn_target", "rawPrediction").collect()
+        want = sorted((r["churn_target"], round(float(r["rawPrediction"][1]), 6)) for r in own)
+        name = part_name(n, depth)
+        assert sorted((r["churn_target"], round(r[name], 6)) for r in got.select("churn_target", name).collect()) == want
+
+
+def test_depths_of_a_forest_share_a_fit(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    data = planted(spark)
+    grid = lambda name, est, n: ParamGridBuilder().addGrid(est.numTrees, [3, 6]).addGrid(est.maxDepth, [2, 5]).addGrid(
+        est.minInstancesPerNode, [1, 4]).build()
+    fits, whole = [], Pipeline.fit
+    monkeypatch.setattr(C, "_grid", grid)
+    monkeypatch.setattr(Pipeline, "fit", lambda self, *a: fits.append(1) or whole(self, *a))
+    table, model = C.tune(data, ["x", "y"], "Random Forest")
+    assert len(fits) == 2 * 5 + 1 and table.count() == 8  # before, 4 fits a fold
+    chosen = table.where("is_best").first()
+    assert chosen["params"].endswith(f"numTrees={model.estimator.getNumTrees}")
+    assert chosen["params"].startswith(f"maxDepth={model.estimator.getMaxDepth()},")
+    est = C._estimators("raw", "churn_target", 42, 1)["Random Forest"]
+    train, total = data.where("NOT is_test"), 0.0
+    for f in range(5):
+        one = whole(Pipeline(stages=C._stages(["x", "y"], est)), train.where(F.col("fold") != f),
+                    {est.numTrees: 6, est.maxDepth: 2, est.minInstancesPerNode: 4})
+        total += C._auc("churn_target").evaluate(one.transform(train.where(F.col("fold") == f)))
+    got = {r["params"]: r["cv_auc"] for r in table.collect()}
+    assert abs(got["maxDepth=2, minInstancesPerNode=4, numTrees=6"] - total / 5) < 1e-6
