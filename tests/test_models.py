@@ -189,3 +189,16 @@ def test_depths_of_a_forest_share_a_fit(spark, monkeypatch):
         total += C._auc("churn_target").evaluate(one.transform(train.where(F.col("fold") == f)))
     got = {r["params"]: r["cv_auc"] for r in table.collect()}
     assert abs(got["maxDepth=2, minInstancesPerNode=4, numTrees=6"] - total / 5) < 1e-6
+
+
+def test_sweep_fits_keep_their_own_points(spark, monkeypatch):
+    rows = [(i, [float(i % 7), float(i % 3), float(i // 90 * 50)]) for i in range(180)]
+    df = spark.createDataFrame(rows, "customer_id int, x array<double>").select("customer_id", array_to_vector("x").alias("features"))
+    seen, whole = [], S._best_per_k
+    monkeypatch.setattr(S, "_best_per_k", lambda data, *a: seen.append(data) or whole(data, *a))
+    monkeypatch.setattr(S, "FIT_ROWS", 60)
+    got = S.pca_kmeans(df.coalesce(1), ks=range(2, 4), n_init=2)
+    # persisted data would be decoded on every pass of every fit
+    assert not seen[0].storageLevel.useMemory and seen[0].columns == ["features"]
+    assert seen[0].count() == 180 and seen[0].rdd.getNumPartitions() == 3
+    assert S.best_k(got) == 2 and got.count() == 2
